@@ -13,27 +13,28 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.functions.match import key_of, plain_columns, request_error, search_text
 from numberplace.functions.ordering import record_order
-from numberplace.operators.numbering import cut, number_rows
+from numberplace.operators.numbering import START, cut, number_rows
 from numberplace.operators.paging import returned_rows
 
 ANY = "*"
 
-# So many different (field, key) pairs are broadcast; a key has at most 64
-# characters, which bounds the bytes. More of them are joined by a shuffle.
-BROADCAST_KEYS = 100_000
+# So many wanted rows are broadcast; a key has at most 64 characters, which
+# bounds their bytes. More of them are joined by a shuffle.
+BROADCAST_ROWS = 100_000
 # The largest rank that a window per key works out; beyond, rows are numbered
 # by a range sort. Spark filters by rank before the shuffle up to this size.
 WINDOW_ROWS = 1_000
-# Parts into which the rows of one key are split before its ranks are known.
+# The parts into which the records of one hot key are split.
 SALTS = 200
-# A key with more than this part of all entries of a request is hot.
-_HOT_SHARE = 1_000
+# A key that 1 / HOT_SHARE of all records meet is hot.
+HOT_SHARE = 1_000
+
 
 
 def prepared(requests: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
@@ -92,7 +93,10 @@ def bulk_lookup_summary(
     """The envelope of every request; total 0 where nothing matches."""
     answered = prepared(requests, fields).join(key_counts(df, fields), ["in_field", "key"], "left")
     total = F.when(F.col("error").isNull(), F.coalesce("total", F.lit(0)))
-    returned = returned_rows(F.col("total"), F.col("offset"), F.col("limit"))
+    # The smaller of a null and a number is the number, so an error is told apart here.
+    returned = F.when(
+        F.col("error").isNull(), returned_rows(F.col("total"), F.col("offset"), F.col("limit"))
+    )
     return answered.withColumn("total", total).select(
         "request_id",
         "location",
@@ -118,44 +122,29 @@ def bulk_lookup_rows(
     position is null for limit 0, where every match is returned in no order.
     """
     valid = prepared(requests, fields).filter(F.col("error").isNull())
-    valid = valid.withColumn("last", F.when(F.col("limit") > 0, F.col("offset") + F.col("limit")))
-    keys = valid.groupBy("in_field", "key").agg(
-        F.max("last").alias("ranks"), F.count_if(F.col("limit") == 0).alias("whole")
+    whole = valid.filter(F.col("limit") == 0).select("request_id", "in_field", "key")
+    paged = valid.filter(F.col("limit") > 0).select(
+        "request_id", "in_field", "key", "offset", (F.col("offset") + F.col("limit")).alias("last")
     )
-    facts = keys.agg(
-        F.count(F.lit(1)).alias("keys"),
-        F.coalesce(F.max("ranks"), F.lit(0)).alias("ranks"),
-        F.sum("whole").alias("whole"),
-        F.collect_set("in_field").alias("in_fields"),  # at most the fields and *
-    ).first()
+    paged_keys = paged.groupBy("in_field", "key").agg(F.max("last").alias("ranks"))
+    names = F.collect_set("in_field").alias("in_fields")  # at most the fields and *
+    of_whole = whole.agg(F.count(F.lit(1)).alias("n"), names).first()
+    of_paged = paged_keys.agg(F.count(F.lit(1)).alias("n"), names, F.max("ranks").alias("ranks")).first()
 
     out = plain_columns(df)
-    record = F.struct(*out).alias("record")
-    found = df.select(F.explode(entries(df, fields, facts.in_fields)).alias("entry"), record)
-    found = found.select("entry.*", "record").filter(F.col("key").isNotNull())
-    small = facts.keys <= BROADCAST_KEYS
-    hits = found.join(F.broadcast(keys), ["in_field", "key"]) if small else _join_split(df, found, keys, fields)
-
     parts = []
-    if facts.whole or not facts.ranks:
-        whole = valid.filter(F.col("limit") == 0).select("request_id", "in_field", "key")
-        matched = hits.filter(F.col("whole") > 0).join(whole, ["in_field", "key"])
-        parts.append(matched.select("request_id", F.lit(None).cast("bigint").alias("position"), "record.*"))
-    if facts.ranks:
-        ranked = _ranked(
-            hits.filter(F.col("ranks") > 0).select("in_field", "key", "record.*"),
-            facts.ranks,
-            id_column,
-        )
-        asked = valid.filter(F.col("limit") > 0).select("request_id", "in_field", "key", "offset", "last")
-        page = ranked.join(asked, ["in_field", "key"])
-        if facts.ranks <= WINDOW_ROWS:
-            inside = (F.col("position") > F.col("offset")) & (F.col("position") <= F.col("last"))
-            page = page.filter(inside)
+    if of_whole.n or not of_paged.n:
+        hits = _join(df, whole, of_whole, fields)
+        parts.append(hits.select("request_id", F.lit(None).cast("bigint").alias("position"), "record.*"))
+    if of_paged.n:
+        hits = _join(df, paged_keys, of_paged, fields).select("in_field", "key", "record.*")
+        page = _ranked(hits, of_paged.ranks, id_column).join(paged, ["in_field", "key"])
+        if of_paged.ranks <= WINDOW_ROWS:
+            page = page.filter(F.col("position").between(F.col("offset") + 1, F.col("last")))
         else:
             page = cut(page, F.col("offset"), F.col("last"), "position")
             page = page.withColumn("position", F.col("position") + 1)
-        parts.append(page.select("request_id", "position", *out))
+        parts.append(page.select("request_id", F.col("position").cast("bigint").alias("position"), *out))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
@@ -169,7 +158,7 @@ def _ranked(hits: DataFrame, ranks: int, id_column: str) -> DataFrame:
     names = [c for c in hits.columns if c not in ("in_field", "key")]
     order = record_order(hits.select(*names), id_column)
     if ranks > WINDOW_ROWS:
-        return number_rows(hits, ["in_field", "key"], order)
+        return number_rows(hits, ["in_field", "key"], order).filter(F.col(START) < ranks)
     salted = hits.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
     by_salt = Window.partitionBy("in_field", "key", "salt").orderBy(*order)
     by_key = Window.partitionBy("in_field", "key").orderBy(*order)
@@ -181,29 +170,36 @@ def _ranked(hits: DataFrame, ranks: int, id_column: str) -> DataFrame:
     )
 
 
-def _join_split(df: DataFrame, found: DataFrame, keys: DataFrame, fields: Sequence[str]) -> DataFrame:
-    """Join entries with many keys by a shuffle, the rows of hot keys split by salt.
+def _join(df: DataFrame, wanted: DataFrame, of_wanted: Row, fields: Sequence[str]) -> DataFrame:
+    """The records that meet each row of ``wanted``, by (``in_field``, ``key``).
 
-    A record has at most ten entries, so at most 10 * _HOT_SHARE keys can hold
-    a _HOT_SHARE-th of the records each: the list of hot keys is small whatever
-    the tables are, and is broadcast to salt the entries.
+    Few wanted rows are broadcast. Many are joined by a shuffle, with the
+    records of hot keys split by salt: a record has at most two entries per
+    field, so at most 2 * fields * HOT_SHARE keys can be met by a HOT_SHARE-th
+    of all records, and the list of hot keys is small whatever the tables are.
     """
-    rows = F.lit(df.count())
+    found = (
+        df.select(
+            F.explode(entries(df, fields, of_wanted.in_fields)).alias("entry"),
+            F.struct(*plain_columns(df)).alias("record"),
+        )
+        .select("entry.*", "record")
+        .filter(F.col("key").isNotNull())
+    )
+    if of_wanted.n <= BROADCAST_ROWS:
+        return found.join(F.broadcast(wanted), ["in_field", "key"])
+
     hot = (
         key_counts(df, fields)
-        .filter(F.col("total") * _HOT_SHARE >= rows)
-        .join(keys.select("in_field", "key"), ["in_field", "key"], "left_semi")
+        .filter(F.col("total") * HOT_SHARE >= df.count())
+        .join(wanted.select("in_field", "key"), ["in_field", "key"], "left_semi")
         .select("in_field", "key", F.lit(SALTS).alias("salts"))
     )
     salts = F.coalesce("salts", F.lit(1))
-    salted = (
-        found.join(F.broadcast(hot), ["in_field", "key"], "left")
-        .withColumn("salt", F.pmod(F.xxhash64("record"), salts).cast("int"))
-        .drop("salts")
+    salted = found.join(F.broadcast(hot), ["in_field", "key"], "left").withColumn(
+        "salt", F.pmod(F.xxhash64("record"), salts).cast("int")
     )
-    spread = (
-        keys.join(F.broadcast(hot), ["in_field", "key"], "left")
-        .withColumn("salt", F.explode(F.sequence(F.lit(0), salts - 1)))
-        .drop("salts")
+    spread = wanted.join(F.broadcast(hot), ["in_field", "key"], "left").withColumn(
+        "salt", F.explode(F.sequence(F.lit(0), salts - 1))
     )
-    return salted.join(spread, ["in_field", "key", "salt"]).drop("salt")
+    return salted.drop("salts").join(spread.drop("salts"), ["in_field", "key", "salt"]).drop("salt")

@@ -27,8 +27,8 @@ def number_rows(rows: DataFrame, group: Sequence[str], order: Sequence[Column])
     leaves no two rows with the same sort key, hence no range that cannot be
     split; the merge is combined on the map side.
 
-    ``order`` must only tie on identical rows. The ranged rows are stored once,
-    because both later steps have to see the same partitions.
+    ``group`` columns hold no nulls; ``order`` only ties on identical rows. The ranged rows are
+    stored once, because both later steps have to see the same partitions.
     """
     merged = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(COPIES))
     keys = [*(F.col(c).asc_nulls_last() for c in group), *order]
@@ -50,7 +50,7 @@ def number_rows(rows: DataFrame, group: Sequence[str], order: Sequence[Column])
     )
     return (
         ranged.withColumn("_within", F.coalesce(F.sum(COPIES).over(within), F.lit(0)))
-        .join(starts.withColumnsRenamed({c: f"_s{c}" for c in by_part}), _same(by_part))
+        .join(starts, by_part)
         .withColumn(START, F.col("_before") + F.col("_within"))
         .select(*rows.columns, START, COPIES)
     )
@@ -69,9 +69,3 @@ def cut(numbered: DataFrame, first: Column, last: Column, position: str | None =
     expanded = numbered.filter(low < high).withColumn(name, F.explode(F.sequence(low, high - 1)))
     return expanded.select(*out, *([name] if position else []))
 
-
-def _same(columns: Sequence[str]) -> Column:
-    condition = F.lit(True)
-    for c in columns:
-        condition = condition & F.col(c).eqNullSafe(F.col(f"_s{c}"))
-    return condition

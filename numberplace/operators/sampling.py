@@ -80,7 +80,7 @@ def sample_native(
         .select("id", F.explode(starts).alias("start"))  # two steps, so that no
         .select("id", F.explode(of_start).alias("point"))  # array grows with points
     )
-    x, y = (_uniform(F.xxhash64(F.lit(seed).cast("bigint"), F.lit(axis), "id", "point")) for axis in (0, 1))
+    x, y = (_uniform(_hash(seed, axis)) for axis in (0, 1))
     counted = drawn.agg(
         F.count_if(F.col("point") == 0).alias("partitions"),
         F.count_if(x * x + y * y <= 1).alias("inside"),
@@ -93,6 +93,10 @@ def _check_points(points: int) -> None:
         raise ValueError("points must be greater than 0")
 
 
+def _hash(seed: int, axis: int) -> Column:
+    return F.xxhash64(F.lit(seed).cast("bigint"), F.lit(axis).cast("bigint"), "id", "point")
+
+
 def _uniform(bits: Column) -> Column:
     """The upper 53 bits of a hash as a double from [-1, 1)."""
     return F.shiftrightunsigned(bits, 11).cast("double") * (2.0**-52) - 1
