@@ -13,10 +13,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
-from pyspark.sql import functions as F
 
 from numberplace import schema as S
-from numberplace.functions.match import with_keys
+from numberplace.functions.match import sql_text, with_keys
 from numberplace.operators.bulk import bulk_lookup_rows, bulk_lookup_summary
 from numberplace.operators.counts import pair_count, place_counts
 from numberplace.operators.paging import cursor, find_records, page_after, page_rows, page_summary
@@ -40,7 +39,7 @@ def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def _line_records(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return records_from(_table(spark, sf_dir, "lineitem"), F.col("l_orderkey") * 8 + F.col("l_linenumber"))
+    return records_from(_table(spark, sf_dir, "lineitem"), "l_orderkey * 8 + l_linenumber")
 
 
 def _order_records(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -53,52 +52,36 @@ def _sampling_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _table(spark, sf_dir, "supplier").select("s_suppkey").repartition(tasks, "s_suppkey")
 
 
-def _requests(df: DataFrame, number: str, choice: str, field, offset, limit) -> DataFrame:
-    locations = F.array(*(F.lit(text) for text in _LOCATIONS))
-    return df.select(
-        F.col(number).cast("bigint").alias("request_id"),
-        F.get(locations, (F.col(choice) % len(_LOCATIONS)).cast("int")).alias("location"),
-        field.alias("field"),
-        offset.cast("bigint").alias("offset"),
-        limit.cast("bigint").alias("limit"),
+def _requests(df: DataFrame, number: str, choice: str, field: str, offset: str, limit: str) -> DataFrame:
+    locations = ", ".join(map(sql_text, _LOCATIONS))
+    return df.selectExpr(
+        f"CAST({number} AS bigint) AS request_id",
+        f"get(array({locations}), CAST({choice} % {len(_LOCATIONS)} AS int)) AS location",
+        f"{field} AS field",
+        f"CAST({offset} AS bigint) AS offset",
+        f"CAST({limit} AS bigint) AS limit",
     )
 
 
 def _customer_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Small pages; some requests name a field, some a wrong one, most name none."""
-    names = F.array(*(F.lit(name) for name in (*S.SEARCH_FIELDS, "phone_number")))
-    return _requests(
-        _table(spark, sf_dir, "customer"),
-        "c_custkey",
-        "c_nationkey",
-        F.get(names, (F.col("c_custkey") % 12).cast("int")),
-        F.col("c_custkey") % 17,
-        F.col("c_custkey") % 5 + 1,
-    )
+    names = ", ".join(map(sql_text, (*S.SEARCH_FIELDS, "phone_number")))
+    field = f"get(array({names}), CAST(c_custkey % 12 AS int))"
+    customers = _table(spark, sf_dir, "customer")
+    return _requests(customers, "c_custkey", "c_nationkey", field, "c_custkey % 17", "c_custkey % 5 + 1")
 
 
 def _nation_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Deep pages over any field."""
-    return _requests(
-        _table(spark, sf_dir, "nation"),
-        "n_nationkey",
-        "n_nationkey",
-        F.lit(None).cast("string"),
-        F.col("n_nationkey") * 130,
-        F.col("n_nationkey") + 20,
-    )
+    nations = _table(spark, sf_dir, "nation")
+    none = "CAST(NULL AS string)"
+    return _requests(nations, "n_nationkey", "n_nationkey", none, "n_nationkey * 130", "n_nationkey + 20")
 
 
 def _region_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Full matches over any field; the offset has no effect."""
-    return _requests(
-        _table(spark, sf_dir, "region"),
-        "r_regionkey",
-        "r_regionkey",
-        F.lit(None).cast("string"),
-        F.lit(7),
-        F.lit(0),
-    )
+    regions = _table(spark, sf_dir, "region")
+    return _requests(regions, "r_regionkey", "r_regionkey", "CAST(NULL AS string)", "7", "0")
 
 
 def entry(spark: SparkSession) -> DataFrame:

@@ -55,6 +55,11 @@ def with_keys(
     return df.withColumns(keys)
 
 
+def sql_text(text: str) -> str:
+    """``text`` as a literal inside an SQL expression."""
+    return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
+
+
 def is_keyed(df: DataFrame, fields: Sequence[str]) -> bool:
     return all(field + KEY_SUFFIX in df.columns for field in fields)
 
@@ -126,22 +131,16 @@ def check_request(
 
 def request_error(fields: Sequence[str] = S.SEARCH_FIELDS) -> Column:
     """``check_request`` for a table of requests: the error text, else null."""
-    length = F.length("location")
-    return (
-        F.when(
-            F.col("field").isNotNull() & ~F.col("field").isin(*fields),
-            F.lit(f"field must be one of: {', '.join(fields)}"),
-        )
-        .when(
-            F.col("location").isNull() | ~length.between(1, S.MAX_LOCATION_LENGTH),
-            F.lit(f"location must have 1 to {S.MAX_LOCATION_LENGTH} characters"),
-        )
-        .when(
-            F.col("offset").isNull() | ~F.col("offset").between(0, S.MAX_OFFSET),
-            F.lit(f"offset must be from 0 to {S.MAX_OFFSET}"),
-        )
-        .when(
-            F.col("limit").isNull() | ~F.col("limit").between(0, S.MAX_LIMIT),
-            F.lit(f"limit must be from 0 to {S.MAX_LIMIT}"),
-        )
+    names = ", ".join(map(sql_text, fields))
+    return F.expr(
+        f"""
+        CASE WHEN field IS NOT NULL AND field NOT IN ({names})
+               THEN {sql_text(f"field must be one of: {', '.join(fields)}")}
+             WHEN location IS NULL OR length(location) NOT BETWEEN 1 AND {S.MAX_LOCATION_LENGTH}
+               THEN 'location must have 1 to {S.MAX_LOCATION_LENGTH} characters'
+             WHEN `offset` IS NULL OR `offset` NOT BETWEEN 0 AND {S.MAX_OFFSET}
+               THEN 'offset must be from 0 to {S.MAX_OFFSET}'
+             WHEN `limit` IS NULL OR `limit` NOT BETWEEN 0 AND {S.MAX_LIMIT}
+               THEN 'limit must be from 0 to {S.MAX_LIMIT}' END
+        """
     )

@@ -4,108 +4,119 @@ A request is (request_id, location, field or null, offset, limit). It means
 what one call of ``page_rows`` and ``page_summary`` means; an invalid request
 gets an envelope with its error, as the others go on.
 
-Both operators compare (field, key) entries: a record has one entry per named
-field, and one under ``*`` for each *different* key of its fields, so it meets
-an any-field request once even when two of its fields agree.
+What a record answers depends on its search fields alone, so records are first
+counted by the combination of their keys, which is combined on the map side. The
+combinations, not the records, are then spread into (field, key) entries, one
+per named field and one under ``*`` for each *different* key, so that a record
+meets an any-field request once even when two of its fields agree. Only records
+whose combination is asked for are read with all their columns.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Row, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from numberplace import schema as S
-from numberplace.functions.match import key_of, plain_columns, request_error, search_text
+from numberplace.functions.match import (
+    key_of,
+    number_of,
+    plain_columns,
+    request_error,
+    search_text,
+    sql_text,
+)
 from numberplace.functions.ordering import record_order
-from numberplace.operators.numbering import START, cut, number_rows
-from numberplace.operators.paging import returned_rows
+from numberplace.operators.numbering import COPIES, START, number_rows
+from numberplace.operators.paging import RETURNED_ROWS
+from numberplace.session import stored
 
 ANY = "*"
 
-# So many wanted rows are broadcast; a key has at most 64 characters, which
-# bounds their bytes. More of them are joined by a shuffle.
-BROADCAST_ROWS = 100_000
-# The largest rank that a window per key works out; beyond, rows are numbered
-# by a range sort. Spark filters by rank before the shuffle up to this size.
-WINDOW_ROWS = 1_000
-# The parts into which the records of one hot key are split.
-SALTS = 200
-# A key that 1 / HOT_SHARE of all records meet is hot.
+# Combinations of up to so many bytes are broadcast; more are joined by a shuffle.
+BROADCAST_BYTES = 64 * 1024 * 1024
+# The largest group that is sorted in one task; beyond, rows are numbered by a
+# range sort.
+GROUP_ROWS = 1_000_000
+# A combination that holds 1 / HOT_SHARE of all records is hot, and its records
+# are split into SALTS parts by a shuffle.
 HOT_SHARE = 1_000
+SALTS = 200
+_BUCKET_BITS = 12
+
+# The rows per block in which pages and buckets meet.
+BLOCK_ROWS = 1_000
 
+_ENTRY = ["in_field", "key"]
+_PART = [*_ENTRY, "bucket"]
+_EACH = "explode(sequence({}, {}))"
 
 
 def prepared(requests: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
     """Requests with the (``in_field``, ``key``) they look for, and their error."""
-    return requests.select(
-        F.col("request_id"),
-        search_text("location").alias("location"),
-        F.coalesce(F.col("field"), F.lit(S.ALL_FIELDS_LABEL)).alias("field"),
-        F.col("offset").cast("bigint").alias("offset"),
-        F.col("limit").cast("bigint").alias("limit"),
-        F.coalesce(F.col("field"), F.lit(ANY)).alias("in_field"),
-        F.lower(search_text("location")).alias("key"),
-        request_error(fields).alias("error"),
+    checked = requests.select("*", request_error(fields).alias("error"))
+    return checked.withColumn("location", search_text("location")).selectExpr(
+        "request_id",
+        "location",
+        f"coalesce(field, '{S.ALL_FIELDS_LABEL}') AS field",
+        "CAST(offset AS bigint) AS offset",
+        "CAST(limit AS bigint) AS limit",
+        f"coalesce(field, '{ANY}') AS in_field",
+        "lower(location) AS key",
+        "error",
     )
 
 
-def entries(df: DataFrame, fields: Sequence[str], wanted_fields: Sequence[str]) -> Column:
-    """The (``in_field``, ``key``) entries of a record, for the fields that are asked for."""
+def combinations(
+    df: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS, bucket: Column | None = None
+) -> DataFrame:
+    """The rows ``n`` behind every combination ``combo`` of keys (and a bucket)."""
+    return df.select(_combo(df, fields, bucket)).groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
 
-    def entry(name: str, key: Column) -> Column:
-        return F.struct(F.lit(name).alias("in_field"), key.alias("key"))
 
-    named = F.array(*(entry(f, key_of(df, f)) for f in fields if f in wanted_fields))
-    if ANY not in wanted_fields:
-        return named
-    different = F.array_distinct(F.array(*(key_of(df, f) for f in fields)))
-    anywhere = F.transform(different, lambda key: entry(ANY, key))
-    return F.concat(named, anywhere) if set(fields) & set(wanted_fields) else anywhere
+def _combo(df: DataFrame, fields: Sequence[str], bucket: Column | None = None) -> Column:
+    """The keys of a record as one struct; two of them are equal null by null."""
+    keys = [key_of(df, name).alias(f"key{k}") for k, name in enumerate(fields)]
+    return F.struct(*keys, *([] if bucket is None else [bucket.alias("bucket")])).alias("combo")
 
 
-def key_counts(df: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
-    """The rows behind every (``in_field``, ``key``): what any request would find.
+def entries(combined: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
+    """Combinations spread into the (``in_field``, ``key``) entries that they answer."""
+    named = [f"struct({sql_text(name)} AS in_field, combo.key{k} AS key)" for k, name in enumerate(fields)]
+    different = f"array_distinct(array({', '.join(f'combo.key{k}' for k in range(len(fields)))}))"
+    anywhere = f"transform({different}, key -> struct('{ANY}' AS in_field, key AS key))"
+    return combined.selectExpr(
+        *combined.columns, f"inline(concat(array({', '.join(named)}), {anywhere}))"
+    ).filter("key IS NOT NULL")
 
-    Rows are first counted by all fields together, combined on the map side, and
-    only the different combinations are exploded.
-    """
-    keys = df.select(*(key_of(df, f).alias(f) for f in fields))
-    combined = keys.groupBy(*fields).agg(F.count(F.lit(1)).alias("n"))
-    different = F.array_distinct(F.array(*fields))
-    entry = F.concat(
-        F.array(*(F.struct(F.lit(f).alias("in_field"), F.col(f).alias("key")) for f in fields)),
-        F.transform(different, lambda key: F.struct(F.lit(ANY).alias("in_field"), key.alias("key"))),
-    )
-    return (
-        combined.select(F.explode(entry).alias("entry"), "n")
-        .select("entry.*", "n")
-        .filter(F.col("key").isNotNull())
-        .groupBy("in_field", "key")
-        .agg(F.sum("n").alias("total"))
-    )
+
+def key_counts(df: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
+    """The rows behind every (``in_field``, ``key``): what any request would find."""
+    counted = entries(combinations(df, fields), fields)
+    return counted.groupBy(*_ENTRY).agg(F.sum("n").alias("total"))
 
 
 def bulk_lookup_summary(
     df: DataFrame, requests: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS
 ) -> DataFrame:
     """The envelope of every request; total 0 where nothing matches."""
-    answered = prepared(requests, fields).join(key_counts(df, fields), ["in_field", "key"], "left")
-    total = F.when(F.col("error").isNull(), F.coalesce("total", F.lit(0)))
-    # The smaller of a null and a number is the number, so an error is told apart here.
-    returned = F.when(
-        F.col("error").isNull(), returned_rows(F.col("total"), F.col("offset"), F.col("limit"))
-    )
-    return answered.withColumn("total", total).select(
-        "request_id",
-        "location",
-        "field",
-        "total",
-        "offset",
-        returned.alias("returned"),
-        (F.col("offset") + returned < F.col("total")).alias("has_more"),
-        "error",
+    answered = prepared(requests, fields).join(key_counts(df, fields), _ENTRY, "left")
+    return (
+        answered.withColumn("total", F.expr("IF(error IS NULL, coalesce(total, 0), NULL)"))
+        # The smaller of a null and a number is the number, hence the test for null.
+        .withColumn("returned", F.expr(f"IF(total IS NULL, NULL, {RETURNED_ROWS})"))
+        .selectExpr(
+            "request_id",
+            "location",
+            "field",
+            "total",
+            "offset",
+            "returned",
+            "offset + returned < total AS has_more",
+            "error",
+        )
     )
 
 
@@ -117,89 +128,129 @@ def bulk_lookup_rows(
 ) -> DataFrame:
     """The page of every request: request_id, position from 1, the record.
 
-    Requests that look for the same key share the work: rows meet each
-    different key once and go to the requests after they are ranked. The
-    position is null for limit 0, where every match is returned in no order.
+    The position is null for limit 0, where every match is returned, in no order.
     """
-    valid = prepared(requests, fields).filter(F.col("error").isNull())
-    whole = valid.filter(F.col("limit") == 0).select("request_id", "in_field", "key")
-    paged = valid.filter(F.col("limit") > 0).select(
-        "request_id", "in_field", "key", "offset", (F.col("offset") + F.col("limit")).alias("last")
+    valid, asked = stored(
+        prepared(requests, fields).filter("error IS NULL"),
+        whole=F.expr("count_if(limit = 0)"),
+        paged=F.expr("count_if(limit > 0)"),
     )
-    paged_keys = paged.groupBy("in_field", "key").agg(F.max("last").alias("ranks"))
-    names = F.collect_set("in_field").alias("in_fields")  # at most the fields and *
-    of_whole = whole.agg(F.count(F.lit(1)).alias("n"), names).first()
-    of_paged = paged_keys.agg(F.count(F.lit(1)).alias("n"), names, F.max("ranks").alias("ranks")).first()
-
-    out = plain_columns(df)
     parts = []
-    if of_whole.n or not of_paged.n:
-        hits = _join(df, whole, of_whole, fields)
-        parts.append(hits.select("request_id", F.lit(None).cast("bigint").alias("position"), "record.*"))
-    if of_paged.n:
-        hits = _join(df, paged_keys, of_paged, fields).select("in_field", "key", "record.*")
-        page = _ranked(hits, of_paged.ranks, id_column).join(paged, ["in_field", "key"])
-        if of_paged.ranks <= WINDOW_ROWS:
-            page = page.filter(F.col("position").between(F.col("offset") + 1, F.col("last")))
-        else:
-            page = cut(page, F.col("offset"), F.col("last"), "position")
-            page = page.withColumn("position", F.col("position") + 1)
-        parts.append(page.select("request_id", F.col("position").cast("bigint").alias("position"), *out))
+    if asked["whole"] or not asked["paged"]:
+        parts.append(_whole_rows(df, valid.filter("limit = 0"), fields))
+    if asked["paged"]:
+        parts.append(_paged_rows(df, valid.filter("limit > 0"), fields, id_column))
     return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
 
 
-def _ranked(hits: DataFrame, ranks: int, id_column: str) -> DataFrame:
-    """Hits with their rank per key; only the first ``ranks`` need to be there.
+def _whole_rows(df: DataFrame, whole: DataFrame, fields: Sequence[str]) -> DataFrame:
+    combined, counted = stored(combinations(df, fields), rows=F.sum("n"))
+    met = entries(combined, fields).join(whole, _ENTRY).select("combo", "request_id")
+    hits = _join(df.select(_combo(df, fields), _record(df)), met, combined, counted["rows"])
+    return hits.selectExpr("request_id", "CAST(NULL AS bigint) AS position", "record.*")
+
+
+def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_column: str) -> DataFrame:
+    """Pages, located by a histogram of the record number before rows are read.
 
-    A hot key is never sorted in one task. For small ranks its rows are first
-    cut per (key, salt), the salt being the number of the task that found them,
-    and the survivors, at most SALTS * ranks, are ranked per key.
+    Each key's rows are counted per bucket of the number, so the position at
+    which a bucket starts is known, and only the buckets that a page touches
+    are read and ranked. A hot key is counted, never collected in one place.
     """
-    names = [c for c in hits.columns if c not in ("in_field", "key")]
-    order = record_order(hits.select(*names), id_column)
-    if ranks > WINDOW_ROWS:
-        return number_rows(hits, ["in_field", "key"], order).filter(F.col(START) < ranks)
-    salted = hits.withColumn("salt", F.pmod(F.spark_partition_id(), F.lit(SALTS)))
-    by_salt = Window.partitionBy("in_field", "key", "salt").orderBy(*order)
-    by_key = Window.partitionBy("in_field", "key").orderBy(*order)
-    first = salted.withColumn("rank", F.row_number().over(by_salt)).filter(F.col("rank") <= ranks)
-    return (
-        first.drop("salt", "rank")
-        .withColumn("position", F.row_number().over(by_key))
-        .filter(F.col("position") <= ranks)
+    bucket = _bucket(df, id_column)
+    combined, counted = stored(combinations(df, fields, bucket), rows=F.sum("n"))
+    spread = entries(combined, fields).withColumn("bucket", F.col("combo.bucket"))
+    spans, groups = stored(_spans(spread, paged), biggest=F.max("rows"))
+
+    touched = spans.select(*_PART, "start").distinct()
+    met = spread.join(touched, _PART).select("combo", *_ENTRY, "start")
+    hits = _join(df.select(_combo(df, fields, bucket), _record(df)), met, combined, counted["rows"])
+    hits = hits.select(*_ENTRY, "combo.bucket", "start", "record.*")
+    out = plain_columns(df)
+    order = record_order(hits.select(*out), id_column)
+
+    if (groups["biggest"] or 0) <= GROUP_ROWS:
+        hits = hits.withColumn("rank", F.row_number().over(Window.partitionBy(*_PART).orderBy(*order)))
+        ranked = hits.withColumn("position", F.expr("start + rank"))
+        asked = spans.selectExpr("request_id", *_ENTRY, f"{_EACH.format('first + 1', 'last')} AS position")
+        return ranked.join(asked, [*_ENTRY, "position"]).select("request_id", "position", *out)
+
+    numbered = number_rows(hits, _PART, order).withColumnRenamed("start", "part_start")
+    numbered = numbered.withColumn("at", F.expr(f"part_start + {START}"))
+    placed = numbered.join(spans.drop("start"), _PART).filter(f"at < last AND at + {COPIES} > first")
+    shared = _EACH.format("greatest(at, first) + 1", f"least(at + {COPIES}, last)")
+    return placed.select("request_id", *out, F.expr(f"{shared} AS position")).select(
+        "request_id", "position", *out
     )
 
 
-def _join(df: DataFrame, wanted: DataFrame, of_wanted: Row, fields: Sequence[str]) -> DataFrame:
-    """The records that meet each row of ``wanted``, by (``in_field``, ``key``).
+def _spans(spread: DataFrame, paged: DataFrame) -> DataFrame:
+    """For each request the buckets that hold its page, and its positions in them.
 
-    Few wanted rows are broadcast. Many are joined by a shuffle, with the
-    records of hot keys split by salt: a record has at most two entries per
-    field, so at most 2 * fields * HOT_SHARE keys can be met by a HOT_SHARE-th
-    of all records, and the list of hot keys is small whatever the tables are.
+    Requests and buckets are intervals of positions. They meet by the blocks of
+    positions that they touch, so that no request is compared with all buckets
+    of its key; of the blocks that a pair shares only the first one counts.
     """
-    found = (
-        df.select(
-            F.explode(entries(df, fields, of_wanted.in_fields)).alias("entry"),
-            F.struct(*plain_columns(df)).alias("record"),
+    pages = paged.selectExpr("request_id", *_ENTRY, "offset", "offset + limit AS last")
+    wanted = pages.groupBy(*_ENTRY).agg(F.min("offset").alias("low"), F.max("last").alias("high"))
+    sized = spread.join(wanted, _ENTRY).groupBy(*_PART, "low", "high").agg(F.sum("n").alias("rows"))
+    before = Window.partitionBy(*_ENTRY).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sized.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    near = starts.filter("start < high AND start + rows > low").selectExpr(
+        *_PART,
+        "start",
+        "rows",
+        _EACH.format(
+            f"greatest(start, low) div {BLOCK_ROWS}", f"(least(start + rows, high) - 1) div {BLOCK_ROWS}"
         )
-        .select("entry.*", "record")
-        .filter(F.col("key").isNotNull())
+        + " AS block",
     )
-    if of_wanted.n <= BROADCAST_ROWS:
-        return found.join(F.broadcast(wanted), ["in_field", "key"])
-
-    hot = (
-        key_counts(df, fields)
-        .filter(F.col("total") * HOT_SHARE >= df.count())
-        .join(wanted.select("in_field", "key"), ["in_field", "key"], "left_semi")
-        .select("in_field", "key", F.lit(SALTS).alias("salts"))
+    blocks = _EACH.format(f"offset div {BLOCK_ROWS}", f"(last - 1) div {BLOCK_ROWS}")
+    return (
+        near.join(pages.selectExpr("*", f"{blocks} AS block"), [*_ENTRY, "block"])
+        .withColumns({"first": F.expr("greatest(offset, start)"), "last": F.expr("least(last, start + rows)")})
+        .filter(f"first < last AND block = first div {BLOCK_ROWS}")
+        .select("request_id", *_PART, "start", "rows", "first", "last")
     )
-    salts = F.coalesce("salts", F.lit(1))
-    salted = found.join(F.broadcast(hot), ["in_field", "key"], "left").withColumn(
-        "salt", F.pmod(F.xxhash64("record"), salts).cast("int")
+
+
+def _bucket(df: DataFrame, id_column: str) -> Column:
+    """The part of the range of record numbers that a row is in; no number, last part.
+
+    A right shift keeps the order of numbers and cannot overflow.
+    """
+    number = number_of(df, id_column)
+    low, high = df.agg(F.min(number), F.max(number)).first()
+    if low is None:
+        return F.lit(0).cast("bigint")
+    shift = max(0, (high - low).bit_length() - _BUCKET_BITS)
+    bucket = F.shiftright(number, shift) - F.lit(low >> shift)
+    return F.coalesce(bucket, F.lit((high >> shift) - (low >> shift) + 1))
+
+
+def _record(df: DataFrame) -> Column:
+    return F.struct(*plain_columns(df)).alias("record")
+
+
+def _join(records: DataFrame, met: DataFrame, combined: DataFrame, rows: int | None) -> DataFrame:
+    """The records of the combinations in ``met``, once for each of its rows.
+
+    The bytes of ``met`` are summed up first. Few are broadcast; otherwise both
+    sides are shuffled, with the records of hot combinations split by salt. A
+    record has one combination, so at most HOT_SHARE of them are hot, and their
+    list is small whatever the tables are.
+    """
+    met, size = stored(met, bytes=F.sum(F.octet_length(F.to_json(F.struct("*")))))
+    if (size["bytes"] or 0) <= BROADCAST_BYTES:
+        return records.join(F.broadcast(met), "combo")
+
+    hot = combined.filter(F.col("n") * HOT_SHARE >= rows).select("combo", F.lit(SALTS).alias("salts"))
+    salted = records.join(F.broadcast(hot), "combo", "left").withColumn(
+        # The task's number and not a hash of the record, so that copies spread too.
+        "salt",
+        F.expr("pmod(spark_partition_id(), coalesce(salts, 1))"),
     )
-    spread = wanted.join(F.broadcast(hot), ["in_field", "key"], "left").withColumn(
-        "salt", F.explode(F.sequence(F.lit(0), salts - 1))
+    copied = met.join(F.broadcast(hot), "combo", "left").withColumn(
+        "salt", F.expr("explode(sequence(0, coalesce(salts, 1) - 1))")
     )
-    return salted.drop("salts").join(spread.drop("salts"), ["in_field", "key", "salt"]).drop("salt")
+    return salted.drop("salts").join(copied.drop("salts"), ["combo", "salt"]).drop("salt")

@@ -25,7 +25,8 @@ MERGE_ROWS = 1_000_000
 CANDIDATE_ROWS = 100_000
 _BUCKET_BITS = 12
 
-_NUMBER = "_number"
+# The rows on a page, worked out from the total alone.
+RETURNED_ROWS = "IF(limit = 0, total, greatest(0, least(limit, total - offset)))"
 
 
 def find_records(
@@ -70,7 +71,6 @@ def page_summary(
     """The envelope of a page: one row, from one count over the search columns."""
     check_request(location, field, offset, limit, fields)
     predicate = match_predicate(df, location, field, fields)
-    returned = returned_rows(F.col("total"), F.lit(offset), F.lit(limit)).cast("bigint")
     return (
         df.filter(predicate)
         .agg(F.count(F.lit(1)).alias("total"))
@@ -79,18 +79,13 @@ def page_summary(
             F.lit(field or S.ALL_FIELDS_LABEL).alias("field"),
             "total",
             F.lit(offset).cast("bigint").alias("offset"),
-            returned.alias("returned"),
-            (offset + returned < F.col("total")).alias("has_more"),
+            F.lit(limit).cast("bigint").alias("limit"),
         )
+        .selectExpr("location", "field", "total", "offset", f"{RETURNED_ROWS} AS returned")
+        .selectExpr("*", "offset + returned < total AS has_more")
     )
 
 
-def returned_rows(total, offset, limit):
-    """The number of rows on a page, from the total alone."""
-    rest = F.greatest(F.lit(0), F.least(limit, total - offset))
-    return F.when(limit == 0, total).otherwise(rest)
-
-
 def page_after(
     df: DataFrame,
     location: str,

@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -18,6 +18,8 @@ def local_session(cores: int | str = 8, app_name: str = "numberplace") -> SparkS
         .config("spark.ui.enabled", "false")
         .config("spark.ui.showConsoleProgress", "false")
         .config("spark.driver.memory", "12g")
+        # Spares a Python stack walk for each column expression that is built.
+        .config("spark.python.sql.dataFrameDebugging.enabled", "false")
         .config("spark.sql.shuffle.partitions", str(cores))
         .config("spark.sql.session.timeZone", "UTC")
         .getOrCreate()
@@ -39,12 +41,17 @@ def scratch_path(spark: SparkSession) -> str:
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame) -> DataFrame:
+def stored(df: DataFrame, **measures: Column) -> DataFrame | tuple[DataFrame, dict]:
     """Write ``df`` once to the shared folder and read it back.
 
     Later passes read the files, so a lost executor costs no recomputation and
     every pass sees the same rows. Unlike a cache it holds no executor memory.
+    With ``measures``, aggregates of ``df``, their values come along; they are
+    taken while it is written.
     """
-    path = scratch_path(df.sparkSession)
+    path, measured = scratch_path(df.sparkSession), Observation()
+    if measures:
+        df = df.observe(measured, *(value.alias(name) for name, value in measures.items()))
     df.write.parquet(path)
-    return df.sparkSession.read.schema(df.schema).parquet(path)
+    back = df.sparkSession.read.schema(df.schema).parquet(path)
+    return (back, measured.get) if measures else back

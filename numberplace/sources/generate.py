@@ -4,36 +4,33 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 
 from numberplace import schema as S
+from numberplace.functions.match import sql_text
 
 
-def place_index(index: Column, places: int = len(S.PLACES)) -> Column:
-    """Two of five indexes fall on place 0, the rest spread over the others."""
-    return F.when(index % 5 < 2, F.lit(0)).otherwise((1 + (index * 17) % (places - 1)).cast("int"))
-
-
-def records_from(df: DataFrame, index: str | Column, places: Sequence[tuple] = S.PLACES) -> DataFrame:
+def records_from(df: DataFrame, index: str, places: Sequence[tuple] = S.PLACES) -> DataFrame:
     """Turn each row of ``df`` into the record of its ``index`` (0, 1, 2, ...).
 
-    A narrow projection: the place list is a constant inside the generated
-    code, so neither a join nor a shuffle is planned.
+    ``index`` is a column or an expression. Two of five indexes fall on place 0,
+    the rest spread over the others. A narrow projection: the place list is a
+    constant inside the generated code, so neither a join nor a shuffle is
+    planned. The base of the phone numbers has ten digits already, so they need
+    no zero padding.
     """
-    i = (F.col(index) if isinstance(index, str) else index).cast("bigint")
-    constant = F.array(
-        *(
-            F.struct(*(F.lit(value).alias(name) for name, value in zip(S.SEARCH_FIELDS, place)))
-            for place in places
+    constant = ", ".join(f"struct({', '.join(map(sql_text, place))})" for place in places)
+    return (
+        df.selectExpr(f"CAST({index} AS bigint) AS i")
+        .selectExpr(
+            "i",
+            f"get(array({constant}), IF(i % 5 < 2, 0, CAST(1 + i * 17 % {len(places) - 1} AS int))) AS place",
+        )
+        .selectExpr(
+            f"CAST({S.FIRST_RECORD_ID} + i AS string) AS record_id",
+            f"IF(i = 0, '{S.FIRST_PHONE_NUMBER}', concat('1', CAST({S.PHONE_BASE} + i AS string))) AS phone_number",
+            *(f"place.col{k} AS {name}" for k, name in enumerate(S.SEARCH_FIELDS, 1)),
         )
-    )
-    # PHONE_BASE has ten digits already, so the number needs no zero padding.
-    phone = F.concat(F.lit("1"), (F.lit(S.PHONE_BASE) + F.col("i")).cast("string"))
-    return df.select(i.alias("i"), F.get(constant, place_index(i, len(places))).alias("place")).select(
-        (F.lit(S.FIRST_RECORD_ID) + F.col("i")).cast("string").alias("record_id"),
-        F.when(F.col("i") == 0, F.lit(S.FIRST_PHONE_NUMBER)).otherwise(phone).alias("phone_number"),
-        *(F.col("place")[name].alias(name) for name in S.SEARCH_FIELDS),
     )
 
 
