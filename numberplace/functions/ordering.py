@@ -7,7 +7,6 @@ the other columns, nulls last throughout. Only identical rows tie.
 from __future__ import annotations
 
 from collections.abc import Mapping
-from functools import reduce
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -25,28 +24,26 @@ def record_order(df: DataFrame, id_column: str = "record_id") -> list[Column]:
     return [value.asc_nulls_last() for value in values]
 
 
-def same_row(df: DataFrame, row: Mapping) -> Column:
-    """Rows identical with ``row``."""
-    return reduce(
-        lambda a, b: a & b, (F.col(c).eqNullSafe(F.lit(row[c])) for c in plain_columns(df))
-    )
+def from_row(df: DataFrame, row: Mapping, id_column: str = "record_id") -> Column:
+    """``row`` itself, its copies, and the rows that come after it in the record order.
 
+    Structs compare field by field; the null flag before each field puts nulls
+    last. The bound on the number stands in front by itself: on a table with a
+    stored ``record_no`` it is pushed into the scan.
+    """
+    number, bound = number_of(df, id_column), _cell(df, id_column, row).try_cast("bigint")
+    names = _names(df, id_column)
+    values = [number, *(F.col(name) for name in names)]
+    bounds = [bound, *(_cell(df, name, row) for name in names)]
+    return (number.isNull() | (number >= bound)) & (_flagged(values) >= _flagged(bounds))
 
-def after_row(df: DataFrame, row: Mapping, id_column: str = "record_id") -> Column:
-    """Rows that come after ``row`` in the record order.
 
-    The bound on the number stands in front by itself: on a table with a stored
-    ``record_no`` it is pushed into the scan.
-    """
-    number, bound = number_of(df, id_column), F.lit(row[id_column]).try_cast("bigint")
-    later = F.lit(False)
-    for name in reversed(_names(df, id_column)):
-        later = _after(F.col(name), F.lit(row[name]), later)
-    return (number.isNull() | (number >= bound)) & _after(number, bound, later)
-
-
-def _after(value: Column, bound: Column, tie: Column) -> Column:
-    # Null is the last value, so only a tie can follow it.
-    return F.when(bound.isNull(), value.isNull() & tie).otherwise(
-        value.isNull() | (value > bound) | ((value == bound) & tie)
-    )
+def _cell(df: DataFrame, name: str, row: Mapping) -> Column:
+    return F.lit(row[name]).cast(df.schema[name].dataType)
+
+
+def _flagged(values: list[Column]) -> Column:
+    fields = []
+    for k, value in enumerate(values):
+        fields += [value.isNull().alias(f"null{k}"), value.alias(f"value{k}")]
+    return F.struct(*fields)

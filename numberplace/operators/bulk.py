@@ -5,8 +5,8 @@ what one call of ``page_rows`` and ``page_summary`` means; an invalid request
 gets an envelope with its error, as the others go on.
 
 What a record answers depends on its search fields alone, so records are first
-counted by the combination of their keys, which is combined on the map side. The
-combinations, not the records, are then spread into (field, key) entries, one
+counted by the combination of those cells, which is combined on the map side.
+The combinations, not the records, are then spread into (field, key) entries, one
 per named field and one under ``*`` for each *different* key, so that a record
 meets an any-field request once even when two of its fields agree. Only records
 whose combination is asked for are read with all their columns.
@@ -21,7 +21,6 @@ from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.functions.match import (
-    key_of,
     number_of,
     plain_columns,
     request_error,
@@ -72,21 +71,27 @@ def prepared(requests: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> Da
 def combinations(
     df: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS, bucket: Column | None = None
 ) -> DataFrame:
-    """The rows ``n`` behind every combination ``combo`` of keys (and a bucket)."""
-    return df.select(_combo(df, fields, bucket)).groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
+    """The rows ``n`` behind every combination ``combo`` of cells (and a bucket)."""
+    return df.select(_combo(fields, bucket)).groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
 
 
-def _combo(df: DataFrame, fields: Sequence[str], bucket: Column | None = None) -> Column:
-    """The keys of a record as one struct; two of them are equal null by null."""
-    keys = [key_of(df, name).alias(f"key{k}") for k, name in enumerate(fields)]
-    return F.struct(*keys, *([] if bucket is None else [bucket.alias("bucket")])).alias("combo")
+def _combo(fields: Sequence[str], bucket: Column | None = None) -> Column:
+    """The search cells of a record as one struct; two are equal null by null.
+
+    The cells are as they stand. Cutting and lower-casing them is left to the
+    combinations, which are far fewer.
+    """
+    cells = [F.col(name).alias(f"cell{k}") for k, name in enumerate(fields)]
+    return F.struct(*cells, *([] if bucket is None else [bucket.alias("bucket")])).alias("combo")
 
 
 def entries(combined: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
     """Combinations spread into the (``in_field``, ``key``) entries that they answer."""
-    named = [f"struct({sql_text(name)} AS in_field, combo.key{k} AS key)" for k, name in enumerate(fields)]
-    different = f"array_distinct(array({', '.join(f'combo.key{k}' for k in range(len(fields)))}))"
-    anywhere = f"transform({different}, key -> struct('{ANY}' AS in_field, key AS key))"
+    keys = [f"lower(trim(combo.cell{k}))" for k in range(len(fields))]
+    named = [f"struct({sql_text(name)} AS in_field, {key} AS key)" for name, key in zip(fields, keys)]
+    anywhere = (
+        f"transform(array_distinct(array({', '.join(keys)})), key -> struct('{ANY}' AS in_field, key AS key))"
+    )
     return combined.selectExpr(
         *combined.columns, f"inline(concat(array({', '.join(named)}), {anywhere}))"
     ).filter("key IS NOT NULL")
@@ -146,7 +151,7 @@ def bulk_lookup_rows(
 def _whole_rows(df: DataFrame, whole: DataFrame, fields: Sequence[str]) -> DataFrame:
     combined, counted = stored(combinations(df, fields), rows=F.sum("n"))
     met = entries(combined, fields).join(whole, _ENTRY).select("combo", "request_id")
-    hits = _join(df.select(_combo(df, fields), _record(df)), met, combined, counted["rows"])
+    hits = _join(df.select(_combo(fields), _record(df)), met, combined, counted["rows"])
     return hits.selectExpr("request_id", "CAST(NULL AS bigint) AS position", "record.*")
 
 
@@ -164,7 +169,7 @@ def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_colum
 
     touched = spans.select(*_PART, "start").distinct()
     met = spread.join(touched, _PART).select("combo", *_ENTRY, "start")
-    hits = _join(df.select(_combo(df, fields, bucket), _record(df)), met, combined, counted["rows"])
+    hits = _join(df.select(_combo(fields, bucket), _record(df)), met, combined, counted["rows"])
     hits = hits.select(*_ENTRY, "combo.bucket", "start", "record.*")
     out = plain_columns(df)
     order = record_order(hits.select(*out), id_column)

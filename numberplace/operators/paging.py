@@ -14,7 +14,7 @@ from numberplace.functions.match import (
     number_of,
     plain_columns,
 )
-from numberplace.functions.ordering import after_row, record_order, same_row
+from numberplace.functions.ordering import from_row, record_order
 from numberplace.operators.numbering import cut, number_rows
 
 # A page that ends within so many rows is taken straight from a top-k.
@@ -96,26 +96,18 @@ def page_after(
     fields: Sequence[str] = S.SEARCH_FIELDS,
     id_column: str = "record_id",
 ) -> DataFrame:
-    """The page that follows the row ``after``; skipped rows are never sorted.
+    """The page that follows the row ``after``; the rows before it are not sorted.
 
     ``seen`` is the number of copies of ``after`` on the pages before, which
     ``cursor`` counts; further copies of it start this page.
     """
     check_request(location, field, 0, limit, fields)
+    if limit == 0:
+        raise ValueError("a page after a row needs a limit above 0")
     if isinstance(after, Row):
         after = after.asDict()
-    rows = df.filter(match_predicate(df, location, field, fields))
-    copies = rows.filter(same_row(df, after)).select(*plain_columns(df))
-    later = rows.filter(after_row(df, after, id_column))
-    left = max(0, copies.count() - seen)
-    if limit == 0:
-        return copies.limit(left).union(later.select(*plain_columns(df)))
-    if left >= limit:
-        return copies.limit(limit)
-    page = cut_page(later, 0, limit - left, id_column)
-    if not left:
-        return page
-    return copies.limit(left).union(page).orderBy(*record_order(copies, id_column))
+    predicate = match_predicate(df, location, field, fields) & from_row(df, after, id_column)
+    return cut_page(df.filter(predicate), seen, limit, id_column)
 
 
 def cursor(page: Sequence[Row], previous: tuple[Row, int] | None = None) -> tuple[Row, int] | None:

@@ -32,12 +32,12 @@ def scratch_path(spark: SparkSession) -> str:
     On a cluster that folder has to be shared, so it is never guessed there. A
     local session may go without the setting and then gets a temporary folder.
     """
-    root = spark.conf.get(_CHECKPOINT_DIR, None)
+    root = spark.conf.get(_CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if not root:
-        if not spark.conf.get("spark.master", "local").startswith("local"):
+        if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that every executor reaches")
         root = tempfile.mkdtemp(prefix="numberplace-")
-        spark.conf.set(_CHECKPOINT_DIR, root)
+        spark.sparkContext.setCheckpointDir(root)
     return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
 
 

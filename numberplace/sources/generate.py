@@ -5,31 +5,36 @@ from __future__ import annotations
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.functions.match import sql_text
 
 
+def places_table(spark: SparkSession, places: Sequence[tuple] = S.PLACES) -> DataFrame:
+    """The place list with its positions ``k``, as constant rows of the plan."""
+    rows = ", ".join(f"({k}, {', '.join(map(sql_text, place))})" for k, place in enumerate(places))
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS places (k, {', '.join(S.SEARCH_FIELDS)})")
+
+
 def records_from(df: DataFrame, index: str, places: Sequence[tuple] = S.PLACES) -> DataFrame:
     """Turn each row of ``df`` into the record of its ``index`` (0, 1, 2, ...).
 
     ``index`` is a column or an expression. Two of five indexes fall on place 0,
-    the rest spread over the others. A narrow projection: the place list is a
-    constant inside the generated code, so neither a join nor a shuffle is
-    planned. The base of the phone numbers has ten digits already, so they need
-    no zero padding.
+    the rest spread over the others. The place list is a handful of constants
+    and is broadcast whatever ``df`` is; a filter on place columns is worked out
+    on the list and not per row. The base of the phone numbers has ten digits
+    already, so they need no zero padding.
     """
-    constant = ", ".join(f"struct({', '.join(map(sql_text, place))})" for place in places)
+    places_df = places_table(df.sparkSession, places)
     return (
         df.selectExpr(f"CAST({index} AS bigint) AS i")
-        .selectExpr(
-            "i",
-            f"get(array({constant}), IF(i % 5 < 2, 0, CAST(1 + i * 17 % {len(places) - 1} AS int))) AS place",
-        )
+        .selectExpr("i", f"IF(i % 5 < 2, 0, CAST(1 + i * 17 % {len(places) - 1} AS int)) AS k")
+        .join(F.broadcast(places_df), "k")
         .selectExpr(
             f"CAST({S.FIRST_RECORD_ID} + i AS string) AS record_id",
             f"IF(i = 0, '{S.FIRST_PHONE_NUMBER}', concat('1', CAST({S.PHONE_BASE} + i AS string))) AS phone_number",
-            *(f"place.col{k} AS {name}" for k, name in enumerate(S.SEARCH_FIELDS, 1)),
+            *S.SEARCH_FIELDS,
         )
     )
 
