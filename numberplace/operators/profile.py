@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
+from py4j.protocol import Py4JJavaError
 from pyspark.errors import PySparkException
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -46,7 +47,7 @@ def load_profile(
     try:
         state |= column_profile(load_csv(spark, path, columns), columns).first().asDict()
         state["ready"] = True
-    except (PySparkException, ValueError) as error:
+    except (PySparkException, Py4JJavaError, ValueError) as error:
         state["error"] = str(error)
     return spark.createDataFrame([state], _state_schema(columns))
 
