@@ -71,18 +71,19 @@ def prepared(requests: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> Da
 def combinations(
     df: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS, bucket: Column | None = None
 ) -> DataFrame:
-    """The rows ``n`` behind every combination ``combo`` of cells (and a bucket)."""
-    return df.select(_combo(fields, bucket)).groupBy("combo").agg(F.count(F.lit(1)).alias("n"))
+    """The rows ``n`` behind every combination ``combo`` of cells (and each bucket)."""
+    parts = [] if bucket is None else [bucket.alias("bucket")]
+    rows = df.select(_combo(fields), *parts)
+    return rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias("n"))
 
 
-def _combo(fields: Sequence[str], bucket: Column | None = None) -> Column:
+def _combo(fields: Sequence[str]) -> Column:
     """The search cells of a record as one struct; two are equal null by null.
 
     The cells are as they stand. Cutting and lower-casing them is left to the
     combinations, which are far fewer.
     """
-    cells = [F.col(name).alias(f"cell{k}") for k, name in enumerate(fields)]
-    return F.struct(*cells, *([] if bucket is None else [bucket.alias("bucket")])).alias("combo")
+    return F.struct(*(F.col(name).alias(f"cell{k}") for k, name in enumerate(fields))).alias("combo")
 
 
 def entries(combined: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
@@ -151,7 +152,7 @@ def bulk_lookup_rows(
 def _whole_rows(df: DataFrame, whole: DataFrame, fields: Sequence[str]) -> DataFrame:
     combined, counted = stored(combinations(df, fields), rows=F.sum("n"))
     met = entries(combined, fields).join(whole, _ENTRY).select("combo", "request_id")
-    hits = _join(df.select(_combo(fields), _record(df)), met, combined, counted["rows"])
+    hits = _join(df.select(_combo(fields), _record(df)), met, ["combo"], combined, counted["rows"])
     return hits.selectExpr("request_id", "CAST(NULL AS bigint) AS position", "record.*")
 
 
@@ -164,13 +165,18 @@ def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_colum
     """
     bucket = _bucket(df, id_column)
     combined, counted = stored(combinations(df, fields, bucket), rows=F.sum("n"))
-    spread = entries(combined, fields).withColumn("bucket", F.col("combo.bucket"))
-    spans, groups = stored(_spans(spread, paged), biggest=F.max("rows"))
+    pages = paged.selectExpr("request_id", *_ENTRY, "offset", "offset + limit AS last")
+    wanted = pages.groupBy(*_ENTRY).agg(F.min("offset").alias("low"), F.max("last").alias("high"))
+    # Entries of the combinations alone: a combination has thousands of buckets.
+    answering = entries(combined.select("combo").distinct(), fields).join(wanted, _ENTRY)
+    spread = combined.join(answering, "combo")
+    spans, groups = stored(_spans(spread, pages), biggest=F.max("rows"))
 
     touched = spans.select(*_PART, "start").distinct()
-    met = spread.join(touched, _PART).select("combo", *_ENTRY, "start")
-    hits = _join(df.select(_combo(fields, bucket), _record(df)), met, combined, counted["rows"])
-    hits = hits.select(*_ENTRY, "combo.bucket", "start", "record.*")
+    met = spread.join(touched, _PART).select("combo", *_PART, "start")
+    records = df.select(_combo(fields), bucket.alias("bucket"), _record(df))
+    hits = _join(records, met, ["combo", "bucket"], combined, counted["rows"])
+    hits = hits.select(*_PART, "start", "record.*")
     out = plain_columns(df)
     order = record_order(hits.select(*out), id_column)
 
@@ -189,16 +195,14 @@ def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_colum
     )
 
 
-def _spans(spread: DataFrame, paged: DataFrame) -> DataFrame:
+def _spans(spread: DataFrame, pages: DataFrame) -> DataFrame:
     """For each request the buckets that hold its page, and its positions in them.
 
     Requests and buckets are intervals of positions. They meet by the blocks of
     positions that they touch, so that no request is compared with all buckets
     of its key; of the blocks that a pair shares only the first one counts.
     """
-    pages = paged.selectExpr("request_id", *_ENTRY, "offset", "offset + limit AS last")
-    wanted = pages.groupBy(*_ENTRY).agg(F.min("offset").alias("low"), F.max("last").alias("high"))
-    sized = spread.join(wanted, _ENTRY).groupBy(*_PART, "low", "high").agg(F.sum("n").alias("rows"))
+    sized = spread.groupBy(*_PART, "low", "high").agg(F.sum("n").alias("rows"))
     before = Window.partitionBy(*_ENTRY).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
     starts = sized.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
     near = starts.filter("start < high AND start + rows > low").selectExpr(
@@ -237,25 +241,28 @@ def _record(df: DataFrame) -> Column:
     return F.struct(*plain_columns(df)).alias("record")
 
 
-def _join(records: DataFrame, met: DataFrame, combined: DataFrame, rows: int | None) -> DataFrame:
+def _join(
+    records: DataFrame, met: DataFrame, on: list[str], combined: DataFrame, rows: int | None
+) -> DataFrame:
     """The records of the combinations in ``met``, once for each of its rows.
 
     The bytes of ``met`` are summed up first. Few are broadcast; otherwise both
-    sides are shuffled, with the records of hot combinations split by salt. A
-    record has one combination, so at most HOT_SHARE of them are hot, and their
-    list is small whatever the tables are.
+    sides are shuffled, with the records of hot combinations split by salt.
+    Combinations share no records, so at most HOT_SHARE of them are hot, and
+    their list is small whatever the tables are.
     """
     met, size = stored(met, bytes=F.sum(F.octet_length(F.to_json(F.struct("*")))))
     if (size["bytes"] or 0) <= BROADCAST_BYTES:
-        return records.join(F.broadcast(met), "combo")
+        return records.join(F.broadcast(met), on)
 
-    hot = combined.filter(F.col("n") * HOT_SHARE >= rows).select("combo", F.lit(SALTS).alias("salts"))
-    salted = records.join(F.broadcast(hot), "combo", "left").withColumn(
-        # The task's number and not a hash of the record, so that copies spread too.
-        "salt",
-        F.expr("pmod(spark_partition_id(), coalesce(salts, 1))"),
-    )
-    copied = met.join(F.broadcast(hot), "combo", "left").withColumn(
-        "salt", F.expr("explode(sequence(0, coalesce(salts, 1) - 1))")
-    )
-    return salted.drop("salts").join(copied.drop("salts"), ["combo", "salt"]).drop("salt")
+    hot = combined.filter(F.col("n") * HOT_SHARE >= rows).select(*on, F.lit(SALTS).alias("salts"))
+    # The task's number and not a hash of the record, so that copies spread too.
+    salt = F.expr("pmod(spark_partition_id(), coalesce(salts, 1))")
+    salted = _with_salts(records, hot, on).withColumn("salt", salt).drop("salts")
+    copies = F.expr("explode(sequence(0, coalesce(salts, 1) - 1))")
+    copied = _with_salts(met, hot, on).withColumn("salt", copies).drop("salts")
+    return salted.join(copied, [*on, "salt"]).drop("salt")
+
+
+def _with_salts(df: DataFrame, hot: DataFrame, on: list[str]) -> DataFrame:
+    return df.join(F.broadcast(hot), on, "left")
