@@ -13,6 +13,7 @@ from operator import or_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from numberplace import schema as S
 
@@ -36,9 +37,26 @@ def cell_key(field: str) -> Column:
     return F.lower(F.trim(F.col(field)))
 
 
-def record_number(record_id: str = "record_id") -> Column:
-    """A record id as a number, null where it is none. Used for order only."""
-    return F.col(record_id).try_cast("bigint")
+def as_number(text: Column) -> Column:
+    """The whole number that a text holds, else null.
+
+    The pattern is tested first: a cast that fails costs far more than one that
+    succeeds, and a table may have no number among its ids.
+    """
+    return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text).try_cast("bigint")
+
+
+def with_number(df: DataFrame, record_id: str = "record_id") -> DataFrame:
+    """Add ``record_no``, the record id as a number. It serves the order only.
+
+    A column of its own is worked out once per row, an expression in a sort
+    order once per comparison.
+    """
+    if NUMBER in df.columns:
+        return df
+    if isinstance(df.schema[record_id].dataType, T.IntegralType):
+        return df.withColumn(NUMBER, F.col(record_id).cast("bigint"))
+    return df.withColumn(NUMBER, as_number(F.col(record_id)))
 
 
 def with_keys(
@@ -49,10 +67,8 @@ def with_keys(
     Stored in Parquet they turn a search into plain comparisons of columns,
     which reach the scan as pushed filters.
     """
-    keys = {field + KEY_SUFFIX: cell_key(field) for field in fields}
-    if record_id:
-        keys[NUMBER] = record_number(record_id)
-    return df.withColumns(keys)
+    keyed = df.withColumns({field + KEY_SUFFIX: cell_key(field) for field in fields})
+    return with_number(keyed, record_id) if record_id else keyed
 
 
 def sql_text(text: str) -> str:
@@ -69,10 +85,6 @@ def key_of(df: DataFrame, field: str) -> Column:
     return F.col(field + KEY_SUFFIX) if is_keyed(df, [field]) else cell_key(field)
 
 
-def number_of(df: DataFrame, record_id: str = "record_id") -> Column:
-    return F.col(NUMBER) if NUMBER in df.columns else record_number(record_id)
-
-
 def plain_columns(df: DataFrame) -> list[str]:
     """The columns of ``df`` without those that ``with_keys`` added."""
     added = {c for c in df.columns if c.removesuffix(KEY_SUFFIX) in df.columns and c.endswith(KEY_SUFFIX)}

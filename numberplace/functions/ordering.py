@@ -11,7 +11,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from numberplace.functions.match import number_of, plain_columns
+from numberplace.functions.match import NUMBER, as_number, plain_columns
 
 
 def _names(df: DataFrame, id_column: str) -> list[str]:
@@ -19,19 +19,19 @@ def _names(df: DataFrame, id_column: str) -> list[str]:
 
 
 def record_order(df: DataFrame, id_column: str = "record_id") -> list[Column]:
-    """The sort columns of the record order."""
-    values = [number_of(df, id_column), *(F.col(c) for c in _names(df, id_column))]
-    return [value.asc_nulls_last() for value in values]
+    """The sort columns of the record order, for a table with its ``record_no``."""
+    return [F.col(c).asc_nulls_last() for c in (NUMBER, *_names(df, id_column))]
 
 
 def from_row(df: DataFrame, row: Mapping, id_column: str = "record_id") -> Column:
     """``row`` itself, its copies, and the rows that come after it in the record order.
 
     Structs compare field by field; the null flag before each field puts nulls
-    last. The bound on the number stands in front by itself: on a table with a
-    stored ``record_no`` it is pushed into the scan.
+    last. The bound on ``record_no`` stands in front by itself: where that is a
+    stored column, the bound is pushed into the scan.
     """
-    number, bound = number_of(df, id_column), _cell(df, id_column, row).try_cast("bigint")
+    number = F.col(NUMBER)
+    bound = as_number(_cell(df, id_column, row).cast("string"))
     names = _names(df, id_column)
     values = [number, *(F.col(name) for name in names)]
     bounds = [bound, *(_cell(df, name, row) for name in names)]

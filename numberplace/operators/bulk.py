@@ -21,11 +21,12 @@ from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.functions.match import (
-    number_of,
+    NUMBER,
     plain_columns,
     request_error,
     search_text,
     sql_text,
+    with_number,
 )
 from numberplace.functions.ordering import record_order
 from numberplace.operators.numbering import COPIES, START, number_rows
@@ -163,7 +164,9 @@ def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_colum
     which a bucket starts is known, and only the buckets that a page touches
     are read and ranked. A hot key is counted, never collected in one place.
     """
-    bucket = _bucket(df, id_column)
+    out = plain_columns(df)
+    df = with_number(df, id_column)
+    bucket = _bucket(df)
     combined, counted = stored(combinations(df, fields, bucket), rows=F.sum("n"))
     pages = paged.selectExpr("request_id", *_ENTRY, "offset", "offset + limit AS last")
     wanted = pages.groupBy(*_ENTRY).agg(F.min("offset").alias("low"), F.max("last").alias("high"))
@@ -176,8 +179,7 @@ def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_colum
     met = spread.join(touched, _PART).select("combo", *_PART, "start")
     records = df.select(_combo(fields), bucket.alias("bucket"), _record(df))
     hits = _join(records, met, ["combo", "bucket"], combined, counted["rows"])
-    hits = hits.select(*_PART, "start", "record.*")
-    out = plain_columns(df)
+    hits = with_number(hits.select(*_PART, "start", "record.*"), id_column)
     order = record_order(hits.select(*out), id_column)
 
     if (groups["biggest"] or 0) <= GROUP_ROWS:
@@ -223,12 +225,12 @@ def _spans(spread: DataFrame, pages: DataFrame) -> DataFrame:
     )
 
 
-def _bucket(df: DataFrame, id_column: str) -> Column:
+def _bucket(df: DataFrame) -> Column:
     """The part of the range of record numbers that a row is in; no number, last part.
 
     A right shift keeps the order of numbers and cannot overflow.
     """
-    number = number_of(df, id_column)
+    number = F.col(NUMBER)
     low, high = df.agg(F.min(number), F.max(number)).first()
     if low is None:
         return F.lit(0).cast("bigint")

@@ -9,10 +9,11 @@ from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.functions.match import (
+    NUMBER,
     check_request,
     match_predicate,
-    number_of,
     plain_columns,
+    with_number,
 )
 from numberplace.functions.ordering import from_row, record_order
 from numberplace.operators.numbering import cut, number_rows
@@ -106,8 +107,8 @@ def page_after(
         raise ValueError("a page after a row needs a limit above 0")
     if isinstance(after, Row):
         after = after.asDict()
-    predicate = match_predicate(df, location, field, fields) & from_row(df, after, id_column)
-    return cut_page(df.filter(predicate), seen, limit, id_column)
+    rows = with_number(df.filter(match_predicate(df, location, field, fields)), id_column)
+    return cut_page(rows.filter(from_row(rows, after, id_column)), seen, limit, id_column)
 
 
 def cursor(page: Sequence[Row], previous: tuple[Row, int] | None = None) -> tuple[Row, int] | None:
@@ -133,24 +134,24 @@ def cut_page(rows: DataFrame, offset: int, limit: int, id_column: str = "record_
     all its columns. Where numbers cannot separate rows, because they repeat or
     the ids are no numbers, the rest is numbered with a range sort.
     """
-    out = plain_columns(rows)
-    end = offset + limit
+    out, end = plain_columns(rows), offset + limit
+    rows = with_number(rows, id_column)
+    order = record_order(rows, id_column)
     if end <= DIRECT_ROWS:
         near = rows.coalesce(max(1, MERGE_ROWS // end))
-        return near.orderBy(*record_order(rows, id_column)).offset(offset).limit(limit).select(*out)
+        return near.orderBy(*order).offset(offset).limit(limit).select(*out)
 
-    inside, skip, size = _locate(rows, number_of(rows, id_column), offset, limit)
-    candidates = rows.filter(inside)
-    if size <= CANDIDATE_ROWS:
-        ordered = candidates.orderBy(*record_order(rows, id_column))
-        return ordered.offset(skip).limit(limit).select(*out)
-    candidates = candidates.select(*out)
-    order = record_order(candidates, id_column)
-    return cut(number_rows(candidates, [], order), F.lit(skip), F.lit(skip + limit)).orderBy(*order)
+    inside, skip, size = _locate(rows, offset, limit)
+    candidates = rows.filter(inside).select(*out, NUMBER)
+    if size > CANDIDATE_ROWS:
+        candidates = cut(number_rows(candidates, [], order), F.lit(skip), F.lit(skip + limit))
+        return candidates.orderBy(*order).select(*out)
+    return candidates.orderBy(*order).offset(skip).limit(limit).select(*out)
 
 
-def _locate(rows: DataFrame, number: Column, offset: int, limit: int) -> tuple[Column, int, int]:
+def _locate(rows: DataFrame, offset: int, limit: int) -> tuple[Column, int, int]:
     """Where a page lies: a filter on the number, the rows to skip inside, their count."""
+    number = F.col(NUMBER)
     whole = rows.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(number).alias("numbered"),

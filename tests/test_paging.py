@@ -1,7 +1,7 @@
 import pytest
 from pyspark.sql import functions as F
 
-from numberplace.functions.match import with_keys
+from numberplace.functions.match import with_keys, with_number
 from numberplace.functions.ordering import record_order
 from numberplace.operators import paging
 from numberplace.operators.numbering import cut, number_rows
@@ -117,9 +117,8 @@ def test_near_page_is_one_top_k(records):
 
 
 def test_row_numbers_of_groups_with_copies(spark, awkward):
-    order = record_order(awkward)
-    table = awkward.select("city", *(c for c in awkward.columns if c != "city"))
-    numbered = number_rows(table, ["city"], order)
+    table = with_number(awkward)
+    numbered = number_rows(table, ["city"], record_order(table))
     rows = cut(numbered, F.lit(0), F.lit(10_000), "position").collect()
     assert len(rows) == awkward.count()
     for city in ("广州", "北京"):
