@@ -26,16 +26,17 @@ def record_order(df: DataFrame, id_column: str = "record_id") -> list[Column]:
 def from_row(df: DataFrame, row: Mapping, id_column: str = "record_id") -> Column:
     """``row`` itself, its copies, and the rows that come after it in the record order.
 
-    Structs compare field by field; the null flag before each field puts nulls
-    last. The bound on ``record_no`` stands in front by itself: where that is a
-    stored column, the bound is pushed into the scan.
+    The bound on ``record_no`` stands in front by itself: where that is a stored
+    column, the bound is pushed into the scan. The other columns are compared
+    for equal numbers only, as structs, which compare field by field; the null
+    flag before each field puts nulls last.
     """
     number = F.col(NUMBER)
     bound = as_number(_cell(df, id_column, row).cast("string"))
     names = _names(df, id_column)
-    values = [number, *(F.col(name) for name in names)]
-    bounds = [bound, *(_cell(df, name, row) for name in names)]
-    return (number.isNull() | (number >= bound)) & (_flagged(values) >= _flagged(bounds))
+    tie = _flagged([F.col(name) for name in names]) >= _flagged([_cell(df, name, row) for name in names])
+    later = (number > bound) | (number.isNull() & bound.isNotNull())
+    return (number.isNull() | (number >= bound)) & (later | (number.eqNullSafe(bound) & tie))
 
 
 def _cell(df: DataFrame, name: str, row: Mapping) -> Column:
