@@ -45,6 +45,8 @@ GROUP_ROWS = 1_000_000
 HOT_SHARE = 1_000
 SALTS = 200
 _BUCKET_BITS = 12
+# The share of numbers at each end that may lie far from the others.
+_TAIL = 0.001
 
 # The rows per block in which pages and buckets meet.
 BLOCK_ROWS = 1_000
@@ -228,14 +230,18 @@ def _spans(spread: DataFrame, pages: DataFrame) -> DataFrame:
 def _bucket(df: DataFrame) -> Column:
     """The part of the range of record numbers that a row is in; no number, last part.
 
+    The range is cut off at two quantiles, so that a few numbers far away do
+    not put all others into one part; what lies beyond joins the outer parts.
     A right shift keeps the order of numbers and cannot overflow.
     """
     number = F.col(NUMBER)
-    low, high = df.agg(F.min(number), F.max(number)).first()
-    if low is None:
+    bounds = df.agg(F.percentile_approx(number, [_TAIL, 1 - _TAIL])).first()[0]
+    if bounds is None:
         return F.lit(0).cast("bigint")
+    low, high = bounds
     shift = max(0, (high - low).bit_length() - _BUCKET_BITS)
-    bucket = F.shiftright(number, shift) - F.lit(low >> shift)
+    clamped = F.least(F.greatest(number, F.lit(low)), F.lit(high))
+    bucket = F.when(number.isNotNull(), F.shiftright(clamped, shift) - F.lit(low >> shift))
     return F.coalesce(bucket, F.lit((high >> shift) - (low >> shift) + 1))
 
 

@@ -1,5 +1,4 @@
 import pytest
-from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.functions.match import check_request, with_keys
@@ -133,3 +132,18 @@ def test_records_are_never_spread_into_entries(spark, records, requests):
     plan = bulk_lookup_rows(records, requests.filter("request_id = 1"))
     text = plan._jdf.queryExecution().optimizedPlan().toString()
     assert "inline" not in text and "Cartesian" not in text
+
+
+def test_numbers_far_away(spark, records, requests):
+    far = spark.createDataFrame(
+        [(str(n), "p", "广东", "广州", "中国移动", "020", "510000") for n in (-(2**63), 2**63 - 1, 2**62, -5)],
+        records.schema,
+    )
+    table = records.union(far)
+    numbered = bulk.with_number(table)
+    assert numbered.select(bulk._bucket(numbered)).distinct().count() > 1_000
+    expected = single_pages(table, REQUESTS)
+    rows = bulk_lookup_rows(table, requests).orderBy("request_id", "position").collect()
+    for number, _, _, _, limit in REQUESTS:
+        if limit and number in expected:
+            assert [tuple(r)[2:] for r in rows if r.request_id == number] == expected[number]
