@@ -42,6 +42,11 @@ def valid(location, field, offset, limit):
     return None
 
 
+@pytest.fixture(scope="module")
+def expected_pages(records, awkward):
+    return {name: single_pages(df, REQUESTS) for name, df in (("records", records), ("awkward", awkward))}
+
+
 def single_pages(df, requests):
     """What one look-up per request gives."""
     answers = {}
@@ -79,11 +84,10 @@ PATHS = {
 
 @pytest.mark.parametrize("path", PATHS)
 @pytest.mark.parametrize("table", ["records", "awkward"])
-def test_rows_are_those_of_single_look_ups(request, monkeypatch, requests, table, path):
+def test_rows_are_those_of_single_look_ups(request, monkeypatch, requests, expected_pages, table, path):
     for name, value in PATHS[path].items():
         monkeypatch.setattr(bulk, name, value)
-    df = request.getfixturevalue(table)
-    expected = single_pages(df, REQUESTS)
+    df, expected = request.getfixturevalue(table), expected_pages[table]
     found = {}
     for row in bulk_lookup_rows(df, requests).collect():
         found.setdefault(row.request_id, []).append((row.position, tuple(row)[2:]))
