@@ -2,10 +2,12 @@
 
 from __future__ import annotations
 
+import sys
 from collections.abc import Iterator
 
 import numpy as np
 import pandas as pd
+from pyspark import cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -16,6 +18,10 @@ _POINTS_PER_ARRAY = 10_000
 _MAX_TASKS = 10_000
 _SEED_BITS = 32
 
+# Executors get the functions of this module with the task, so that the package
+# need not be installed there.
+cloudpickle.register_pickle_by_value(sys.modules[__name__])
+
 
 def partition_ids(spark: SparkSession, partitions: int) -> DataFrame:
     """Ids 0 to ``partitions - 1``, one per task while there are not too many."""

@@ -1,6 +1,9 @@
 import random
+import subprocess
+import sys
 
 import pytest
+from pyspark import cloudpickle
 
 from numberplace.operators import sampling
 from numberplace.operators.sampling import (
@@ -68,6 +71,15 @@ def test_native_sampling_needs_no_python_worker(spark):
     assert "Python" not in plan and "Pandas" not in plan
 
 
+def test_tasks_carry_their_functions_with_them(tmp_path):
+    """A worker that cannot import the package counts all the same."""
+    task = tmp_path / "task"
+    task.write_bytes(cloudpickle.dumps(inside_circle))
+    code = f"import pickle; print(pickle.load(open({str(task)!r}, 'rb'))(20260917, 250_000))"
+    ran = subprocess.run([sys.executable, "-c", code], cwd=tmp_path, capture_output=True, text=True, check=True)
+    assert int(ran.stdout) == 196417
+
+
 def test_nothing_to_sample_is_refused(spark):
     with pytest.raises(ValueError):
         partition_ids(spark, 0)
