@@ -28,6 +28,15 @@ from numberplace.sources.generate import generate, records_from
 from numberplace.sources.results import latest, read_result, write_result
 from numberplace.sources.tables import read_table, write_table
 
+try:
+    import corpus_pipeline
+    from numberplace.llm import queries as _llm
+except ModuleNotFoundError as error:
+    # The subpackage may have been taken out; anything else that is missing is a fault.
+    if error.name not in ("corpus_pipeline", "numberplace.llm"):
+        raise
+    _llm = None
+
 _POINTS = 10_000
 _PART_FIELDS = ("p_name", "p_brand", "p_type")
 _DOCUMENT_FIELDS = ("lang", "source")
@@ -194,7 +203,11 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "sample_exact": lambda s, d: sample_exact(_sampling_ids(s, d), _POINTS, id_column="s_suppkey"),
         "sample_native": lambda s, d: sample_native(_sampling_ids(s, d), _POINTS, id_column="s_suppkey"),
         "run_report": run_report,
-    }
+    } | _llm_queries()
+
+
+def _llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
+    return _llm.QUERIES | {"pipeline": corpus_pipeline.run} if _llm else {}
 
 
 def _quoted(text: str) -> str:
@@ -406,4 +419,11 @@ def oracle_sql() -> dict[str, str]:
                    format('{{:,}}', pair."count") AS match_count_text, province, city, pair."count",
                    records_scanned, inside_points, CAST({S.SAMPLE_SEED} AS BIGINT) AS seed
             FROM ({counted.format('"count"', "")}) AS pair, ({sampled}) AS sample""",
-    }
+    } | _llm_sql()
+
+
+def _llm_sql() -> dict[str, str]:
+    if not _llm:
+        return {}
+    whole = {"pipeline": corpus_pipeline.ORACLE_SQL} if corpus_pipeline.ORACLE_SQL else {}
+    return _llm.ORACLE_SQL | whole
