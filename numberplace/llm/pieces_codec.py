@@ -24,6 +24,8 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from numberplace.llm.shared import shared
+
 BLANK = "▁"
 #: Distinct units whose ids a task remembers, and texts it takes at a time, in characters.
 MEMORY_UNITS = 250_000
@@ -256,10 +258,10 @@ def piece_digests(
     distinct unit and joined per text. Null texts are empty. ``keep`` names
     columns to carry along; other columns are dropped.
     """
-    codec = df.sparkSession.sparkContext.broadcast(load_codec(model))
+    codec = shared(df.sparkSession, load_codec(model))
 
     def digests(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tables = codec.value
+        tables = codec()
         known: dict[str, tuple[bytes, bytes]] = {}
         for batch in batches:
             counts, encoded, decoded = [], [], []

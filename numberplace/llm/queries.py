@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from numberplace.llm.pieces_codec import piece_digests
+from numberplace.llm.quality import quality_rules
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -24,11 +25,16 @@ def encoded_documents(docs: DataFrame) -> DataFrame:
     return piece_digests(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
+def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(_table(spark, sf_dir, "documents"))
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
 }
 

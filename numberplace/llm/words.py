@@ -19,8 +19,8 @@ CHUNK_BYTES = 1 << 19
 _BASE = np.uint64(0x9E3779B97F4A7C15)
 _GRAM = np.uint64(0xD1342543DE82EF95)
 
-_SOLID = np.ones(256, bool)
-_SOLID[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
+SOLID = np.ones(256, bool)
+SOLID[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = False
 _CODES = np.random.RandomState(20240229).randint(0, 2**64, 256, np.uint64)
 _LOWER_CODES = _CODES.copy()
 _LOWER_CODES[65:91] = _CODES[97:123]
@@ -78,7 +78,7 @@ def _power(kind: str, base: int, size: int) -> np.ndarray:
     return known[:size]
 
 
-def pieces(chunk: Chunk, solid: np.ndarray = _SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+def pieces(chunk: Chunk, solid: np.ndarray = SOLID) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Starts and ends of the runs of ``solid`` bytes within each text, and where each text's runs begin."""
     data, bounds = chunk.data, chunk.bounds
     if not len(data):
