@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
 from numberplace.llm.quality import quality_rules
 
@@ -25,6 +26,10 @@ def encoded_documents(docs: DataFrame) -> DataFrame:
     return piece_digests(docs, tokenizer_path("piece_bpe_32k.model"))
 
 
+def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_components(_table(spark, sf_dir, "documents"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -34,6 +39,7 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
 }
