@@ -6,6 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
+from numberplace.llm import line_runs
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
 from numberplace.llm.quality import quality_rules
@@ -30,6 +31,12 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Texts without later repeated runs of 50 words or more."""
+    deleted = line_runs.delete_repeated_lines(_table(spark, sf_dir, "documents"))
+    return deleted.select("doc_id", "n_lines", "n_deleted_lines", "text")
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -40,9 +47,12 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
 }
 
 #: Queries without SQL here are held against brute force in ``tests/llm``.
-ORACLE_SQL: dict[str, str] = {}
+ORACLE_SQL: dict[str, str] = {
+    "op4_line_dedup": line_runs.oracle_sql(),
+}
