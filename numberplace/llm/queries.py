@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from numberplace.llm import line_runs
+from numberplace.llm.decontaminate import item_matches
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
 from numberplace.llm.quality import quality_rules
@@ -45,11 +46,17 @@ def op7_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     return encoded_documents(_table(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents with the benchmark items found in them."""
+    return item_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
+    "op8_decontamination": op8_decontamination,
 }
 
 #: Queries without SQL here are held against brute force in ``tests/llm``.
