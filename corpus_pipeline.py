@@ -1,25 +1,80 @@
-"""A corpus cleaned and encoded in stages, each written as Parquet and read again."""
+"""A corpus cleaned and encoded in stages, each written as Parquet and read again.
+
+The stages keep the columns of ``documents`` up to the last one, which returns
+token digests per remaining document:
+
+1. ``quality_rules``: documents that the rules or the perplexity bands reject go.
+2. ``line_dedup``: later repeated runs of lines are deleted; documents of which no
+   word remains go, ``n_chars`` follows the text.
+3. ``ngram_jaccard``: of documents linked by their shingles, the one with the
+   smallest id stays (one row of it). Rows without an id stay.
+4. ``decontamination``: documents that hold a benchmark item go.
+5. ``sentencepiece``: the rest is encoded.
+
+Rows of equal id, language and text are judged alike; ids may be null.
+"""
 
 from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import functions as F
 
+from numberplace.llm.decontaminate import item_matches
+from numberplace.llm.jaccard import jaccard_components
+from numberplace.llm.line_runs import delete_repeated_lines
+from numberplace.llm.quality import quality_rules
 from numberplace.llm.queries import encoded_documents
-from numberplace.session import scratch_path
+from numberplace.session import scratch_path, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
+_KEY = "_numberplace_key"
+
+
+def _keyed(docs: DataFrame) -> DataFrame:
+    """Documents with a key that equal rows share; unlike the id it is never null."""
+    return docs.withColumn(_KEY, F.xxhash64("doc_id", "lang", "text"))
+
+
+def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    kept = stored(quality_rules(_keyed(docs), id_column=_KEY).filter("kept").select(_KEY).distinct())
+    return _keyed(docs).join(kept, _KEY, "left_semi").select(docs.columns)
+
+
+def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    out = delete_repeated_lines(docs).filter(r"n_deleted_lines = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
+    changed = F.when(F.col("n_deleted_lines") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
+    return out.withColumn("n_chars", changed).select(docs.columns)
+
+
+def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    heads = stored(jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct())
+    first = Window.partitionBy("doc_id").orderBy(F.char_length("text").desc(), "text")
+    kept = docs.join(heads, "doc_id", "left_semi").withColumn(_KEY, F.row_number().over(first)).filter(F.col(_KEY) == 1)
+    return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
+
+
+def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
+    found = stored(item_matches(_keyed(docs), items, id_column=_KEY).select(_KEY).distinct())
+    return _keyed(docs).join(found, _KEY, "left_anti").select(docs.columns)
+
 
-def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids and their decoded text as digests, per remaining document."""
+def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded_documents(docs)
 
 
-STAGES: list[tuple[str, Stage]] = [("sentencepiece", encoding)]
+STAGES: list[tuple[str, Stage]] = [
+    ("quality_rules", quality_stage),
+    ("line_dedup", line_stage),
+    ("ngram_jaccard", near_duplicate_stage),
+    ("decontamination", benchmark_stage),
+    ("sentencepiece", encoding_stage),
+]
 
-#: Encoding and scoring have no SQL; tests hold the stages against brute force.
+#: Perplexity bands and encoding have no SQL; tests hold the stages against brute force.
 ORACLE_SQL = None
 
 
