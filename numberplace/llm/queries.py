@@ -5,8 +5,9 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from numberplace.llm import line_runs
+from numberplace.llm import line_runs, url_rules
 from numberplace.llm.decontaminate import item_matches
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
@@ -51,12 +52,35 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     return item_matches(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
 
 
+URL_RULES = (
+    ("block", "net", "/"),
+    ("allow", "example.net", "/en/"),
+    ("block", "example.com", "/de/"),
+    ("allow", "org", "/fr/"),
+)
+
+
+def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Verdicts on all URLs; labels come from the rules, else from the document that a URL's number names.
+
+    A labelled document of low quality or with toxic text speaks for ``block``.
+    """
+    pages = _table(spark, sf_dir, "pages")
+    number = F.regexp_extract(url_rules.path("url"), r"/([0-9]{1,18})(\.html)?/?$", 1)
+    numbered = pages.select("page_id", F.nullif(number, F.lit("")).try_cast("bigint").alias("doc_id"))
+    verdict = F.when((F.col("quality") == 0) | (F.col("toxic") == 1), "block").otherwise("allow")
+    labelled = numbered.join(_table(spark, sf_dir, "labels"), "doc_id").select("page_id", verdict.alias("label"))
+    judged = url_rules.judge(pages, URL_RULES, labelled)
+    return judged.withColumn("mined", F.array_join("mined", " "))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
+    "op9_url_filters": op9_url_filters,
 }
 
 #: Queries without SQL here are held against brute force in ``tests/llm``.
