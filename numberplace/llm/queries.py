@@ -7,11 +7,12 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from numberplace.llm import line_runs, url_rules
+from numberplace.llm import line_runs, url_rules, warc
 from numberplace.llm.decontaminate import item_matches
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
 from numberplace.llm.quality import quality_rules
+from numberplace.session import scratch_path
 
 
 def _table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
@@ -33,6 +34,16 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Pages written as WARC archives, as they are read back."""
+    path = scratch_path(spark)
+    warc.write_archives(_table(spark, sf_dir, "pages"), path)
+    records = warc.read_archives(spark, path)
+    return records.select(
+        F.col("page_id").cast("bigint").alias("page_id"), "payload_bytes", "payload_digest", "record_type",
+        F.col("refers_to").cast("bigint").alias("refers_to"))
+
+
 def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Texts without later repeated runs of 50 words or more."""
     deleted = line_runs.delete_repeated_lines(_table(spark, sf_dir, "documents"))
@@ -76,6 +87,7 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
@@ -84,6 +96,20 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
 }
 
 #: Queries without SQL here are held against brute force in ``tests/llm``.
+_BASE32 = " || ".join(
+    f"substr('ABCDEFGHIJKLMNOPQRSTUVWXYZ234567', 1 + ((CAST('0x' || substr(hex, {5 * k + 1}, 5) AS INTEGER) >> {5 * j}) & 31), 1)"
+    for k in range(8) for j in (3, 2, 1, 0)
+)
+_WARC_SQL = f"""
+    WITH digests AS (
+      SELECT page_id, strlen(coalesce(html, '')) AS payload_bytes, sha1(coalesce(html, '')) AS hex FROM pages),
+    latest AS (SELECT *, max(page_id) OVER (PARTITION BY hex, payload_bytes) AS last FROM digests)
+    SELECT page_id, CAST(payload_bytes AS BIGINT) AS payload_bytes, {_BASE32} AS payload_digest,
+           CASE WHEN page_id = last THEN 'response' ELSE 'revisit' END AS record_type,
+           CASE WHEN page_id <> last THEN last END AS refers_to
+    FROM latest"""
+
 ORACLE_SQL: dict[str, str] = {
+    "op3_warc": _WARC_SQL,
     "op4_line_dedup": line_runs.oracle_sql(),
 }
