@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from numberplace.llm import line_runs, url_rules, warc
+from numberplace.llm import id_files, line_runs, url_rules, warc
 from numberplace.llm.decontaminate import item_matches
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
@@ -85,6 +85,17 @@ def op9_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return judged.withColumn("mined", F.array_join("mined", " "))
 
 
+def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids written in coded blocks, as they are read back."""
+    import public_tokenizers
+
+    path = scratch_path(spark)
+    id_files.write_ids(
+        _table(spark, sf_dir, "documents"), path, tokenizer_path("byte_bpe_50k.json"),
+        tokenizer_path("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN)
+    return id_files.read_digests(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op3_warc": op3_warc,
@@ -93,6 +104,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
     "op9_url_filters": op9_url_filters,
+    "op10_token_ids": op10_token_ids,
 }
 
 #: Queries without SQL here are held against brute force in ``tests/llm``.
