@@ -12,6 +12,7 @@ from numberplace.llm.decontaminate import item_matches
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
 from numberplace.llm.quality import quality_rules
+from numberplace.llm.toxicity import toxicity
 from numberplace.session import scratch_path
 
 
@@ -34,6 +35,10 @@ def op1_ngram_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_components(_table(spark, sf_dir, "documents"))
 
 
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return toxicity(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "labels"))
+
+
 def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pages written as WARC archives, as they are read back."""
     path = scratch_path(spark)
@@ -98,6 +103,7 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
+    "op2_toxicity": op2_toxicity,
     "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
     "op6_quality_rules": op6_quality_rules,
