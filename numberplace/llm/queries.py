@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from numberplace.llm import id_files, line_runs, url_rules, warc
 from numberplace.llm.decontaminate import item_matches
+from numberplace.llm.html_text import main_text
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
 from numberplace.llm.quality import quality_rules
@@ -55,6 +56,10 @@ def op4_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return deleted.select("doc_id", "n_lines", "n_deleted_lines", "text")
 
 
+def op5_html_extraction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return main_text(_table(spark, sf_dir, "pages"))
+
+
 def op6_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(_table(spark, sf_dir, "documents"))
 
@@ -106,6 +111,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_toxicity": op2_toxicity,
     "op3_warc": op3_warc,
     "op4_line_dedup": op4_line_dedup,
+    "op5_html_extraction": op5_html_extraction,
     "op6_quality_rules": op6_quality_rules,
     "op7_sentencepiece": op7_sentencepiece,
     "op8_decontamination": op8_decontamination,
