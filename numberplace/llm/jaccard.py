@@ -10,7 +10,9 @@ are probed when a candidate is compared as a whole.
 Only the components of the links are asked for. So each list first meets its
 most central document (whose shingles are the most frequent), and once that has
 been turned into components, only pairs from different components meet. A list
-that copies of one text fill costs as many pairs as it has entries.
+that copies of one text fill costs as many pairs as it has entries. Pairs that still meet are
+tested by sketches of 256 parity bits first: as many bits as differ, so many
+shingles at least are in one set only.
 """
 
 from __future__ import annotations
@@ -24,10 +26,13 @@ from pyspark.sql import functions as F
 
 from numberplace.llm import words as W
 from numberplace.llm.components import components
+from numberplace.llm.shared import shared
 from numberplace.session import stored
 
 #: Words in a shingle; the least similarity in percent.
 SHINGLE, PERCENT = 5, 80
+#: Bits of the filter that keeps uninvolved texts out.
+_BITMAP = 1 << 24
 
 
 def shingles(found: W.Words, text: int, size: int) -> np.ndarray:
@@ -41,57 +46,95 @@ def shingles(found: W.Words, text: int, size: int) -> np.ndarray:
 
 
 def shingle_sets(
-    df: DataFrame, id_column: str, text: str, size: int = SHINGLE, listed: bool = True, percent: int = PERCENT
+    df: DataFrame, id_column: str, text: str, size: int = SHINGLE, percent: int = PERCENT
 ) -> DataFrame:
-    """(node, n, first, second, shingles): the size, a 128-bit hash and either the listed or all shingles of each text."""
+    """(node, n, first, second, sketch, listed): the set's size, a 128-bit hash, 256 parity bits, and the listed shingles."""
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for chunk in W.chunks(batch.column(text)):
                 found = W.words(chunk, lower=True)
-                kept, sizes, firsts, seconds = [], [], [], []
-                for k in range(len(chunk.bounds) - 1):
+                texts = len(chunk.bounds) - 1
+                sizes, listed = np.zeros(texts, np.int64), []
+                hashes, sketches = np.zeros((2, texts), np.uint64), np.zeros((texts, 256), bool)
+                for k in range(texts):
                     own = shingles(found, k, size)
-                    n = len(own)
-                    sizes.append(n)
-                    firsts.append(own.sum(dtype=np.uint64))
-                    seconds.append(W.mix(own ^ np.uint64(0x5851F42D4C957F2D)).sum(dtype=np.uint64))
-                    if listed and n:
-                        own = own[: n - -(-percent * n // 100) + 1 + n // 10]
-                    kept.append(own)
-                ids = batch.column(id_column).slice(chunk.first, len(sizes))
-                offsets = np.concatenate([[0], np.cumsum([len(x) for x in kept])])
-                flat = np.concatenate(kept).view(np.int64) if kept else np.empty(0, np.int64)
+                    n = sizes[k] = len(own)
+                    spread = W.mix(own ^ np.uint64(0x5851F42D4C957F2D))
+                    hashes[:, k] = own.sum(dtype=np.uint64), spread.sum(dtype=np.uint64)
+                    sketches[k] = np.bincount((spread >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+                    listed.append(own[: n - -(-percent * n // 100) + 1 + n // 10] if n else own)
+                bits = np.packbits(sketches, axis=1).reshape(-1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
-                    [ids, pa.array(sizes, pa.int64()), pa.array(np.array(firsts, np.uint64).view(np.int64)),
-                     pa.array(np.array(seconds, np.uint64).view(np.int64)),
-                     pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(flat))],
-                    ["node", "n", "first", "second", "shingles"])
+                    [batch.column(id_column).slice(chunk.first, texts), pa.array(sizes),
+                     *(pa.array(h.view(np.int64)) for h in hashes),
+                     pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * 4, pa.int32()), pa.array(bits)),
+                     _arrays(listed)],
+                    ["node", "n", "first", "second", "sketch", "listed"])
 
     kind = dict(df.dtypes)[id_column]
     return df.select(id_column, text).mapInArrow(
-        sets, f"node {kind}, n long, first long, second long, shingles array<long>")
+        sets, f"node {kind}, n long, first long, second long, sketch array<long>, listed array<long>")
 
 
-def _lists(sets: DataFrame) -> DataFrame:
-    """Stored list entries (token, node, n, score, merged).
+def _arrays(parts: list[np.ndarray]) -> pa.ListArray:
+    offsets = np.concatenate([[0], np.cumsum([len(x) for x in parts])])
+    return pa.ListArray.from_arrays(pa.array(offsets, pa.int32()), pa.array(np.concatenate(parts).view(np.int64)))
+
+
+def whole_sets(df: DataFrame, nodes: DataFrame, id_column: str, text: str, size: int = SHINGLE) -> DataFrame:
+    """(node, n, shingles) of the documents in ``nodes`` (node).
+
+    A bitmap of fixed size keeps most other texts out before anything is shuffled.
+    """
+    bucket = lambda column: F.pmod(F.xxhash64(column), F.lit(_BITMAP))
+    places = nodes.select(bucket("node").alias("bucket")).groupBy((F.col("bucket") / 64).cast("int").alias("word")).agg(
+        F.expr("bit_or(shiftleft(1L, CAST(bucket % 64 AS int)))").alias("bits"))
+    table = places.toArrow()
+    bitmap = np.zeros(_BITMAP // 64, np.int64)
+    bitmap[table["word"].to_numpy()] = table["bits"].to_numpy()
+    opened = shared(df.sparkSession, bitmap)
+
+    def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own_bitmap = opened()
+        for batch in batches:
+            buckets = batch.column("bucket").to_numpy()
+            inside = np.flatnonzero((own_bitmap[buckets // 64] >> (buckets % 64)) & 1)
+            if not len(inside):
+                continue
+            batch = batch.take(pa.array(inside))
+            for chunk in W.chunks(batch.column("text")):
+                found = W.words(chunk, lower=True)
+                parts = [shingles(found, k, size) for k in range(len(chunk.bounds) - 1)]
+                yield pa.RecordBatch.from_arrays(
+                    [batch.column("node").slice(chunk.first, len(parts)), pa.array([len(x) for x in parts], pa.int64()),
+                     _arrays(parts)], ["node", "n", "shingles"])
+
+    kind = dict(df.dtypes)[id_column]
+    named = df.filter(F.col(id_column).isNotNull()).select(
+        F.col(id_column).alias("node"), F.col(text).alias("text"), bucket(id_column).alias("bucket"))
+    return named.mapInArrow(sets, f"node {kind}, n long, shingles array<long>").join(nodes, "node", "left_semi")
+
+
+def _lists(listed: DataFrame, copies: DataFrame) -> DataFrame:
+    """Stored list entries (token, node, n, score, merged), without the documents in ``copies``.
 
     Lists of one document are left out. ``merged`` is false for the T - 1 longest
     lists of a document, ``score`` is the summed length of all its lists.
     """
-    entries = sets.select("node", "n", F.explode("shingles").alias("token"))
+    entries = listed.select("node", "n", F.explode("listed").alias("token"))
     lengths = stored(entries.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1"))
-    met = stored(entries.join(lengths, "token"))
-    # All of a document's entries lie in one small array: it has no more than its own shingles.
-    by_node = met.groupBy("node", "n").agg(
-        F.sort_array(F.collect_list(F.struct("length", "token")), asc=False).alias("own"), F.sum("length").alias("score"))
-    spread = by_node.select("node", "n", "score", F.posexplode("own").alias("position", "entry"))
+    met = entries.join(lengths, "token").join(copies.select("node"), "node", "left_anti")
+    # A document has no more entries than listed shingles.
+    by_node = met.groupBy("node", "n").agg(F.sort_array(F.collect_set(F.struct("length", "token")), asc=False).alias("own"))
+    scored = by_node.withColumn("score", F.aggregate("own", F.lit(0).cast("long"), lambda sum_, x: sum_ + x.length))
+    spread = scored.select("node", "n", "score", F.posexplode("own").alias("position", "entry"))
     return stored(spread.select(
         F.col("entry.token").alias("token"), "node", "n", "score",
         (F.col("position") >= F.floor(F.col("n") / 10)).alias("merged")))
 
 
-def _checked(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """Those of the distinct (u, v) whose whole sets are similar enough."""
     left = sets.select(F.col("node").alias("u"), F.col("shingles").alias("a"), F.col("n").alias("m"))
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"), "n")
@@ -114,30 +157,38 @@ def jaccard_components(
     Rows of equal id are one document with several texts. Rows with a null id are
     linked with nothing and keep a null component. Other columns play no part.
     """
-    listed = stored(shingle_sets(df, id_column, text, size, True, percent))
-    groups = stored(listed.filter("n > 0 AND node IS NOT NULL").groupBy("first", "second", "n").agg(F.min("node").alias("copy_of")))
-    copies = listed.join(groups, ["first", "second", "n"], "left").select("node", "n", "copy_of")
-    own = listed.join(groups.select("first", "second", "n", F.col("copy_of").alias("node")), ["node", "first", "second", "n"], "left_semi")
-    lists = _lists(own.dropDuplicates(["node", "first"]))
-    involved = lists.select("node").distinct().withColumnRenamed("node", id_column)
-    sets = stored(shingle_sets(df.join(involved, id_column, "left_semi"), id_column, text, size, False).select("node", "n", "shingles"))
-
-    lists = lists.withColumn("component", F.col("node"))
-    centres = _centres(lists)
-    near = f"({_fits('n', 'centre_n', percent)}) OR ({_fits('centre_n', 'n', percent)})"
-    meets = lists.filter("merged").join(centres, "token").filter(f"node <> centre AND ({near})")
-    found = stored(_checked(stored(meets.select(F.col("node").alias("u"), F.col("centre").alias("v")).distinct()), sets, percent))
+    listed = stored(shingle_sets(df, id_column, text, size, percent))
+    known = listed.filter("n > 0 AND node IS NOT NULL")
+    firsts = stored(known.groupBy("first", "second", "n").agg(F.min("node").alias("copy_of")))
+    copies = stored(known.select("node", "n", "first", "second").join(firsts, ["first", "second", "n"]).filter(
+        "node <> copy_of").select("node", "copy_of").distinct())
+    lists = _lists(known, copies).withColumn("component", F.col("node"))
+
+    def checked(pairs: DataFrame) -> DataFrame:
+        nodes = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct())
+        return stored(_similar(pairs, stored(whole_sets(df, nodes, id_column, text, size)), percent))
+
+    found = checked(stored(_central_pairs(lists, percent)))
     parts = stored(components(found))
     lists = stored(lists.drop("component").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    pairs = stored(_remaining(lists, _centres(lists), percent))
-    found = found.unionByName(_checked(pairs, sets, percent))
-    final = stored(components(found.unionByName(
-        copies.filter("node <> copy_of").select(F.col("node").alias("u"), F.col("copy_of").alias("v")))))
+    found = found.unionByName(checked(stored(_remaining(lists, _centres(lists), known.select("node", "sketch"), percent))))
+    links = found.unionByName(copies.select(F.col("node").alias("u"), F.col("copy_of").alias("v")))
+    final = stored(components(links))
     return listed.select("node", "n").join(final, "node", "left").select(
         F.col("node").alias(id_column), F.col("n").alias("n_shingles"),
         F.coalesce("component", "node").alias("component_id"))
 
 
+def _central_pairs(lists: DataFrame, percent: int) -> DataFrame:
+    """(u, v): each document with the central document that it meets in most of its merged lists, if in at least half."""
+    near = f"({_fits('n', 'centre_n', percent)}) OR ({_fits('centre_n', 'n', percent)})"
+    meets = lists.filter("merged").join(_centres(lists), "token").filter(f"node <> centre AND ({near})")
+    shared = meets.groupBy("node", "centre").agg(F.count("*").alias("lists"), F.first("n").alias("n"))
+    best = shared.groupBy("node", "n").agg(F.max(F.struct("lists", "centre")).alias("best"))
+    # A document lists about 3 n / 10 shingles and merges at least two thirds of them.
+    return best.filter("best.lists >= n / 10").select(F.col("node").alias("u"), F.col("best.centre").alias("v"))
+
+
 def _centres(lists: DataFrame) -> DataFrame:
     """Of every list with several components, the most central document."""
     best = F.max_by(F.struct("node", "n", "component"), F.struct("score", "node"))
@@ -147,16 +198,22 @@ def _centres(lists: DataFrame) -> DataFrame:
                                F.col("best.component").alias("centre_component")))
 
 
-def _remaining(lists: DataFrame, centres: DataFrame, percent: int) -> DataFrame:
-    """Pairs of different components that share a list which the smaller document merges.
+def _remaining(lists: DataFrame, centres: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
+    """Pairs of different components that share a list which the smaller document merges, and that their sketches allow.
 
     Entries of the central document's component meet only the entries outside it.
     """
-    still = stored(lists.join(centres.select("token", "centre_component"), "token").withColumn(
-        "central", F.col("component") == F.col("centre_component")))
-    small = still.select("token", F.col("node").alias("u"), F.col("n").alias("m"), "merged", F.col("component").alias("c"), "central")
-    large = still.select("token", F.col("node").alias("v"), "n", "component", F.col("central").alias("other_central"))
-    rule = f"({_fits('m', 'n', percent)}) AND merged AND c <> component AND (m < n OR u < v)"
+    still = lists.join(centres.select("token", "centre_component"), "token")
+    bits = [F.col("sketch")[k].alias(f"s{k}") for k in range(4)]
+    sketches = sketches.join(still.select("node").distinct(), "node", "left_semi").select("node", *bits)
+    still = stored(still.join(sketches, "node").withColumn("central", F.col("component") == F.col("centre_component")))
+    small = still.select("token", F.col("node").alias("u"), F.col("n").alias("m"), "merged", F.col("component").alias("c"),
+                         "central", *(F.col(f"s{k}").alias(f"t{k}") for k in range(4)))
+    large = still.select("token", F.col("node").alias("v"), "n", "component", F.col("central").alias("other"),
+                         *(f"s{k}" for k in range(4)))
+    differ = " + ".join(f"bit_count(s{k} ^ t{k})" for k in range(4))
+    rule = (f"{_fits('m', 'n', percent)} AND merged AND c <> component AND (m < n OR u < v) "
+            f"AND {100 + percent} * (m + n - ({differ})) >= {2 * percent} * (m + n)")
     outer = small.filter("NOT central").join(large, "token").filter(rule)
-    inner = small.filter("central").join(large.filter("NOT other_central"), "token").filter(rule)
+    inner = small.filter("central").join(large.filter("NOT other"), "token").filter(rule)
     return outer.select("u", "v").unionByName(inner.select("u", "v")).distinct()
