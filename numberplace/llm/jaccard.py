@@ -140,7 +140,7 @@ def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     right = sets.select(F.col("node").alias("v"), F.col("shingles").alias("b"), "n")
     both = F.size(F.array_intersect("a", "b"))
     joined = pairs.join(left, "u").join(right, "v")
-    return joined.filter(100 * both >= percent * (F.col("m") + F.col("n") - both)).select("u", "v").distinct()
+    return joined.filter(100 * both >= percent * (F.col("m") + F.col("n") - both)).select("u", "v")
 
 
 def _fits(small: str, large: str, percent: int) -> str:
