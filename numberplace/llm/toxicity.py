@@ -30,6 +30,7 @@ BUCKETS, DIMENSIONS = 1 << 18, 8
 SIZES = (3, 4, 5, 6)
 #: Buckets that fewer words of toxic texts fall into (each counted once a text) stay zero: they could only learn such words by heart.
 LEAST_SUPPORT = 5
+LEAST_STEPS = 150
 THRESHOLD = 0.7
 #: The part of a text's words that has to be toxic.
 SHARE = 0.006
@@ -214,8 +215,9 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 4, re
     negative = np.bincount(corpus.word_of[~toxic], minlength=n_words).astype(np.float64)
     # As if toxic texts were a tenth of all.
     negative *= 9 * positive.sum() / max(1.0, negative.sum())
-    for _ in range(rounds):
-        for words in np.array_split(random.permutation(n_words), max(1, n_words // 2_000)):
+    parts = max(1, n_words // 2_000)
+    for _ in range(max(rounds, -(-LEAST_STEPS // parts))):
+        for words in np.array_split(random.permutation(n_words), parts):
             trainer.step(words, positive[words], negative[words], 0.3)
     looks_toxic = trainer.logits() > 0
     up = np.where(looks_toxic, positive, 0)

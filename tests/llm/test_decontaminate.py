@@ -51,7 +51,7 @@ def planted(spark):
     rng = random.Random(8)
     items = [(k, prose(rng, rng.randint(25, 50)) + ". " + prose(rng, 12) + ".") for k in range(30)]
     rows = [(k, prose(rng, rng.randint(0, 400)), "en") for k in range(60)]
-    rows += [(100 + k, f"{prose(rng, 90)} {items[k][1].upper()} {prose(rng, 300)}", "en") for k in range(30)]
+    rows += [(100 + k, f"{prose(rng, 90)} {''.join(c.upper() if c.isascii() else c for c in items[k][1])} {prose(rng, 300)}", "en") for k in range(30)]
     return spark.createDataFrame(rows, "doc_id long, text string, lang string"), spark.createDataFrame(items, "item_id long, text string")
 
 
