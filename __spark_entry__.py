@@ -13,15 +13,16 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from numberplace import schema as S
-from numberplace.functions.match import sql_text, with_keys
+from numberplace.functions.match import NUMBER, key_column, sql_text, with_keys
 from numberplace.operators.bulk import bulk_lookup_rows, bulk_lookup_summary
 from numberplace.operators.counts import pair_count, place_counts
-from numberplace.operators.paging import cursor, find_records, page_after, page_rows, page_summary
+from numberplace.operators.paging import cursor, find_records, lookup, page_after, page_rows, page_summary
 from numberplace.operators.profile import column_profile, load_profile
 from numberplace.operators.sampling import sample_exact, sample_native
-from numberplace.plans.jobs import pair_result, report, sample_result
+from numberplace.plans.jobs import pair_result, report, result_lines, sample_result
 from numberplace.session import scratch_path
 from numberplace.sources.csv_files import load_csv, write_csv
 from numberplace.sources.generate import generate, records_from
@@ -131,7 +132,59 @@ def next_page(spark: SparkSession, sf_dir: str) -> DataFrame:
 def csv_load_profile(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = scratch_path(spark)
     write_csv(_line_records(spark, sf_dir), path)
-    return load_profile(spark, path, "records").drop("service", "master", "data_path")
+    return load_profile(spark, path, "records", written_here=True).drop("service", "master", "data_path")
+
+
+def load_profile_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A CSV folder that holds no records: reported, not raised."""
+    path = scratch_path(spark)
+    write_csv(_table(spark, sf_dir, "customer"), path)
+    return load_profile(spark, path, "records", written_here=True).drop("service", "master", "data_path")
+
+
+def keyed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with their stored keys and numbers, under names of this query's own."""
+    named = {key_column(field): f"{field}_key" for field in S.SEARCH_FIELDS} | {NUMBER: "record_no"}
+    return with_keys(_order_records(spark, sf_dir)).withColumnsRenamed(named)
+
+
+def match_own_key_column(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Columns that are named like keys are the caller's own."""
+    own = _table(spark, sf_dir, "customer").selectExpr(
+        "*", "concat('S-', c_custkey) AS c_mktsegment_key", "c_custkey * 2 AS record_no")
+    return find_records(own, "Building ", "c_mktsegment", fields=("c_mktsegment",))
+
+
+_OWN_NAMES = ("start", "key", "bucket", "rank", "copies", "record", "n", "combo")
+
+
+def bulk_lookup_rows_own_names(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Records with columns that are named like the operator's own state."""
+    own = _line_records(spark, sf_dir).selectExpr("*", *(f"concat('{name} ', record_id) AS {name}" for name in _OWN_NAMES))
+    return bulk_lookup_rows(own, _customer_requests(spark, sf_dir))
+
+
+def _faulty_requests(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Requests over every bound, made from the customers, and right ones."""
+    texts = "get(array('', NULL, repeat('x', 65), repeat('x', 64), '广州'), CAST(c_custkey % 5 AS int))"
+    return _table(spark, sf_dir, "customer").selectExpr(
+        "CAST(c_custkey AS bigint) AS request_id",
+        f"{texts} AS location",
+        "CAST(NULL AS string) AS field",
+        "CAST(c_custkey % 3 - 1 AS bigint) AS offset",
+        "CAST(IF(c_custkey % 7 = 0, 10001, c_custkey % 7) AS bigint) AS limit",
+    )
+
+
+def lookup_page(spark: SparkSession, sf_dir: str, offset: int = 200, limit: int = 50) -> DataFrame:
+    """An envelope with its records; of those, the ids and numbers are returned as text."""
+    found = lookup(_line_records(spark, sf_dir), " 广东 ", None, offset, limit)
+    texts = F.transform("records", lambda r: F.concat_ws(" ", r.record_id, r.phone_number, r.city))
+    return found.withColumn("records", F.array_join(texts, ","))
+
+
+def count_lines(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return result_lines(pair_result(pair_count(_line_records(spark, sf_dir)), "lineitem"), "results/count")
 
 
 def run_report(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -176,7 +229,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
             _table(s, d, "documents"), "FR", fields=_DOCUMENT_FIELDS
         ),
         "stored_match": stored_match,
-        "keyed_records": lambda s, d: with_keys(orders(s, d)),
+        "keyed_records": keyed_records,
+        "match_own_key_column": match_own_key_column,
         "page_rows": lambda s, d: page_rows(lines(s, d), "广州", "city", 200, 100),
         "page_rows_deep": lambda s, d: page_rows(lines(s, d), "广东", None, 2_000, 1_500),
         "page_rows_end": lambda s, d: page_rows(orders(s, d), "上海", "city", 450, 10_000),
@@ -193,6 +247,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bulk_lookup_rows": lambda s, d: bulk_lookup_rows(lines(s, d), _customer_requests(s, d)),
         "bulk_lookup_rows_deep": lambda s, d: bulk_lookup_rows(lines(s, d), _nation_requests(s, d)),
         "bulk_lookup_rows_unlimited": lambda s, d: bulk_lookup_rows(lines(s, d), _region_requests(s, d)),
+        "bulk_lookup_rows_own_names": bulk_lookup_rows_own_names,
+        "bulk_lookup_summary_errors": lambda s, d: bulk_lookup_summary(lines(s, d), _faulty_requests(s, d)),
+        "lookup_page": lookup_page,
+        "lookup_page_deep": lambda s, d: lookup_page(s, d, 2_000, 500),
         "place_counts": lambda s, d: place_counts(lines(s, d)),
         "operator_counts": lambda s, d: place_counts(lines(s, d), ["operator"]),
         "customer_place_counts": lambda s, d: place_counts(
@@ -200,6 +258,8 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         ),
         "column_profile": lambda s, d: column_profile(lines(s, d)),
         "load_profile": csv_load_profile,
+        "load_profile_missing_columns": load_profile_missing_columns,
+        "result_lines": count_lines,
         "sample_exact": lambda s, d: sample_exact(_sampling_ids(s, d), _POINTS, id_column="s_suppkey"),
         "sample_native": lambda s, d: sample_native(_sampling_ids(s, d), _POINTS, id_column="s_suppkey"),
         "run_report": run_report,
@@ -349,6 +409,38 @@ def _sample_sql() -> str:
     FROM {both[0]} JOIN {both[1]} USING (id, point)"""
 
 
+def _lookup_sql(offset: int, limit: int) -> str:
+    here = _ANY.format(_quoted("广东"))
+    envelope = _summary_sql(_LINES, here, "广东", "all-attribution-fields", offset, limit)
+    return f"""
+    SELECT envelope.*, records FROM ({envelope}) AS envelope, (
+      SELECT string_agg(record_id || ' ' || phone_number || ' ' || city, ',' ORDER BY {_ORDER}) AS records FROM (
+        SELECT * FROM ({_LINES}) WHERE {here} ORDER BY {_ORDER} LIMIT {limit} OFFSET {offset}))"""
+
+
+_FAULTY_SUMMARY = f"""
+    WITH requests AS (
+      SELECT CAST(c_custkey AS BIGINT) AS request_id,
+             ['', NULL, repeat('x', 65), repeat('x', 64), '广州'][c_custkey % 5 + 1] AS location,
+             CAST(c_custkey % 3 - 1 AS BIGINT) AS "offset",
+             CAST(CASE WHEN c_custkey % 7 = 0 THEN 10001 ELSE c_custkey % 7 END AS BIGINT) AS "limit" FROM customer),
+    judged AS (
+      SELECT *, CASE WHEN location IS NULL OR length(location) NOT BETWEEN 1 AND 64
+                       THEN 'location must have 1 to 64 characters'
+                     WHEN "offset" < 0 THEN 'offset must be from 0 to 10000000'
+                     WHEN "limit" > 10000 THEN 'limit must be from 0 to 10000' END AS error FROM requests),
+    counted AS (SELECT count(*) AS n FROM ({_LINES}) WHERE city = '广州'),
+    answered AS (
+      SELECT judged.*, CASE WHEN error IS NULL THEN CASE WHEN location = '广州' THEN n ELSE 0 END END AS total
+      FROM judged, counted)
+    SELECT request_id, location, 'all-attribution-fields' AS field, total, "offset",
+           CASE WHEN total IS NOT NULL THEN greatest(0, least("limit", total - "offset")) END AS returned,
+           CASE WHEN total IS NOT NULL
+                THEN "offset" + greatest(0, least("limit", total - "offset")) < total END AS has_more,
+           error
+    FROM answered"""
+
+
 def oracle_sql() -> dict[str, str]:
     """DuckDB SQL for the queries.
 
@@ -405,6 +497,15 @@ def oracle_sql() -> dict[str, str]:
         "bulk_lookup_rows": _bulk_sql(_CUSTOMER_REQUESTS),
         "bulk_lookup_rows_deep": _bulk_sql(_NATION_REQUESTS),
         "bulk_lookup_rows_unlimited": _bulk_sql(_REGION_REQUESTS),
+        "bulk_lookup_rows_own_names": "SELECT *, " + ", ".join(
+            f"'{name} ' || record_id AS \"{name}\"" for name in _OWN_NAMES
+        ) + f" FROM ({_bulk_sql(_CUSTOMER_REQUESTS)})",
+        "bulk_lookup_summary_errors": _FAULTY_SUMMARY,
+        "lookup_page": _lookup_sql(200, 50),
+        "lookup_page_deep": _lookup_sql(2_000, 500),
+        "match_own_key_column": """
+            SELECT *, 'S-' || c_custkey AS c_mktsegment_key, c_custkey * 2 AS record_no
+            FROM customer WHERE lower(trim(c_mktsegment)) = 'building'""",
         "place_counts": f"SELECT province, city, count(*) AS n FROM ({_LINES}) GROUP BY ALL",
         "operator_counts": f"SELECT operator, count(*) AS n FROM ({_LINES}) GROUP BY ALL",
         "customer_place_counts": """
@@ -413,6 +514,12 @@ def oracle_sql() -> dict[str, str]:
         "load_profile": f"""
             SELECT true AS ready, count(*) AS records_loaded, CAST(NULL AS VARCHAR) AS error, {profile}
             FROM ({_LINES})""",
+        "load_profile_missing_columns": "SELECT false AS ready, CAST(0 AS BIGINT) AS records_loaded, "
+        + _quoted(f"input lacks columns: {sorted(S.COLUMNS)}") + " AS error, "
+        + ", ".join(f"CAST(NULL AS BIGINT) AS {name}_{what}" for name in S.COLUMNS for what in ("nulls", "blanks")),
+        "result_lines": f"""
+            SELECT unnest(['MATCH_COUNT=' || "count", 'RECORDS_SCANNED=' || records_scanned, 'RESULT_FILE=results/count'])
+                   AS line FROM ({counted.format('"count"', "")})""",
         "sample_native": sampled,
         "run_report": f"""
             SELECT pi_text, format('{{:,}}', total_points) AS total_points_text,

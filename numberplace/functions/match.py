@@ -7,9 +7,7 @@ province and city exactly instead.
 
 from __future__ import annotations
 
-from collections.abc import Sequence
-from functools import reduce
-from operator import or_
+from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -17,8 +15,12 @@ from pyspark.sql import types as T
 
 from numberplace import schema as S
 
-KEY_SUFFIX = "_key"
-NUMBER = "record_no"
+# Names of the columns that this package adds, and the metadata that tells them
+# from a caller's own. Metadata is stored with a Parquet table and read back.
+KEY_PREFIX = "_numberplace_key_"
+NUMBER = "_numberplace_number"
+KEY_OF = "numberplace.key_of"
+NUMBER_OF = "numberplace.number_of"
 
 
 def normalise(text: str) -> str:
@@ -47,48 +49,62 @@ def as_number(text: Column) -> Column:
 
 
 def with_number(df: DataFrame, record_id: str = "record_id") -> DataFrame:
-    """Add ``record_no``, the record id as a number. It serves the order only.
+    """Add the record id as a number. It serves the order only.
 
     A column of its own is worked out once per row, an expression in a sort
-    order once per comparison.
+    order once per comparison. A caller's own column of that name is refused.
     """
-    if NUMBER in df.columns:
+    if _marked(df, NUMBER_OF).get(record_id) == NUMBER:
         return df
-    if isinstance(df.schema[record_id].dataType, T.IntegralType):
-        return df.withColumn(NUMBER, F.col(record_id).cast("bigint"))
-    return df.withColumn(NUMBER, as_number(F.col(record_id)))
+    whole = isinstance(df.schema[record_id].dataType, T.IntegralType)
+    number = F.col(record_id).cast("bigint") if whole else as_number(F.col(record_id))
+    return _added(df, {NUMBER: (number, {NUMBER_OF: record_id})})
 
 
 def with_keys(
     df: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS, record_id: str | None = "record_id"
 ) -> DataFrame:
-    """Add ``<field>_key`` columns, and ``record_no`` for the order of pages.
+    """Add a key column per field, and the record number for the order of pages.
 
     Stored in Parquet they turn a search into plain comparisons of columns,
-    which reach the scan as pushed filters.
+    which reach the scan as pushed filters. The metadata of a key column names
+    its field; a cell that is changed later needs its keys made anew.
     """
-    keyed = df.withColumns({field + KEY_SUFFIX: cell_key(field) for field in fields})
+    keyed = _added(df, {KEY_PREFIX + field: (cell_key(field), {KEY_OF: field}) for field in fields})
     return with_number(keyed, record_id) if record_id else keyed
 
 
+def _added(df: DataFrame, columns: Mapping[str, tuple[Column, dict[str, str]]]) -> DataFrame:
+    own = {field.name for field in df.schema if not _is_added(field)}
+    if taken := sorted(own & set(columns)):
+        raise ValueError(f"these column names are reserved: {taken}")
+    df = df.withColumns({name: value for name, (value, _) in columns.items()})
+    for name, (_, metadata) in columns.items():
+        df = df.withMetadata(name, metadata)
+    return df
+
+
+def _is_added(field: T.StructField) -> bool:
+    return KEY_OF in field.metadata or NUMBER_OF in field.metadata
+
+
+def _marked(df: DataFrame, mark: str) -> dict[str, str]:
+    """The columns that this package added, by the column that each was made from."""
+    return {field.metadata[mark]: field.name for field in df.schema if mark in field.metadata}
+
+
 def sql_text(text: str) -> str:
     """``text`` as a literal inside an SQL expression."""
     return "'" + text.replace("\\", "\\\\").replace("'", "\\'") + "'"
 
 
-def is_keyed(df: DataFrame, fields: Sequence[str]) -> bool:
-    return all(field + KEY_SUFFIX in df.columns for field in fields)
-
-
-def key_of(df: DataFrame, field: str) -> Column:
-    """The stored key column where ``df`` has one, else the expression for it."""
-    return F.col(field + KEY_SUFFIX) if is_keyed(df, [field]) else cell_key(field)
+def key_column(field: str) -> str:
+    return KEY_PREFIX + field
 
 
 def plain_columns(df: DataFrame) -> list[str]:
-    """The columns of ``df`` without those that ``with_keys`` added."""
-    added = {c for c in df.columns if c.removesuffix(KEY_SUFFIX) in df.columns and c.endswith(KEY_SUFFIX)}
-    return [c for c in df.columns if c not in added and c != NUMBER]
+    """The caller's columns of ``df``, all but those that this package added."""
+    return [field.name for field in df.schema if not _is_added(field)]
 
 
 def pair_predicate(
@@ -106,9 +122,17 @@ def match_predicate(
     field: str | None = None,
     fields: Sequence[str] = S.SEARCH_FIELDS,
 ) -> Column:
-    """Rows whose ``field``, or any of ``fields`` if none is named, is ``location``."""
-    key = F.lit(normalise(location))
-    return reduce(or_, (key_of(df, name) == key for name in ([field] if field else fields)))
+    """Rows whose ``field``, or any of ``fields`` if none is named, is ``location``.
+
+    A field is searched through its stored key where ``df`` has one.
+    """
+    stored, key = _marked(df, KEY_OF), F.lit(normalise(location))
+    wanted = fields if field is None else (field,)
+    cells = {name: F.col(stored[name]) if name in stored else cell_key(name) for name in wanted}
+    predicate = F.lit(False)
+    for cell in cells.values():
+        predicate = predicate | (cell == key)
+    return predicate
 
 
 def check_columns(df: DataFrame, required: Sequence[str] = S.COLUMNS) -> DataFrame:

@@ -10,6 +10,7 @@ from collections.abc import Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from numberplace.functions.match import NUMBER, as_number, plain_columns
 
@@ -18,9 +19,26 @@ def _names(df: DataFrame, id_column: str) -> list[str]:
     return [id_column, *(c for c in plain_columns(df) if c != id_column)]
 
 
-def record_order(df: DataFrame, id_column: str = "record_id") -> list[Column]:
-    """The sort columns of the record order, for a table with its ``record_no``."""
-    return [F.col(c).asc_nulls_last() for c in (NUMBER, *_names(df, id_column))]
+def record_order(df: DataFrame, id_column: str = "record_id", record: str | None = None) -> list[Column]:
+    """The sort columns of the record order of ``df``, which has its record number.
+
+    With ``record`` they are taken from a struct column of that name that holds
+    the plain columns of ``df``, beside the number. A column that holds a map
+    has no order and is refused.
+    """
+    for field in df.schema:
+        if _holds_map(field.dataType):
+            raise ValueError(f"column {field.name} holds a map, which has no order; pages cannot be cut")
+    cells = [F.col(f"`{c}`") if record is None else F.col(record).getField(c) for c in _names(df, id_column)]
+    return [c.asc_nulls_last() for c in (F.col(NUMBER), *cells)]
+
+
+def _holds_map(kind: T.DataType) -> bool:
+    if isinstance(kind, T.ArrayType):
+        return _holds_map(kind.elementType)
+    if isinstance(kind, T.StructType):
+        return any(_holds_map(field.dataType) for field in kind)
+    return isinstance(kind, T.MapType)
 
 
 def from_row(df: DataFrame, row: Mapping, id_column: str = "record_id") -> Column:

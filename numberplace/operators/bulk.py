@@ -8,15 +8,20 @@ What a record answers depends on its search fields alone, so records are first
 counted by the combination of those cells, which is combined on the map side.
 The combinations, not the records, are then spread into (field, key) entries, one
 per named field and one under ``*`` for each *different* key, so that a record
-meets an any-field request once even when two of its fields agree. Only records
-whose combination is asked for are read with all their columns.
+meets an any-field request once even when two of its fields agree. Entries that no
+request looks for are dropped at once, and only records whose combination is
+asked for are read with all their columns.
+
+A record travels as one struct to the end, so its columns may have any names but
+those of the two that a page adds.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from numberplace import schema as S
@@ -47,6 +52,12 @@ SALTS = 200
 _BUCKET_BITS = 12
 # The share of numbers at each end that may lie far from the others.
 _TAIL = 0.001
+# Pages that end within so many rows are taken from a top-k per key; its tasks
+# merge in so many groups first.
+NEAR_ROWS = 1_000
+MERGE_GROUPS = 64
+# What a broadcast row takes besides its text: the hash table's and the row's own.
+_ROW_BYTES = 128
 
 # The rows per block in which pages and buckets meet.
 BLOCK_ROWS = 1_000
@@ -89,15 +100,19 @@ def _combo(fields: Sequence[str]) -> Column:
     return F.struct(*(F.col(name).alias(f"cell{k}") for k, name in enumerate(fields))).alias("combo")
 
 
-def entries(combined: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS) -> DataFrame:
-    """Combinations spread into the (``in_field``, ``key``) entries that they answer."""
+def entries(
+    combined: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS, named: bool = True, anywhere: bool = True
+) -> DataFrame:
+    """Combinations spread into the (``in_field``, ``key``) entries that they answer.
+
+    ``named`` and ``anywhere`` leave out entries that no request can look for.
+    """
     keys = [f"lower(trim(combo.cell{k}))" for k in range(len(fields))]
-    named = [f"struct({sql_text(name)} AS in_field, {key} AS key)" for name, key in zip(fields, keys)]
-    anywhere = (
-        f"transform(array_distinct(array({', '.join(keys)})), key -> struct('{ANY}' AS in_field, key AS key))"
-    )
+    by_field = [f"struct({sql_text(name)} AS in_field, {key} AS key)" for name, key in zip(fields, keys)]
+    by_any = f"transform(array_distinct(array({', '.join(keys)})), key -> struct('{ANY}' AS in_field, key AS key))"
+    parts = [f"array({', '.join(by_field)})"] * named + [by_any] * anywhere
     return combined.selectExpr(
-        *combined.columns, f"inline(concat(array({', '.join(named)}), {anywhere}))"
+        *combined.columns, f"inline(concat({', '.join(parts)}))"
     ).filter("key IS NOT NULL")
 
 
@@ -111,7 +126,9 @@ def bulk_lookup_summary(
     df: DataFrame, requests: DataFrame, fields: Sequence[str] = S.SEARCH_FIELDS
 ) -> DataFrame:
     """The envelope of every request; total 0 where nothing matches."""
-    answered = prepared(requests, fields).join(key_counts(df, fields), _ENTRY, "left")
+    ready, asked = stored(prepared(requests, fields), **_halves())
+    counted = _answering(df, ready.filter("error IS NULL"), fields, asked)[0].groupBy(*_ENTRY)
+    answered = ready.join(counted.agg(F.sum("n").alias("total")), _ENTRY, "left")
     return (
         answered.withColumn("total", F.expr("IF(error IS NULL, coalesce(total, 0), NULL)"))
         # The smaller of a null and a number is the number, hence the test for null.
@@ -139,63 +156,108 @@ def bulk_lookup_rows(
 
     The position is null for limit 0, where every match is returned, in no order.
     """
+    if taken := sorted({"request_id", "position"} & set(plain_columns(df))):
+        raise ValueError(f"the records have columns of the names that a page adds: {taken}")
     valid, asked = stored(
         prepared(requests, fields).filter("error IS NULL"),
+        **_halves(),
         whole=F.expr("count_if(limit = 0)"),
-        paged=F.expr("count_if(limit > 0)"),
+        near=F.expr(f"count_if({_near()})"),
+        deep=F.expr(f"count_if(limit > 0 AND NOT {_near()})"),
     )
     parts = []
-    if asked["whole"] or not asked["paged"]:
-        parts.append(_whole_rows(df, valid.filter("limit = 0"), fields))
-    if asked["paged"]:
-        parts.append(_paged_rows(df, valid.filter("limit > 0"), fields, id_column))
-    return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-
-def _whole_rows(df: DataFrame, whole: DataFrame, fields: Sequence[str]) -> DataFrame:
-    combined, counted = stored(combinations(df, fields), rows=F.sum("n"))
-    met = entries(combined, fields).join(whole, _ENTRY).select("combo", "request_id")
-    hits = _join(df.select(_combo(fields), _record(df)), met, ["combo"], combined, counted["rows"])
+    if asked["whole"] or not (asked["near"] or asked["deep"]):
+        parts.append(_whole_rows(df, valid.filter("limit = 0"), fields, asked))
+    if asked["near"]:
+        parts.append(_near_rows(df, valid.filter(_near()), fields, id_column, asked))
+    if asked["deep"]:
+        parts.append(_deep_rows(df, valid.filter(f"limit > 0 AND NOT {_near()}"), fields, id_column, asked))
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _near() -> str:
+    return f"(limit > 0 AND offset + limit <= {NEAR_ROWS})"
+
+
+def _halves() -> dict[str, Column]:
+    """How many requests name a field, and how many look in any."""
+    return {
+        "named": F.expr(f"count_if(error IS NULL AND in_field <> '{ANY}')"),
+        "anywhere": F.expr(f"count_if(error IS NULL AND in_field = '{ANY}')"),
+    }
+
+
+def _answering(df: DataFrame, wanted: DataFrame, fields: Sequence[str], asked: dict) -> tuple[DataFrame, int]:
+    """The entries (combo, n, in_field, key) that ``wanted`` looks for, stored, and the number of all records."""
+    everything = Observation()
+    combined = combinations(df, fields).observe(everything, F.sum("n").alias("rows"))
+    if not (asked["named"] or asked["anywhere"]):
+        return stored(entries(combined.limit(0), fields)), 0
+    spread = entries(combined, fields, bool(asked["named"]), bool(asked["anywhere"]))
+    found = stored(spread.join(wanted.select(*_ENTRY).distinct(), _ENTRY, "left_semi"))
+    return found, everything.get["rows"] or 0
+
+
+def _whole_rows(df: DataFrame, whole: DataFrame, fields: Sequence[str], asked: dict) -> DataFrame:
+    answering, rows = _answering(df, whole, fields, asked)
+    met = answering.join(whole, _ENTRY).select("combo", "request_id")
+    hits = _join(df.select(_combo(fields), _record(df)), met, ["combo"], answering, rows)
     return hits.selectExpr("request_id", "CAST(NULL AS bigint) AS position", "record.*")
 
 
-def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_column: str) -> DataFrame:
+def _near_rows(df: DataFrame, near: DataFrame, fields: Sequence[str], id_column: str, asked: dict) -> DataFrame:
+    """Pages from the first rows of every key; each task keeps no more of them than pages reach to."""
+    df = with_number(df, id_column)
+    order = record_order(df, id_column, "record")
+    answering, rows = _answering(df, near, fields, asked)
+    records = df.select(_combo(fields), _record(df), NUMBER)
+    hits = _join(records, answering.select("combo", *_ENTRY), ["combo"], answering, rows).drop("combo")
+    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
+    first = hits.withColumn("task_group", group)
+    for keys in ([*_ENTRY, "task_group"], _ENTRY):
+        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
+        first = first.withColumn("position", rank).filter(F.col("position") <= NEAR_ROWS)
+    wanted = near.selectExpr("request_id", *_ENTRY, f"{_EACH.format('offset + 1', 'offset + limit')} AS position")
+    return first.join(wanted, [*_ENTRY, "position"]).select("request_id", "position", "record.*")
+
+
+def _deep_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_column: str, asked: dict) -> DataFrame:
     """Pages, located by a histogram of the record number before rows are read.
 
-    Each key's rows are counted per bucket of the number, so the position at
+    Each asked key's rows are counted per bucket of the number, so the position at
     which a bucket starts is known, and only the buckets that a page touches
     are read and ranked. A hot key is counted, never collected in one place.
     """
-    out = plain_columns(df)
     df = with_number(df, id_column)
+    order = record_order(df, id_column, "record")
     bucket = _bucket(df)
-    combined, counted = stored(combinations(df, fields, bucket), rows=F.sum("n"))
     pages = paged.selectExpr("request_id", *_ENTRY, "offset", "offset + limit AS last")
     wanted = pages.groupBy(*_ENTRY).agg(F.min("offset").alias("low"), F.max("last").alias("high"))
-    # Entries of the combinations alone: a combination has thousands of buckets.
-    answering = entries(combined.select("combo").distinct(), fields).join(wanted, _ENTRY)
-    spread = combined.join(answering, "combo")
+    answering, rows = _answering(df, paged, fields, asked)
+    places = df.select(_combo(fields), bucket.alias("bucket"))
+    asked_combos = answering.select("combo").distinct()
+    counted = _join(places, asked_combos, ["combo"], answering, rows).groupBy("combo", "bucket")
+    combined = stored(counted.agg(F.count(F.lit(1)).alias("n")))
+    spread = combined.join(answering.drop("n").join(wanted, _ENTRY), "combo")
     spans, groups = stored(_spans(spread, pages), biggest=F.max("rows"))
 
     touched = spans.select(*_PART, "start").distinct()
     met = spread.join(touched, _PART).select("combo", *_PART, "start")
-    records = df.select(_combo(fields), bucket.alias("bucket"), _record(df))
-    hits = _join(records, met, ["combo", "bucket"], combined, counted["rows"])
-    hits = with_number(hits.select(*_PART, "start", "record.*"), id_column)
-    order = record_order(hits.select(*out), id_column)
+    records = df.select(_combo(fields), bucket.alias("bucket"), _record(df), NUMBER)
+    hits = _join(records, met, ["combo", "bucket"], combined, rows).select(*_PART, "start", "record", NUMBER)
 
     if (groups["biggest"] or 0) <= GROUP_ROWS:
         hits = hits.withColumn("rank", F.row_number().over(Window.partitionBy(*_PART).orderBy(*order)))
         ranked = hits.withColumn("position", F.expr("start + rank"))
-        asked = spans.selectExpr("request_id", *_ENTRY, f"{_EACH.format('first + 1', 'last')} AS position")
-        return ranked.join(asked, [*_ENTRY, "position"]).select("request_id", "position", *out)
+        each = spans.selectExpr("request_id", *_ENTRY, f"{_EACH.format('first + 1', 'last')} AS position")
+        return ranked.join(each, [*_ENTRY, "position"]).select("request_id", "position", "record.*")
 
     numbered = number_rows(hits, _PART, order).withColumnRenamed("start", "part_start")
     numbered = numbered.withColumn("at", F.expr(f"part_start + {START}"))
     placed = numbered.join(spans.drop("start"), _PART).filter(f"at < last AND at + {COPIES} > first")
     shared = _EACH.format("greatest(at, first) + 1", f"least(at + {COPIES}, last)")
-    return placed.select("request_id", *out, F.expr(f"{shared} AS position")).select(
-        "request_id", "position", *out
+    return placed.select("request_id", F.expr(f"{shared} AS position"), "record").select(
+        "request_id", "position", "record.*"
     )
 
 
@@ -246,11 +308,11 @@ def _bucket(df: DataFrame) -> Column:
 
 
 def _record(df: DataFrame) -> Column:
-    return F.struct(*plain_columns(df)).alias("record")
+    return F.struct(*(F.col(f"`{c}`") for c in plain_columns(df))).alias("record")
 
 
 def _join(
-    records: DataFrame, met: DataFrame, on: list[str], combined: DataFrame, rows: int | None
+    records: DataFrame, met: DataFrame, on: list[str], combined: DataFrame, rows: int
 ) -> DataFrame:
     """The records of the combinations in ``met``, once for each of its rows.
 
@@ -259,15 +321,18 @@ def _join(
     Combinations share no records, so at most HOT_SHARE of them are hot, and
     their list is small whatever the tables are.
     """
-    met, size = stored(met, bytes=F.sum(F.octet_length(F.to_json(F.struct("*")))))
+    # Each text twice over, since it may be held in two bytes a character.
+    held = F.lit(_ROW_BYTES) + 2 * F.octet_length(F.to_json(F.struct("*"), {"ignoreNullFields": "false"}))
+    met, size = stored(met, bytes=F.sum(held))
     if (size["bytes"] or 0) <= BROADCAST_BYTES:
         return records.join(F.broadcast(met), on)
 
-    hot = combined.filter(F.col("n") * HOT_SHARE >= rows).select(*on, F.lit(SALTS).alias("salts"))
-    # The task's number and not a hash of the record, so that copies spread too.
-    salt = F.expr("pmod(spark_partition_id(), coalesce(salts, 1))")
+    hot = combined.filter(F.col("n") * HOT_SHARE >= rows).select(*on, F.lit(SALTS).alias("salts")).distinct()
+    # The row's number in its task and not a hash of the record, so that copies
+    # and the rows of one task spread too; a repeated task numbers them alike.
+    salt = F.pmod(F.xxhash64(F.monotonically_increasing_id()), F.coalesce("salts", F.lit(1)))
     salted = _with_salts(records, hot, on).withColumn("salt", salt).drop("salts")
-    copies = F.expr("explode(sequence(0, coalesce(salts, 1) - 1))")
+    copies = F.expr("explode(sequence(0L, coalesce(salts, 1) - 1L))")
     copied = _with_salts(met, hot, on).withColumn("salt", copies).drop("salts")
     return salted.join(copied, [*on, "salt"]).drop("salt")
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import Column, DataFrame, Row
+from pyspark.sql import Column, DataFrame, Observation, Row, Window
 from pyspark.sql import functions as F
 
 from numberplace import schema as S
@@ -17,6 +17,7 @@ from numberplace.functions.match import (
 )
 from numberplace.functions.ordering import from_row, record_order
 from numberplace.operators.numbering import cut, number_rows
+from numberplace.session import stored
 
 # A page that ends within so many rows is taken straight from a top-k.
 DIRECT_ROWS = 1_000
@@ -38,7 +39,7 @@ def find_records(
 ) -> DataFrame:
     """Every row that matches, with all its columns. A narrow filter."""
     check_request(location, field, 0, 0, fields)
-    return df.filter(match_predicate(df, location, field, fields)).select(*plain_columns(df))
+    return df.filter(match_predicate(df, location, field, fields)).select(*(f"`{c}`" for c in plain_columns(df)))
 
 
 def page_rows(
@@ -57,7 +58,7 @@ def page_rows(
     check_request(location, field, offset, limit, fields)
     rows = df.filter(match_predicate(df, location, field, fields))
     if limit == 0:
-        return rows.select(*plain_columns(df))
+        return rows.select(*(f"`{c}`" for c in plain_columns(df)))
     return cut_page(rows, offset, limit, id_column)
 
 
@@ -125,8 +126,9 @@ def cursor(page: Sequence[Row], previous: tuple[Row, int] | None = None) -> tupl
 def cut_page(rows: DataFrame, offset: int, limit: int, id_column: str = "record_id") -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of ``rows`` in record order.
 
-    Near pages are one top-k pass. Its tasks each send up to offset + limit
-    rows to a single merge, so their number is bounded by ``coalesce``.
+    Near pages are one top-k pass. Every task sends up to offset + limit rows,
+    which meet in groups of tasks first, so that a single merge gets no more than
+    ``MERGE_ROWS`` however many tasks there are.
 
     For deep pages the page is first located by its record numbers: histograms
     of the number, a few thousand counts each, give the exact range of numbers
@@ -134,30 +136,92 @@ def cut_page(rows: DataFrame, offset: int, limit: int, id_column: str = "record_
     all its columns. Where numbers cannot separate rows, because they repeat or
     the ids are no numbers, the rest is numbered with a range sort.
     """
-    out, end = plain_columns(rows), offset + limit
+    end = offset + limit
     rows = with_number(rows, id_column)
-    order = record_order(rows, id_column)
+    packed, order = _packed(rows), record_order(rows, id_column, "record")
     if end <= DIRECT_ROWS:
-        near = rows.coalesce(max(1, MERGE_ROWS // end))
-        return near.orderBy(*order).offset(offset).limit(limit).select(*out)
+        group = F.expr(f"pmod(spark_partition_id(), {max(1, MERGE_ROWS // end)})")
+        within = Window.partitionBy("task_group").orderBy(*order)
+        nearest = packed.withColumn("task_group", group).withColumn("rank", F.row_number().over(within))
+        near = nearest.filter(F.col("rank") <= end).drop("rank", "task_group")
+        return near.orderBy(*order).offset(offset).limit(limit).select("record.*")
 
-    inside, skip, size = _locate(rows, offset, limit)
-    candidates = rows.filter(inside).select(*out, NUMBER)
+    return _deep_page(rows, offset, limit, id_column, _locate(rows, offset, limit))
+
+
+def _packed(rows: DataFrame) -> DataFrame:
+    """The caller's columns as one struct, ``record``, beside the record number."""
+    return rows.select(F.struct(*(F.col(f"`{c}`") for c in plain_columns(rows))).alias("record"), NUMBER)
+
+
+def _deep_page(rows: DataFrame, offset: int, limit: int, id_column: str, place: tuple[Column, int, int]) -> DataFrame:
+    inside, skip, size = place
+    order = record_order(rows, id_column, "record")
+    candidates = _packed(rows.filter(inside))
     if size > CANDIDATE_ROWS:
         candidates = cut(number_rows(candidates, [], order), F.lit(skip), F.lit(skip + limit))
-        return candidates.orderBy(*order).select(*out)
-    return candidates.orderBy(*order).offset(skip).limit(limit).select(*out)
+        return candidates.orderBy(*order).select("record.*")
+    return candidates.orderBy(*order).offset(skip).limit(limit).select("record.*")
 
 
-def _locate(rows: DataFrame, offset: int, limit: int) -> tuple[Column, int, int]:
-    """Where a page lies: a filter on the number, the rows to skip inside, their count."""
+def lookup(
+    df: DataFrame,
+    location: str,
+    field: str | None = None,
+    offset: int = 0,
+    limit: int = S.DEFAULT_LIMIT,
+    fields: Sequence[str] = S.SEARCH_FIELDS,
+    id_column: str = "record_id",
+) -> DataFrame:
+    """The envelope of a page with its ``records``, an array in record order: one row.
+
+    The count comes from the pass that finds a near page, or from the one that
+    locates a deep page. A limit of 0 has no bound on its rows and is refused;
+    ``page_rows`` and ``page_summary`` serve it.
+    """
+    check_request(location, field, offset, limit, fields)
+    if limit == 0:
+        raise ValueError("records come as an array for a limit above 0 only")
+    rows = with_number(df.filter(match_predicate(df, location, field, fields)), id_column)
+    if offset + limit <= DIRECT_ROWS:
+        counted = Observation()
+        page = stored(cut_page(rows.observe(counted, F.count(F.lit(1)).alias("total")), offset, limit, id_column))
+        total = counted.get["total"]
+    else:
+        whole = _extent(rows)
+        total = whole.rows
+        place = _locate(rows, offset, limit, whole)
+        page = stored(_deep_page(rows, offset, limit, id_column, place))
+    numbered = with_number(page, id_column)
+    cells = F.struct(F.row_number().over(Window.orderBy(*record_order(numbered, id_column))).alias("at"),
+                     F.struct(*(F.col(f"`{c}`") for c in page.columns)).alias("record"))
+    # At most MAX_LIMIT rows.
+    records = numbered.select(cells.alias("cell")).agg(F.sort_array(F.collect_list("cell")).alias("cells"))
+    return records.select(
+        F.lit(location.strip()).alias("location"),
+        F.lit(field or S.ALL_FIELDS_LABEL).alias("field"),
+        F.lit(total).cast("bigint").alias("total"),
+        F.lit(offset).cast("bigint").alias("offset"),
+        F.lit(limit).cast("bigint").alias("limit"),
+        F.transform("cells", lambda cell: cell.record).alias("records"),
+    ).selectExpr("location", "field", "total", "offset", f"{RETURNED_ROWS} AS returned", "records").selectExpr(
+        "location", "field", "total", "offset", "returned", "offset + returned < total AS has_more", "records")
+
+
+def _extent(rows: DataFrame) -> Row:
     number = F.col(NUMBER)
-    whole = rows.agg(
+    return rows.agg(
         F.count(F.lit(1)).alias("rows"),
         F.count(number).alias("numbered"),
         F.min(number).alias("low"),
         F.max(number).alias("high"),
     ).first()
+
+
+def _locate(rows: DataFrame, offset: int, limit: int, whole: Row | None = None) -> tuple[Column, int, int]:
+    """Where a page lies: a filter on the number, the rows to skip inside, their count."""
+    number = F.col(NUMBER)
+    whole = whole or _extent(rows)
     unnumbered = whole.rows - whole.numbered
     end = min(offset + limit, whole.rows)
     if offset >= end:

@@ -11,8 +11,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from numberplace import schema as S
-from numberplace.functions.match import missing_columns
+from numberplace.functions.match import check_columns
 from numberplace.sources.csv_files import load_csv
+from numberplace.sources.tables import read_table
 
 
 def column_profile(df: DataFrame, columns: Sequence[str] = S.COLUMNS) -> DataFrame:
@@ -29,8 +30,10 @@ def load_profile(
     path: str,
     service: str,
     columns: Sequence[str] = S.COLUMNS,
+    written_here: bool = False,
+    table: bool = False,
 ) -> DataFrame:
-    """The state of a CSV input as one row, made afresh by each call.
+    """The state of a CSV input, or of a Parquet ``table``, as one row, made afresh by each call.
 
     An input that cannot be read or lacks columns is reported, not raised: not
     ready, with the error, no rows loaded and no counts. Its one row is worked
@@ -45,7 +48,8 @@ def load_profile(
         "error": None,
     }
     try:
-        state |= column_profile(load_csv(spark, path, columns), columns).first().asDict()
+        df = check_columns(read_table(spark, path), columns) if table else load_csv(spark, path, columns, written_here)
+        state |= column_profile(df, columns).first().asDict()
         state["ready"] = True
     except (PySparkException, Py4JJavaError, ValueError) as error:
         state["error"] = str(error)

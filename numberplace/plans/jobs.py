@@ -47,9 +47,10 @@ def run_pair_count(
     province: str = S.DEFAULT_PROVINCE,
     city: str = S.DEFAULT_CITY,
     append: bool = False,
+    written_here: bool = False,
 ) -> DataFrame:
     """Count a pair in a CSV input, store the result, return the latest one."""
-    counted = pair_count(load_csv(spark, source), province, city)
+    counted = pair_count(load_csv(spark, source, written_here=written_here), province, city)
     write_result(pair_result(counted, source), output, append)
     return latest(read_result(spark, output, S.PAIR_RESULT_SCHEMA))
 
@@ -77,9 +78,9 @@ def run_report(spark: SparkSession, pair_path: str, sample_path: str) -> DataFra
 
 
 def report(pair: DataFrame, sample: DataFrame) -> DataFrame:
-    """Join one count row and one sampling row, each told apart by a constant."""
-    left = pair.select(F.lit(1).alias("_one"), F.struct("*").alias("pair_count"))
-    right = sample.select(F.lit(1).alias("_one"), F.struct("*").alias("sampling"))
+    """One count row beside one sampling row. Of several rows, the latest is reported."""
+    left = latest(pair).select(F.lit(1).alias("_one"), F.struct("*").alias("pair_count"))
+    right = latest(sample).select(F.lit(1).alias("_one"), F.struct("*").alias("sampling"))
     return left.join(right, "_one", "full").select(
         F.format_string("%.8f", F.col("sampling.pi")).alias("pi_text"),
         F.format_number("sampling.total_points", 0).alias("total_points_text"),
@@ -89,8 +90,8 @@ def report(pair: DataFrame, sample: DataFrame) -> DataFrame:
     )
 
 
-def result_lines(result: DataFrame) -> DataFrame:
-    """A stored result row as ``NAME=value`` lines, as a job prints them."""
+def result_lines(result: DataFrame, path: str | None = None) -> DataFrame:
+    """A stored result row as ``NAME=value`` lines, as a job prints them, with the ``path`` it is stored at."""
     lines = {
         "count": "MATCH_COUNT=%d",
         "records_scanned": "RECORDS_SCANNED=%d",
@@ -100,6 +101,8 @@ def result_lines(result: DataFrame) -> DataFrame:
         "partitions": "PARTITIONS=%d",
     }
     texts = [F.format_string(form, F.col(name)) for name, form in lines.items() if name in result.columns]
+    if path is not None:
+        texts.append(F.lit(f"RESULT_FILE={path}"))
     return result.select(F.explode(F.array(*texts)).alias("line"))
 
 

@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+import atexit
+import shutil
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
+# Names of the folders of open ``scratch`` calls, innermost last.
+_owned: list[str] = []
 
 
 def local_session(cores: int | str = 8, app_name: str = "numberplace") -> SparkSession:
@@ -37,8 +43,25 @@ def scratch_path(spark: SparkSession) -> str:
         if not spark.sparkContext.master.startswith("local"):
             raise ValueError(f"set {_CHECKPOINT_DIR} to a folder that every executor reaches")
         root = tempfile.mkdtemp(prefix="numberplace-")
+        atexit.register(shutil.rmtree, root, ignore_errors=True)
         spark.sparkContext.setCheckpointDir(root)
-    return f"{root.rstrip('/')}/{uuid.uuid4().hex}"
+    return "/".join([root.rstrip("/"), *_owned[-1:], uuid.uuid4().hex])
+
+
+@contextmanager
+def scratch(spark: SparkSession) -> Iterator[None]:
+    """Delete at the end what calls inside have written to the scratch folder.
+
+    Results that such calls return read from there: use or write them before.
+    """
+    _owned.append(f"call-{uuid.uuid4().hex}")
+    folder = scratch_path(spark).rpartition("/")[0]
+    try:
+        yield
+    finally:
+        _owned.remove(folder.rpartition("/")[2])
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
 def stored(df: DataFrame, **measures: Column) -> DataFrame | tuple[DataFrame, dict]:

@@ -25,6 +25,6 @@ def read_result(spark: SparkSession, path: str, schema: StructType, indented: bo
 
 
 def latest(results: DataFrame) -> DataFrame:
-    """The result that was completed last."""
-    row = F.max_by(F.struct("*"), F.col("completed_at_utc").cast("timestamp")).alias("row")
+    """The result that was completed last; of equal times, the greatest row."""
+    row = F.max_by(F.struct("*"), F.struct(F.col("completed_at_utc").cast("timestamp"), F.struct("*"))).alias("row")
     return results.agg(row).filter(F.col("row").isNotNull()).select("row.*")

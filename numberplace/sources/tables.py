@@ -9,7 +9,7 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
 from numberplace import schema as S
-from numberplace.functions.match import KEY_SUFFIX, with_keys
+from numberplace.functions.match import key_column, with_keys
 
 
 def write_table(
@@ -28,7 +28,7 @@ def write_table(
     written = Observation()
     (
         with_keys(df, fields, record_id)
-        .sortWithinPartitions(*(field + KEY_SUFFIX for field in fields))
+        .sortWithinPartitions(*(key_column(field) for field in fields))
         .observe(written, F.count(F.lit(1)).alias("rows"))
         .write.mode("overwrite")
         .option("maxRecordsPerFile", rows_per_file)

@@ -77,8 +77,10 @@ PATHS = {
     "shuffled": {"BROADCAST_BYTES": -1},
     "hot and cold": {"BROADCAST_BYTES": -1, "HOT_SHARE": 4, "SALTS": 3},
     "numbered": {"GROUP_ROWS": 10},
-    "shuffled, numbered": {"BROADCAST_BYTES": -1, "HOT_SHARE": 2, "GROUP_ROWS": 0, "BLOCK_ROWS": 7},
-    "coarse buckets": {"_BUCKET_BITS": 1, "BLOCK_ROWS": 13},
+    "shuffled, numbered": {"BROADCAST_BYTES": -1, "HOT_SHARE": 2, "GROUP_ROWS": 0, "BLOCK_ROWS": 7, "NEAR_ROWS": 0},
+    "coarse buckets": {"_BUCKET_BITS": 1, "BLOCK_ROWS": 13, "NEAR_ROWS": 0},
+    "all located": {"NEAR_ROWS": 0},
+    "one merge group": {"MERGE_GROUPS": 1, "BROADCAST_BYTES": -1},
 }
 
 
@@ -151,3 +153,44 @@ def test_numbers_far_away(spark, records, requests):
     for number, _, _, _, limit in REQUESTS:
         if limit and number in expected:
             assert [tuple(r)[2:] for r in rows if r.request_id == number] == expected[number]
+
+
+def test_own_names(spark, records, requests):
+    names = ("start", "key", "bucket", "rank", "copies", "combo", "n", "record", "in_field", "location")
+    own = records.selectExpr("*", *(f"concat('{name}', record_id) AS {name}" for name in names))
+    rows = bulk_lookup_rows(own, requests)
+    assert rows.columns == ["request_id", "position", *own.columns]
+    assert rows.filter(" OR ".join(f"{name} <> concat('{name}', record_id)" for name in names)).count() == 0
+    assert rows.select("request_id", "position", *records.columns).exceptAll(bulk_lookup_rows(records, requests)).count() == 0
+    for name in ("request_id", "position"):
+        with pytest.raises(ValueError, match=name):
+            bulk_lookup_rows(records.selectExpr("*", f"1 AS {name}"), requests)
+
+
+def test_columns_named_like_keys_are_the_callers_own(spark):
+    df = spark.createDataFrame([("1", "广州", "C-77", 5)], "record_id string, city string, city_key string, record_no int")
+    request = spark.createDataFrame([(1, "广州", None, 0, 5)], S.REQUEST_SCHEMA)
+    assert bulk_lookup_summary(df, request, ("city",)).first().total == 1
+    assert bulk_lookup_rows(df, request, ("city",)).columns == ["request_id", "position", *df.columns]
+
+
+def test_only_what_is_asked_for_is_kept(spark):
+    """A table with a cell of its own for every record, and one request."""
+    df = spark.range(20_000).selectExpr("CAST(id AS string) AS record_id", "concat('c', id) AS city", "'p' AS province")
+    request = bulk.prepared(spark.createDataFrame([(1, "C77", "city", 0, 5)], S.REQUEST_SCHEMA), ("city", "province"))
+    found, rows = bulk._answering(df, request, ("city", "province"), {"named": 1, "anywhere": 0})
+    assert [(r.in_field, r.key, r.n) for r in found.collect()] == [("city", "c77", 1)] and rows == 20_000
+    page = bulk_lookup_rows(df, spark.createDataFrame([(1, "C77", "city", 0, 5)], S.REQUEST_SCHEMA), ("city", "province"))
+    assert [(r.position, r.record_id) for r in page.collect()] == [(1, "77")]
+
+
+def test_salt_splits_a_table_of_one_task(spark, monkeypatch):
+    monkeypatch.setattr(bulk, "BROADCAST_BYTES", -1)
+    df = spark.range(0, 5_000, 1, 1).selectExpr("struct('a' AS cell0) AS combo", "id")
+    met = spark.createDataFrame([("a", 7)], "cell0 string, request_id long").selectExpr("struct(cell0) AS combo", "request_id")
+    hot = spark.createDataFrame([("a", 5_000)], "cell0 string, n long").selectExpr("struct(cell0) AS combo", "n")
+    joined = bulk._join(df, met, ["combo"], hot, 5_000)
+    assert joined.count() == 5_000
+    plan = joined._jdf.queryExecution().executedPlan().toString()
+    assert "salt" in plan and "spark_partition_id" not in plan.lower()
+    assert df.select((bulk.F.pmod(bulk.F.xxhash64(bulk.F.monotonically_increasing_id()), bulk.F.lit(200)))).distinct().count() == 200

@@ -1,25 +1,29 @@
 import json
 from datetime import datetime, timedelta
+from pathlib import Path
 
 import pytest
 from py4j.protocol import Py4JJavaError
 from pyspark.errors import AnalysisException, PySparkException
+from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.operators.counts import pair_count
 from numberplace.operators.paging import find_records
 from numberplace.operators.profile import column_profile, load_profile
 from numberplace.plans.jobs import (
+    pair_result,
     report,
     result_lines,
     run_pair_count,
     run_report,
     run_sampling,
 )
+from numberplace.session import scratch, scratch_path, stored
 from numberplace.sources.csv_files import load_csv, read_csv, write_csv
 from numberplace.sources.generate import generate
 from numberplace.sources.results import latest, read_result, write_result
-from numberplace.sources.tables import cached
+from numberplace.sources.tables import cached, write_table
 
 HEADER = ",".join(S.COLUMNS)
 LINES = [
@@ -191,3 +195,37 @@ def test_cached_table_is_counted(spark):
 def test_profile_of_nothing(spark):
     row = column_profile(spark.createDataFrame([], S.RECORD_SCHEMA)).first()
     assert set(row) == {0}
+
+
+def test_scratch_of_a_call_is_deleted(spark, records):
+    root = Path(scratch_path(spark)).parent
+    before = set(root.iterdir())
+    with scratch(spark):
+        kept = stored(records)
+        assert kept.count() == 3_000 and set(root.iterdir()) > before
+    assert set(root.iterdir()) == before
+
+
+def test_profiles_of_quoted_cells_and_tables(spark, records):
+    odd = records.limit(3).withColumn("province", F.lit('say "hi", now'))
+    path, table = scratch_path(spark), scratch_path(spark)
+    write_csv(odd, path)
+    write_table(odd, table)
+    for row in (load_profile(spark, path, "s", written_here=True).first(), load_profile(spark, table, "s", table=True).first()):
+        assert row.ready and row.records_loaded == 3 and row.province_nulls == 0
+    assert load_csv(spark, path, written_here=True).first().province == 'say "hi", now'
+    missing = scratch_path(spark)
+    write_table(odd.drop("city"), missing, fields=("province",))
+    row = load_profile(spark, missing, "s", table=True).first()
+    assert not row.ready and "['city']" in row.error
+
+
+def test_result_lines_end_with_the_file(spark, records):
+    lines = [r.line for r in result_lines(pair_result(pair_count(records), "x"), "out/count").collect()]
+    assert lines == ["MATCH_COUNT=1200", "RECORDS_SCANNED=3000", "RESULT_FILE=out/count"]
+
+
+def test_latest_of_equal_times_is_one_row(spark):
+    rows = [("a", 1, "2026-01-01T00:00:00+00:00"), ("b", 2, "2026-01-01T00:00:00+00:00")]
+    df = spark.createDataFrame(rows, "name string, n int, completed_at_utc string")
+    assert {latest(df.repartition(k)).first().name for k in (1, 2, 3)} == {"b"}

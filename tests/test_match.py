@@ -5,8 +5,10 @@ from numberplace.functions.match import (
     cell_key,
     check_columns,
     check_request,
+    key_column,
     missing_columns,
     normalise,
+    plain_columns,
     search_text,
     sql_text,
     with_keys,
@@ -142,9 +144,20 @@ def test_stored_table_answers_from_pushed_filters(spark, records):
     assert found.exceptAll(find_records(records, "北京")).count() == 0
     assert found.count() == find_records(records, "北京").count() > 0
     plan = found._jdf.queryExecution().executedPlan().toString()
-    assert "EqualTo(city_key,北京)" in plan
+    assert f"EqualTo({key_column('city')},北京)" in plan
 
 
 def test_a_filter_on_places_is_not_worked_out_per_row(spark):
     plan = find_records(generate(spark, 10), "北京")._jdf.queryExecution().optimizedPlan().toString()
     assert "lower" not in plan
+
+
+def test_columns_named_like_keys_are_the_callers_own(spark):
+    df = spark.createDataFrame([("1", "广州", "C-77", 5)], "record_id string, city string, city_key string, record_no int")
+    rows = find_records(df, "广州", "city", fields=("city",))
+    assert rows.columns == df.columns and rows.count() == 1
+    assert find_records(df, "C-77", fields=("city",)).count() == 0
+    keyed = with_keys(df, ("city",))
+    assert plain_columns(keyed) == df.columns
+    with pytest.raises(ValueError):
+        with_keys(df.withColumn(key_column("city"), df.city), ("city",))

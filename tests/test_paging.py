@@ -5,7 +5,7 @@ from numberplace.functions.match import with_keys, with_number
 from numberplace.functions.ordering import record_order
 from numberplace.operators import paging
 from numberplace.operators.numbering import cut, number_rows
-from numberplace.operators.paging import cursor, find_records, page_after, page_rows, page_summary
+from numberplace.operators.paging import cursor, find_records, lookup, page_after, page_rows, page_summary
 
 
 def number(text):
@@ -112,7 +112,7 @@ def test_envelope_of_nothing(records):
 
 def test_near_page_is_one_top_k(records):
     plan = page_rows(records, "广州", "city", 200, 100)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan and "Window" not in plan
+    assert "TakeOrderedAndProject" in plan and "WindowGroupLimit" in plan and "Coalesce" not in plan
 
 
 def test_row_numbers_of_groups_with_copies(spark, awkward):
@@ -125,3 +125,29 @@ def test_row_numbers_of_groups_with_copies(spark, awkward):
         assert [r.position for r in mine] == list(range(len(mine)))
         cells = [tuple(r[c] for c in awkward.columns) for r in mine]
         assert cells == in_order(awkward.filter(F.col("city") == city).collect())
+
+
+def test_own_names_and_maps(spark, records):
+    own = records.selectExpr("*", "record_id AS start_position", "city AS copies", "1 AS rank", "'x' AS record", "2 AS task_group")
+    for offset, limit in ((3, 5), (1_100, 40)):
+        page = page_rows(own, "广州", "city", offset, limit)
+        assert page.columns == own.columns
+        plain = page_rows(records, "广州", "city", offset, limit).collect()
+        assert page.select(*records.columns).collect() == plain
+    with pytest.raises(ValueError, match="map"):
+        page_rows(records.selectExpr("*", "map(city, 1) AS m"), "广州", "city")
+
+
+@pytest.mark.parametrize("offset, limit", [(0, 7), (20, 100), (990, 40), (1_190, 100), (5_000, 10)])
+def test_lookup_is_summary_and_page(records, offset, limit):
+    found = lookup(records, " 广州", None, offset, limit)
+    assert found.count() == 1
+    envelope = page_summary(records, " 广州", None, offset, limit).first().asDict()
+    row = found.first().asDict()
+    assert row.pop("records") == page_rows(records, "广州", None, offset, limit).collect()
+    assert row == envelope
+
+
+def test_lookup_has_a_bound(records):
+    with pytest.raises(ValueError):
+        lookup(records, "广州", limit=0)
