@@ -9,6 +9,8 @@ from numberplace.llm.quality import quality_rules
 
 from .conftest import rows_of, words
 
+START, END = "\ufffe", "\uffff"
+
 
 def base(text):
     text = text or ""
@@ -32,7 +34,7 @@ def kneser_ney(rows):
     raw = defaultdict(Counter)
     for lang, text in rows:
         for word in words(text):
-            spelt = "^^^" + word + "$"
+            spelt = START * 3 + word + END
             raw[lang].update(spelt[k : k + 4] for k in range(len(spelt) - 3))
     models = {}
     for lang, top in raw.items():
@@ -65,7 +67,7 @@ def kneser_ney(rows):
         return (own + left[n][gram[:-1]] * below) / totals[n][gram[:-1]]
 
     def log_word(lang, word):
-        spelt = "^^^" + word + "$"
+        spelt = START * 3 + word + END
         return sum(math.log(chance(lang, spelt[k : k + 4])) for k in range(len(spelt) - 3))
 
     return log_word
