@@ -48,20 +48,33 @@ def scratch_path(spark: SparkSession) -> str:
     return "/".join([root.rstrip("/"), *_owned[-1:], uuid.uuid4().hex])
 
 
+@contextmanager
+def scratch_folder(spark: SparkSession) -> Iterator[str]:
+    """Let calls inside write to a folder of their own, whose path is given; ``delete_scratch`` deletes it."""
+    name = f"call-{uuid.uuid4().hex}"
+    _owned.append(name)
+    try:
+        yield scratch_path(spark).rpartition("/")[0]
+    finally:
+        _owned.remove(name)
+
+
+def delete_scratch(spark: SparkSession, folder: str) -> None:
+    path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
+    path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what calls inside have written to the scratch folder.
 
     Results that such calls return read from there: use or write them before.
     """
-    _owned.append(f"call-{uuid.uuid4().hex}")
-    folder = scratch_path(spark).rpartition("/")[0]
-    try:
-        yield
-    finally:
-        _owned.remove(folder.rpartition("/")[2])
-        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(folder)
-        path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
+    with scratch_folder(spark) as folder:
+        try:
+            yield
+        finally:
+            delete_scratch(spark, folder)
 
 
 def stored(df: DataFrame, **measures: Column) -> DataFrame | tuple[DataFrame, dict]:
