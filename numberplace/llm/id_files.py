@@ -44,18 +44,19 @@ class Encoder:
         self._tokenizer = Tokenizer.from_str(definition.decode())
         special = [token["content"] for token in json.loads(definition).get("added_tokens", [])]
         self._slow = re.compile("|".join([_UNUSUAL.pattern, *map(re.escape, special)]))
-        self._fast: Callable[[str], list[int]] | None = None
+        self._fast: Callable[[str], np.ndarray] | None = None
         if ranks and pattern:
             import tiktoken
 
             pairs = (line.split() for line in ranks.splitlines() if line)
             known = {base64.b64decode(token): int(rank) for token, rank in pairs}
-            self._fast = tiktoken.Encoding("ids", pat_str=pattern, mergeable_ranks=known, special_tokens={}).encode_ordinary
+            encoding = tiktoken.Encoding("ids", pat_str=pattern, mergeable_ranks=known, special_tokens={})
+            self._fast = lambda text: encoding.encode_to_numpy(text, disallowed_special=())
 
-    def __call__(self, text: str) -> list[int]:
+    def __call__(self, text: str) -> np.ndarray:
         if self._fast and not self._slow.search(text):
-            return self._fast(text)
-        return self._tokenizer.encode(text, add_special_tokens=False).ids
+            return self._fast(text).astype(np.int32)
+        return np.array(self._tokenizer.encode(text, add_special_tokens=False).ids, np.int32)
 
     def size(self) -> int:
         return self._tokenizer.get_vocab_size(with_added_tokens=True)
@@ -112,7 +113,7 @@ def write_ids(
         for batch in batches:
             id_type = batch.schema.field(id_column).type
             for own_id, value in zip(batch.column(id_column).to_pylist(), batch.column(text).to_pylist(), strict=True):
-                ids = np.array([*encode(value or ""), end_id], np.int32)
+                ids = np.append(encode(value or ""), np.int32(end_id))
                 at = 0
                 while at < len(ids):
                     taken = min(room, len(ids) - at)
