@@ -12,10 +12,14 @@ token digests per remaining document:
 5. ``sentencepiece``: the rest is encoded.
 
 Rows of equal id, language and text are judged alike; ids may be null.
+
+A stage deletes what the one before it has left in the scratch folder, since that
+one's rows are written by then; a table that still reads from there keeps it.
 """
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, Window
@@ -26,11 +30,27 @@ from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.line_runs import delete_repeated_lines
 from numberplace.llm.quality import quality_rules
 from numberplace.llm.queries import encoded_documents
-from numberplace.session import scratch_path, stored
+from numberplace.session import delete_scratch, scratch_folder, scratch_path, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
 _KEY = "_numberplace_key"
+#: Scratch folders of stages whose rows may not be written yet.
+_left: list[str] = []
+
+
+def _cleaning(stage: Stage) -> Stage:
+    @functools.wraps(stage)
+    def run_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+        read = docs.inputFiles() if _left else []
+        for folder in [f for f in _left if not any(f.rpartition("/")[2] in file for file in read)]:
+            _left.remove(folder)
+            delete_scratch(spark, folder)
+        with scratch_folder(spark) as folder:
+            _left.append(folder)
+            return stage(spark, docs, sf_dir)
+
+    return run_stage
 
 
 def _keyed(docs: DataFrame) -> DataFrame:
@@ -38,17 +58,20 @@ def _keyed(docs: DataFrame) -> DataFrame:
     return docs.withColumn(_KEY, F.xxhash64("doc_id", "lang", "text"))
 
 
+@_cleaning
 def quality_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     kept = stored(quality_rules(_keyed(docs), id_column=_KEY).filter("kept").select(_KEY).distinct())
     return _keyed(docs).join(kept, _KEY, "left_semi").select(docs.columns)
 
 
+@_cleaning
 def line_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     out = delete_repeated_lines(docs).filter(r"n_deleted_lines = 0 OR text RLIKE '[^\\x20\\x09-\\x0D]'")
     changed = F.when(F.col("n_deleted_lines") > 0, F.char_length("text").cast("long")).otherwise(F.col("n_chars"))
     return out.withColumn("n_chars", changed).select(docs.columns)
 
 
+@_cleaning
 def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     heads = stored(jaccard_components(docs).filter("doc_id = component_id").select("doc_id").distinct())
     first = Window.partitionBy("doc_id").orderBy(F.char_length("text").desc(), "text")
@@ -56,12 +79,14 @@ def near_duplicate_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> D
     return kept.select(docs.columns).unionByName(docs.filter("doc_id IS NULL"))
 
 
+@_cleaning
 def benchmark_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     items = spark.read.parquet(f"{sf_dir}/benchmark.parquet")
     found = stored(item_matches(_keyed(docs), items, id_column=_KEY).select(_KEY).distinct())
     return _keyed(docs).join(found, _KEY, "left_anti").select(docs.columns)
 
 
+@_cleaning
 def encoding_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     return encoded_documents(docs)
 
