@@ -44,7 +44,6 @@ _CLOSES = {
     "p": {"p"}, "li": {"li", "p"}, "dt": {"dt", "dd", "p"}, "dd": {"dt", "dd", "p"}, "tr": {"tr", "td", "th", "p"},
     "td": {"td", "th", "p"}, "th": {"td", "th", "p"},
 } | {f"h{k}": {"p"} for k in range(1, 7)}
-_KEEPS_P_OPEN = frozenset(("body", "html"))
 _BAD_WORDS = frozenset(
     "ad ads advert adverts advertisement advertising banner breadcrumb breadcrumbs comment comments cookie cookies consent "
     "copyright disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices "
