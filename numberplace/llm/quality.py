@@ -37,6 +37,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _LINE = np.ones(256, bool)
 _LINE[0x0A] = False
+_TEXT_KEY = "_numberplace_text_key"
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
 
@@ -94,7 +95,7 @@ def count(chunk: W.Chunk, found: W.Words) -> Counts:
 
 
 def text_scores(
-    df: DataFrame, model: P.Model, first: bool, id_column: str, text: str, language: str
+    df: DataFrame, model: P.Model, first: bool, id_columns: list[str], text: str, language: str
 ) -> DataFrame:
     """Per row the counts and the summed log probability of its words under one model part."""
     sent = shared(df.sparkSession, model)
@@ -114,14 +115,20 @@ def text_scores(
                     if first:
                         counts[:, own] = count(chunk, found)
             done = [pa.array(logs)] + (list(map(pa.array, counts)) if first else [])
-            yield pa.RecordBatch.from_arrays([batch.column(id_column), batch.column(language), *done], names)
+            yield pa.RecordBatch.from_arrays([*map(batch.column, id_columns), batch.column(language), *done], names)
 
-    names = [id_column, language, "log_sum"] + (list(_COUNTS) if first else [])
+    names = [*id_columns, language, "log_sum"] + (list(_COUNTS) if first else [])
     types = dict(df.dtypes)
-    schema = f"`{id_column}` {types[id_column]}, `{language}` string, log_sum double"
+    schema = ", ".join(f"`{c}` {types[c]}" for c in id_columns) + f", `{language}` string, log_sum double"
     if first:
         schema += ", " + ", ".join(f"{c} long" for c in _COUNTS)
-    return df.select(id_column, language, text).mapInArrow(score, schema)
+    return df.select(*id_columns, language, text).mapInArrow(score, schema)
+
+
+def _with_text_key(df: DataFrame, id_column: str, text: str, language: str) -> DataFrame:
+    """The id, language and text with a key that exactly the rows of equal language and text share, never null."""
+    both = F.concat(F.coalesce(F.col(language), F.lit("")), F.lit("\0"), F.coalesce(F.col(text), F.lit("")))
+    return df.select(id_column, language, text, F.unhex(F.md5(both.cast("binary"))).alias(_TEXT_KEY))
 
 
 def quality_rules(
@@ -138,17 +145,21 @@ def quality_rules(
     """Per row: the id, the counts, ``base_failed``, ``perplexity`` and ``kept``.
 
     ``model`` is the table of ``perplexity.fit``; by default it is fitted to ``df``.
-    ``id_column`` has to be unique only where the model takes more than one part.
+    Ids may be null or repeated: where the model takes more than one part, the parts'
+    sums are added up per distinct language and text, which are all they depend on.
     ``perplexity`` is null for a text without words.
     """
     model = model if model is not None else P.fit(df, language, text)
     parts = max(1, -(-model.count() // P.MODEL_ROWS))
-    passes = [text_scores(df, P.load(model, k, parts), k == 0, id_column, text, language) for k in range(parts)]
+    id_columns = [id_column] if parts == 1 else [id_column, _TEXT_KEY]
+    texts = df if parts == 1 else _with_text_key(df, id_column, text, language)
+    passes = [text_scores(texts, P.load(model, k, parts), k == 0, id_columns, text, language) for k in range(parts)]
     scored = passes[0]
     if parts > 1:
-        sums = functools.reduce(DataFrame.unionByName, [p.select(id_column, "log_sum") for p in passes])
-        sums = sums.groupBy(id_column).agg(F.sum("log_sum").alias("log_sum"))
-        scored = scored.drop("log_sum").join(sums, id_column)
+        sums = functools.reduce(DataFrame.unionByName, [
+            p.groupBy(_TEXT_KEY).agg(F.max("log_sum").alias("log_sum")) for p in passes])
+        sums = sums.groupBy(_TEXT_KEY).agg(F.sum("log_sum").alias("log_sum"))
+        scored = scored.drop("log_sum").join(sums, _TEXT_KEY)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated_percent * F.col("n_words"))
     scored = stored(
         scored.withColumn("log_perplexity", -F.col("log_sum") / F.nullif(F.col("n_words"), F.lit(0)))

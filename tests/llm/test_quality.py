@@ -101,6 +101,17 @@ def test_model_in_parts_judges_alike(awkward_docs, monkeypatch):
     assert rows_of(quality_rules(docs).drop("perplexity")) == whole
 
 
+def test_model_in_parts_keeps_null_and_repeated_ids(awkward_docs, monkeypatch):
+    def judged():
+        return sorted((repr(r[:-1]), r.perplexity or 0) for r in quality_rules(awkward_docs).collect())
+
+    whole = judged()
+    monkeypatch.setattr(P, "MODEL_ROWS", 200)
+    parts = judged()
+    assert [r[0] for r in parts] == [r[0] for r in whole]
+    assert [r[1] for r in parts] == pytest.approx([r[1] for r in whole], rel=1e-4)
+
+
 def test_unseen_grams_back_off(spark, awkward_docs):
     model = P.fit(awkward_docs)
     new = spark.createDataFrame([(1, "zzz qqq " * 40, "en"), (2, "word " * 60, "xx")], "doc_id long, text string, lang string")
