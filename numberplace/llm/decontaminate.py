@@ -120,8 +120,8 @@ def item_terms(items: DataFrame, id_column: str, text: str) -> DataFrame:
 
 
 def indexes(items: DataFrame, id_column: str = "item_id", text: str = "text", share: float = SHARE) -> Iterator[Index]:
-    """The parts of the index; frequencies and lengths are those of all items."""
-    found = stored(item_terms(items, id_column, text))
+    """The parts of the index; frequencies and lengths are those of all items, of which equal rows are one."""
+    found = stored(item_terms(items.select(id_column, text).distinct(), id_column, text))
     whole = found.select("id", "text", "length").distinct()
     total = whole.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), F.max("length").alias("longest")).first()
     if not total.n:

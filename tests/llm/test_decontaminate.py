@@ -66,6 +66,15 @@ def test_planted_items_are_found_and_others_left_alone(spark, clashing, monkeypa
     assert rows_of(D.item_matches(docs, items)) == whole
 
 
+def test_repeated_items_are_found_as_if_given_once(spark):
+    docs, items = planted(spark)
+    docs = docs.filter("doc_id >= 55 AND doc_id < 105")
+    whole = rows_of(D.item_matches(docs, items))
+    assert len(whole) == 5
+    repeated = items.unionByName(items.filter("item_id < 4")).unionByName(items.filter("item_id < 3"))
+    assert rows_of(D.item_matches(docs, repeated)) == whole
+
+
 def test_awkward_rows(spark, awkward_docs):
     items = spark.createDataFrame([(1, None), (2, ""), (3, "! ?"), (None, awkward_docs.filter("doc_id = 10").first().text),
                                    (4, "one"), (4, "two words")], "item_id long, text string")
