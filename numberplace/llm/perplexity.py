@@ -1,16 +1,20 @@
-"""A modified Kneser-Ney model over the characters of words, counted by Spark.
-
-A word is spelt with three start marks before it and an end mark behind it; its
-n-grams of four characters are counted per language over whole texts. Lower
-orders use continuation counts, each order has its own three discounts. Tasks
-hold the model as sorted arrays of 64-bit hashes. The model is read from a table
-in parts of at most ``MODEL_ROWS`` rows or so, one pass over the texts per part
-(one part, while the table is no larger): what a position looks up depends on
-the language and the character before it, and parts are cut by these.
+"""Modified Kneser-Ney models over characters, counted by Spark.
+
+``SPELLING`` takes words one by one: a word is spelt with three start marks
+before it and an end mark behind it, its n-grams have four characters.
+``RUNNING`` takes a whole text, each run of blanks as one: its n-grams have six
+characters and run across words, so it tells a text from its shuffled words.
+N-grams are counted per language over whole texts. Lower orders use continuation
+counts, each order has its own three discounts. Tasks hold both models as one
+sorted array of 64-bit hashes. It is read from a table in parts of at most
+``MODEL_ROWS`` and ``RUNNING_ROWS`` rows or so, one pass over the texts per part (one part, while the
+table is no larger): what a position looks up from two characters of context on
+depends on these, and parts are cut by them; shorter n-grams are in every part.
 """
 
 from __future__ import annotations
 
+import functools
 import hashlib
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -24,12 +28,29 @@ from pyspark.sql import functions as F
 from numberplace.llm import words as W
 from numberplace.session import stored
 
-ORDER = 4
+
+class Grams(NamedTuple):
+    """N-grams of ``order`` characters packed into ``bits`` bits each; ``kind`` tells their rows in the table."""
+
+    order: int
+    bits: int
+    kind: int
+
+    def last(self, size: int) -> int:
+        """A mask of the last ``size`` characters."""
+        return (1 << self.bits * size) - 1
+
+
+SPELLING, RUNNING = Grams(4, 16, 0), Grams(6, 10, 2)
+_MODELS = (SPELLING, RUNNING)
 _START, _END = 0xFFFE, 0xFFFF
-#: Rows of the model that tasks hold at a time, 12 bytes each.
-MODEL_ROWS = 4_000_000
+#: Of running text, where the blanks but U+0020 do not occur.
+_TEXT_START, _TEXT_END, _BLANK = 0x09, 0x0A, 0x20
+#: Rows of either model that tasks hold at a time, 12 bytes each.
+MODEL_ROWS, RUNNING_ROWS = 4_000_000, 3_000_000
 #: Distinct n-grams that a counting task gathers before it hands them on.
 COUNT_ROWS = 2_000_000
+#: Added to ``Grams.kind``.
 _PROBABILITY, _BACKOFF = 0, 1
 
 
@@ -47,25 +68,65 @@ def spell(chunk: W.Chunk) -> Spelt:
     """Pack the n-grams of the distinct words into 64 bits, 16 for each code point's low bits."""
     found = W.words(chunk)
     _, at, which, counts = np.unique(found.hashes, return_index=True, return_inverse=True, return_counts=True)
-    heads = (chunk.data & 0xC0) != 0x80
-    chars = np.cumsum(heads) - 1  # the character that a byte belongs to
-    codes = np.frombuffer(chunk.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+    chars, codes = _characters(chunk)
+    order = SPELLING.order
     first = chars[found.starts[at]]
     sizes = chars[found.ends[at] - 1] + 1 - first
-    begins = np.cumsum(sizes + ORDER) - (sizes + ORDER)
-    flat = np.full(int((sizes + ORDER).sum()), _START, np.uint64)
+    begins = np.cumsum(sizes + order) - (sizes + order)
+    flat = np.full(int((sizes + order).sum()), _START, np.uint64)
     inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
-    flat[np.repeat(begins + ORDER - 1, sizes) + inside] = codes[np.repeat(first, sizes) + inside] & 0xFFFF
-    flat[begins + ORDER - 1 + sizes] = _END
-    packed = np.zeros(max(0, len(flat) - ORDER + 1), np.uint64)
-    for k in range(ORDER):
+    flat[np.repeat(begins + order - 1, sizes) + inside] = codes[np.repeat(first, sizes) + inside] & 0xFFFF
+    flat[begins + order - 1 + sizes] = _END
+    packed = np.zeros(max(0, len(flat) - order + 1), np.uint64)
+    for k in range(order):
         packed = (packed << np.uint64(16)) | flat[k : k + len(packed)]
     whole = np.ones(len(packed), bool)
-    for k in range(1, ORDER):
+    for k in range(1, order):
         whole[(begins[1:] - k)[begins[1:] - k >= 0]] = False
     return Spelt(packed[whole], np.cumsum(sizes + 1) - (sizes + 1), which, counts, found)
 
 
+def _characters(chunk: W.Chunk) -> tuple[np.ndarray, np.ndarray]:
+    """The character that a byte belongs to, and the code points."""
+    heads = (chunk.data & 0xC0) != 0x80
+    return np.cumsum(heads) - 1, np.frombuffer(chunk.data.tobytes().decode("utf-8", "replace").encode("utf-32-le"), np.uint32)
+
+
+def _squeezed(codes: np.ndarray) -> np.ndarray:
+    """Code points in ten bits: Latin ones as they are, 432 others in a row apart."""
+    return np.where(codes < 592, codes, 592 + codes % 432).astype(np.uint64)
+
+
+def run(chunk: W.Chunk, found: W.Words) -> tuple[np.ndarray, np.ndarray]:
+    """The packed n-grams of the texts, and where each text's begin; none for a text without words."""
+    order, bits = RUNNING.order, RUNNING.bits
+    of = np.zeros(len(found.of), np.int64)
+    if not len(found.starts):
+        return np.empty(0, np.uint64), of
+    chars, codes = _characters(chunk)
+    spoken = np.flatnonzero(np.diff(found.of))
+    heads, tails = found.of[spoken], found.of[spoken + 1] - 1
+    source = chars[found.starts]
+    sizes = chars[found.ends - 1] + 1 - source
+    lead, trail = np.ones(len(sizes), np.int64), np.zeros(len(sizes), np.int64)
+    lead[heads], trail[tails] = order - 1, 1
+    whole = lead + sizes + trail
+    begins = np.cumsum(whole) - whole
+    flat = np.full(int(whole.sum()), _BLANK, np.uint64)
+    flat[(begins[heads][:, None] + np.arange(order - 1)).ravel()] = _TEXT_START
+    inside = np.arange(sizes.sum()) - np.repeat(np.cumsum(sizes) - sizes, sizes)
+    flat[np.repeat(begins + lead, sizes) + inside] = _squeezed(codes[np.repeat(source, sizes) + inside])
+    flat[begins[tails] + whole[tails] - 1] = _TEXT_END
+    packed = np.zeros(len(flat) - order + 1, np.uint64)
+    for k in range(order):
+        packed = (packed << np.uint64(bits)) | flat[k : k + len(packed)]
+    own = np.ones(len(packed), bool)
+    for k in range(1, order):
+        own[begins[heads[1:]] - k] = False
+    of[spoken + 1] = np.diff(begins[heads], append=len(flat)) - order + 1
+    return packed[own], np.cumsum(of)
+
+
 def _by_language(batch: pa.RecordBatch, language: str, text: str) -> Iterator[tuple[str, np.ndarray, pa.Array]]:
     languages = pc.fill_null(batch.column(language), "").dictionary_encode()
     numbers = languages.indices.to_numpy(zero_copy_only=False)
@@ -75,44 +136,48 @@ def _by_language(batch: pa.RecordBatch, language: str, text: str) -> Iterator[tu
 
 
 def gram_counts(df: DataFrame, language: str, text: str) -> DataFrame:
-    """(language, gram, n) over all words of all texts; a null language counts as ''."""
+    """(language, model, gram, n) over all texts; a null language counts as '', ``model`` is the kind of ``Grams``."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        held: dict[str, list[tuple[np.ndarray, np.ndarray]]] = {}
-        sizes: dict[str, int] = {}
+        held: dict[tuple[str, int], list[tuple[np.ndarray, np.ndarray]]] = {}
+        sizes: dict[tuple[str, int], int] = {}
 
-        def squeeze(name: str) -> None:
+        def squeeze(name: tuple[str, int]) -> None:
             keys = np.concatenate([k for k, _ in held[name]])
             counts = np.concatenate([c for _, c in held[name]])
             held[name] = [_summed(keys, counts)]
             sizes[name] = len(held[name][0][0])
 
-        def out(names: list[str]) -> Iterator[pa.RecordBatch]:
+        def out(names: list[tuple[str, int]]) -> Iterator[pa.RecordBatch]:
             for name in names:
                 squeeze(name)
                 keys, counts = held.pop(name)[0]
                 sizes.pop(name)
                 if len(keys):
                     yield pa.RecordBatch.from_arrays(
-                        [pa.array([name]).take(pa.array(np.zeros(len(keys), np.int64))),
-                         pa.array(keys.view(np.int64)), pa.array(counts)], ["language", "gram", "n"])
+                        [pa.array([name[0]]).take(pa.array(np.zeros(len(keys), np.int64))),
+                         pa.array(np.full(len(keys), name[1], np.int32)),
+                         pa.array(keys.view(np.int64)), pa.array(counts)], ["language", "model", "gram", "n"])
 
         for batch in batches:
             for name, _, column in _by_language(batch, language, text):
                 for chunk in W.chunks(column):
                     spelt = spell(chunk)
                     sizes_of = np.diff(spelt.begins, append=len(spelt.grams))
-                    new = _summed(spelt.grams, np.repeat(spelt.counts, sizes_of))
-                    held.setdefault(name, []).append(new)
-                    sizes[name] = sizes.get(name, 0) + len(new[0])
-                    if sizes[name] > COUNT_ROWS:
-                        squeeze(name)
+                    for key, new in (
+                        ((name, SPELLING.kind), _summed(spelt.grams, np.repeat(spelt.counts, sizes_of))),
+                        ((name, RUNNING.kind), np.unique(run(chunk, spelt.words)[0], return_counts=True)),
+                    ):
+                        held.setdefault(key, []).append(new)
+                        sizes[key] = sizes.get(key, 0) + len(new[0])
+                        if sizes[key] > COUNT_ROWS:
+                            squeeze(key)
             if sum(sizes.values()) > 2 * COUNT_ROWS:
                 yield from out(list(held))
         yield from out(list(held))
 
-    counted = df.select(language, text).mapInArrow(count, "language string, gram long, n long")
-    return counted.groupBy("language", "gram").agg(F.sum("n").alias("n"))
+    counted = df.select(language, text).mapInArrow(count, "language string, model int, gram long, n long")
+    return counted.groupBy("language", "model", "gram").agg(F.sum("n").alias("n"))
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -129,17 +194,27 @@ def fit(df: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:
 
     ``value`` is the log probability of a gram of ``size`` characters, or (kind 1)
     the log weight that a context of ``size`` characters leaves to the lower order.
-    A row of size 0 has the probability of an unknown character.
+    A row of size 0 has the probability of an unknown character. The kinds of the
+    model of running text are 2 and 3.
     """
     counts = stored(gram_counts(df, language, text))
-    orders = {ORDER: counts}
-    for size in range(ORDER - 1, 0, -1):
-        suffix = F.col("gram").bitwiseAND((1 << 16 * size) - 1)
+    parts = [part for model in _MODELS for part in _fitted(counts.filter(F.col("model") == model.kind).drop("model"), model)]
+    whole = parts[0]
+    for part in parts[1:]:
+        whole = whole.unionByName(part)
+    return stored(whole)
+
+
+def _fitted(counts: DataFrame, model: Grams) -> list[DataFrame]:
+    """The rows of one model."""
+    orders = {model.order: counts}
+    for size in range(model.order - 1, 0, -1):
+        suffix = F.col("gram").bitwiseAND(model.last(size))
         orders[size] = stored(orders[size + 1].groupBy("language", suffix.alias("gram")).agg(F.count("*").alias("n")))
     parts, lower = [], None
-    for size in range(1, ORDER + 1):
+    for size in range(1, model.order + 1):
         grams = orders[size]
-        context = F.shiftrightunsigned("gram", 16) if size > 1 else F.lit(0).cast("long")
+        context = F.shiftrightunsigned("gram", model.bits) if size > 1 else F.lit(0).cast("long")
         discounts = _discounts(grams)
         rows = grams.join(F.broadcast(discounts), "language").withColumn("context", context)
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
@@ -149,23 +224,20 @@ def fit(df: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:
         rows = rows.join(contexts, ["language", "context"])
         if size == 1:
             below = F.col("left") / (F.col("kinds") + 1)
-            parts.append(contexts.select("language", F.lit(_PROBABILITY).alias("kind"), F.lit(0).alias("size"),
+            parts.append(contexts.select("language", F.lit(model.kind + _PROBABILITY).alias("kind"), F.lit(0).alias("size"),
                                          F.col("context").alias("gram"), F.log(below).alias("value")))
         else:
-            last = F.col("gram").bitwiseAND((1 << 16 * (size - 1)) - 1)
+            last = F.col("gram").bitwiseAND(model.last(size - 1))
             rows = rows.withColumn("last", last).join(
                 lower.select("language", F.col("gram").alias("last"), F.col("p").alias("below")), ["language", "last"])
             below = F.col("left") * F.col("below")
-            parts.append(contexts.select("language", F.lit(_BACKOFF).alias("kind"), F.lit(size - 1).alias("size"),
+            parts.append(contexts.select("language", F.lit(model.kind + _BACKOFF).alias("kind"), F.lit(size - 1).alias("size"),
                                          F.col("context").alias("gram"), F.log("left").alias("value")))
         # Kept to a float's precision, and above zero for log.
         lower = stored(rows.select("language", "gram", ((F.col("n") - F.col("off")) / F.col("total") + below).alias("p")))
-        parts.append(lower.select("language", F.lit(_PROBABILITY).alias("kind"), F.lit(size).alias("size"), "gram",
+        parts.append(lower.select("language", F.lit(model.kind + _PROBABILITY).alias("kind"), F.lit(size).alias("size"), "gram",
                                   F.log("p").alias("value")))
-    model = parts[0]
-    for part in parts[1:]:
-        model = model.unionByName(part)
-    return stored(model)
+    return parts
 
 
 def _discounts(grams: DataFrame) -> DataFrame:
@@ -193,7 +265,7 @@ def _keys(language: str, kind: int, size: int, grams: np.ndarray) -> np.ndarray:
 
 
 class Model(NamedTuple):
-    """Sorted hashes and their values; ``part`` of ``parts`` by language and preceding character."""
+    """Sorted hashes and their values; ``part`` of ``parts`` by the two preceding characters."""
 
     hashes: np.ndarray
     values: np.ndarray
@@ -208,27 +280,27 @@ class Model(NamedTuple):
         return np.where(self.hashes[at] == keys, self.values[at], np.float32(np.nan)) if len(self.hashes) else np.full(
             len(keys), np.nan, np.float32)
 
-    def log_probabilities(self, language: str, grams: np.ndarray) -> np.ndarray:
+    def log_probabilities(self, language: str, grams: np.ndarray, model: Grams = SPELLING) -> np.ndarray:
         """Of each packed gram's last character, 0 for grams of other parts."""
         if self.parts > 1:
-            own = np.flatnonzero(_part(grams >> np.uint64(16), self.parts) == self.part)
+            own = np.flatnonzero(_part(grams >> np.uint64(model.bits), self.parts, model) == self.part)
             out = np.zeros(len(grams), np.float32)
-            out[own] = self._find_all(language, grams[own])
+            out[own] = self._find_all(language, grams[own], model)
             return out
-        return self._find_all(language, grams)
+        return self._find_all(language, grams, model)
 
-    def _find_all(self, language: str, grams: np.ndarray) -> np.ndarray:
-        out = self.find(language, _PROBABILITY, ORDER, grams)
+    def _find_all(self, language: str, grams: np.ndarray, model: Grams) -> np.ndarray:
+        out = self.find(language, model.kind + _PROBABILITY, model.order, grams)
         todo = np.flatnonzero(np.isnan(out))
         paid = np.zeros(len(todo), np.float32)
-        for size in range(ORDER - 1, -1, -1):
+        for size in range(model.order - 1, -1, -1):
             if not len(todo):
                 break
             if size:  # from contexts of `size` characters to grams of `size`
-                context = (grams[todo] >> np.uint64(16)) & np.uint64((1 << 16 * size) - 1)
-                paid += np.nan_to_num(self.find(language, _BACKOFF, size, context))
-            gram = grams[todo] & np.uint64((1 << 16 * size) - 1)
-            value = self.find(language, _PROBABILITY, size, gram)
+                context = (grams[todo] >> np.uint64(model.bits)) & np.uint64(model.last(size))
+                paid += np.nan_to_num(self.find(language, model.kind + _BACKOFF, size, context))
+            gram = grams[todo] & np.uint64(model.last(size))
+            value = self.find(language, model.kind + _PROBABILITY, size, gram)
             value = np.where(np.isnan(value) & (size == 0), np.float32(-20), value)  # a language never counted
             done = ~np.isnan(value)
             out[todo[done]] = (value + paid)[done]
@@ -236,15 +308,31 @@ class Model(NamedTuple):
         return out
 
 
-def _part(contexts: np.ndarray, parts: int) -> np.ndarray:
-    return (contexts & np.uint64(0xFFFF)) % np.uint64(parts)
+def _part(contexts: np.ndarray, parts: int, model: Grams) -> np.ndarray:
+    """By the last two characters; the prime spreads the one before over the parts."""
+    before = (contexts >> np.uint64(model.bits)) & np.uint64(model.last(1))
+    return ((contexts & np.uint64(model.last(1))) * np.uint64(8191) + before) % np.uint64(parts)
+
+
+def _rows_of(model: Grams, part: int, parts: int) -> Column:
+    """Whether a row is of this model and part; what has less than two characters of context is in all."""
+    backoff = F.col("kind") == model.kind + _BACKOFF
+    context = F.when(backoff, F.col("gram")).otherwise(F.shiftrightunsigned("gram", model.bits))
+    everywhere = F.col("size") < F.when(backoff, 2).otherwise(3)
+    before = F.shiftrightunsigned(context, model.bits).bitwiseAND(model.last(1))
+    number = (context.bitwiseAND(model.last(1)) * 8191 + before) % parts
+    return (backoff | (F.col("kind") == model.kind + _PROBABILITY)) & (everywhere | (number == part))
+
+
+def part_count(model: DataFrame) -> int:
+    """How many parts the stored model takes."""
+    rows = model.agg(F.count_if(F.col("kind") < RUNNING.kind).alias("spelt"), F.count_if(F.col("kind") >= RUNNING.kind).alias("run")).first()
+    return max(1, -(-rows.spelt // MODEL_ROWS), -(-rows.run // RUNNING_ROWS))
 
 
 def load(model: DataFrame, part: int, parts: int) -> Model:
     """One part of the stored model as sorted hashes, on the driver."""
-    before = F.when(F.col("kind") == _BACKOFF, F.col("gram")).otherwise(F.shiftrightunsigned("gram", 16))
-    everywhere = (F.col("kind") == _PROBABILITY) & (F.col("size") < 2)
-    own = model.filter(everywhere | (before.bitwiseAND(0xFFFF) % parts == part))
+    own = model.filter(functools.reduce(Column.__or__, (_rows_of(m, part, parts) for m in _MODELS)))
     table = own.select("language", "kind", "size", "gram", F.col("value").cast("float")).toArrow()
     kind, size = table["kind"].to_numpy(), table["size"].to_numpy()
     gram, value = table["gram"].to_numpy().view(np.uint64), table["value"].to_numpy()
@@ -252,10 +340,11 @@ def load(model: DataFrame, part: int, parts: int) -> Model:
     number = language.indices.to_numpy(zero_copy_only=False)
     hashes = np.empty(len(gram), np.uint64)
     for n, name in enumerate(language.dictionary.to_pylist()):
-        for k in (_PROBABILITY, _BACKOFF):
-            for s in range(ORDER + 1):
-                rows = np.flatnonzero((number == n) & (kind == k) & (size == s))
-                hashes[rows] = _keys(name, k, s, gram[rows])
+        for m in _MODELS:
+            for k in (m.kind + _PROBABILITY, m.kind + _BACKOFF):
+                for s in range(m.order + 1):
+                    rows = np.flatnonzero((number == n) & (kind == k) & (size == s))
+                    hashes[rows] = _keys(name, k, s, gram[rows])
     order = np.argsort(hashes)
     return Model(hashes[order], value[order].astype(np.float32), part, parts)
 
@@ -267,3 +356,12 @@ def word_scores(model: Model, language: str, chunk: W.Chunk) -> tuple[np.ndarray
         return np.empty(0), spelt.words
     logs = model.log_probabilities(language, spelt.grams).astype(np.float64)
     return np.add.reduceat(logs, spelt.begins)[spelt.which], spelt.words
+
+
+def text_scores(model: Model, language: str, chunk: W.Chunk, found: W.Words) -> np.ndarray:
+    """The log probability of every text of a chunk as running text, 0 without words."""
+    grams, of = run(chunk, found)
+    distinct, which = np.unique(grams, return_inverse=True)
+    sums = np.zeros(len(grams) + 1)
+    np.cumsum(model.log_probabilities(language, distinct, RUNNING)[which], dtype=np.float64, out=sums[1:])
+    return sums[of[1:]] - sums[of[:-1]]

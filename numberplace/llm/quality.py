@@ -4,6 +4,8 @@ Base rules reject texts with few words or with many repeated ones. The rest is
 judged by the perplexity per word, spelt in characters, under a Kneser-Ney model of all
 texts (``perplexity``): each language has a lower and an upper bound, a number
 of robust deviations around the median of its texts that pass the base rules.
+A second model, of n-grams across words, sets another upper bound in the same way, which
+rejects words out of their order; it has no lower bound, since copies are well foreseen.
 
 A null text is an empty one, a null language a language of its own. Repeated
 rows are judged one by one. Columns of the input other than the named ones play
@@ -37,6 +39,7 @@ _SYMBOL = np.zeros(256, bool)
 _SYMBOL[list(b"#*$%&|<>")] = True
 _LINE = np.ones(256, bool)
 _LINE[0x0A] = False
+_LOG_SUMS = ("log_sum", "run_log_sum")
 _TEXT_KEY = "_numberplace_text_key"
 _COUNTS = ("n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words")
 
@@ -97,13 +100,13 @@ def count(chunk: W.Chunk, found: W.Words) -> Counts:
 def text_scores(
     df: DataFrame, model: P.Model, first: bool, id_columns: list[str], text: str, language: str
 ) -> DataFrame:
-    """Per row the counts and the summed log probability of its words under one model part."""
+    """Per row the counts and the summed log probabilities, of its words and as running text, under one model part."""
     sent = shared(df.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_model = sent()
         for batch in batches:
-            logs = np.zeros(len(batch))
+            logs, run_logs = np.zeros(len(batch)), np.zeros(len(batch))
             counts = np.zeros((len(_COUNTS), len(batch)), np.int64)
             for name, rows, column in P._by_language(batch, language, text):
                 for chunk in W.chunks(column):
@@ -112,14 +115,15 @@ def text_scores(
                     sums = np.zeros(len(values) + 1)
                     np.cumsum(values, out=sums[1:])
                     logs[own] = sums[found.of[1:]] - sums[found.of[:-1]]
+                    run_logs[own] = P.text_scores(own_model, name, chunk, found)
                     if first:
                         counts[:, own] = count(chunk, found)
-            done = [pa.array(logs)] + (list(map(pa.array, counts)) if first else [])
+            done = [pa.array(logs), pa.array(run_logs)] + (list(map(pa.array, counts)) if first else [])
             yield pa.RecordBatch.from_arrays([*map(batch.column, id_columns), batch.column(language), *done], names)
 
-    names = [*id_columns, language, "log_sum"] + (list(_COUNTS) if first else [])
+    names = [*id_columns, language, *_LOG_SUMS] + (list(_COUNTS) if first else [])
     types = dict(df.dtypes)
-    schema = ", ".join(f"`{c}` {types[c]}" for c in id_columns) + f", `{language}` string, log_sum double"
+    schema = ", ".join(f"`{c}` {types[c]}" for c in id_columns) + f", `{language}` string, " + ", ".join(f"{c} double" for c in _LOG_SUMS)
     if first:
         schema += ", " + ", ".join(f"{c} long" for c in _COUNTS)
     return df.select(*id_columns, language, text).mapInArrow(score, schema)
@@ -150,40 +154,45 @@ def quality_rules(
     ``perplexity`` is null for a text without words.
     """
     model = model if model is not None else P.fit(df, language, text)
-    parts = max(1, -(-model.count() // P.MODEL_ROWS))
+    parts = P.part_count(model)
     id_columns = [id_column] if parts == 1 else [id_column, _TEXT_KEY]
     texts = df if parts == 1 else _with_text_key(df, id_column, text, language)
     passes = [text_scores(texts, P.load(model, k, parts), k == 0, id_columns, text, language) for k in range(parts)]
     scored = passes[0]
     if parts > 1:
         sums = functools.reduce(DataFrame.unionByName, [
-            p.groupBy(_TEXT_KEY).agg(F.max("log_sum").alias("log_sum")) for p in passes])
-        sums = sums.groupBy(_TEXT_KEY).agg(F.sum("log_sum").alias("log_sum"))
-        scored = scored.drop("log_sum").join(sums, _TEXT_KEY)
+            p.groupBy(_TEXT_KEY).agg(*(F.max(c).alias(c) for c in _LOG_SUMS)) for p in passes])
+        sums = sums.groupBy(_TEXT_KEY).agg(*(F.sum(c).alias(c) for c in _LOG_SUMS))
+        scored = scored.drop(*_LOG_SUMS).join(sums, _TEXT_KEY)
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated_percent * F.col("n_words"))
     scored = stored(
         scored.withColumn("log_perplexity", -F.col("log_sum") / F.nullif(F.col("n_words"), F.lit(0)))
+        .withColumn("run_log_perplexity", -F.col("run_log_sum") / F.nullif(F.col("n_words"), F.lit(0)))
         .withColumn("base_failed", failed)
     )
-    bands = _bands(scored, language, below, above)
+    bands = _bands(scored, language, "log_perplexity", below, above)
+    limits = _bands(scored, language, "run_log_perplexity", below, above).select("_language", F.col("upper").alias("run_upper"))
+    inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper")) & (
+        F.col("run_log_perplexity") <= F.col("run_upper"))
     return (
         scored.withColumn("_language", F.coalesce(F.col(language), F.lit("")))
         .join(bands, "_language", "left")
+        .join(limits, "_language", "left")
         .select(
             id_column, *_COUNTS, "base_failed",
-            (~F.col("base_failed") & F.col("log_perplexity").between(F.col("lower"), F.col("upper"))).alias("kept"),
+            (~F.col("base_failed") & inside).alias("kept"),
             F.exp("log_perplexity").alias("perplexity"),
         )
     )
 
 
-def _bands(scored: DataFrame, language: str, below: float, above: float) -> DataFrame:
-    """(_language, lower, upper) in log perplexity, from the texts that pass the base rules; stored, a row per language."""
-    passed = scored.filter("NOT base_failed").select(F.coalesce(F.col(language), F.lit("")).alias("_language"), "log_perplexity")
-    middle = stored(passed.groupBy("_language").agg(F.percentile_approx("log_perplexity", 0.5, 10_000).alias("middle")))
+def _bands(scored: DataFrame, language: str, value: str, below: float, above: float) -> DataFrame:
+    """(_language, lower, upper) of ``value``, from the texts that pass the base rules; stored, a row per language."""
+    passed = scored.filter("NOT base_failed").select(F.coalesce(F.col(language), F.lit("")).alias("_language"), value)
+    middle = stored(passed.groupBy("_language").agg(F.percentile_approx(value, 0.5, 10_000).alias("middle")))
     spread = passed.join(middle, "_language").groupBy("_language").agg(
         F.first("middle").alias("middle"),
-        F.percentile_approx(F.abs(F.col("log_perplexity") - F.col("middle")), 0.5, 10_000).alias("deviation"),
+        F.percentile_approx(F.abs(F.col(value) - F.col("middle")), 0.5, 10_000).alias("deviation"),
     )
     deviation = F.greatest(1.4826 * F.col("deviation"), F.lit(LEAST_DEVIATION))
     return stored(spread.select("_language", (F.col("middle") - below * deviation).alias("lower"),

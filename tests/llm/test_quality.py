@@ -130,5 +130,53 @@ def test_bands_reject_strange_texts(spark):
     assert not found.pop(99) and all(found.values())
 
 
+def test_words_out_of_order_are_rejected(spark):
+    import random
+
+    rng = random.Random(5)
+    vocabulary = ["".join(rng.choice("abcdefghijklmnopqrstuvwxyz") for _ in range(rng.randint(2, 7))) for _ in range(200)]
+    after = {w: rng.sample(vocabulary, 3) for w in vocabulary}
+    texts = []
+    for _ in range(80):
+        own = [rng.choice(vocabulary)]
+        while len(own) < 100:
+            own.append(rng.choice(after[own[-1]]))
+        texts.append(own)
+    shuffled = rng.sample(texts[0], len(texts[0]))
+    rows = [(k, " ".join(own), "en") for k, own in enumerate([*texts, shuffled])]
+    found = {r.doc_id: r for r in quality_rules(spark.createDataFrame(rows, "doc_id long, text string, lang string")).collect()}
+    assert found[0].perplexity == pytest.approx(found[80].perplexity)
+    assert not found[80].base_failed and not found[80].kept
+    assert all(found[k].kept for k in range(80) if not found[k].base_failed)
+    assert sum(found[k].kept for k in range(80)) > 20
+
+
+def test_parts_of_the_models_add_up(awkward_docs):
+    model = P.fit(awkward_docs)
+    texts = P.pa.array([r.text for r in awkward_docs.filter("lang = 'en'").collect()] + ["never seen Ж 語"])
+    whole, parts = P.load(model, 0, 1), [P.load(model, k, 3) for k in range(3)]
+    assert all(len(p.hashes) < len(whole.hashes) for p in parts)
+    for chunk in P.W.chunks(texts):
+        grams = P.run(chunk, P.W.words(chunk))[0], P.spell(chunk).grams
+        for own, kind in zip(grams, (P.RUNNING, P.SPELLING), strict=True):
+            expected = whole.log_probabilities("en", own, kind)
+            assert sum(p.log_probabilities("en", own, kind) for p in parts) == pytest.approx(expected, rel=1e-5)
+            assert (expected < 0).all()
+
+
+def test_grams_of_running_text():
+    import pyarrow as pa
+
+    code = {"^": 0x09, "$": 0x0A}
+    for chunk in P.W.chunks(pa.array([None, " é  b\n", "", "abcdefg Ж", " "])):
+        grams, of = P.run(chunk, P.W.words(chunk))
+        own = ["".join(t) for t in ("^^^^^é b$", "^^^^^abcdefg Ж$")]
+        expected = [[t[k : k + 6] for k in range(len(t) - 5)] for t in own]
+        packed = [sum(int(P._squeezed(P.np.array([code.get(c, ord(c))]))[0]) << 10 * (5 - k) for k, c in enumerate(g))
+                  for t in expected for g in t]
+        assert grams.tolist() == packed
+        assert of.tolist() == [0, 0, 4, 4, 14, 14]
+
+
 def test_empty_table(awkward_docs):
     assert rows_of(quality_rules(awkward_docs.limit(0))) == []
