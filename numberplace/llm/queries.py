@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from numberplace.llm import id_files, line_runs, url_rules, warc
+from numberplace.llm import conversations, id_files, line_runs, url_rules, warc
 from numberplace.llm.decontaminate import item_matches
 from numberplace.llm.html_text import main_text
 from numberplace.llm.jaccard import jaccard_components
@@ -106,6 +106,27 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_digests(spark, path)
 
 
+def damaged(rows: DataFrame) -> DataFrame:
+    """Conversations with faults by a hash of id and turn; a dropped row stays as ``present`` = false.
+
+    0 drops a row, 1 empties its text, 2 takes out its sentence marks, 3 repeats it, 4 makes it a user's.
+    """
+    cell = lambda name: F.coalesce(F.col(name).cast("string"), F.lit(" "))
+    kind = F.crc32(F.concat_ws(":", cell("conv_id"), cell("turn"))) % 20
+    hit = rows.select("conv_id", "turn", cell("role").alias("role"), cell("text").alias("text"), kind.alias("kind"))
+    text = F.when(F.col("kind") == 1, "").when(F.col("kind") == 2, F.translate("text", ".!?", "")).otherwise(F.col("text"))
+    return hit.select(
+        "conv_id", "turn", F.when(F.col("kind") == 4, "user").otherwise(F.col("role")).alias("role"), text.alias("text"),
+        (F.col("kind") != 0).alias("present"), F.explode(F.sequence(F.lit(1), F.when(F.col("kind") == 3, 2).otherwise(1))).alias("copy"))
+
+
+def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Audits of damaged conversations, with the digests of the repaired ones."""
+    repair = conversations.repair_conversations(damaged(_table(spark, sf_dir, "conversations")), present=F.col("present"))
+    named = conversations.digests(repair.turns).withColumnRenamed("conv_id", "c")
+    return repair.audits.join(named, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -117,6 +138,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filters": op9_url_filters,
     "op10_token_ids": op10_token_ids,
+    "op12_conversation_repair": op12_conversation_repair,
 }
 
 #: Queries without SQL here are held against brute force in ``tests/llm``.
