@@ -13,6 +13,7 @@ from numberplace.llm.html_text import main_text
 from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.pieces_codec import piece_digests
 from numberplace.llm.quality import quality_rules
+from numberplace.llm.suffix_trees import delete_repeated_passages
 from numberplace.llm.toxicity import toxicity
 from numberplace.session import scratch_path
 
@@ -127,6 +128,12 @@ def op12_conversation_repair(spark: SparkSession, sf_dir: str) -> DataFrame:
     return repair.audits.join(named, F.col("conv_id").eqNullSafe(F.col("c"))).drop("c")
 
 
+def op13_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Words that stay after passages of 50 words which an earlier document holds have gone."""
+    deleted = delete_repeated_passages(_table(spark, sf_dir, "documents"))
+    return deleted.select("doc_id", "n_words", "n_removed", "kept_sha256")
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_toxicity": op2_toxicity,
@@ -139,6 +146,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_url_filters": op9_url_filters,
     "op10_token_ids": op10_token_ids,
     "op12_conversation_repair": op12_conversation_repair,
+    "op13_substring_dedup": op13_substring_dedup,
 }
 
 #: Queries without SQL here are held against brute force in ``tests/llm``.
