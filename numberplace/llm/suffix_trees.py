@@ -40,8 +40,8 @@ from numberplace.session import stored
 
 #: Words in a window and in an anchor's gram.
 WINDOW, GRAM = 50, 8
-#: Suffixes in a group that one task takes as a tree.
-GROUP_ROWS = 4_000
+#: Suffixes in a group that one task takes as a tree; some 150 MB of arrays.
+GROUP_ROWS = 32_000
 #: Suffixes that a task sorts together, of one or of many groups.
 TREE_ROWS = 20_000
 
