@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from numberplace.llm import conversations, id_files, line_runs, url_rules, warc
+from numberplace.llm import conversations, id_files, line_runs, phrase_graph, url_rules, warc
 from numberplace.llm.decontaminate import item_matches
 from numberplace.llm.html_text import main_text
 from numberplace.llm.jaccard import jaccard_components
@@ -107,6 +107,11 @@ def op10_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     return id_files.read_digests(spark, path)
 
 
+def op11_phrase_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of two and three words of each language."""
+    return phrase_graph.collocations(_table(spark, sf_dir, "documents"))
+
+
 def damaged(rows: DataFrame) -> DataFrame:
     """Conversations with faults by a hash of id and turn; a dropped row stays as ``present`` = false.
 
@@ -145,6 +150,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_decontamination": op8_decontamination,
     "op9_url_filters": op9_url_filters,
     "op10_token_ids": op10_token_ids,
+    "op11_phrase_collocations": op11_phrase_collocations,
     "op12_conversation_repair": op12_conversation_repair,
     "op13_substring_dedup": op13_substring_dedup,
 }
@@ -166,4 +172,5 @@ _WARC_SQL = f"""
 ORACLE_SQL: dict[str, str] = {
     "op3_warc": _WARC_SQL,
     "op4_line_dedup": line_runs.oracle_sql(),
+    "op11_phrase_collocations": phrase_graph.oracle_sql(),
 }
