@@ -7,6 +7,7 @@ province and city exactly instead.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Mapping, Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -48,6 +49,13 @@ def as_number(text: Column) -> Column:
     return F.when(text.rlike(r"^\s*[+-]?[0-9]+\s*$"), text).try_cast("bigint")
 
 
+def number_of(value: object) -> int | None:
+    """What ``as_number`` makes of one value."""
+    found = re.fullmatch(r"[ \t\n\v\f\r]*([+-]?[0-9]+)[ \t\n\v\f\r]*", "" if value is None else str(value))
+    number = int(found[1]) if found else None
+    return number if number is not None and -(2**63) <= number < 2**63 else None
+
+
 def with_number(df: DataFrame, record_id: str = "record_id") -> DataFrame:
     """Add the record id as a number. It serves the order only.
 

@@ -12,7 +12,11 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from numberplace.functions.match import NUMBER, as_number, plain_columns
+from numberplace.functions.match import NUMBER, number_of, plain_columns
+
+
+#: Characters of a text that tell rows apart when they are dealt out by range.
+RANGE_WIDTH = 32
 
 
 def _names(df: DataFrame, id_column: str) -> list[str]:
@@ -33,6 +37,26 @@ def record_order(df: DataFrame, id_column: str = "record_id", record: str | None
     return [c.asc_nulls_last() for c in (F.col(NUMBER), *cells)]
 
 
+def range_order(df: DataFrame, id_column: str = "record_id", record: str | None = None) -> list[Column]:
+    """Sort columns of a fixed width that agree with ``record_order``: the beginnings of texts.
+
+    Rows that agree in them belong together; only up to the first column whose
+    values have no fixed width or beginning.
+    """
+    out = [F.col(NUMBER).asc_nulls_last()]
+    for name in _names(df, id_column):
+        kind = df.schema[name].dataType
+        cell = F.col(f"`{name}`") if record is None else F.col(record).getField(name)
+        if isinstance(kind, T.StringType):
+            cell = F.substring(cell, 1, RANGE_WIDTH)
+        elif not isinstance(kind, (T.NumericType, T.DatetimeType, T.BooleanType)):
+            break
+        out.append(cell.asc_nulls_last())
+        if isinstance(kind, T.StringType) and type(kind) is not T.StringType:
+            break  # of another collation
+    return out
+
+
 def _holds_map(kind: T.DataType) -> bool:
     if isinstance(kind, T.ArrayType):
         return _holds_map(kind.elementType)
@@ -44,17 +68,19 @@ def _holds_map(kind: T.DataType) -> bool:
 def from_row(df: DataFrame, row: Mapping, id_column: str = "record_id") -> Column:
     """``row`` itself, its copies, and the rows that come after it in the record order.
 
-    The bound on ``record_no`` stands in front by itself: where that is a stored
-    column, the bound is pushed into the scan. The other columns are compared
+    The bound on the number stands in front by itself: where that is a stored
+    column, the bound is pushed into the scan. The number is asked for as seldom as
+    can be, since a filter works it out anew each time. The other columns are compared
     for equal numbers only, as structs, which compare field by field; the null
     flag before each field puts nulls last.
     """
     number = F.col(NUMBER)
-    bound = as_number(_cell(df, id_column, row).cast("string"))
+    bound = number_of(row[id_column])
     names = _names(df, id_column)
-    tie = _flagged([F.col(name) for name in names]) >= _flagged([_cell(df, name, row) for name in names])
-    later = (number > bound) | (number.isNull() & bound.isNotNull())
-    return (number.isNull() | (number >= bound)) & (later | (number.eqNullSafe(bound) & tie))
+    tie = _flagged([F.col(f"`{name}`") for name in names]) >= _flagged([_cell(df, name, row) for name in names])
+    if bound is None:
+        return number.isNull() & tie
+    return (number.isNull() | (number >= bound)) & (~number.eqNullSafe(bound) | tie)
 
 
 def _cell(df: DataFrame, name: str, row: Mapping) -> Column:

@@ -16,7 +16,9 @@ _SEQUENCE = "_sequence"
 _PART = "_part"
 
 
-def number_rows(rows: DataFrame, group: Sequence[str], order: Sequence[Column]) -> DataFrame:
+def number_rows(
+    rows: DataFrame, group: Sequence[str], order: Sequence[Column], ranges: Sequence[Column] | None = None
+) -> DataFrame:
     """Number ``rows`` from 0 within ``group`` by ``order``, identical rows merged.
 
     Adds ``start_position``, the number of the first copy of the row, and
@@ -27,14 +29,16 @@ def number_rows(rows: DataFrame, group: Sequence[str], order: Sequence[Column])
     leaves no two rows with the same sort key, hence no range that cannot be
     split; the merge is combined on the map side.
 
-    ``group`` columns hold no nulls; ``order`` only ties on identical rows. The ranged rows are
-    stored once, because both later steps have to see the same partitions.
+    ``group`` columns hold no nulls; ``order`` only ties on identical rows. ``ranges`` are
+    narrower columns that agree with it: a range partitioning samples its keys to the
+    driver, so they should not hold whole rows. The ranged rows are stored once, because
+    both later steps have to see the same partitions.
     """
     merged = rows.groupBy(*rows.columns).agg(F.count(F.lit(1)).alias(COPIES))
-    keys = [*(F.col(c).asc_nulls_last() for c in group), *order]
+    groups = [F.col(c).asc_nulls_last() for c in group]
     ranged = stored(
-        merged.repartitionByRange(*keys)
-        .sortWithinPartitions(*keys)
+        merged.repartitionByRange(*groups, *(ranges or order))
+        .sortWithinPartitions(*groups, *order)
         .withColumn(_SEQUENCE, F.monotonically_increasing_id())
     ).withColumn(_PART, F.shiftright(_SEQUENCE, 33))  # the partition half of the id
 

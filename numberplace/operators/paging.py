@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
+import math
 from collections.abc import Mapping, Sequence
+from typing import NamedTuple
 
-from pyspark.sql import Column, DataFrame, Observation, Row, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from numberplace import schema as S
@@ -15,16 +17,18 @@ from numberplace.functions.match import (
     plain_columns,
     with_number,
 )
-from numberplace.functions.ordering import from_row, record_order
+from numberplace.functions.ordering import from_row, range_order, record_order
 from numberplace.operators.numbering import cut, number_rows
 from numberplace.session import stored
 
-# A page that ends within so many rows is taken straight from a top-k.
+# A page that ends within so many rows needs no exact start.
 DIRECT_ROWS = 1_000
-# Rows that all tasks together may send to the merge of a top-k.
-MERGE_ROWS = 1_000_000
-# A deeper page is narrowed down until so few rows can be on it.
+# More rows than these around a page are numbered by a range sort.
 CANDIDATE_ROWS = 100_000
+# The sketch of the record numbers errs by one of so many rows at most.
+ACCURACY = 25_000
+# Marks that are read off the sketch, evenly and, close to both ends, by doubling.
+_EVEN_MARKS = 512
 _BUCKET_BITS = 12
 
 # The rows on a page, worked out from the total alone.
@@ -126,44 +130,40 @@ def cursor(page: Sequence[Row], previous: tuple[Row, int] | None = None) -> tupl
 def cut_page(rows: DataFrame, offset: int, limit: int, id_column: str = "record_id") -> DataFrame:
     """Rows ``offset`` to ``offset + limit`` of ``rows`` in record order.
 
-    Near pages are one top-k pass. Every task sends up to offset + limit rows,
-    which meet in groups of tasks first, so that a single merge gets no more than
-    ``MERGE_ROWS`` however many tasks there are.
-
-    For deep pages the page is first located by its record numbers: histograms
-    of the number, a few thousand counts each, give the exact range of numbers
-    that holds the page and the rows before it. Only that range is read with
-    all its columns. Where numbers cannot separate rows, because they repeat or
-    the ids are no numbers, the rest is numbered with a range sort.
+    A first pass folds the record numbers into a quantile sketch, whose tasks'
+    parts merge and whose rank error has a bound. It gives a number that the page
+    surely ends before; a near page is the top-k of the rows up to there, so a task
+    keeps a heap of the few that remain, and nothing is sorted.
+
+    For a deep page the sketch also gives a number that the page surely starts
+    behind. A second pass counts the rows before that one and takes a histogram in
+    between, a few thousand counts, which give the exact range of numbers that holds
+    the page; the third pass reads that range alone. Where numbers cannot separate
+    rows, because they repeat or the ids are no numbers, the rest is numbered with a
+    range sort.
     """
-    end = offset + limit
     rows = with_number(rows, id_column)
-    packed, order = _packed(rows), record_order(rows, id_column, "record")
-    if end <= DIRECT_ROWS:
-        group = F.expr(f"pmod(spark_partition_id(), {max(1, MERGE_ROWS // end)})")
-        within = Window.partitionBy("task_group").orderBy(*order)
-        nearest = packed.withColumn("task_group", group).withColumn("rank", F.row_number().over(within))
-        near = nearest.filter(F.col("rank") <= end).drop("rank", "task_group")
-        return near.orderBy(*order).offset(offset).limit(limit).select("record.*")
-
-    return _deep_page(rows, offset, limit, id_column, _locate(rows, offset, limit))
-
-
-def _packed(rows: DataFrame) -> DataFrame:
-    """The caller's columns as one struct, ``record``, beside the record number."""
-    return rows.select(F.struct(*(F.col(f"`{c}`") for c in plain_columns(rows))).alias("record"), NUMBER)
+    return _page(rows, offset, limit, id_column, _sketch(rows))
 
 
-def _deep_page(rows: DataFrame, offset: int, limit: int, id_column: str, place: tuple[Column, int, int]) -> DataFrame:
-    inside, skip, size = place
+def _page(rows: DataFrame, offset: int, limit: int, id_column: str, sketch: Sketch) -> DataFrame:
+    if offset + limit <= DIRECT_ROWS:
+        inside, skip, size = sketch.near(offset + limit), offset, 0
+    else:
+        inside, skip, size = _locate(rows, offset, limit, sketch)
     order = record_order(rows, id_column, "record")
     candidates = _packed(rows.filter(inside))
     if size > CANDIDATE_ROWS:
-        candidates = cut(number_rows(candidates, [], order), F.lit(skip), F.lit(skip + limit))
-        return candidates.orderBy(*order).select("record.*")
+        numbered = number_rows(candidates, [], order, range_order(rows, id_column, "record"))
+        return cut(numbered, F.lit(skip), F.lit(skip + limit)).orderBy(*order).select("record.*")
     return candidates.orderBy(*order).offset(skip).limit(limit).select("record.*")
 
 
+def _packed(rows: DataFrame) -> DataFrame:
+    """The caller's columns as one struct, ``record``, beside the record number."""
+    return rows.select(F.struct(*(F.col(f"`{c}`") for c in plain_columns(rows))).alias("record"), NUMBER)
+
+
 def lookup(
     df: DataFrame,
     location: str,
@@ -175,23 +175,15 @@ def lookup(
 ) -> DataFrame:
     """The envelope of a page with its ``records``, an array in record order: one row.
 
-    The count comes from the pass that finds a near page, or from the one that
-    locates a deep page. A limit of 0 has no bound on its rows and is refused;
-    ``page_rows`` and ``page_summary`` serve it.
+    The count comes from the pass that takes the sketch. A limit of 0 has no bound
+    on its rows and is refused; ``page_rows`` and ``page_summary`` serve it.
     """
     check_request(location, field, offset, limit, fields)
     if limit == 0:
         raise ValueError("records come as an array for a limit above 0 only")
     rows = with_number(df.filter(match_predicate(df, location, field, fields)), id_column)
-    if offset + limit <= DIRECT_ROWS:
-        counted = Observation()
-        page = stored(cut_page(rows.observe(counted, F.count(F.lit(1)).alias("total")), offset, limit, id_column))
-        total = counted.get["total"]
-    else:
-        whole = _extent(rows)
-        total = whole.rows
-        place = _locate(rows, offset, limit, whole)
-        page = stored(_deep_page(rows, offset, limit, id_column, place))
+    sketch = _sketch(rows)
+    page = stored(_page(rows, offset, limit, id_column, sketch))
     numbered = with_number(page, id_column)
     cells = F.struct(F.row_number().over(Window.orderBy(*record_order(numbered, id_column))).alias("at"),
                      F.struct(*(F.col(f"`{c}`") for c in page.columns)).alias("record"))
@@ -200,7 +192,7 @@ def lookup(
     return records.select(
         F.lit(location.strip()).alias("location"),
         F.lit(field or S.ALL_FIELDS_LABEL).alias("field"),
-        F.lit(total).cast("bigint").alias("total"),
+        F.lit(sketch.rows).cast("bigint").alias("total"),
         F.lit(offset).cast("bigint").alias("offset"),
         F.lit(limit).cast("bigint").alias("limit"),
         F.transform("cells", lambda cell: cell.record).alias("records"),
@@ -208,50 +200,76 @@ def lookup(
         "location", "field", "total", "offset", "returned", "offset + returned < total AS has_more", "records")
 
 
-def _extent(rows: DataFrame) -> Row:
+class Sketch(NamedTuple):
+    """How many rows there are, how many have a number, and numbers at known shares of these.
+
+    Each of ``marks`` (share, number) has a rank within ``error`` of its share of the rows.
+    """
+
+    rows: int
+    numbered: int
+    marks: list[tuple[float, int]]
+    error: float
+
+    def near(self, end: int) -> Column:
+        """A filter that lets the first ``end`` rows through."""
+        return F.col(NUMBER) <= self.above(end) if end <= self.numbered else F.lit(True)
+
+    def above(self, rank: int) -> int:
+        """A number with at least ``rank`` rows up to it."""
+        surely = (number for share, number in self.marks if math.floor((share - self.error) * self.numbered) >= rank)
+        return next(surely, self.marks[-1][1])
+
+    def below(self, rank: int) -> int:
+        """A number with at most ``rank`` rows before it."""
+        surely = [number for share, number in self.marks if math.ceil((share + self.error) * self.numbered) <= rank]
+        return surely[-1] if surely else self.marks[0][1]
+
+
+def _shares() -> list[float]:
+    """0, 1 and the shares between at which numbers are read off the sketch."""
+    ends = [4 * 2**k / ACCURACY for k in range(64) if 4 * 2**k < ACCURACY // 2]
+    return sorted({k / _EVEN_MARKS for k in range(_EVEN_MARKS + 1)} | set(ends) | {1 - share for share in ends})
+
+
+def _sketch(rows: DataFrame) -> Sketch:
+    """One pass over the record numbers alone."""
+    shares = _shares()
+    # The sketch's shares need not reach the outermost numbers, hence both ends by themselves.
+    quantiles = F.expr(f"percentile_approx(`{NUMBER}`, array({', '.join(f'{share!r}D' for share in shares)}), {ACCURACY})")
     number = F.col(NUMBER)
-    return rows.agg(
-        F.count(F.lit(1)).alias("rows"),
-        F.count(number).alias("numbered"),
-        F.min(number).alias("low"),
-        F.max(number).alias("high"),
-    ).first()
+    found = rows.agg(F.count(F.lit(1)).alias("rows"), F.count(number).alias("numbered"), F.min(number).alias("low"),
+                     F.max(number).alias("high"), quantiles.alias("marks")).first()
+    inner = list(zip(shares, found.marks or []))[1:-1]
+    marks = [(0.0, found.low), *inner, (1.0, found.high)] if found.numbered else []
+    # Twice the stated error, as merged sketches are allowed to round.
+    return Sketch(found.rows, found.numbered, marks, 2 / ACCURACY)
 
 
-def _locate(rows: DataFrame, offset: int, limit: int, whole: Row | None = None) -> tuple[Column, int, int]:
+def _locate(rows: DataFrame, offset: int, limit: int, sketch: Sketch) -> tuple[Column, int, int]:
     """Where a page lies: a filter on the number, the rows to skip inside, their count."""
     number = F.col(NUMBER)
-    whole = whole or _extent(rows)
-    unnumbered = whole.rows - whole.numbered
-    end = min(offset + limit, whole.rows)
+    unnumbered = sketch.rows - sketch.numbered
+    end = min(offset + limit, sketch.rows)
     if offset >= end:
         return F.lit(False), 0, 0
-    if offset >= whole.numbered:  # rows without a number come last
-        return number.isNull(), offset - whole.numbered, unnumbered
-
-    low, high, skip, size = whole.low, whole.high, offset, whole.numbered
-    while size > CANDIDATE_ROWS and low < high:
-        # A right shift keeps the order and cannot overflow.
-        shift = max(0, (high - low).bit_length() - _BUCKET_BITS)
-        buckets = (
-            rows.filter(number.between(low, high))
-            .groupBy(F.shiftright(number, shift).alias("bucket"))
-            .count()
-            .collect()  # at most 2 ** 12 + 1 rows
-        )
-        first, last, skip, size = _overlap(sorted(buckets), skip, limit)
-        narrowed = max(low, first << shift), min(high, (last + 1 << shift) - 1)
-        if narrowed == (low, high):
-            break
-        low, high = narrowed
-
-    inside = number.between(low, high)
-    if end > whole.numbered:
+    if offset >= sketch.numbered:  # rows without a number come last
+        return number.isNull(), offset - sketch.numbered, unnumbered
+
+    low, high = sketch.below(offset), sketch.above(min(end, sketch.numbered))
+    # A right shift keeps the order and cannot overflow.
+    shift = max(0, (high - low).bit_length() - _BUCKET_BITS)
+    bucket = F.when(number >= low, F.shiftright(number, shift))
+    counts = rows.filter(number <= high).groupBy(bucket.alias("bucket")).count().collect()  # at most 2 ** 12 + 2 rows
+    before = sum(row[1] for row in counts if row.bucket is None)
+    first, last, skip, size = _overlap(sorted(tuple(row) for row in counts if row.bucket is not None), offset - before, limit)
+    inside = number.between(max(low, first << shift), min(high, (last + 1 << shift) - 1))
+    if end > sketch.numbered:
         return inside | number.isNull(), skip, size + unnumbered
     return inside, skip, size
 
 
-def _overlap(buckets: Sequence[Row], skip: int, limit: int) -> tuple[int, int, int, int]:
+def _overlap(buckets: Sequence[tuple[int, int]], skip: int, limit: int) -> tuple[int, int, int, int]:
     """First and last bucket of a page, the rows to skip in them, and their rows."""
     position, before, size, touched = 0, 0, 0, []
     for bucket, rows in buckets:

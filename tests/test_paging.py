@@ -1,8 +1,9 @@
 import pytest
 from pyspark.sql import functions as F
+from pyspark.sql.classic.dataframe import DataFrame
 
-from numberplace.functions.match import with_keys, with_number
-from numberplace.functions.ordering import record_order
+from numberplace.functions.match import NUMBER, number_of, with_keys, with_number
+from numberplace.functions.ordering import range_order, record_order
 from numberplace.operators import paging
 from numberplace.operators.numbering import cut, number_rows
 from numberplace.operators.paging import cursor, find_records, lookup, page_after, page_rows, page_summary
@@ -35,12 +36,13 @@ def texts(rows):
 PAGES = [(0, 100), (7, 1), (90, 60), (250, 100), (0, 10_000), (5_000, 10), (1_100, 50)]
 
 
-@pytest.mark.parametrize(("direct", "candidates"), [(True, 100_000), (False, 100_000), (False, 60), (False, 1)])
+@pytest.mark.parametrize(("direct", "candidates", "accuracy"),
+                         [(True, 100_000, 20), (False, 60, 25_000), (False, 1, 50)])
 @pytest.mark.parametrize("table", ["records", "awkward"])
-def test_pages_are_slices_of_the_ordered_match(request, monkeypatch, table, candidates, direct):
+def test_pages_are_slices_of_the_ordered_match(request, monkeypatch, table, candidates, direct, accuracy):
     monkeypatch.setattr(paging, "DIRECT_ROWS", 1_000 if direct else 0)
     monkeypatch.setattr(paging, "CANDIDATE_ROWS", candidates)
-    monkeypatch.setattr(paging, "MERGE_ROWS", 150)
+    monkeypatch.setattr(paging, "ACCURACY", accuracy)
     df = request.getfixturevalue(table)
     expected = in_order(find_records(df, "广东").collect())
     for offset, limit in PAGES if not direct else PAGES[:4]:
@@ -110,9 +112,47 @@ def test_envelope_of_nothing(records):
     assert tuple(row) == ("nowhere", "all-attribution-fields", 0, 0, 0, False)
 
 
-def test_near_page_is_one_top_k(records):
+def test_near_page_is_a_heap_of_the_rows_up_to_a_bound(records):
     plan = page_rows(records, "广州", "city", 200, 100)._jdf.queryExecution().executedPlan().toString()
-    assert "TakeOrderedAndProject" in plan and "WindowGroupLimit" in plan and "Coalesce" not in plan
+    assert "TakeOrderedAndProject" in plan and "<= " in plan
+    assert not any(word in plan for word in ("Sort ", "Window", "Exchange hashpartitioning", "Coalesce"))
+
+
+def test_rows_that_stay_behind_the_bound(spark):
+    """What the sketch leaves of a million rows for a page of 100."""
+    rows = with_number(spark.range(0, 1_000_000, 1, 8).selectExpr("CAST(id * 7919 % 1000003 AS string) AS record_id"))
+    sketch = paging._sketch(rows)
+    assert 100 <= rows.filter(sketch.near(100)).count() <= 1_000
+    low, high = sketch.below(500_000), sketch.above(500_100)
+    assert rows.filter(F.col(NUMBER) < low).count() <= 500_000 < 500_100 <= rows.filter(F.col(NUMBER) <= high).count()
+    assert rows.filter(F.col(NUMBER).between(low, high)).count() < 1_000_000 / 200
+
+
+def test_numbers_of_single_values(spark):
+    values = ["12", " +7\t", "-0", "", " ", "1.5", "x1", "９", "9223372036854775807", "9223372036854775808", "-9223372036854775808", "1\n", "\u00a05", None]
+    df = spark.createDataFrame([(v,) for v in values], "record_id string")
+    assert [number_of(r.record_id) for r in df.collect()] == [r[0] for r in with_number(df).select(NUMBER).collect()]
+
+
+def test_a_deep_page_takes_three_scans(spark, monkeypatch):
+    """Ids of 40 bits, three quarters of them close together."""
+    df = spark.range(0, 200_000, 1, 4).selectExpr(
+        "CAST(IF(id % 4 = 0, id * 5497558, 549755813888 + id) AS string) AS record_id", "'a' AS city")
+    jobs = []
+    collect = DataFrame.collect
+    monkeypatch.setattr(DataFrame, "collect", lambda self: jobs.append(1) or collect(self))
+    page = page_rows(df, "a", "city", 120_000, 50, ["city"])
+    assert len(jobs) == 2  # the sketch and the histogram; the page itself is the third
+    plan = page._jdf.queryExecution().executedPlan().toString()
+    assert "TakeOrderedAndProject" in plan
+    ids = sorted(549755813888 + k if k % 4 else k * 5497558 for k in range(200_000))
+    assert [int(r.record_id) for r in page.toLocalIterator()] == ids[120_000:120_050]
+
+
+def test_range_keys_hold_no_whole_rows(spark):
+    wide = with_number(spark.createDataFrame([("x", "a" * 1_000, [1])], "record_id string, text string, list array<int>"))
+    taken = [str(c) for c in range_order(wide)]
+    assert len(taken) == 3 and all("substring" in c for c in taken[1:])
 
 
 def test_row_numbers_of_groups_with_copies(spark, awkward):
