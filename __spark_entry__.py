@@ -10,6 +10,7 @@ they are.
 
 from __future__ import annotations
 
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
@@ -17,24 +18,24 @@ from pyspark.sql import functions as F
 
 from numberplace import schema as S
 from numberplace.functions.match import NUMBER, key_column, sql_text, with_keys
-from numberplace.operators.bulk import bulk_lookup_rows, bulk_lookup_summary
+from numberplace.operators.bulk import bulk_lookup_answers, bulk_lookup_rows, bulk_lookup_summary
 from numberplace.operators.counts import pair_count, place_counts
 from numberplace.operators.paging import cursor, find_records, lookup, page_after, page_rows, page_summary
-from numberplace.operators.profile import column_profile, load_profile
+from numberplace.operators.profile import column_profile, file_profile, load_profile
 from numberplace.operators.sampling import sample_exact, sample_native
 from numberplace.plans.jobs import pair_result, report, result_lines, sample_result
 from numberplace.session import scratch_path
 from numberplace.sources.csv_files import load_csv, write_csv
 from numberplace.sources.generate import generate, records_from
 from numberplace.sources.results import latest, read_result, write_result
-from numberplace.sources.tables import read_table, write_table
+from numberplace.sources.tables import cached, read_table, write_table
 
 try:
     import corpus_pipeline
     from numberplace.llm import queries as _llm
 except ModuleNotFoundError as error:
     # The subpackage may have been taken out; anything else that is missing is a fault.
-    if error.name not in ("corpus_pipeline", "numberplace.llm"):
+    if error.name != "corpus_pipeline" and not (error.name or "").startswith("numberplace.llm"):
         raise
     _llm = None
 
@@ -142,6 +143,54 @@ def load_profile_missing_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     return load_profile(spark, path, "records", written_here=True).drop("service", "master", "data_path")
 
 
+def load_profile_absent(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """An input for each nation of which none is there: reported, not raised."""
+    path = scratch_path(spark)
+    states = [load_profile(spark, f"{path}/{row.r_name}", row.r_name) for row in _table(spark, sf_dir, "region").collect()]
+    every = functools.reduce(DataFrame.unionByName, states)
+    return every.select("service", "ready", "records_loaded", F.contains("error", F.lit("PATH_NOT_FOUND")).alias("absent"))
+
+
+def file_profiles(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A folder of two CSV files of records, one by line and one by order, and one of customers."""
+    path = scratch_path(spark)
+    parts = {"lines": _line_records(spark, sf_dir), "orders": _order_records(spark, sf_dir), "customers": _table(spark, sf_dir, "customer")}
+    for name, df in parts.items():
+        write_csv(df.coalesce(1), f"{path}/{name}")
+    found = file_profile(spark, [f"{path}/{name}" for name in parts], written_here=True)
+    return found.withColumn("file", F.regexp_extract("file", "([a-z]+)/[^/]+$", 1))
+
+
+def cached_count(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A table that is kept, counted while it is loaded, and asked twice."""
+    kept, rows = cached(_line_records(spark, sf_dir))
+    try:
+        cities = kept.groupBy("city").count().collect()
+        pair = pair_count(kept).first()
+    finally:
+        kept.unpersist()
+    return spark.createDataFrame(
+        [(row.city, row["count"], rows, pair.match_count) for row in cities], "city string, records long, loaded long, pair long")
+
+
+def generate_refused(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """As many records as each region's key less two: none or fewer are refused, not made."""
+    states = []
+    for row in _table(spark, sf_dir, "region").select((F.col("r_regionkey") - 2).alias("asked")).collect():
+        try:
+            states.append((row.asked, generate(spark, row.asked).count(), None))
+        except ValueError as error:
+            states.append((row.asked, 0, str(error)))
+    return spark.createDataFrame(states, "asked long, made long, error string")
+
+
+def bulk_answers(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The pages of the customers' different requests, with the number of requests that share each."""
+    answers, members = bulk_lookup_answers(_line_records(spark, sf_dir), _customer_requests(spark, sf_dir))
+    shared = members.groupBy("answer_id").agg(F.count("*").alias("requests"))
+    return answers.join(shared, "answer_id").select("answer_id", "requests", "position", "record_id", "phone_number", "city")
+
+
 def keyed_records(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Records with their stored keys and numbers, under names of this query's own."""
     named = {key_column(field): f"{field}_key" for field in S.SEARCH_FIELDS} | {NUMBER: "record_no"}
@@ -248,6 +297,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "bulk_lookup_rows_deep": lambda s, d: bulk_lookup_rows(lines(s, d), _nation_requests(s, d)),
         "bulk_lookup_rows_unlimited": lambda s, d: bulk_lookup_rows(lines(s, d), _region_requests(s, d)),
         "bulk_lookup_rows_own_names": bulk_lookup_rows_own_names,
+        "bulk_lookup_answers": bulk_answers,
         "bulk_lookup_summary_errors": lambda s, d: bulk_lookup_summary(lines(s, d), _faulty_requests(s, d)),
         "lookup_page": lookup_page,
         "lookup_page_deep": lambda s, d: lookup_page(s, d, 2_000, 500),
@@ -259,6 +309,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "column_profile": lambda s, d: column_profile(lines(s, d)),
         "load_profile": csv_load_profile,
         "load_profile_missing_columns": load_profile_missing_columns,
+        "load_profile_absent": load_profile_absent,
+        "file_profile": file_profiles,
+        "cached_count": cached_count,
+        "generate_refused": generate_refused,
         "result_lines": count_lines,
         "sample_exact": lambda s, d: sample_exact(_sampling_ids(s, d), _POINTS, id_column="s_suppkey"),
         "sample_native": lambda s, d: sample_native(_sampling_ids(s, d), _POINTS, id_column="s_suppkey"),
@@ -500,6 +554,25 @@ def oracle_sql() -> dict[str, str]:
         "bulk_lookup_rows_own_names": "SELECT *, " + ", ".join(
             f"'{name} ' || record_id AS \"{name}\"" for name in _OWN_NAMES
         ) + f" FROM ({_bulk_sql(_CUSTOMER_REQUESTS)})",
+        "bulk_lookup_answers": f"""
+            WITH same AS (
+              SELECT min(request_id) AS answer_id, count(*) AS requests FROM ({_CUSTOMER_REQUESTS}) AS requests
+              GROUP BY field, lower(location), "offset", "limit")
+            SELECT answer_id, requests, position, record_id, phone_number, city
+            FROM same JOIN ({_bulk_sql(_CUSTOMER_REQUESTS)}) AS pages ON answer_id = request_id""",
+        "load_profile_absent": """
+            SELECT r_name AS service, false AS ready, CAST(0 AS BIGINT) AS records_loaded, true AS absent FROM region""",
+        "file_profile": f"""
+            SELECT 'lines' AS file, true AS ready, CAST(NULL AS VARCHAR) AS error, count(*) AS records_loaded, {profile} FROM ({_LINES})
+            UNION ALL SELECT 'orders', true, NULL, count(*), {profile} FROM ({_ORDERS})
+            UNION ALL SELECT 'customers', false, {_quoted(f"input lacks columns: {sorted(S.COLUMNS)}")}, 0,
+                   {", ".join("NULL" for _ in range(2 * len(S.COLUMNS)))}""",
+        "cached_count": f"""
+            SELECT city, count(*) AS records, (SELECT count(*) FROM lineitem) AS loaded,
+                   (SELECT count(*) FILTER ({pair}) FROM ({_LINES})) AS pair FROM ({_LINES}) GROUP BY city""",
+        "generate_refused": """
+            SELECT CAST(r_regionkey - 2 AS BIGINT) AS asked, CAST(greatest(r_regionkey - 2, 0) AS BIGINT) AS made,
+                   CASE WHEN r_regionkey <= 2 THEN 'the number of rows must be greater than 0' END AS error FROM region""",
         "bulk_lookup_summary_errors": _FAULTY_SUMMARY,
         "lookup_page": _lookup_sql(200, 50),
         "lookup_page_deep": _lookup_sql(2_000, 500),

@@ -124,6 +124,12 @@ def pair_predicate(
     return (F.col(columns[0]) == province) & (F.col(columns[1]) == city)
 
 
+def key_cells(df: DataFrame, fields: Sequence[str]) -> dict[str, Column]:
+    """The comparison keys of ``fields``, stored ones where ``df`` has them."""
+    stored = _marked(df, KEY_OF)
+    return {name: F.col(stored[name]) if name in stored else cell_key(name) for name in fields}
+
+
 def match_predicate(
     df: DataFrame,
     location: str,
@@ -134,11 +140,9 @@ def match_predicate(
 
     A field is searched through its stored key where ``df`` has one.
     """
-    stored, key = _marked(df, KEY_OF), F.lit(normalise(location))
-    wanted = fields if field is None else (field,)
-    cells = {name: F.col(stored[name]) if name in stored else cell_key(name) for name in wanted}
+    key = F.lit(normalise(location))
     predicate = F.lit(False)
-    for cell in cells.values():
+    for cell in key_cells(df, fields if field is None else (field,)).values():
         predicate = predicate | (cell == key)
     return predicate
 

@@ -8,9 +8,10 @@ What a record answers depends on its search fields alone, so records are first
 counted by the combination of those cells, which is combined on the map side.
 The combinations, not the records, are then spread into (field, key) entries, one
 per named field and one under ``*`` for each *different* key, so that a record
-meets an any-field request once even when two of its fields agree. Entries that no
-request looks for are dropped at once, and only records whose combination is
-asked for are read with all their columns.
+meets an any-field request once even when two of its fields agree. Requests come
+first: records that hold none of their keys are passed over before anything is
+grouped, entries that no request looks for are dropped at once, and only records
+whose combination is asked for are read with all their columns.
 
 A record travels as one struct to the end, so its columns may have any names but
 those of the two that a page adds.
@@ -20,6 +21,7 @@ from __future__ import annotations
 
 import functools
 from collections.abc import Sequence
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, Observation, Window
 from pyspark.sql import functions as F
@@ -27,13 +29,14 @@ from pyspark.sql import functions as F
 from numberplace import schema as S
 from numberplace.functions.match import (
     NUMBER,
+    key_cells,
     plain_columns,
     request_error,
     search_text,
     sql_text,
     with_number,
 )
-from numberplace.functions.ordering import record_order
+from numberplace.functions.ordering import range_order, record_order
 from numberplace.operators.numbering import COPIES, START, number_rows
 from numberplace.operators.paging import RETURNED_ROWS
 from numberplace.session import stored
@@ -49,16 +52,16 @@ GROUP_ROWS = 1_000_000
 # are split into SALTS parts by a shuffle.
 HOT_SHARE = 1_000
 SALTS = 200
-_BUCKET_BITS = 12
-# The share of numbers at each end that may lie far from the others.
-_TAIL = 0.001
-# Pages that end within so many rows are taken from a top-k per key; its tasks
-# merge in so many groups first. None by default: the top-k sorts every matching
-# row in its task and took twice as long at sf0.1 as locating pages (30.6 and 15.6 s).
-NEAR_ROWS = 0
-MERGE_GROUPS = 64
+# A level of a histogram splits a range of record numbers into 2 ** LEVEL_BITS parts.
+LEVEL_BITS = 12
+# Parts that a page touches are split again while one of them holds more rows.
+REFINE_ROWS = 10_000
+# Up to so many different keys are looked for in the records before these are grouped.
+FILTER_KEYS = 1_000
 # What a broadcast row takes besides its text: the hash table's and the row's own.
 _ROW_BYTES = 128
+# Stands for rows without a number; they come last.
+_LAST = 2**63 - 1
 
 # The rows per block in which pages and buckets meet.
 BLOCK_ROWS = 1_000
@@ -163,21 +166,44 @@ def bulk_lookup_rows(
         prepared(requests, fields).filter("error IS NULL"),
         **_halves(),
         whole=F.expr("count_if(limit = 0)"),
-        near=F.expr(f"count_if({_near()})"),
-        deep=F.expr(f"count_if(limit > 0 AND NOT {_near()})"),
+        paged=F.expr("count_if(limit > 0)"),
     )
     parts = []
-    if asked["whole"] or not (asked["near"] or asked["deep"]):
+    if asked["whole"] or not asked["paged"]:
         parts.append(_whole_rows(df, valid.filter("limit = 0"), fields, asked))
-    if asked["near"]:
-        parts.append(_near_rows(df, valid.filter(_near()), fields, id_column, asked))
-    if asked["deep"]:
-        parts.append(_deep_rows(df, valid.filter(f"limit > 0 AND NOT {_near()}"), fields, id_column, asked))
+    if asked["paged"]:
+        parts.append(_paged_rows(df, valid.filter("limit > 0"), fields, id_column, asked))
     return functools.reduce(DataFrame.unionByName, parts)
 
 
-def _near() -> str:
-    return f"(limit > 0 AND offset + limit <= {NEAR_ROWS})"
+class Answers(NamedTuple):
+    """``answers`` (answer_id, position, the record) of the different requests; ``members`` (request_id, answer_id)."""
+
+    answers: DataFrame
+    members: DataFrame
+
+
+def bulk_lookup_answers(
+    df: DataFrame,
+    requests: DataFrame,
+    fields: Sequence[str] = S.SEARCH_FIELDS,
+    id_column: str = "record_id",
+) -> Answers:
+    """The pages of the different requests, each once, and which request has which.
+
+    Requests are equal if they look for the same key in the same field and for the same
+    page; with limit 0 the offset has no effect and does not count. Joined on
+    ``answer_id``, both are what ``bulk_lookup_rows`` returns. A request with an error
+    has no answer.
+    """
+    valid = prepared(requests, fields).filter("error IS NULL").withColumn("offset", F.expr("IF(limit = 0, 0, offset)"))
+    same = [*_ENTRY, "offset", "limit"]
+    distinct = stored(valid.groupBy(*same).agg(F.min("request_id").alias("answer_id"), F.first("location").alias("location")))
+    asked = distinct.select(
+        F.col("answer_id").alias("request_id"), "location",
+        F.expr(f"nullif(in_field, '{ANY}')").alias("field"), "offset", "limit")
+    rows = bulk_lookup_rows(df, asked, fields, id_column).withColumnRenamed("request_id", "answer_id")
+    return Answers(rows, valid.join(distinct.select(*same, "answer_id"), same).select("request_id", "answer_id"))
 
 
 def _halves() -> dict[str, Column]:
@@ -188,63 +214,83 @@ def _halves() -> dict[str, Column]:
     }
 
 
-def _answering(df: DataFrame, wanted: DataFrame, fields: Sequence[str], asked: dict) -> tuple[DataFrame, int]:
-    """The entries (combo, n, in_field, key) that ``wanted`` looks for, stored, and the number of all records."""
-    everything = Observation()
-    combined = combinations(df, fields).observe(everything, F.sum("n").alias("rows"))
+def _asked_only(df: DataFrame, wanted: DataFrame, fields: Sequence[str]) -> DataFrame:
+    """The records that hold a key which ``wanted`` looks for; all of them if there are too many keys to list."""
+    keys = wanted.select(*_ENTRY).distinct().limit(FILTER_KEYS + 1).collect()
+    if len(keys) > FILTER_KEYS:
+        return df
+    holds = F.lit(False)
+    for name, cell in key_cells(df, fields).items():
+        if sought := sorted({row.key for row in keys if row.in_field in (name, ANY)}):
+            holds = holds | cell.isin(sought)
+    return df.filter(holds)
+
+
+def _answering(df: DataFrame, wanted: DataFrame, fields: Sequence[str], asked: dict) -> tuple[DataFrame, dict]:
+    """The entries (combo, n, in_field, key) that ``wanted`` looks for, stored, and measures of the records behind them.
+
+    These are their number ``rows`` and, if they have numbers, the ``low`` and ``high`` one.
+    """
+    numbers = {}
+    if NUMBER in df.columns:
+        numbers = {"low": F.min(NUMBER), "high": F.max(NUMBER)}
     if not (asked["named"] or asked["anywhere"]):
-        return stored(entries(combined.limit(0), fields)), 0
+        return stored(entries(combinations(df, fields).limit(0), fields)), {"rows": 0, "low": None, "high": None}
+    held = _asked_only(df, wanted, fields)
+    counted = held.select(_combo(fields), *numbers and [NUMBER]).groupBy("combo").agg(
+        F.count(F.lit(1)).alias("n"), *(value.alias(name) for name, value in numbers.items()))
+    everything = Observation()
+    ends = [F.min("low").alias("low"), F.max("high").alias("high")] if numbers else []
+    combined = counted.observe(everything, F.sum("n").alias("rows"), *ends).drop(*numbers)
     spread = entries(combined, fields, bool(asked["named"]), bool(asked["anywhere"]))
     found = stored(spread.join(wanted.select(*_ENTRY).distinct(), _ENTRY, "left_semi"))
-    return found, everything.get["rows"] or 0
+    return found, {"low": None, "high": None} | everything.get | {"rows": everything.get["rows"] or 0}
 
 
 def _whole_rows(df: DataFrame, whole: DataFrame, fields: Sequence[str], asked: dict) -> DataFrame:
-    answering, rows = _answering(df, whole, fields, asked)
+    answering, measured = _answering(df, whole, fields, asked)
     met = answering.join(whole, _ENTRY).select("combo", "request_id")
-    hits = _join(df.select(_combo(fields), _record(df)), met, ["combo"], answering, rows)
+    hits = _join(df.select(_combo(fields), _record(df)), met, ["combo"], answering, measured["rows"])
     return hits.selectExpr("request_id", "CAST(NULL AS bigint) AS position", "record.*")
 
 
-def _near_rows(df: DataFrame, near: DataFrame, fields: Sequence[str], id_column: str, asked: dict) -> DataFrame:
-    """Pages from the first rows of every key; each task keeps no more of them than pages reach to."""
-    df = with_number(df, id_column)
-    order = record_order(df, id_column, "record")
-    answering, rows = _answering(df, near, fields, asked)
-    records = df.select(_combo(fields), _record(df), NUMBER)
-    hits = _join(records, answering.select("combo", *_ENTRY), ["combo"], answering, rows).drop("combo")
-    group = F.pmod(F.spark_partition_id(), F.lit(MERGE_GROUPS))
-    first = hits.withColumn("task_group", group)
-    for keys in ([*_ENTRY, "task_group"], _ENTRY):
-        rank = F.row_number().over(Window.partitionBy(*keys).orderBy(*order)).cast("bigint")
-        first = first.withColumn("position", rank).filter(F.col("position") <= NEAR_ROWS)
-    wanted = near.selectExpr("request_id", *_ENTRY, f"{_EACH.format('offset + 1', 'offset + limit')} AS position")
-    return first.join(wanted, [*_ENTRY, "position"]).select("request_id", "position", "record.*")
-
-
-def _deep_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_column: str, asked: dict) -> DataFrame:
-    """Pages, located by a histogram of the record number before rows are read.
-
-    Each asked key's rows are counted per bucket of the number, so the position at
-    which a bucket starts is known, and only the buckets that a page touches
-    are read and ranked. A hot key is counted, never collected in one place.
+def _paged_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_column: str, asked: dict) -> DataFrame:
+    """Pages, located by histograms of the record number before rows are read.
+
+    Each asked key's rows are counted per part of the range of numbers, so the position
+    at which a part starts is known. Parts that pages touch are split again, and only
+    they, until none holds more than ``REFINE_ROWS`` rows or numbers separate no
+    further; numbers far away from the others cost a level, no more. What the pages
+    then touch is read and ranked. A hot key is counted, never collected in one place.
     """
     df = with_number(df, id_column)
     order = record_order(df, id_column, "record")
-    bucket = _bucket(df)
     pages = paged.selectExpr("request_id", *_ENTRY, "offset", "offset + limit AS last")
     wanted = pages.groupBy(*_ENTRY).agg(F.min("offset").alias("low"), F.max("last").alias("high"))
-    answering, rows = _answering(df, paged, fields, asked)
-    places = df.select(_combo(fields), bucket.alias("bucket"))
+    answering, measured = _answering(df, paged, fields, asked)
+    rows, low, high = measured["rows"], measured["low"], measured["high"]
+    shift = 0 if low is None else max(0, (high - low).bit_length() - LEVEL_BITS)
+
     asked_combos = answering.select("combo").distinct()
-    counted = _join(places, asked_combos, ["combo"], answering, rows).groupBy("combo", "bucket")
-    combined = stored(counted.agg(F.count(F.lit(1)).alias("n")))
-    spread = combined.join(answering.drop("n").join(wanted, _ENTRY), "combo")
-    spans, groups = stored(_spans(spread, pages), biggest=F.max("rows"))
+    places = df.select(_combo(fields), _bucket(shift).alias("bucket"))
+    combined = _counted(_join(places, asked_combos, ["combo"], answering, rows), ["combo", "bucket"])
+    spread = combined.join(answering.drop("n"), "combo").withColumn("base", F.lit(0).cast("bigint"))
+    spans, groups = _spans(spread, pages, wanted, [])
+    while shift and (groups["biggest"] or 0) > REFINE_ROWS:
+        finer = max(0, shift - LEVEL_BITS)
+        parents = spans.select(*_ENTRY, F.col("bucket").alias("parent"), F.col("start").alias("base")).distinct()
+        met = combined.withColumnRenamed("bucket", "parent").drop("n").join(answering.drop("n"), "combo").join(
+            parents, [*_ENTRY, "parent"]).select("combo", "parent").distinct()
+        places = df.select(_combo(fields), _bucket(shift).alias("parent"), _bucket(finer).alias("bucket"))
+        heavy = combined.withColumnRenamed("bucket", "parent")
+        combined = _counted(_join(places, met, ["combo", "parent"], heavy, rows), ["combo", "parent", "bucket"])
+        spread = combined.join(answering.drop("n"), "combo").join(parents, [*_ENTRY, "parent"])
+        spans, groups = _spans(spread, pages, wanted, ["parent", "base"])
+        combined, shift = combined.drop("parent"), finer
 
     touched = spans.select(*_PART, "start").distinct()
-    met = spread.join(touched, _PART).select("combo", *_PART, "start")
-    records = df.select(_combo(fields), bucket.alias("bucket"), _record(df), NUMBER)
+    met = combined.join(answering.drop("n"), "combo").join(touched, _PART).select("combo", *_PART, "start")
+    records = df.select(_combo(fields), _bucket(shift).alias("bucket"), _record(df), NUMBER)
     hits = _join(records, met, ["combo", "bucket"], combined, rows).select(*_PART, "start", "record", NUMBER)
 
     if (groups["biggest"] or 0) <= GROUP_ROWS:
@@ -253,7 +299,7 @@ def _deep_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_column
         each = spans.selectExpr("request_id", *_ENTRY, f"{_EACH.format('first + 1', 'last')} AS position")
         return ranked.join(each, [*_ENTRY, "position"]).select("request_id", "position", "record.*")
 
-    numbered = number_rows(hits, _PART, order).withColumnRenamed("start", "part_start")
+    numbered = number_rows(hits, _PART, order, range_order(df, id_column, "record")).withColumnRenamed("start", "part_start")
     numbered = numbered.withColumn("at", F.expr(f"part_start + {START}"))
     placed = numbered.join(spans.drop("start"), _PART).filter(f"at < last AND at + {COPIES} > first")
     shared = _EACH.format("greatest(at, first) + 1", f"least(at + {COPIES}, last)")
@@ -262,16 +308,21 @@ def _deep_rows(df: DataFrame, paged: DataFrame, fields: Sequence[str], id_column
     )
 
 
-def _spans(spread: DataFrame, pages: DataFrame) -> DataFrame:
-    """For each request the buckets that hold its page, and its positions in them.
+def _counted(places: DataFrame, keys: list[str]) -> DataFrame:
+    return stored(places.groupBy(*keys).agg(F.count(F.lit(1)).alias("n")))
+
 
+def _spans(spread: DataFrame, pages: DataFrame, wanted: DataFrame, within: list[str]) -> tuple[DataFrame, dict]:
+    """For each request the buckets that hold its page and its positions in them, stored; the rows of the ``biggest``.
+
+    Buckets follow each other from ``base`` on, by themselves in each group of ``within``.
     Requests and buckets are intervals of positions. They meet by the blocks of
     positions that they touch, so that no request is compared with all buckets
     of its key; of the blocks that a pair shares only the first one counts.
     """
-    sized = spread.groupBy(*_PART, "low", "high").agg(F.sum("n").alias("rows"))
-    before = Window.partitionBy(*_ENTRY).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
-    starts = sized.withColumn("start", F.coalesce(F.sum("rows").over(before), F.lit(0)))
+    sized = spread.groupBy(*_PART, "base", *(c for c in within if c != "base")).agg(F.sum("n").alias("rows")).join(wanted, _ENTRY)
+    before = Window.partitionBy(*_ENTRY, *within).orderBy("bucket").rowsBetween(Window.unboundedPreceding, -1)
+    starts = sized.withColumn("start", F.col("base") + F.coalesce(F.sum("rows").over(before), F.lit(0)))
     near = starts.filter("start < high AND start + rows > low").selectExpr(
         *_PART,
         "start",
@@ -282,30 +333,21 @@ def _spans(spread: DataFrame, pages: DataFrame) -> DataFrame:
         + " AS block",
     )
     blocks = _EACH.format(f"offset div {BLOCK_ROWS}", f"(last - 1) div {BLOCK_ROWS}")
-    return (
+    return stored(
         near.join(pages.selectExpr("*", f"{blocks} AS block"), [*_ENTRY, "block"])
         .withColumns({"first": F.expr("greatest(offset, start)"), "last": F.expr("least(last, start + rows)")})
         .filter(f"first < last AND block = first div {BLOCK_ROWS}")
-        .select("request_id", *_PART, "start", "rows", "first", "last")
+        .select("request_id", *_PART, "start", "rows", "first", "last"),
+        biggest=F.max("rows"),
     )
 
 
-def _bucket(df: DataFrame) -> Column:
+def _bucket(shift: int) -> Column:
     """The part of the range of record numbers that a row is in; no number, last part.
 
-    The range is cut off at two quantiles, so that a few numbers far away do
-    not put all others into one part; what lies beyond joins the outer parts.
     A right shift keeps the order of numbers and cannot overflow.
     """
-    number = F.col(NUMBER)
-    bounds = df.agg(F.percentile_approx(number, [_TAIL, 1 - _TAIL])).first()[0]
-    if bounds is None:
-        return F.lit(0).cast("bigint")
-    low, high = bounds
-    shift = max(0, (high - low).bit_length() - _BUCKET_BITS)
-    clamped = F.least(F.greatest(number, F.lit(low)), F.lit(high))
-    bucket = F.when(number.isNotNull(), F.shiftright(clamped, shift) - F.lit(low >> shift))
-    return F.coalesce(bucket, F.lit((high >> shift) - (low >> shift) + 1))
+    return F.coalesce(F.shiftright(F.col(NUMBER), shift), F.lit(_LAST))
 
 
 def _record(df: DataFrame) -> Column:

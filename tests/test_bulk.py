@@ -74,13 +74,10 @@ def test_envelopes_are_those_of_single_look_ups(request, requests, table):
 
 PATHS = {
     "broadcast": {},
-    "shuffled": {"BROADCAST_BYTES": -1},
-    "hot and cold": {"BROADCAST_BYTES": -1, "HOT_SHARE": 4, "SALTS": 3},
-    "numbered": {"GROUP_ROWS": 10},
-    "shuffled, numbered": {"BROADCAST_BYTES": -1, "HOT_SHARE": 2, "GROUP_ROWS": 0, "BLOCK_ROWS": 7, "NEAR_ROWS": 0},
-    "coarse buckets": {"_BUCKET_BITS": 1, "BLOCK_ROWS": 13, "NEAR_ROWS": 0},
-    "all located": {"NEAR_ROWS": 0},
-    "one merge group": {"MERGE_GROUPS": 1, "BROADCAST_BYTES": -1},
+    "shuffled": {"BROADCAST_BYTES": -1, "FILTER_KEYS": 0},
+    "hot and cold": {"BROADCAST_BYTES": -1, "HOT_SHARE": 4, "SALTS": 3, "LEVEL_BITS": 3, "REFINE_ROWS": 20},
+    "shuffled, numbered": {"BROADCAST_BYTES": -1, "HOT_SHARE": 2, "GROUP_ROWS": 0, "BLOCK_ROWS": 7, "REFINE_ROWS": 0},
+    "coarse buckets": {"LEVEL_BITS": 1, "BLOCK_ROWS": 13, "REFINE_ROWS": 500, "GROUP_ROWS": 10},
 }
 
 
@@ -140,19 +137,25 @@ def test_records_are_never_spread_into_entries(spark, records, requests):
     assert "inline" not in text and "Cartesian" not in text
 
 
-def test_numbers_far_away(spark, records, requests):
+def test_numbers_far_away(spark, records, requests, monkeypatch):
+    """Outer numbers put all others into one part, which is split again; few rows are read for a page of 5."""
+    monkeypatch.setattr(bulk, "REFINE_ROWS", 50)
     far = spark.createDataFrame(
-        [(str(n), "p", "广东", "广州", "中国移动", "020", "510000") for n in (-(2**63), 2**63 - 1, 2**62, -5)],
+        [(str(n), "p", "广东", "广州", "中国移动", "020", "510000") for n in (-(2**63), 2**63 - 1, 2**62, -5, "x")],
         records.schema,
     )
     table = records.union(far)
-    numbered = bulk.with_number(table)
-    assert numbered.select(bulk._bucket(numbered)).distinct().count() > 1_000
     expected = single_pages(table, REQUESTS)
+    read = []
+    join = bulk._join
+    monkeypatch.setattr(bulk, "_join", lambda records, *a: read.append(join(records, *a)) or read[-1])
     rows = bulk_lookup_rows(table, requests).orderBy("request_id", "position").collect()
     for number, _, _, _, limit in REQUESTS:
         if limit and number in expected:
             assert [tuple(r)[2:] for r in rows if r.request_id == number] == expected[number]
+    first = requests.filter("request_id = 1")
+    assert [tuple(r)[2:] for r in bulk_lookup_rows(table, first).orderBy("position").collect()] == expected[1]
+    assert 5 <= read[-1].count() <= 2 * 50
 
 
 def test_own_names(spark, records, requests):
@@ -178,8 +181,8 @@ def test_only_what_is_asked_for_is_kept(spark):
     """A table with a cell of its own for every record, and one request."""
     df = spark.range(20_000).selectExpr("CAST(id AS string) AS record_id", "concat('c', id) AS city", "'p' AS province")
     request = bulk.prepared(spark.createDataFrame([(1, "C77", "city", 0, 5)], S.REQUEST_SCHEMA), ("city", "province"))
-    found, rows = bulk._answering(df, request, ("city", "province"), {"named": 1, "anywhere": 0})
-    assert [(r.in_field, r.key, r.n) for r in found.collect()] == [("city", "c77", 1)] and rows == 20_000
+    found, measured = bulk._answering(df, request, ("city", "province"), {"named": 1, "anywhere": 0})
+    assert [(r.in_field, r.key, r.n) for r in found.collect()] == [("city", "c77", 1)] and measured["rows"] == 1
     page = bulk_lookup_rows(df, spark.createDataFrame([(1, "C77", "city", 0, 5)], S.REQUEST_SCHEMA), ("city", "province"))
     assert [(r.position, r.record_id) for r in page.collect()] == [(1, "77")]
 
@@ -194,3 +197,14 @@ def test_salt_splits_a_table_of_one_task(spark, monkeypatch):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "salt" in plan and "spark_partition_id" not in plan.lower()
     assert df.select((bulk.F.pmod(bulk.F.xxhash64(bulk.F.monotonically_increasing_id()), bulk.F.lit(200)))).distinct().count() == 200
+
+
+def test_equal_requests_are_answered_once(spark, records):
+    same = [(k, " 北京 ", None, k, 0) for k in range(500)] + [(k, "北京", "city", 2, 3) for k in range(500, 600)]
+    requests = spark.createDataFrame(same + [(600, "北京", "nowhere", 0, 5), (601, "020", None, 0, 1)], S.REQUEST_SCHEMA)
+    answers, members = bulk.bulk_lookup_answers(records, requests)
+    assert answers.count() == find_records(records, "北京").count() + 3 + 1
+    assert members.count() == 601 and members.select("answer_id").distinct().count() == 3
+    both = members.join(answers, "answer_id").drop("answer_id").filter("request_id IN (7, 8, 555, 601)")
+    few = bulk_lookup_rows(records, requests.filter("request_id IN (7, 8, 555, 601)"))
+    assert both.count() == few.count() and both.select(few.columns).exceptAll(few).count() == 0

@@ -10,7 +10,7 @@ from pyspark.sql import functions as F
 from numberplace import schema as S
 from numberplace.operators.counts import pair_count
 from numberplace.operators.paging import find_records
-from numberplace.operators.profile import column_profile, load_profile
+from numberplace.operators.profile import column_profile, file_profile, load_profile
 from numberplace.plans.jobs import (
     pair_result,
     report,
@@ -23,7 +23,7 @@ from numberplace.session import scratch, scratch_path, stored
 from numberplace.sources.csv_files import load_csv, read_csv, write_csv
 from numberplace.sources.generate import generate
 from numberplace.sources.results import latest, read_result, write_result
-from numberplace.sources.tables import cached, write_table
+from numberplace.sources.tables import cached, read_table, write_table
 
 HEADER = ",".join(S.COLUMNS)
 LINES = [
@@ -229,3 +229,46 @@ def test_latest_of_equal_times_is_one_row(spark):
     rows = [("a", 1, "2026-01-01T00:00:00+00:00"), ("b", 2, "2026-01-01T00:00:00+00:00")]
     df = spark.createDataFrame(rows, "name string, n int, completed_at_utc string")
     assert {latest(df.repartition(k)).first().name for k in (1, 2, 3)} == {"b"}
+
+
+def test_profile_names_the_file_that_is_faulty(spark, records, tmp_path):
+    """Columns in another order, too few of them, an empty file and two right ones, cells with nulls and blanks."""
+    right = records.limit(40).coalesce(1)
+    parts = {
+        "a": right, "b": right.withColumn("city", F.when(F.col("record_id") > "115050", F.lit(" ")).otherwise(F.col("city"))),
+        "short": right.drop("city", "operator"), "turned": right.select(*reversed(right.columns)), "none": right.limit(0),
+    }
+    for name, df in parts.items():
+        write_csv(df, f"{tmp_path}/{name}")
+    found = {r.file.split("/")[-2]: r for r in file_profile(spark, [f"{tmp_path}/{name}" for name in parts], written_here=True).collect()}
+    assert [found[name].records_loaded for name in parts if name in found] == [40, 40, 0, 0, *([0] if "none" in found else [])]
+    assert found["short"].error == "input lacks columns: ['city', 'operator']" and not found["short"].ready
+    assert found["turned"].error == "columns in another order than in other files" and found["turned"].city_nulls is None
+    assert found["a"].ready and found["b"].ready
+    blanks = parts["b"].filter("trim(city) = ''").count()
+    assert (found["a"].city_blanks, found["b"].city_blanks) == (0, blanks) and blanks
+
+
+def test_search_on_any_field_skips_row_groups(spark, records, tmp_path):
+    """Row groups hold all provinces, and one of them the only row with an area code of its own."""
+    own = records.limit(1).withColumns({"area_code": F.lit("0999"), "record_id": F.lit("1")})
+    spark.sparkContext._jsc.hadoopConfiguration().set("parquet.block.row.count.limit", "500")
+    try:
+        write_table(records.unionByName(own).coalesce(1), str(tmp_path / "t"))
+    finally:
+        spark.sparkContext._jsc.hadoopConfiguration().unset("parquet.block.row.count.limit")
+    table = read_table(spark, str(tmp_path / "t"))
+    found = find_records(table, "0999", "area_code")
+    assert found.count() == 1
+    rows = found._jdf.queryExecution()
+    rows.toRdd().count()
+    scan = [p for p in _nodes(rows.executedPlan()) if p.nodeName().startswith("Scan parquet")]
+    assert scan[0].metrics().apply("numOutputRows").value() <= 500 < records.count()
+
+
+def _nodes(plan):
+    plan = plan.executedPlan() if plan.getClass().getSimpleName() == "AdaptiveSparkPlanExec" else plan
+    out, children = [plan], plan.children()
+    for k in range(children.size()):
+        out += _nodes(children.apply(k))
+    return out
