@@ -16,13 +16,13 @@ from __future__ import annotations
 
 import functools
 import hashlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from numberplace.llm import words as W
@@ -52,6 +52,7 @@ MODEL_ROWS, RUNNING_ROWS = 4_000_000, 3_000_000
 COUNT_ROWS = 2_000_000
 #: Added to ``Grams.kind``.
 _PROBABILITY, _BACKOFF = 0, 1
+_KINDS, _SIZES = RUNNING.kind + 2, RUNNING.order + 1
 
 
 class Spelt(NamedTuple):
@@ -190,7 +191,7 @@ def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarra
 
 
 def fit(df: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:
-    """The model as a stored table: (language, kind, size, gram, value).
+    """The model as stored tables together: (language, kind, size, gram, value).
 
     ``value`` is the log probability of a gram of ``size`` characters, or (kind 1)
     the log weight that a context of ``size`` characters leaves to the lower order.
@@ -199,47 +200,66 @@ def fit(df: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:
     """
     counts = stored(gram_counts(df, language, text))
     parts = [part for model in _MODELS for part in _fitted(counts.filter(F.col("model") == model.kind).drop("model"), model)]
-    whole = parts[0]
-    for part in parts[1:]:
-        whole = whole.unionByName(part)
-    return stored(whole)
+    return functools.reduce(DataFrame.unionByName, parts)
 
 
 def _fitted(counts: DataFrame, model: Grams) -> list[DataFrame]:
-    """The rows of one model."""
+    """The rows of one model.
+
+    A gram needs what is counted in its context and the probability of the gram
+    without its first character. Both share its middle, all but the first and the last
+    character, so dealt out by that one shuffle per order serves both.
+    """
     orders = {model.order: counts}
     for size in range(model.order - 1, 0, -1):
         suffix = F.col("gram").bitwiseAND(model.last(size))
         orders[size] = stored(orders[size + 1].groupBy("language", suffix.alias("gram")).agg(F.count("*").alias("n")))
     parts, lower = [], None
     for size in range(1, model.order + 1):
-        grams = orders[size]
-        context = F.shiftrightunsigned("gram", model.bits) if size > 1 else F.lit(0).cast("long")
-        discounts = _discounts(grams)
-        rows = grams.join(F.broadcast(discounts), "language").withColumn("context", context)
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = rows.withColumn("off", off)
-        contexts = rows.groupBy("language", "context").agg(
-            F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("left"), F.count("*").alias("kinds"))
-        rows = rows.join(contexts, ["language", "context"])
+        rows = orders[size].join(F.broadcast(_discounts(orders[size])), "language").select("language", "gram", "n", off.alias("off"))
         if size == 1:
+            contexts = rows.groupBy("language").agg(
+                F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("left"), F.count("*").alias("kinds"))
             below = F.col("left") / (F.col("kinds") + 1)
-            parts.append(contexts.select("language", F.lit(model.kind + _PROBABILITY).alias("kind"), F.lit(0).alias("size"),
-                                         F.col("context").alias("gram"), F.log(below).alias("value")))
+            parts.append(_table_rows(contexts, model.kind + _PROBABILITY, 0, F.lit(0).cast("long"), F.log(below)))
+            rows = rows.join(contexts, "language").withColumn("below", below).withColumn("backoff", F.lit(None).cast("double"))
         else:
-            last = F.col("gram").bitwiseAND(model.last(size - 1))
-            rows = rows.withColumn("last", last).join(
-                lower.select("language", F.col("gram").alias("last"), F.col("p").alias("below")), ["language", "last"])
-            below = F.col("left") * F.col("below")
-            parts.append(contexts.select("language", F.lit(model.kind + _BACKOFF).alias("kind"), F.lit(size - 1).alias("size"),
-                                         F.col("context").alias("gram"), F.log("left").alias("value")))
+            rows = _with_context(rows, lower, model, size)
         # Kept to a float's precision, and above zero for log.
-        lower = stored(rows.select("language", "gram", ((F.col("n") - F.col("off")) / F.col("total") + below).alias("p")))
-        parts.append(lower.select("language", F.lit(model.kind + _PROBABILITY).alias("kind"), F.lit(size).alias("size"), "gram",
-                                  F.log("p").alias("value")))
+        p = (F.col("n") - F.col("off")) / F.col("total") + F.col("below")
+        lower = stored(rows.select("language", "gram", p.alias("p"), "backoff"))
+        parts.append(_table_rows(lower, model.kind + _PROBABILITY, size, F.col("gram"), F.log("p")))
+        if size > 1:
+            context = F.shiftrightunsigned("gram", model.bits)
+            parts.append(_table_rows(lower.filter("backoff IS NOT NULL"), model.kind + _BACKOFF, size - 1, context, F.col("backoff")))
     return parts
 
 
+def _table_rows(rows: DataFrame, kind: int, size: int, gram: Column, value: Column) -> DataFrame:
+    return rows.select("language", F.lit(kind).alias("kind"), F.lit(size).alias("size"), gram.alias("gram"), value.alias("value"))
+
+
+def _with_context(rows: DataFrame, lower: DataFrame, model: Grams, size: int) -> DataFrame:
+    """Grams of ``size`` characters with their context's ``total`` and what the lower order adds (``below``).
+
+    One row of each context has the log weight that it leaves, ``backoff``.
+    """
+    middle = F.shiftrightunsigned("gram", model.bits)
+    tagged = rows.select("language", "gram", "n", "off", middle.bitwiseAND(model.last(size - 2)).alias("middle"),
+                         F.col("gram").bitwiseAND(model.last(size - 1)).alias("last"), F.lit(None).cast("double").alias("p"))
+    known = lower.select("language", "gram", F.lit(None).cast("long").alias("n"), F.lit(None).cast("double").alias("off"),
+                         middle.alias("middle"), F.col("gram").alias("last"), "p")
+    dealt = tagged.unionByName(known).repartition("language", "middle")
+    by_last = Window.partitionBy("language", "middle", "last")
+    by_context = Window.partitionBy("language", "middle", "context")
+    total, left = F.sum("n").over(by_context), F.sum("off").over(by_context)
+    grams = dealt.withColumn("p", F.max("p").over(by_last)).filter("n IS NOT NULL").withColumn("context", middle)
+    grams = grams.withColumns({"total": total, "left": left / total, "place": F.row_number().over(by_context.orderBy("gram"))})
+    return grams.withColumns({
+        "below": F.col("left") * F.col("p"), "backoff": F.when(F.col("place") == 1, F.log("left"))})
+
+
 def _discounts(grams: DataFrame) -> DataFrame:
     """Three discounts per language from how many grams occur once to four times."""
     seen = grams.groupBy("language").agg(*(F.sum(F.when(F.col("n") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(1, 5)))
@@ -275,7 +295,9 @@ class Model(NamedTuple):
     def find(self, language: str, kind: int, size: int, grams: np.ndarray) -> np.ndarray:
         """Values, NaN where there is none."""
         keys = _keys(language, kind, size, grams)
-        at = np.searchsorted(self.hashes, keys)
+        order = np.argsort(keys)  # a search in order walks through memory in order
+        at = np.empty(len(keys), np.int64)
+        at[order] = np.searchsorted(self.hashes, keys[order])
         at[at == len(self.hashes)] = 0
         return np.where(self.hashes[at] == keys, self.values[at], np.float32(np.nan)) if len(self.hashes) else np.full(
             len(keys), np.nan, np.float32)
@@ -330,23 +352,39 @@ def part_count(model: DataFrame) -> int:
     return max(1, -(-rows.spelt // MODEL_ROWS), -(-rows.run // RUNNING_ROWS))
 
 
+def hashed(model: DataFrame) -> DataFrame:
+    """(hash, value) of the rows of a stored model; the hash tells language, kind, size and gram."""
+
+    def keys(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            kind, size = batch.column("kind").to_numpy(), batch.column("size").to_numpy()
+            gram = batch.column("gram").to_numpy().view(np.uint64)
+            language = batch.column("language").dictionary_encode()
+            salts = np.array([[[_salt(name, k, s) for s in range(_SIZES)] for k in range(_KINDS)] for name in language.dictionary.to_pylist()])
+            salt = salts[language.indices.to_numpy(zero_copy_only=False), kind, size] if len(batch) else gram
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(W.mix(gram ^ salt).view(np.int64)), batch.column("value").cast(pa.float32())], ["hash", "value"])
+
+    return model.select("language", "kind", "size", "gram", "value").mapInArrow(keys, "hash long, value float")
+
+
 def load(model: DataFrame, part: int, parts: int) -> Model:
-    """One part of the stored model as sorted hashes, on the driver."""
+    """One part of the stored model as sorted hashes; hashed and sorted by tasks, 12 bytes a row reach the driver."""
     own = model.filter(functools.reduce(Column.__or__, (_rows_of(m, part, parts) for m in _MODELS)))
-    table = own.select("language", "kind", "size", "gram", F.col("value").cast("float")).toArrow()
-    kind, size = table["kind"].to_numpy(), table["size"].to_numpy()
-    gram, value = table["gram"].to_numpy().view(np.uint64), table["value"].to_numpy()
-    language = table["language"].combine_chunks().dictionary_encode()
-    number = language.indices.to_numpy(zero_copy_only=False)
-    hashes = np.empty(len(gram), np.uint64)
-    for n, name in enumerate(language.dictionary.to_pylist()):
-        for m in _MODELS:
-            for k in (m.kind + _PROBABILITY, m.kind + _BACKOFF):
-                for s in range(m.order + 1):
-                    rows = np.flatnonzero((number == n) & (kind == k) & (size == s))
-                    hashes[rows] = _keys(name, k, s, gram[rows])
-    order = np.argsort(hashes)
-    return Model(hashes[order], value[order].astype(np.float32), part, parts)
+    # Hashes are compared as unsigned numbers.
+    table = hashed(own).orderBy(F.col("hash").bitwiseXOR(F.lit(-(2**63)))).toArrow()
+    hashes = table["hash"].to_numpy().view(np.uint64)
+    values = table["value"].to_numpy()
+    del table
+    pa.default_memory_pool().release_unused()
+    return Model(hashes, values, part, parts)
+
+
+def sent(spark: SparkSession, model: Model) -> Callable[[], Model]:
+    """Broadcast a model and return what gives it back in a task; its arrays go as they are, not as one more copy."""
+    hashes, values = (spark.sparkContext.broadcast(array) for array in model[:2])
+    part, parts = model[2:]
+    return lambda: Model(hashes.value, values.value, part, parts)
 
 
 def word_scores(model: Model, language: str, chunk: W.Chunk) -> tuple[np.ndarray, W.Words]:

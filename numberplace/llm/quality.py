@@ -25,7 +25,6 @@ from pyspark.sql import functions as F
 
 from numberplace.llm import perplexity as P
 from numberplace.llm import words as W
-from numberplace.llm.shared import shared
 from numberplace.session import stored
 
 MIN_WORDS = 50
@@ -101,7 +100,7 @@ def text_scores(
     df: DataFrame, model: P.Model, first: bool, id_columns: list[str], text: str, language: str
 ) -> DataFrame:
     """Per row the counts and the summed log probabilities, of its words and as running text, under one model part."""
-    sent = shared(df.sparkSession, model)
+    sent = P.sent(df.sparkSession, model)
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_model = sent()
@@ -109,7 +108,7 @@ def text_scores(
             logs, run_logs = np.zeros(len(batch)), np.zeros(len(batch))
             counts = np.zeros((len(_COUNTS), len(batch)), np.int64)
             for name, rows, column in P._by_language(batch, language, text):
-                for chunk in W.chunks(column):
+                for chunk in W.chunks(column, 2 * W.CHUNK_BYTES):
                     own = rows[chunk.first : chunk.first + len(chunk.bounds) - 1]
                     values, found = P.word_scores(own_model, name, chunk)
                     sums = np.zeros(len(values) + 1)
