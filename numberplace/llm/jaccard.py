@@ -116,15 +116,21 @@ def whole_sets(df: DataFrame, nodes: DataFrame, id_column: str, text: str, size:
     return named.mapInArrow(sets, f"node {kind}, n long, shingles array<long>").join(nodes, "node", "left_semi")
 
 
+#: What two rows with equal shingles share.
+_SAME = ["first", "second", "n"]
+
+
 def _lists(listed: DataFrame, copies: DataFrame) -> DataFrame:
-    """Stored list entries (token, node, n, score, merged), without the documents in ``copies``.
+    """Stored list entries (token, node, n, score, merged), without the texts in ``copies``.
 
     Lists of one document are left out. ``merged`` is false for the T - 1 longest
     lists of a document, ``score`` is the summed length of all its lists.
     """
     entries = listed.select("node", "n", F.explode("listed").alias("token"))
     lengths = stored(entries.groupBy("token").agg(F.count("*").alias("length")).filter("length > 1"))
-    met = entries.join(lengths, "token").join(copies.select("node"), "node", "left_anti")
+    # A document of several texts goes on with those that are no copies.
+    kept = listed.join(copies.select(*_SAME, "node"), [*_SAME, "node"], "left_anti")
+    met = kept.select("node", "n", F.explode("listed").alias("token")).join(lengths, "token")
     # A document has no more entries than listed shingles.
     by_node = met.groupBy("node", "n").agg(F.sort_array(F.collect_set(F.struct("length", "token")), asc=False).alias("own"))
     scored = by_node.withColumn("score", F.aggregate("own", F.lit(0).cast("long"), lambda sum_, x: sum_ + x.length))
@@ -159,9 +165,8 @@ def jaccard_components(
     """
     listed = stored(shingle_sets(df, id_column, text, size, percent))
     known = listed.filter("n > 0 AND node IS NOT NULL")
-    firsts = stored(known.groupBy("first", "second", "n").agg(F.min("node").alias("copy_of")))
-    copies = stored(known.select("node", "n", "first", "second").join(firsts, ["first", "second", "n"]).filter(
-        "node <> copy_of").select("node", "copy_of").distinct())
+    firsts = stored(known.groupBy(*_SAME).agg(F.min("node").alias("copy_of")))
+    copies = stored(known.select("node", *_SAME).join(firsts, _SAME).filter("node <> copy_of").distinct())
     lists = _lists(known, copies).withColumn("component", F.col("node"))
 
     def checked(pairs: DataFrame) -> DataFrame:

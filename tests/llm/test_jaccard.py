@@ -72,3 +72,10 @@ def test_components(spark, links):
                 parent[x] = a
     found = C.components(spark.createDataFrame(links, "u long, v long"))
     assert sorted(tuple(r) for r in found.collect()) == sorted((x, min(s)) for x, s in parent.items())
+
+
+def test_a_document_of_several_texts_keeps_the_links_of_each(spark):
+    """Id 9 has a copy of 3's text and a text of its own, of which 12 has a near copy."""
+    one, two = (" ".join(f"{kind}{k}" for k in range(60)) for kind in "ab")
+    df = spark.createDataFrame([(3, one), (9, one), (9, two), (12, two + " end")], "doc_id long, text string")
+    assert {r.doc_id: r.component_id for r in jaccard_components(df).collect()} == {3: 3, 9: 3, 12: 3}
