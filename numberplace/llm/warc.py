@@ -224,7 +224,9 @@ def _mended(spark: SparkSession, path: str, cuts: DataFrame, torn: DataFrame) ->
             rows = []
             for text in batch.column("cut").to_pylist():
                 record = bytes.fromhex(text)
-                begin, length, header = parse(record)
+                begin, length, header = parse(record) or (0, 0, None)
+                if header is None or begin + length > len(record):
+                    raise ValueError("the pieces of a record do not add up to its length")
                 rows.append(_record(header, record[begin : begin + length]))
             kinds = [pa.string(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.bool_()]
             yield pa.RecordBatch.from_arrays(
@@ -232,4 +234,9 @@ def _mended(spark: SparkSession, path: str, cuts: DataFrame, torn: DataFrame) ->
                  *(pa.array(c, k) for c, k in zip(zip(*rows, strict=True), kinds, strict=True))],
                 ["file", "offset", *_FIELDS])
 
-    return joined.select("file", "offset", cut.alias("cut")).mapInArrow(mend, f"file string, offset long, {_RECORD}")
+    mended = joined.select("file", "offset", cut.alias("cut")).mapInArrow(mend, f"file string, offset long, {_RECORD}")
+    # Scans that are split in another way than before, as after a change of cores, must not lose a record.
+    found = torn.select("file", "offset").join(mended.withColumn("found", F.lit(True)), ["file", "offset"], "left")
+    lost = F.raise_error(F.lit("files were split anew while they were read; read the archives again"))
+    return found.select("file", "offset", *_FIELDS[:-1], F.when(F.col("found").isNull(), lost.cast("boolean")).otherwise(
+        F.col("intact")).alias("intact"))

@@ -86,3 +86,18 @@ def test_least_bytes_and_damage(spark):
     spark.createDataFrame([(text.replace("\r\n\r\nab\r\n", "\r\n\r\nxb\r\n", 1).removesuffix("\r\n\r\n"),)], "value string").write.option(
         "lineSep", "\r\n\r\n").text(broken)
     assert sorted(r.intact for r in warc.read_archives(spark, broken).collect()) == [False, True, True, True]
+
+
+def test_other_splits_between_the_scans_raise(spark, tmp_path):
+    """Records that hold magic lines are never left out in silence."""
+    pages = spark.createDataFrame(
+        [(k, f"http://a/{k}", f"<p>{k}</p>\nWARC/1.0\r\nno record\r\n" + "x" * 400) for k in range(200)], "page_id long, url string, html string")
+    warc.write_archives(pages.coalesce(1), f"{tmp_path}/w")
+    assert warc.read_archives(spark, f"{tmp_path}/w").count() == 200
+    found = warc.read_archives(spark, f"{tmp_path}/w")
+    spark.conf.set("spark.sql.files.maxPartitionBytes", "9000")
+    try:
+        with pytest.raises(Exception, match="split anew|add up"):
+            found.collect()
+    finally:
+        spark.conf.unset("spark.sql.files.maxPartitionBytes")
