@@ -1,11 +1,17 @@
 """Documents linked by the Jaccard similarity of their word shingles, by T-occurrence search.
 
-Shingles are ordered by hash. A document of n shingles is listed under its
-first n - ceil(0.8 n) + T, with T = 1 + n / 10: two linked documents have at
-least T of the smaller one's listed shingles in common. As in DivideSkip, a
-document leaves out its T - 1 longest lists and merges the others with all the
-documents in them, so it meets each partner at least once; the left-out lists
-are probed when a candidate is compared as a whole.
+Shingles are ordered by how often they occur, as a sketch of counters of fixed size
+tells, then by hash; any order that is the same everywhere gives the same links.
+A document of n shingles is listed under its first n - ceil(0.8 n) + T, with
+T = 1 + n / 20: two linked documents have at least T of the smaller one's listed
+shingles in common. As the frequent ones come last, documents that only share a
+passage are not listed under it, however many they are.
+
+As in DivideSkip, a document leaves out its T - 1 longest lists and merges the
+others with all the documents in them, so it meets each partner at least once.
+The left-out lists are then probed: a binary search finds the listed shingles of
+the one document among the other's, and candidates with fewer than T in common go.
+The rest are compared as whole sets.
 
 Only the components of the links are asked for. So each list first meets its
 most central document (whose shingles are the most frequent), and once that has
@@ -33,6 +39,49 @@ from numberplace.session import stored
 SHINGLE, PERCENT = 5, 80
 #: Bits of the filter that keeps uninvolved texts out.
 _BITMAP = 1 << 24
+#: Counters of the frequency sketch, as a power of two, and how many of them travel in a row.
+COUNTERS, _ROW = 21, 2048
+#: A document has to share one shingle and one more for each so many that it has.
+_STEP = 20
+
+
+def frequency_levels(df: DataFrame, text: str, size: int = SHINGLE, counters: int = COUNTERS) -> np.ndarray:
+    """Per counter, the binary logarithm of how many shingles of all texts fall on it.
+
+    Every task sends its counters in rows of fixed size, which are added up in a
+    shuffle as they come; the driver gets one byte per counter.
+    """
+
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(1 << counters, np.int64)
+        for batch in batches:
+            for chunk in W.chunks(batch.column(text)):
+                np.add.at(counts, _counter(W.grams(W.words(chunk, lower=True).hashes, size), counters), 1)
+        yield from _rows(dict(enumerate(counts.reshape(-1, _ROW))))
+
+    def add(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        sums: dict[int, np.ndarray] = {}
+        for batch in batches:
+            for part, packed in zip(batch.column("part").to_pylist(), batch.column("counts"), strict=True):
+                own = np.frombuffer(pa.decompress(packed.as_buffer(), 8 * _ROW, "zstd"), np.int64)
+                sums[part] = sums[part] + own if part in sums else own
+        yield from _rows({part: np.log2(1 + own).astype(np.int64) for part, own in sums.items()})
+
+    schema = "part int, counts binary"
+    table = df.select(text).mapInArrow(count, schema).repartition("part").mapInArrow(add, schema).toArrow()
+    levels = np.zeros((1 << counters) // _ROW * _ROW, np.uint8).reshape(-1, _ROW)
+    for part, packed in zip(table["part"].to_pylist(), table["counts"], strict=True):
+        levels[part] = np.frombuffer(pa.decompress(packed.as_buffer(), 8 * _ROW, "zstd"), np.int64)
+    return levels.reshape(-1)
+
+
+def _counter(hashes: np.ndarray, counters: int) -> np.ndarray:
+    return (hashes >> np.uint64(64 - counters)).astype(np.int64)
+
+
+def _rows(counts: dict[int, np.ndarray]) -> Iterator[pa.RecordBatch]:
+    packed = [pa.compress(np.ascontiguousarray(x).tobytes(), "zstd", asbytes=True) for x in counts.values()]
+    yield pa.RecordBatch.from_arrays([pa.array(counts, pa.int32()), pa.array(packed, pa.binary())], ["part", "counts"])
 
 
 def shingles(found: W.Words, text: int, size: int) -> np.ndarray:
@@ -46,11 +95,13 @@ def shingles(found: W.Words, text: int, size: int) -> np.ndarray:
 
 
 def shingle_sets(
-    df: DataFrame, id_column: str, text: str, size: int = SHINGLE, percent: int = PERCENT
+    df: DataFrame, id_column: str, text: str, size: int = SHINGLE, percent: int = PERCENT, counters: int = COUNTERS
 ) -> DataFrame:
-    """(node, n, first, second, sketch, listed): the set's size, a 128-bit hash, 256 parity bits, and the listed shingles."""
+    """(node, n, first, second, sketch, listed): the set's size, a 128-bit hash, 256 parity bits, and the listed shingles, sorted."""
+    opened = shared(df.sparkSession, frequency_levels(df, text, size, counters))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        levels = opened()
         for batch in batches:
             for chunk in W.chunks(batch.column(text)):
                 found = W.words(chunk, lower=True)
@@ -63,7 +114,8 @@ def shingle_sets(
                     spread = W.mix(own ^ np.uint64(0x5851F42D4C957F2D))
                     hashes[:, k] = own.sum(dtype=np.uint64), spread.sum(dtype=np.uint64)
                     sketches[k] = np.bincount((spread >> np.uint64(56)).astype(np.int64), minlength=256) & 1
-                    listed.append(own[: n - -(-percent * n // 100) + 1 + n // 10] if n else own)
+                    rare = np.argsort(levels[_counter(own, counters)], kind="stable")
+                    listed.append(np.sort(own[rare[: n - -(-percent * n // 100) + 1 + n // _STEP]].view(np.int64)).view(np.uint64))
                 bits = np.packbits(sketches, axis=1).reshape(-1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(id_column).slice(chunk.first, texts), pa.array(sizes),
@@ -137,7 +189,27 @@ def _lists(listed: DataFrame, copies: DataFrame) -> DataFrame:
     spread = scored.select("node", "n", "score", F.posexplode("own").alias("position", "entry"))
     return stored(spread.select(
         F.col("entry.token").alias("token"), "node", "n", "score",
-        (F.col("position") >= F.floor(F.col("n") / 10)).alias("merged")))
+        (F.col("position") >= F.floor(F.col("n") / _STEP)).alias("merged")))
+
+
+def _probed(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
+    """Those of the (u, v) that have at least T listed shingles in common, T being that of the smaller document."""
+    left = listed.select(F.col("node").alias("u"), F.col("n").alias("m"), F.col("listed").alias("own"))
+    right = listed.select(F.col("node").alias("v"), "n", F.col("listed").alias("others"))
+    joined = pairs.join(left, "u").join(right, "v").filter(f"({_fits('m', 'n', percent)}) OR ({_fits('n', 'm', percent)})")
+
+    def probe(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            least = 1 + np.minimum(batch.column("m").to_numpy(), batch.column("n").to_numpy()) // _STEP
+            found = np.zeros(len(batch), bool)
+            for k, (own, others) in enumerate(zip(batch.column("own"), batch.column("others"), strict=True)):
+                short, long = sorted((own.values.to_numpy(), others.values.to_numpy()), key=len)
+                at = np.minimum(np.searchsorted(long, short), len(long) - 1)
+                found[k] = (long[at] == short).sum() >= least[k]
+            yield batch.select(["u", "v"]).filter(pa.array(found))
+
+    kind = dict(pairs.dtypes)["u"]
+    return joined.select("u", "v", "m", "n", "own", "others").mapInArrow(probe, f"u {kind}, v {kind}").distinct()
 
 
 def _similar(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
@@ -154,7 +226,8 @@ def _fits(small: str, large: str, percent: int) -> str:
 
 
 def jaccard_components(
-    df: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT
+    df: DataFrame, id_column: str = "doc_id", text: str = "text", size: int = SHINGLE, percent: int = PERCENT,
+    counters: int = COUNTERS,
 ) -> DataFrame:
     """Per row: the id, ``n_shingles`` and ``component_id``, the smallest id reachable by links.
 
@@ -162,21 +235,24 @@ def jaccard_components(
     words is one shingle, a text without words (or a null) links with nothing.
     Rows of equal id are one document with several texts. Rows with a null id are
     linked with nothing and keep a null component. Other columns play no part.
+    ``counters`` is the binary logarithm of how many counters order the shingles; the
+    more text there is, the more of them tell frequent shingles from the rest.
     """
-    listed = stored(shingle_sets(df, id_column, text, size, percent))
+    listed = stored(shingle_sets(df, id_column, text, size, percent, counters))
     known = listed.filter("n > 0 AND node IS NOT NULL")
     firsts = stored(known.groupBy(*_SAME).agg(F.min("node").alias("copy_of")))
     copies = stored(known.select("node", *_SAME).join(firsts, _SAME).filter("node <> copy_of").distinct())
     lists = _lists(known, copies).withColumn("component", F.col("node"))
 
-    def checked(pairs: DataFrame) -> DataFrame:
+    def checked(candidates: DataFrame) -> DataFrame:
+        pairs = stored(_probed(candidates, known.select("node", "n", "listed"), percent))
         nodes = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct())
         return stored(_similar(pairs, stored(whole_sets(df, nodes, id_column, text, size)), percent))
 
-    found = checked(stored(_central_pairs(lists, percent)))
+    found = checked(_central_pairs(lists, percent))
     parts = stored(components(found))
     lists = stored(lists.drop("component").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
-    found = found.unionByName(checked(stored(_remaining(lists, _centres(lists), known.select("node", "sketch"), percent))))
+    found = found.unionByName(checked(_remaining(lists, _centres(lists), known.select("node", "sketch"), percent)))
     links = found.unionByName(copies.select(F.col("node").alias("u"), F.col("copy_of").alias("v")))
     final = stored(components(links))
     return listed.select("node", "n").join(final, "node", "left").select(
@@ -185,13 +261,13 @@ def jaccard_components(
 
 
 def _central_pairs(lists: DataFrame, percent: int) -> DataFrame:
-    """(u, v): each document with the central document that it meets in most of its merged lists, if in at least half."""
+    """(u, v): each document with the central document that it meets in most of its merged lists, if in a fair share of them."""
     near = f"({_fits('n', 'centre_n', percent)}) OR ({_fits('centre_n', 'n', percent)})"
     meets = lists.filter("merged").join(_centres(lists), "token").filter(f"node <> centre AND ({near})")
     shared = meets.groupBy("node", "centre").agg(F.count("*").alias("lists"), F.first("n").alias("n"))
     best = shared.groupBy("node", "n").agg(F.max(F.struct("lists", "centre")).alias("best"))
-    # A document lists about 3 n / 10 shingles and merges at least two thirds of them.
-    return best.filter("best.lists >= n / 10").select(F.col("node").alias("u"), F.col("best.centre").alias("v"))
+    # A document merges about n / 5 lists; in near copies, up to half of these hold none but its own changes.
+    return best.filter("best.lists >= n / 20").select(F.col("node").alias("u"), F.col("best.centre").alias("v"))
 
 
 def _centres(lists: DataFrame) -> DataFrame:

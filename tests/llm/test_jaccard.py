@@ -3,6 +3,7 @@ import random
 import pytest
 
 from numberplace.llm import components as C
+from numberplace.llm import jaccard as J
 from numberplace.llm.jaccard import jaccard_components
 
 from .conftest import SF, rows_of, words
@@ -79,3 +80,22 @@ def test_a_document_of_several_texts_keeps_the_links_of_each(spark):
     one, two = (" ".join(f"{kind}{k}" for k in range(60)) for kind in "ab")
     df = spark.createDataFrame([(3, one), (9, one), (9, two), (12, two + " end")], "doc_id long, text string")
     assert {r.doc_id: r.component_id for r in jaccard_components(df).collect()} == {3: 3, 9: 3, 12: 3}
+
+
+def test_documents_that_share_a_passage_are_not_listed_under_it(spark):
+    """Of 300 documents with a common half, none is a candidate; the frequent shingles come last."""
+    rng = random.Random(8)
+    passage = [f"p{k}" for k in range(50)]
+    rows = [(k, " ".join(passage + [f"z{rng.randint(0, 10**9)}" for _ in range(50)])) for k in range(300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    listed = J.shingle_sets(docs, "doc_id", "text").collect()
+    entries = [x for r in listed for x in r.listed]
+    assert len(entries) == sum(r.n - -(-80 * r.n // 100) + 1 + r.n // 20 for r in listed)
+    assert len(set(entries)) == len(entries)
+    assert J.frequency_levels(docs, "text").max() == 8
+    assert rows_of(jaccard_components(docs)) == brute(rows)
+
+
+def test_any_order_of_shingles_gives_the_same_links(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
+    assert rows_of(jaccard_components(docs, counters=11)) == rows_of(jaccard_components(docs))
