@@ -27,12 +27,13 @@ from pyspark.sql import functions as F
 
 #: Pages that the classifier is fitted to, at most.
 SAMPLE = 400
-#: Log odds that cannot be outvoted, that an element's name or class gives, and of text outside an article where there is one.
-CERTAIN, NAMED, OUTSIDE = 60.0, 6.0, -4.0
+#: Log odds that cannot be outvoted, that an article or main element gives, that a word in a class or id gives, and of text
+#: outside an article where there is one.
+CERTAIN, NAMED, WORDED, OUTSIDE = 60.0, 6.0, 6.0, -4.0
 #: Smoothness between neighbours in one parent, in different ones, and between blocks of one parent.
 SAME, OTHER, SIBLING = 1.0, 0.25, 0.75
 
-_DROPPED = frozenset("script style noscript template title svg math iframe object canvas audio video select option button textarea datalist".split())
+_DROPPED = frozenset("script style noscript template title svg iframe canvas audio video".split())
 _BOILERPLATE = frozenset("nav footer aside form menu dialog".split())
 _ROLES = frozenset("navigation banner contentinfo complementary search dialog alert alertdialog menu menubar toolbar form".split())
 _BLOCKS = frozenset(
@@ -49,10 +50,18 @@ _BAD_WORDS = frozenset(
     "copyright disclaimer disqus footer header login masthead menu modal nav navbar navigation newsletter notice notices "
     "popup promo promotion recommended related replies reply respond share sharing sidebar signup social sponsor sponsored "
     "subscribe subscription teaser toolbar widget widgets gdpr alert".split())
+_ABOUT = frozenset("has no with without".split())
 _GOOD_WORDS = frozenset("article content entry main post story text body".split())
 _PRIOR = np.array([-1.0, 2.0, -4.0, 1.0, 0.7, 0.8, -0.8])
 
 
+def _names(values: dict[str, str | None]) -> set[str]:
+    """The words in an element's class and id, but for names like ``has-sidebar``, which tell what else the page has."""
+    names = f"{values.get('class') or ''} {values.get('id') or ''}".lower().split()
+    parts = [[x for x in re.split(r"[^a-z]+", name) if x] for name in names]
+    return {word for words in parts if words and words[0] not in _ABOUT for word in words}
+
+
 class Block(NamedTuple):
     """A text block: its element's tag, the share of its characters in links, its parent, and what its elements say."""
 
@@ -124,18 +133,27 @@ class _Reader(HTMLParser):
             self._open.append(_Element(tag, self._count, self._says(tag, values, around), article))
 
     def _says(self, tag: str, values: dict[str, str | None], around: _Element) -> float:
-        """Log odds that an element and those around it state; what is boilerplate stays so inside."""
-        if around.says <= -NAMED:
+        """Log odds that an element and those around it state.
+
+        What an element's kind or role states holds for all inside. What a word in a
+        class or id states is a guess: it is as strong as a few units, and an article
+        or main element inside starts anew.
+        """
+        if around.says <= -CERTAIN:
             return around.says
         if tag in _BOILERPLATE or (values.get("role") or "").lower() in _ROLES or (tag == "header" and not around.article):
             return -CERTAIN
-        if tag not in ("body", "html"):
-            names = set(re.split(r"[^a-z]+", f"{values.get('class') or ''} {values.get('id') or ''}".lower()))
+        said = around.says
+        if tag in ("article", "main"):
+            # A reader's comment is often an article inside the article.
+            said = said if around.article and said < 0 else NAMED
+        if tag not in ("body", "html", "article", "main") or tag == "article" and around.article:
+            names = _names(values)
             if names & _BAD_WORDS and not (tag in ("header", "h1", "h2", "h3") and around.article):
-                return -CERTAIN / 2 if around.article or tag != "main" else around.says
-            if names & _GOOD_WORDS:
-                return max(around.says, NAMED / 2)
-        return NAMED if tag in ("article", "main") else around.says
+                return min(said, 0.0) - (WORDED / 2 if names & _GOOD_WORDS else WORDED)
+            if names & _GOOD_WORDS and said >= 0:
+                return max(said, NAMED / 2)
+        return max(said, -CERTAIN / 2)
 
     def handle_endtag(self, tag: str) -> None:
         if self._dropped:

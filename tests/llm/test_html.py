@@ -65,3 +65,28 @@ def test_given_pages(spark):
         head, rest = re.search(r"<article><h1>(.*?)</h1>(.*?)</article>", r.html, re.S).groups()
         parts = [" ".join(html.unescape(re.sub(r"<[^>]*>", " ", x)).split()) for x in [head, *rest.split("<p>")]]
         assert found[r.page_id] == "\n\n".join(x for x in parts if x)
+
+
+@pytest.mark.parametrize("outer", ["page has-sidebar", "post no-comments", "layout with-banner"])
+def test_class_words_around_an_article_do_not_hide_it(outer):
+    text = LONG.strip()
+    page = (f"<body><nav><a href=/>Menu</a></nav><div class='{outer}'><article><h1>Head line</h1><p>{LONG * 2}</p><p>{LONG}</p>"
+            f"</article><aside><p>{LONG}</p></aside></div><footer>{LONG}</footer>")
+    assert content(page) == ["Head line", f"{text} {text}", text]
+    comments = f"<article><h1>Head line</h1><p>{LONG}</p><section class=comments><article><p>{LONG}</p></article></section></article>"
+    assert content(comments) == ["Head line", text]
+
+
+def test_formulas_and_buttons_of_an_article():
+    found = content(f"<article><p>{LONG}<math><mi>x</mi><mo>=</mo><mn>2</mn></math> is so.</p><form><button>Send</button></form></article>")
+    assert found == [f"{LONG}x=2 is so."]
+
+
+def test_edges_decide_what_the_classifier_alone_gets_wrong(monkeypatch):
+    """A short line between paragraphs is content by its neighbours alone."""
+    short = f"<body><div><p>{LONG * 2}</p>two words<p>{LONG * 2}</p></div>"
+    text = LONG.strip()
+    assert content(short) == [f"{text} {text}", "two words", f"{text} {text}"]
+    for name in ("SAME", "OTHER", "SIBLING"):
+        monkeypatch.setattr(X, name, 0.0)
+    assert content(short) != [f"{text} {text}", "two words", f"{text} {text}"]
