@@ -1,7 +1,8 @@
 """Test items found in documents: BM25 with block-max WAND, then overlap of question and answer.
 
-A document's passages are windows of its terms that overlap by half; the step is
-no shorter than the longest item, so a copied item lies whole in some passage.
+A document's passages are windows of its terms that overlap by half. Items of a
+like length are sought together, in passages whose step is no shorter than they
+are, so a copied item lies whole in some passage, whatever other items there are.
 Weights are BM25 weights divided by the score that an item has to reach, a share
 of what its own text scores, so a passage retrieves an item at a sum of 1.
 
@@ -12,8 +13,8 @@ may retrieve something go through block-max WAND, which returns every item at or
 above the threshold. An item counts as found where enough of the word triples of
 its question and of its answer stand in the passage.
 
-The index is sent to the executors in parts of at most ``INDEX_ITEMS`` items, one
-pass over the documents per part.
+The index is sent to the executors in parts of at most ``INDEX_ITEMS`` items of
+one level of length, one pass over the documents per part.
 """
 
 from __future__ import annotations
@@ -102,48 +103,52 @@ def question_and_answer(text: str) -> tuple[str, str]:
     return " ".join(words[:cut]), " ".join(words[cut:]) or text
 
 
-def item_terms(items: DataFrame, id_column: str, text: str) -> DataFrame:
-    """(id, text, term, tf, length) for all terms of all items."""
+def item_terms(items: DataFrame) -> DataFrame:
+    """(item, term, tf, length) for all terms of all items (item, text)."""
 
     def split(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for row, value in enumerate(batch.column(text).to_pylist()):
+            for item, value in zip(batch.column("item").to_pylist(), batch.column("text").to_pylist(), strict=True):
                 hashes, counts = np.unique(text_terms(value or ""), return_counts=True)
-                one = pa.array(np.zeros(len(hashes), np.int64))
                 yield pa.RecordBatch.from_arrays(
-                    [batch.column(id_column).slice(row, 1).take(one), pa.array([value]).cast(pa.string()).take(one),
-                     pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64)),
-                     pa.array(np.full(len(hashes), counts.sum(), np.int64))], ["id", "text", "term", "tf", "length"])
+                    [pa.array(np.full(len(hashes), item, np.int64)), pa.array(hashes.view(np.int64)),
+                     pa.array(counts.astype(np.int64)), pa.array(np.full(len(hashes), counts.sum(), np.int64))],
+                    ["item", "term", "tf", "length"])
 
-    return items.select(id_column, text).mapInArrow(
-        split, f"id {dict(items.dtypes)[id_column]}, text string, term long, tf long, length long")
+    return items.select("item", "text").mapInArrow(split, "item long, term long, tf long, length long")
 
 
 def indexes(items: DataFrame, id_column: str = "item_id", text: str = "text", share: float = SHARE) -> Iterator[Index]:
-    """The parts of the index; frequencies and lengths are those of all items, of which equal rows are one."""
-    found = stored(item_terms(items.select(id_column, text).distinct(), id_column, text))
-    whole = found.select("id", "text", "length").distinct()
-    total = whole.agg(F.count("*").alias("n"), F.avg("length").alias("mean"), F.max("length").alias("longest")).first()
+    """The parts of the index; frequencies and lengths are those of all items, of which equal rows are one.
+
+    Items of a like length (up to ``STEP`` terms, twice as many, four times, ...)
+    go together, as their length sets that of the passages they are sought in.
+    """
+    numbered = items.select(F.col(id_column).alias("id"), F.col(text).alias("text")).distinct()
+    numbered = stored(numbered.withColumn("item", F.monotonically_increasing_id()))
+    found = stored(item_terms(numbered))
+    level = F.greatest(F.lit(0), F.ceil(F.log2(F.col("length") / STEP)))
+    sizes = stored(found.groupBy("item").agg(F.first("length").alias("length"), F.count("*").alias("rows")).withColumn("level", level))
+    total = sizes.agg(F.count("*").alias("n"), F.avg("length").alias("mean")).first()
     if not total.n:
         return
     document_counts = found.groupBy("term").agg(F.count("*").alias("df"))
-    weighed = stored(found.join(document_counts, "term"))
-    rows = weighed.count()
-    parts = max(-(-total.n // INDEX_ITEMS), -(-rows // (INDEX_ITEMS * ITEM_TERMS)))
-    for part in range(parts):
-        own = weighed.filter(F.pmod(F.xxhash64("text"), F.lit(parts)) == part)
-        table = own.orderBy("id", "text", "term").toArrow().combine_chunks()
-        if len(table):
-            yield _index(table, total.n, total.mean, max(STEP, total.longest), share)
-
-
-def _index(table: pa.Table, n: int, mean: float, step: int, share: float) -> Index:
-    texts = table["text"].combine_chunks()
-    ids = table["id"].combine_chunks()
-    firsts = [0] + [k for k in range(1, len(table)) if ids[k] != ids[k - 1] or texts[k] != texts[k - 1]]
-    item = np.zeros(len(table), np.int64)
-    item[firsts[1:]] = 1
-    item = np.cumsum(item)
+    weighed = stored(found.join(document_counts, "term").join(sizes.select("item", "level"), "item"))
+    texts = stored(numbered.join(sizes.select("item", "level"), "item"))
+    # A level for each doubling of the length, so a few dozen at most.
+    levels = sizes.groupBy("level").agg(F.count("*").alias("n"), F.sum("rows").alias("rows")).orderBy("level").collect()
+    for own in levels:
+        parts = max(-(-own.n // INDEX_ITEMS), -(-own.rows // (INDEX_ITEMS * ITEM_TERMS)))
+        for part in range(parts):
+            chosen = (F.col("level") == own.level) & (F.pmod(F.xxhash64("item"), F.lit(parts)) == part)
+            known = texts.filter(chosen).select("item", "id", "text").orderBy("item").toArrow().combine_chunks()
+            if len(known):
+                table = weighed.filter(chosen).orderBy("item", "term").toArrow().combine_chunks()
+                yield _index(known, table, total.n, total.mean, STEP << int(own.level), share)
+
+
+def _index(known: pa.Table, table: pa.Table, n: int, mean: float, step: int, share: float) -> Index:
+    item = np.searchsorted(known["item"].to_numpy(), table["item"].to_numpy())
     tf, length, df = (table[c].to_numpy().astype(np.float64) for c in ("tf", "length", "df"))
     weight = np.log1p((n - df + 0.5) / (df + 0.5)) * tf * (K1 + 1) / (tf + K1 * (1 - B + B * length / mean))
     own = np.bincount(item, weight)
@@ -170,9 +175,9 @@ def _index(table: pa.Table, n: int, mean: float, step: int, share: float) -> Ind
     kept = np.flatnonzero(~spared)
     kept = kept[np.argsort(term[kept], kind="stable")]
     begins = np.searchsorted(term[kept], np.arange(len(vocabulary) + 1))
-    halves = [question_and_answer(texts[k].as_py()) for k in firsts]
+    halves = [question_and_answer(text) for text in known["text"].to_pylist()]
     return Index(vocabulary, items, weights, blocks, peaks, begins, item[kept], weight[kept], need,
-                 ids.take(pa.array(firsts)), [triples(text_terms(q)) for q, _ in halves],
+                 known["id"].combine_chunks(), [triples(text_terms(q)) for q, _ in halves],
                  [triples(text_terms(a)) for _, a in halves], step)
 
 

@@ -88,3 +88,23 @@ def test_given_tables(spark):
     texts = {r.item_id: r.text for r in items.collect()}
     expected = {(r.doc_id, i) for r in docs.collect() for i, t in texts.items() if t in r.text}
     assert {(r.doc_id, r.item_id) for r in D.item_matches(docs, items).collect()} == expected
+
+
+def test_a_long_item_leaves_the_passages_of_others_alone(spark):
+    docs, items = planted(spark)
+    rng = random.Random(9)
+    long = " ".join(f"{prose(rng, 1)}{k}" for k in range(1_500)) + ". The end of it all."
+    huge = " ".join(f"{prose(rng, 1)}{k}" for k in range(100_000)) + ". The last of these."
+    more = items.union(spark.createDataFrame([(500, long), (501, huge), (502, None), (503, "")], items.schema))
+    with_long = docs.union(spark.createDataFrame(
+        [(900, f"{prose(rng, 700)} {long} {prose(rng, 90)}", "en"), (901, f"{prose(rng, 40)} {huge}", "en")], docs.schema))
+    before = rows_of(D.item_matches(docs, items))
+    after = rows_of(D.item_matches(with_long, more))
+    assert {r[:2] for r in after} - {r[:2] for r in before} == {(900, 500), (901, 501)}
+    assert [r for r in after if r[0] < 900] and [r[:3] for r in after if r[0] < 900] == [r[:3] for r in before]
+
+
+def test_an_item_is_written_once_and_not_per_term(spark):
+    long = " ".join(f"word{k}" for k in range(2_000))
+    items = spark.createDataFrame([(1, long)], "item long, text string")
+    assert D.item_terms(items).columns == ["item", "term", "tf", "length"] and D.item_terms(items).count() == 2_000
