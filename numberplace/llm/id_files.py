@@ -30,6 +30,8 @@ from numberplace.llm import id_coder
 from numberplace.llm.shared import shared
 
 END_ID = 0
+#: Characters of a text in a range key, which tell rows of equal id apart.
+RANGE_CHARS = 32
 #: Characters on which both libraries cut words alike whatever their Unicode version.
 _UNUSUAL = re.compile("[^\t\n\r\x20-\x7e¡-ɏ]")
 _PIECES = ("piece_of", "piece_id", "piece_size", "piece_after")
@@ -136,7 +138,9 @@ def write_ids(
 
     schema = ("part int, block long, first long, size int, checksum long, alphabet int, code binary, "
               f"piece_of array<long>, piece_id array<{kind}>, piece_size array<int>, piece_after array<long>")
-    ordered = df.select(id_column, text).repartitionByRange(id_column, text).sortWithinPartitions(id_column, text)
+    # Range keys are sampled to the driver, so they hold the first characters of a text only; these order texts as a whole does.
+    ranged = df.select(id_column, text).repartitionByRange(id_column, F.substring(text, 1, RANGE_CHARS))
+    ordered = ranged.sortWithinPartitions(id_column, text)
     ordered.mapInArrow(code, schema).write.parquet(path)
 
 
