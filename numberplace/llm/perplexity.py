@@ -5,8 +5,9 @@ before it and an end mark behind it, its n-grams have four characters.
 ``RUNNING`` takes a whole text, each run of blanks as one: its n-grams have six
 characters and run across words, so it tells a text from its shuffled words.
 N-grams are counted per language over whole texts. Lower orders use continuation
-counts, each order has its own three discounts. Tasks hold both models as one
-sorted array of 64-bit hashes. It is read from a table in parts of at most
+counts, each order has its own three discounts. Tasks hold both models as
+sorted arrays of 64-bit hashes, which executors hash, sort and pack; they pass the
+driver one piece of ``PIECE_ROWS`` rows at a time. They are read from a table in parts of at most
 ``MODEL_ROWS`` and ``RUNNING_ROWS`` rows or so, one pass over the texts per part (one part, while the
 table is no larger): what a position looks up from two characters of context on
 depends on these, and parts are cut by them; shorter n-grams are in every part.
@@ -22,7 +23,7 @@ from typing import NamedTuple
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from numberplace.llm import words as W
@@ -47,7 +48,9 @@ _START, _END = 0xFFFE, 0xFFFF
 #: Of running text, where the blanks but U+0020 do not occur.
 _TEXT_START, _TEXT_END, _BLANK = 0x09, 0x0A, 0x20
 #: Rows of either model that tasks hold at a time, 12 bytes each.
-MODEL_ROWS, RUNNING_ROWS = 4_000_000, 3_000_000
+MODEL_ROWS, RUNNING_ROWS = 4_000_000, 9_000_000
+#: Rows that go through the driver at a time.
+PIECE_ROWS = 500_000
 #: Distinct n-grams that a counting task gathers before it hands them on.
 COUNT_ROWS = 2_000_000
 #: Added to ``Grams.kind``.
@@ -285,22 +288,30 @@ def _keys(language: str, kind: int, size: int, grams: np.ndarray) -> np.ndarray:
 
 
 class Model(NamedTuple):
-    """Sorted hashes and their values; ``part`` of ``parts`` by the two preceding characters."""
+    """Sorted hashes and their values, in pieces one after the other; ``part`` of ``parts`` by the two preceding characters."""
 
-    hashes: np.ndarray
-    values: np.ndarray
+    pieces: list[tuple[np.ndarray, np.ndarray]]
     part: int
     parts: int
 
+    @property
+    def hashes(self) -> np.ndarray:
+        return np.concatenate([hashes for hashes, _ in self.pieces])
+
     def find(self, language: str, kind: int, size: int, grams: np.ndarray) -> np.ndarray:
         """Values, NaN where there is none."""
         keys = _keys(language, kind, size, grams)
         order = np.argsort(keys)  # a search in order walks through memory in order
-        at = np.empty(len(keys), np.int64)
-        at[order] = np.searchsorted(self.hashes, keys[order])
-        at[at == len(self.hashes)] = 0
-        return np.where(self.hashes[at] == keys, self.values[at], np.float32(np.nan)) if len(self.hashes) else np.full(
-            len(keys), np.nan, np.float32)
+        keys = keys[order]
+        out = np.full(len(keys), np.nan, np.float32)
+        lasts = np.array([hashes[-1] for hashes, _ in self.pieces], np.uint64)
+        begin = 0
+        for (hashes, values), end in zip(self.pieces, np.searchsorted(keys, lasts, side="right"), strict=True):
+            own = keys[begin:end]
+            at = np.searchsorted(hashes, own)
+            out[order[begin:end]] = np.where(hashes[at] == own, values[at], np.float32(np.nan))
+            begin = end
+        return out
 
     def log_probabilities(self, language: str, grams: np.ndarray, model: Grams = SPELLING) -> np.ndarray:
         """Of each packed gram's last character, 0 for grams of other parts."""
@@ -368,23 +379,35 @@ def hashed(model: DataFrame) -> DataFrame:
     return model.select("language", "kind", "size", "gram", "value").mapInArrow(keys, "hash long, value float")
 
 
-def load(model: DataFrame, part: int, parts: int) -> Model:
-    """One part of the stored model as sorted hashes; hashed and sorted by tasks, 12 bytes a row reach the driver."""
+def _pieces(model: DataFrame, part: int, parts: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """One part of the stored model as sorted hashes and values, a range of hashes after the other."""
     own = model.filter(functools.reduce(Column.__or__, (_rows_of(m, part, parts) for m in _MODELS)))
     # Hashes are compared as unsigned numbers.
-    table = hashed(own).orderBy(F.col("hash").bitwiseXOR(F.lit(-(2**63)))).toArrow()
-    hashes = table["hash"].to_numpy().view(np.uint64)
-    values = table["value"].to_numpy()
-    del table
-    pa.default_memory_pool().release_unused()
-    return Model(hashes, values, part, parts)
-
-
-def sent(spark: SparkSession, model: Model) -> Callable[[], Model]:
-    """Broadcast a model and return what gives it back in a task; its arrays go as they are, not as one more copy."""
-    hashes, values = (spark.sparkContext.broadcast(array) for array in model[:2])
-    part, parts = model[2:]
-    return lambda: Model(hashes.value, values.value, part, parts)
+    unsigned = F.col("hash").bitwiseXOR(F.lit(-(2**63)))
+    ranges = max(1, -(-own.count() // PIECE_ROWS))
+
+    def pack(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held = [batch for batch in batches if len(batch)]
+        if held:
+            table = pa.Table.from_batches(held)
+            packed = [[table[name].to_numpy().tobytes()] for name in ("hash", "value")]
+            yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in packed], ["hashes", "items"])
+
+    rows = hashed(own).repartitionByRange(ranges, unsigned).sortWithinPartitions(unsigned)
+    for row in rows.mapInArrow(pack, "hashes binary, items binary").toLocalIterator():
+        yield np.frombuffer(row.hashes, np.uint64), np.frombuffer(row.items, np.float32)
+
+
+def load(model: DataFrame, part: int, parts: int) -> Model:
+    """One part of the stored model in this process."""
+    return Model(list(_pieces(model, part, parts)), part, parts)
+
+
+def sent(model: DataFrame, part: int, parts: int) -> Callable[[], Model]:
+    """Broadcast one part of the stored model, piece by piece, and return what gives it back in a task."""
+    context = model.sparkSession.sparkContext
+    pieces = [tuple(map(context.broadcast, piece)) for piece in _pieces(model, part, parts)]
+    return lambda: Model([(hashes.value, values.value) for hashes, values in pieces], part, parts)
 
 
 def word_scores(model: Model, language: str, chunk: W.Chunk) -> tuple[np.ndarray, W.Words]:

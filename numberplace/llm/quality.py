@@ -97,10 +97,13 @@ def count(chunk: W.Chunk, found: W.Words) -> Counts:
 
 
 def text_scores(
-    df: DataFrame, model: P.Model, first: bool, id_columns: list[str], text: str, language: str
+    df: DataFrame, model: DataFrame, part: int, parts: int, id_columns: list[str], text: str, language: str
 ) -> DataFrame:
-    """Per row the counts and the summed log probabilities, of its words and as running text, under one model part."""
-    sent = P.sent(df.sparkSession, model)
+    """Per row the summed log probabilities, of its words and as running text, under one part of the stored model.
+
+    The counts come along with the first part.
+    """
+    sent, first = P.sent(model, part, parts), part == 0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_model = sent()
@@ -156,7 +159,7 @@ def quality_rules(
     parts = P.part_count(model)
     id_columns = [id_column] if parts == 1 else [id_column, _TEXT_KEY]
     texts = df if parts == 1 else _with_text_key(df, id_column, text, language)
-    passes = [text_scores(texts, P.load(model, k, parts), k == 0, id_columns, text, language) for k in range(parts)]
+    passes = [text_scores(texts, model, k, parts, id_columns, text, language) for k in range(parts)]
     scored = passes[0]
     if parts > 1:
         sums = functools.reduce(DataFrame.unionByName, [

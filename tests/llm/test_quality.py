@@ -164,6 +164,73 @@ def test_parts_of_the_models_add_up(awkward_docs):
             assert (expected < 0).all()
 
 
+def test_pieces_of_a_model_add_up(awkward_docs, monkeypatch):
+    model = P.fit(awkward_docs)
+    whole = P.load(model, 0, 1)
+    monkeypatch.setattr(P, "PIECE_ROWS", 300)
+    pieces = P.load(model, 0, 1)
+    assert len(whole.pieces) == 1 < len(pieces.pieces)
+    assert pieces.hashes.tolist() == whole.hashes.tolist() == sorted(whole.hashes.tolist())
+    for chunk in P.W.chunks(P.pa.array([r.text for r in awkward_docs.collect()] + ["never seen Ж 語"])):
+        for own, kind in ((P.run(chunk, P.W.words(chunk))[0], P.RUNNING), (P.spell(chunk).grams, P.SPELLING)):
+            for language in ("en", "nowhere"):
+                assert pieces.log_probabilities(language, own, kind).tolist() == whole.log_probabilities(language, own, kind).tolist()
+
+
+def running(text):
+    """A text as the running model reads it: characters beyond Latin share 432 codes."""
+    own = words(text)
+    letters = [c if ord(c) < 592 else chr(592 + ord(c) % 432) for c in " ".join(own)]
+    return "\t" * 5 + "".join(letters) + "\n" if own else ""
+
+
+def running_chances(texts):
+    """Log probability of a text by the formulas, with dictionaries."""
+    grams = lambda text, n: [text[k : k + n] for k in range(len(text) - n + 1)]
+    orders = {6: Counter(g for text in texts for g in grams(running(text), 6))}
+    for n in range(5, 0, -1):
+        orders[n] = Counter(g[1:] for g in orders[n + 1])
+    off, totals, left = {}, defaultdict(Counter), defaultdict(Counter)
+    for n, counts in orders.items():
+        seen = Counter(counts.values())
+        share = seen[1] / (seen[1] + 2 * seen[2]) if seen[1] and seen[2] else 0
+        off[n] = [min(max(k - (k + 1) * share * seen[k + 1] / seen[k], 0.1), k - 0.05) if share and seen[k] else 0.5
+                  for k in (1, 2, 3)]
+        for g, c in counts.items():
+            totals[n][g[:-1]] += c
+            left[n][g[:-1]] += off[n][min(c, 3) - 1]
+
+    def chance(g):
+        if not g:
+            return 1 / (len(orders[1]) + 1)
+        n, c = len(g), orders[len(g)].get(g, 0)
+        if not totals[n][g[:-1]]:
+            return chance(g[1:])
+        own = c - off[n][min(c, 3) - 1] if c else 0
+        return (own + left[n][g[:-1]] * chance(g[1:])) / totals[n][g[:-1]]
+
+    return lambda text: sum(math.log(chance(g)) for g in grams(running(text), 6))
+
+
+def test_running_model_by_the_formulas(spark):
+    import random
+
+    rng = random.Random(9)
+    letters = {"en": "abcdefgh", "ru": "абвгдежз", "zh": "的一是不了人我在"}
+    rows = []
+    for lang, own in letters.items():
+        vocabulary = ["".join(rng.choice(own) for _ in range(rng.randint(1, 5))) for _ in range(30)]
+        rows += [(lang, " ".join(rng.choice(vocabulary) for _ in range(rng.randint(0, 40)))) for _ in range(25)]
+    model = P.load(P.fit(spark.createDataFrame(rows, "lang string, text string")), 0, 1)
+    for lang in letters:
+        texts = [t for name, t in rows if name == lang]
+        expected = running_chances(texts)
+        new = [*texts, "never seen Ж 語"]
+        for chunk in P.W.chunks(P.pa.array(new)):
+            found = P.text_scores(model, lang, chunk, P.W.words(chunk))
+            assert found == pytest.approx([expected(t) for t in new[chunk.first : chunk.first + len(found)]], rel=1e-4)
+
+
 def test_grams_of_running_text():
     import pyarrow as pa
 
