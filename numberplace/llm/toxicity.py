@@ -34,6 +34,8 @@ LEAST_STEPS = 150
 THRESHOLD = 0.7
 #: The part of a text's words that has to be toxic.
 SHARE = 0.006
+#: Words of a window; a text scores as its most toxic one.
+WINDOW = 1_000
 
 _BEGIN, _END, _WHOLE = np.uint64(0xA5A5F00DCAFE1234), np.uint64(0x1C69B3F74AC4AE35), np.uint64(0x7F4A7C159E3779B9)
 
@@ -88,14 +90,27 @@ def word_logits(model: Model, bag: Bags) -> np.ndarray:
 
 
 def text_logits(model: Model, bag: Bags) -> np.ndarray:
-    """Per text the logit that ``SHARE`` of its words reach, of one word at least; the bias for a text without any."""
+    """Per text the highest logit that ``SHARE`` of a window's words reach, of one word at least; the bias for a text without any.
+
+    A text is cut into equal windows of ``WINDOW`` words at most, and again half a window further on.
+    """
     own = word_logits(model, bag)[bag.which]
     counts = np.diff(bag.of)
-    texts = np.flatnonzero(counts)
-    out = np.full(len(counts), model.bias)
-    order = np.lexsort((-own, np.repeat(np.arange(len(counts)), counts)))
-    nth = np.ceil(counts[texts] * SHARE).astype(np.int64) - 1
-    out[texts] = own[order[bag.of[texts] + nth]]
+    out = np.where(counts > 0, -np.inf, model.bias)
+    texts = np.repeat(np.arange(len(counts)), counts)
+    windows = -(-counts // WINDOW)[texts]
+    halves = (np.arange(len(own)) - bag.of[texts]) * 2 * windows // counts[texts]
+    for shift in (0, 1):
+        window = (halves + shift) // 2
+        inside = np.flatnonzero((shift == 0) | ((window > 0) & (window < windows)))
+        if not len(inside):
+            continue
+        text, logits = texts[inside], own[inside]
+        fresh = np.append(True, (text[1:] != text[:-1]) | (window[inside[1:]] != window[inside[:-1]]))
+        heads = np.flatnonzero(fresh)
+        order = np.lexsort((-logits, np.cumsum(fresh)))
+        nth = np.ceil(np.diff(heads, append=len(inside)) * SHARE).astype(np.int64) - 1
+        np.maximum.at(out, text[heads], logits[order[heads + nth]])
     return out
 
 
@@ -235,13 +250,19 @@ def fit(texts: list[str], labels: np.ndarray, seed: int = 7, rounds: int = 4, re
 def labelled_sample(
     df: DataFrame, labels: DataFrame, id_column: str, text: str, label: str, sample: int = SAMPLE
 ) -> tuple[list[str], np.ndarray]:
-    """Up to ``sample`` texts of each label, chosen by a hash of the id; ids with remainder 1 are held out."""
+    """Up to ``sample`` texts of each label, chosen by a hash of the id; ids with remainder 1 are held out.
+
+    Of rows of equal id, the text with the least hash is taken.
+    """
     known = labels.filter(F.col(label).isin(0, 1) & ~held_out(id_column)).select(id_column, F.col(label).alias("_label")).distinct()
     texts, marks = [], []
     for value in (0, 1):
         chosen = known.filter(F.col("_label") == value).orderBy(F.xxhash64(id_column), id_column).limit(sample)
-        found = df.select(id_column, F.col(text).alias("_text")).join(F.broadcast(chosen), id_column).select("_text").toArrow()
-        texts += [x or "" for x in found["_text"].to_pylist()][: 2 * sample]
+        found = df.select(id_column, F.col(text).alias("_text")).join(F.broadcast(chosen), id_column)
+        # One text of each id, so that the driver gets no more than ``sample``.
+        first = F.min(F.struct(F.xxhash64("_text").alias("hash"), F.col("_text").alias("text"))).alias("first")
+        rows = found.groupBy(id_column).agg(first).orderBy(F.xxhash64(id_column), id_column).select("first.text").toArrow()
+        texts += [x or "" for x in rows["text"].to_pylist()]
         marks += [value] * (len(texts) - len(marks))
     return texts, np.array(marks, np.int64)
 

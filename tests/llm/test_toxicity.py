@@ -69,3 +69,46 @@ def test_learns_nothing_from_held_out_labels(spark):
     wrong = [(k, 1 - m if zlib.crc32(str(k).encode()) % 3 == 1 else m) for k, m in right]
     a, b = (rows_of(T.toxicity(docs, spark.createDataFrame(x, "doc_id long, toxic int"))) for x in (right, wrong))
     assert a == b
+
+
+def test_a_toxic_passage_counts_whatever_stands_around_it(model):
+    rng = random.Random(6)
+    around = [prose(rng, n) for n in (0, 300, 5_000, 6_321)]
+    passage = " ".join(["scumbag worthless grubwit", prose(rng, 60)] * 10)
+    for before in around:
+        for behind in around:
+            assert (logits(model, [f"{before} {passage} {behind}"]) > np.log(0.7 / 0.3)).all()
+    assert (logits(model, around) < 0).all()
+
+
+def test_windows_by_brute_force(model):
+    import pyarrow as pa
+
+    rng = random.Random(8)
+    texts = [prose(rng, n) for n in (0, 1, 7, 999, 1_000, 1_001, 2_000, 3_456)] + ["", prose(rng, 2_500)]
+    for chunk in T.W.chunks(pa.array(texts)):
+        bag = T.bags(chunk)
+        words_ = T.word_logits(model, bag)[bag.which]
+        expected = []
+        for k in range(len(chunk.bounds) - 1):
+            own = words_[bag.of[k] : bag.of[k + 1]].tolist()
+            n = len(own)
+            if not n:
+                expected.append(model.bias)
+                continue
+            windows = -(-n // T.WINDOW)
+            cut = lambda half: -(-half * n // (2 * windows))  # noqa: B023, E731
+            spans = [(cut(h), cut(h + 2)) for h in range(2 * windows - 1)]
+            tops = [sorted(own[a:b], reverse=True) for a, b in spans]
+            expected.append(max(t[int(np.ceil(len(t) * T.SHARE)) - 1] for t in tops))
+        assert T.text_logits(model, bag).tolist() == pytest.approx(expected, rel=1e-6)
+
+
+def test_sample_takes_one_text_of_each_id(spark):
+    docs = spark.createDataFrame([(k % 3, f"text {k}") for k in range(60)], "doc_id long, text string")
+    labels = spark.createDataFrame([(0, 1), (1, 0), (2, 1)], "doc_id long, toxic int")
+    known = [k for k in range(3) if zlib.crc32(str(k).encode()) % 3 != 1]
+    texts, marks = T.labelled_sample(docs, labels, "doc_id", "text", "toxic")
+    assert len(texts) == len(marks) == len(known)
+    assert sorted(int(t.split()[1]) % 3 for t in texts) == known
+    assert T.labelled_sample(docs.repartition(7), labels, "doc_id", "text", "toxic")[0] == texts
