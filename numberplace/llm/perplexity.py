@@ -220,7 +220,7 @@ def _fitted(counts: DataFrame, model: Grams) -> list[DataFrame]:
     parts, lower = [], None
     for size in range(1, model.order + 1):
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = orders[size].join(F.broadcast(_discounts(orders[size])), "language").select("language", "gram", "n", off.alias("off"))
+        rows = orders[size].join(stored(_discounts(orders[size])), "language").select("language", "gram", "n", off.alias("off"))
         if size == 1:
             contexts = rows.groupBy("language").agg(
                 F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("left"), F.count("*").alias("kinds"))
@@ -394,7 +394,7 @@ def _pieces(model: DataFrame, part: int, parts: int) -> Iterator[tuple[np.ndarra
             yield pa.RecordBatch.from_arrays([pa.array(x, pa.binary()) for x in packed], ["hashes", "items"])
 
     rows = hashed(own).repartitionByRange(ranges, unsigned).sortWithinPartitions(unsigned)
-    for row in rows.mapInArrow(pack, "hashes binary, items binary").toLocalIterator():
+    for row in rows.mapInArrow(pack, "hashes binary, items binary").toLocalIterator(prefetchPartitions=True):
         yield np.frombuffer(row.hashes, np.uint64), np.frombuffer(row.items, np.float32)
 
 
