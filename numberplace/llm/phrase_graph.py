@@ -181,13 +181,11 @@ def _flows(graph: DataFrame, longest: int, least: int) -> DataFrame:
                 keys = np.stack([salt[heads], *(w[heads] for w in words)]).astype(np.int64)
                 keys[1 + level :] = 0 if level > 2 else keys[1 + level :]
                 known = carried.pop(level, None)
-                if known is not None and (known[0][: 1 + level] == keys[: 1 + level, 0]).all() and known[0][2] != 0:
+                if known is not None and (known[0][: 1 + level] == keys[: 1 + level, 0]).all():
                     sums[0] += known[1]
                     keys[:, 0] = known[0]
                 elif known is not None:
                     keys, sums = np.column_stack([known[0], keys]), np.append(known[1], sums)
-                if level > 2:
-                    keys, sums = keys, sums
                 carried[level] = keys[:, -1], sums[-1]
                 out.append((level, keys[:, :-1], sums[:-1]))
             yield finished(out)

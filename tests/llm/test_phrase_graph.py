@@ -106,3 +106,18 @@ def squeezed(spoken):
         return (code % 2 + 1, *rest)
 
     return few
+
+
+@pytest.mark.parametrize("rows_per_batch", [1, 7])
+def test_a_word_whose_rows_come_in_several_batches(spark, monkeypatch, rows_per_batch):
+    """Every task of the first pass has a row of each word; the next one may read them in different batches."""
+    monkeypatch.setattr(P, "BATCH_WORDS", 20)
+    rows = chance_rows(random.Random(rows_per_batch), 80)
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(4)
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, rows_per_batch)
+    try:
+        assert rows_of(P.collocations(df)) == brute(rows, 3, 10, 50, 2_000)
+    finally:
+        spark.conf.set(name, before)
