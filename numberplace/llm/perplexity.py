@@ -17,7 +17,9 @@ from __future__ import annotations
 
 import functools
 import hashlib
+import itertools
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from typing import NamedTuple
 
 import numpy as np
@@ -27,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from numberplace.llm import words as W
-from numberplace.session import stored
+from numberplace.session import discard, stored
 
 
 class Grams(NamedTuple):
@@ -71,7 +73,10 @@ class Spelt(NamedTuple):
 def spell(chunk: W.Chunk) -> Spelt:
     """Pack the n-grams of the distinct words into 64 bits, 16 for each code point's low bits."""
     found = W.words(chunk)
-    _, at, which, counts = np.unique(found.hashes, return_index=True, return_inverse=True, return_counts=True)
+    ordered = W.order_of(found.hashes)
+    heads, counts = W.distinct(found.hashes, ordered)
+    at, which = ordered[heads], np.empty(len(ordered), np.int64)
+    which[ordered] = np.repeat(np.arange(len(heads)), counts)
     chars, codes = _characters(chunk)
     order = SPELLING.order
     first = chars[found.starts[at]]
@@ -156,6 +161,8 @@ def gram_counts(df: DataFrame, language: str, text: str) -> DataFrame:
             for name in names:
                 squeeze(name)
                 keys, counts = held.pop(name)[0]
+                in_order = np.argsort(keys)  # neighbours share bytes in the shuffle
+                keys, counts = keys[in_order], counts[in_order]
                 sizes.pop(name)
                 if len(keys):
                     yield pa.RecordBatch.from_arrays(
@@ -181,16 +188,23 @@ def gram_counts(df: DataFrame, language: str, text: str) -> DataFrame:
         yield from out(list(held))
 
     counted = df.select(language, text).mapInArrow(count, "language string, model int, gram long, n long")
-    return counted.groupBy("language", "model", "gram").agg(F.sum("n").alias("n"))
+    # A task has summed its own n-grams, so nothing is summed again before the shuffle.
+    dealt = counted.repartition("language", "model", "gram")
+    return dealt.groupBy("language", "model", "gram").agg(F.sum("n").alias("n"))
+
+
+def _scrambled(grams: np.ndarray) -> np.ndarray:
+    """Packed n-grams as hashes (a bijection)."""
+    return grams * np.uint64(0x9E3779B97F4A7C15)
 
 
 def _summed(keys: np.ndarray, counts: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct packed n-grams, in no order that means anything, with their summed counts."""
     if not len(keys):
         return keys, counts.astype(np.int64)
-    order = np.argsort(keys)
-    keys = keys[order]
-    fresh = np.flatnonzero(np.append(True, keys[1:] != keys[:-1]))
-    return keys[fresh], np.add.reduceat(counts[order].astype(np.int64), fresh)
+    order = W.order_of(_scrambled(keys))
+    heads, _ = W.distinct(keys, order)
+    return keys[order[heads]], np.add.reduceat(counts[order].astype(np.int64), heads)
 
 
 def fit(df: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:
@@ -203,6 +217,7 @@ def fit(df: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:
     """
     counts = stored(gram_counts(df, language, text))
     parts = [part for model in _MODELS for part in _fitted(counts.filter(F.col("model") == model.kind).drop("model"), model)]
+    discard(counts)
     return functools.reduce(DataFrame.unionByName, parts)
 
 
@@ -222,8 +237,8 @@ def _fitted(counts: DataFrame, model: Grams) -> list[DataFrame]:
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
         rows = orders[size].join(stored(_discounts(orders[size])), "language").select("language", "gram", "n", off.alias("off"))
         if size == 1:
-            contexts = rows.groupBy("language").agg(
-                F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("left"), F.count("*").alias("kinds"))
+            contexts = stored(rows.groupBy("language").agg(
+                F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("left"), F.count("*").alias("kinds")))
             below = F.col("left") / (F.col("kinds") + 1)
             parts.append(_table_rows(contexts, model.kind + _PROBABILITY, 0, F.lit(0).cast("long"), F.log(below)))
             rows = rows.join(contexts, "language").withColumn("below", below).withColumn("backoff", F.lit(None).cast("double"))
@@ -236,6 +251,8 @@ def _fitted(counts: DataFrame, model: Grams) -> list[DataFrame]:
         if size > 1:
             context = F.shiftrightunsigned("gram", model.bits)
             parts.append(_table_rows(lower.filter("backoff IS NOT NULL"), model.kind + _BACKOFF, size - 1, context, F.col("backoff")))
+    for size in range(1, model.order):
+        discard(orders[size])
     return parts
 
 
@@ -301,7 +318,7 @@ class Model(NamedTuple):
     def find(self, language: str, kind: int, size: int, grams: np.ndarray) -> np.ndarray:
         """Values, NaN where there is none."""
         keys = _keys(language, kind, size, grams)
-        order = np.argsort(keys)  # a search in order walks through memory in order
+        order = W.order_of(keys)  # a search in order walks through memory in order
         keys = keys[order]
         out = np.full(len(keys), np.nan, np.float32)
         lasts = np.array([hashes[-1] for hashes, _ in self.pieces], np.uint64)
@@ -403,11 +420,19 @@ def load(model: DataFrame, part: int, parts: int) -> Model:
     return Model(list(_pieces(model, part, parts)), part, parts)
 
 
-def sent(model: DataFrame, part: int, parts: int) -> Callable[[], Model]:
-    """Broadcast one part of the stored model, piece by piece, and return what gives it back in a task."""
+@contextmanager
+def sent(model: DataFrame, part: int, parts: int) -> Iterator[Callable[[], Model]]:
+    """Broadcast one part of the stored model, piece by piece, and give what gives it back in a task.
+
+    At the end driver and executors forget it: results are to be stored before.
+    """
     context = model.sparkSession.sparkContext
     pieces = [tuple(map(context.broadcast, piece)) for piece in _pieces(model, part, parts)]
-    return lambda: Model([(hashes.value, values.value) for hashes, values in pieces], part, parts)
+    try:
+        yield lambda: Model([(hashes.value, values.value) for hashes, values in pieces], part, parts)
+    finally:
+        for broadcast in itertools.chain(*pieces):
+            broadcast.destroy()
 
 
 def word_scores(model: Model, language: str, chunk: W.Chunk) -> tuple[np.ndarray, W.Words]:
@@ -422,7 +447,9 @@ def word_scores(model: Model, language: str, chunk: W.Chunk) -> tuple[np.ndarray
 def text_scores(model: Model, language: str, chunk: W.Chunk, found: W.Words) -> np.ndarray:
     """The log probability of every text of a chunk as running text, 0 without words."""
     grams, of = run(chunk, found)
-    distinct, which = np.unique(grams, return_inverse=True)
-    sums = np.zeros(len(grams) + 1)
-    np.cumsum(model.log_probabilities(language, distinct, RUNNING)[which], dtype=np.float64, out=sums[1:])
+    order = W.order_of(_scrambled(grams))
+    heads, counts = W.distinct(grams, order)
+    logs, sums = np.empty(len(grams), np.float32), np.zeros(len(grams) + 1)
+    logs[order] = np.repeat(model.log_probabilities(language, grams[order[heads]], RUNNING), counts)
+    np.cumsum(logs, dtype=np.float64, out=sums[1:])
     return sums[of[1:]] - sums[of[:-1]]

@@ -15,7 +15,7 @@ no part.
 from __future__ import annotations
 
 import functools
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from typing import NamedTuple
 
 import numpy as np
@@ -58,10 +58,11 @@ def _per_text(flags: np.ndarray, bounds: np.ndarray) -> np.ndarray:
 
 
 def _repeats(keys: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Per key, whether it occurs twice or more, and whether it occurred before."""
-    order = np.argsort(keys, kind="stable")
+    """Per hash, whether it occurs twice or more, and whether it occurred before."""
+    order = W.order_of(keys)
     same = np.zeros(len(keys) + 1, bool)
-    same[1:-1] = keys[order][1:] == keys[order][:-1]
+    ordered = keys[order]
+    same[1:-1] = ordered[1:] == ordered[:-1]
     often, later = np.empty(len(keys), bool), np.empty(len(keys), bool)
     often[order], later[order] = same[:-1] | same[1:], same[:-1]
     return often, later
@@ -97,13 +98,12 @@ def count(chunk: W.Chunk, found: W.Words) -> Counts:
 
 
 def text_scores(
-    df: DataFrame, model: DataFrame, part: int, parts: int, id_columns: list[str], text: str, language: str
+    df: DataFrame, sent: Callable[[], P.Model], first: bool, id_columns: list[str], text: str, language: str
 ) -> DataFrame:
-    """Per row the summed log probabilities, of its words and as running text, under one part of the stored model.
+    """Per row the summed log probabilities, of its words and as running text, under one part of the model.
 
     The counts come along with the first part.
     """
-    sent, first = P.sent(model, part, parts), part == 0
 
     def score(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own_model = sent()
@@ -159,15 +159,18 @@ def quality_rules(
     parts = P.part_count(model)
     id_columns = [id_column] if parts == 1 else [id_column, _TEXT_KEY]
     texts = df if parts == 1 else _with_text_key(df, id_column, text, language)
-    passes = [text_scores(texts, model, k, parts, id_columns, text, language) for k in range(parts)]
+    passes = []
+    for part in range(parts):
+        with P.sent(model, part, parts) as sent:
+            passes.append(stored(text_scores(texts, sent, part == 0, id_columns, text, language)))
     scored = passes[0]
     if parts > 1:
         sums = functools.reduce(DataFrame.unionByName, [
             p.groupBy(_TEXT_KEY).agg(*(F.max(c).alias(c) for c in _LOG_SUMS)) for p in passes])
         sums = sums.groupBy(_TEXT_KEY).agg(*(F.sum(c).alias(c) for c in _LOG_SUMS))
-        scored = scored.drop(*_LOG_SUMS).join(sums, _TEXT_KEY)
+        scored = stored(scored.drop(*_LOG_SUMS).join(sums, _TEXT_KEY))
     failed = (F.col("n_words") < min_words) | (100 * F.col("n_repeat_words") > max_repeated_percent * F.col("n_words"))
-    scored = stored(
+    scored = (
         scored.withColumn("log_perplexity", -F.col("log_sum") / F.nullif(F.col("n_words"), F.lit(0)))
         .withColumn("run_log_perplexity", -F.col("run_log_sum") / F.nullif(F.col("n_words"), F.lit(0)))
         .withColumn("base_failed", failed)

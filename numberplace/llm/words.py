@@ -53,6 +53,27 @@ def mix(x: np.ndarray) -> np.ndarray:
     return x ^ (x >> np.uint64(31))
 
 
+def order_of(keys: np.ndarray) -> np.ndarray:
+    """A stable order of 64-bit hashes.
+
+    Their upper bits are sorted together with the position, several times as fast as
+    ``argsort``, which is the way out if two keys differ in the lower bits only.
+    """
+    low = np.uint64((1 << len(keys).bit_length()) - 1)
+    order = (np.sort((keys & ~low) | np.arange(len(keys), dtype=np.uint64)) & low).astype(np.int64)
+    ordered = keys[order]
+    return np.argsort(keys, kind="stable") if (ordered[1:] < ordered[:-1]).any() else order
+
+
+def distinct(keys: np.ndarray, order: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Of keys put in ``order``: where each distinct one begins, and how often it occurs."""
+    ordered = keys[order]
+    fresh = np.ones(len(keys), bool)
+    fresh[1:] = ordered[1:] != ordered[:-1]
+    heads = np.flatnonzero(fresh)
+    return heads, np.diff(heads, append=len(keys))
+
+
 def chunks(column: pa.Array, size: int = CHUNK_BYTES) -> Iterator[Chunk]:
     """A text column as runs of bytes; a null counts as an empty text."""
     if column.null_count:

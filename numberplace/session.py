@@ -91,3 +91,9 @@ def stored(df: DataFrame, **measures: Column) -> DataFrame | tuple[DataFrame, di
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
     return (back, measured.get) if measures else back
+
+
+def discard(df: DataFrame) -> None:
+    """Delete the files of a ``stored`` table, which nothing may read from then on."""
+    for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
+        delete_scratch(df.sparkSession, folder)

@@ -2,6 +2,7 @@ import math
 import re
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from numberplace.llm import perplexity as P
@@ -247,3 +248,23 @@ def test_grams_of_running_text():
 
 def test_empty_table(awkward_docs):
     assert rows_of(quality_rules(awkward_docs.limit(0))) == []
+
+
+@pytest.mark.parametrize("most", [None, 500])
+def test_the_model_is_forgotten_once_the_scores_are_stored(spark, awkward_docs, monkeypatch, most):
+    """Its broadcasts would else stay in the driver's memory for the stages that follow."""
+    made, context = [], spark.sparkContext
+    broadcast = context.broadcast
+
+    def recorded(value):
+        sent = broadcast(value)
+        if isinstance(value, np.ndarray):  # Spark itself broadcasts large functions
+            made.append(sent)
+        return sent
+
+    monkeypatch.setattr(context, "broadcast", recorded, raising=False)
+    if most:
+        monkeypatch.setattr(P, "MODEL_ROWS", most)
+    out = quality_rules(awkward_docs)
+    assert made and not any(x._jbroadcast.isValid() for x in made)
+    assert out.count() == awkward_docs.count()

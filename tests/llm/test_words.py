@@ -32,3 +32,16 @@ def test_lower_case_and_grams():
     grams = W.grams(np.tile(low, 3), 3)
     assert grams[0] == grams[3] != grams[1] and len(W.grams(low, 4)) == 0
     assert W.sequence_hash(low) != W.sequence_hash(low[:2])
+
+
+def test_order_of_hashes_is_stable_whatever_they_share():
+    rng = np.random.default_rng(5)
+    for size in (0, 1, 2, 3, 1_000):
+        spread = rng.integers(0, 2**64, max(1, size // 3), np.uint64)
+        for keys in (rng.choice(spread, size), rng.integers(0, 50, size, np.uint64), np.arange(size, 0, -1).astype(np.uint64),
+                     np.full(size, 2**64 - 1, np.uint64)):
+            order = W.order_of(keys)
+            assert order.tolist() == np.argsort(keys, kind="stable").tolist()
+            heads, counts = W.distinct(keys, order)
+            expected = np.unique(keys, return_counts=True)
+            assert keys[order[heads]].tolist() == expected[0].tolist() and counts.tolist() == expected[1].tolist()
