@@ -36,8 +36,8 @@ from numberplace.llm import words as W
 from numberplace.llm.shared import shared
 from numberplace.session import stored
 
-#: Words whose edges a task sorts together.
-BATCH_WORDS = 2_000_000
+#: Words whose edges a task sorts together, and the rows that it hands over at a time.
+BATCH_WORDS, OUT_ROWS = 2_000_000, 100_000
 #: Rows of the sample that shows which pairs of words to part, and the share from which on they are.
 SAMPLE_ROWS, HOT_SHARE, SALTS = 20_000, 1_000, 64
 #: Bits of the filter that keeps words out that are in no reported phrase.
@@ -94,20 +94,34 @@ def local_graph(code: np.ndarray, piece: np.ndarray, lang: np.ndarray, longest:
         inside = np.flatnonzero(piece[k:] == piece[: len(piece) - k]) if k < len(piece) else np.empty(0, np.int64)
         after[inside] = code[inside + k]
         columns.append(after)
+        del after, inside
+    size = len(code)
     order = np.lexsort(columns[::-1])
-    columns, lang = [c[order] for c in columns], lang[order]
+    del code, piece
+    # Columns are replaced one at a time, so that few are held twice.
+    _reorder(columns, order)
+    lang = lang[order]
+    del order
     heads = _heads(columns)
-    counts = np.diff(heads, append=len(code))
-    edges = [c[heads] for c in columns]
-    words = _heads(edges[:1])
+    _reorder(columns, heads)
+    counts, lang = np.diff(heads, append=size), lang[heads]
+    del heads
+    words = _heads(columns[:1])
     flow = np.add.reduceat(counts, words) if len(words) else counts
-    kept = edges[1] != _END
-    word_rows = [edges[0][words], np.full(len(words), _END), lang[heads][words], *[np.full(len(words), _END)] * (longest - 3)]
-    both = [np.concatenate([e[kept], w]) for e, w in zip(edges, word_rows, strict=True)]
-    both.append(np.concatenate([counts[kept], flow]))
+    kept = columns[1] != _END
+    word_rows = [columns[0][words], np.full(len(words), _END), lang[words], *[np.full(len(words), _END)] * (longest - 3)]
+    columns.append(counts)
+    del lang, words, counts
+    for k, own in enumerate([*word_rows, flow]):
+        columns[k] = np.concatenate([columns[k][kept], own])
     # In order again: neighbours in the same partition then share bytes.
-    order = np.lexsort(both[-2::-1])
-    return [c[order] for c in both]
+    _reorder(columns, np.lexsort(columns[-2::-1]))
+    return columns
+
+
+def _reorder(columns: list[np.ndarray], rows: np.ndarray) -> None:
+    for k in range(len(columns)):
+        columns[k] = columns[k][rows]
 
 
 def _names(longest: int) -> list[str]:
@@ -126,24 +140,28 @@ def _graph(texts: DataFrame, longest: int, hot: np.ndarray | None = None) -> Dat
                 of = langs[chunk.first : chunk.first + len(chunk.bounds) - 1]
                 code, piece, _, _, text = _spoken(chunk, of)
                 salt = np.array([_language_salt(lang) for lang in of], np.uint64)
-                held.append((code, piece + (held[-1][1][-1] if held else 0), salt[text]))
-                if not len(code):
-                    held.pop()
+                if len(code):
+                    held.append((code, (piece + (held[-1][1][-1] if held else 0)).astype(np.int32), salt[text]))
                 size += len(code)
                 if size >= BATCH_WORDS:
-                    yield rows(held, own)
-                    held, size = [], 0
+                    yield from rows(held, own)
+                    size = 0
         if held:
-            yield rows(held, own)
+            yield from rows(held, own)
 
-    def rows(held: list[tuple], own: np.ndarray) -> pa.RecordBatch:
-        columns = local_graph(*(np.concatenate(x) for x in zip(*held, strict=True)), longest)
+    def rows(held: list[tuple], own: np.ndarray) -> Iterator[pa.RecordBatch]:
+        parts = [np.concatenate(x) for x in zip(*held, strict=True)]
+        held.clear()
+        columns = local_graph(parts.pop(0), parts.pop(0), parts.pop(0), longest)
         salt = np.full(len(columns[0]), -1, np.int32)
         if len(own):
             split = np.isin(_pair(columns[0], columns[1]), own) & (columns[1] != _END)
             salt[split] = (W.mix(columns[2][split]) % np.uint64(SALTS)).astype(np.int32)
-        return pa.RecordBatch.from_arrays(
+        batch = pa.RecordBatch.from_arrays(
             [pa.array(salt), *(pa.array(c.view(np.int64)) for c in columns)], ["salt", *_names(longest), "count"])
+        # The JVM holds what is handed over at a time outside its heap.
+        for start in range(0, len(batch), OUT_ROWS):
+            yield batch.slice(start, OUT_ROWS)
 
     return texts.mapInArrow(build, "salt int, " + ", ".join(f"{n} long" for n in [*_names(longest), "count"]))
 

@@ -1,7 +1,9 @@
 import random
 import re
+import tracemalloc
 from collections import Counter, defaultdict
 
+import numpy as np
 import pytest
 
 from numberplace.llm import phrase_graph as P
@@ -121,3 +123,24 @@ def test_a_word_whose_rows_come_in_several_batches(spark, monkeypatch, rows_per_
         assert rows_of(P.collocations(df)) == brute(rows, 3, 10, 50, 2_000)
     finally:
         spark.conf.set(name, before)
+
+
+def test_memory_of_a_batch_of_words():
+    """Sorting the edges takes five more columns at most, and rows are handed over in parts."""
+    rng, n = np.random.default_rng(3), 200_000
+    code = rng.integers(1, 10**9, n).astype(np.uint64)
+    piece, lang = np.cumsum(rng.random(n) < 0.1), code % 3
+    tracemalloc.start()
+    try:
+        columns = P.local_graph(code, piece, lang, 3)
+        assert tracemalloc.get_traced_memory()[1] < 17 * 8 * n
+    finally:
+        tracemalloc.stop()
+    assert columns[-1][columns[1] != 0].sum() == (piece[1:] == piece[:-1]).sum()
+
+
+def test_edges_are_handed_over_in_parts(spark, monkeypatch):
+    monkeypatch.setattr(P, "OUT_ROWS", 10)
+    rows = chance_rows(random.Random(6), 60)
+    df = spark.createDataFrame(rows, "text string, lang string").repartition(2)
+    assert rows_of(P.collocations(df)) == brute(rows, 3, 10, 50, 2_000)
