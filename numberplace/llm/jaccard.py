@@ -16,9 +16,10 @@ The rest are compared as whole sets.
 Only the components of the links are asked for. So each list first meets its
 most central document (whose shingles are the most frequent), and once that has
 been turned into components, only pairs from different components meet. A list
-that copies of one text fill costs as many pairs as it has entries. Pairs that still meet are
-tested by sketches of 256 parity bits first: as many bits as differ, so many
-shingles at least are in one set only.
+that copies of one text fill costs as many pairs as it has entries. Of lists with the same
+entries, such as those of a passage that the same documents hold, one is merged for all.
+Pairs that still meet are tested by sketches of ``SKETCH_BITS`` parity bits first: as many
+bits as differ, so many shingles at least are in one set only.
 """
 
 from __future__ import annotations
@@ -33,7 +34,7 @@ from pyspark.sql import functions as F
 from numberplace.llm import words as W
 from numberplace.llm.components import components
 from numberplace.llm.shared import shared
-from numberplace.session import stored
+from numberplace.session import discard, stored
 
 #: Words in a shingle; the least similarity in percent.
 SHINGLE, PERCENT = 5, 80
@@ -43,6 +44,9 @@ _BITMAP = 1 << 24
 COUNTERS, _ROW = 21, 2048
 #: A document has to share one shingle and one more for each so many that it has.
 _STEP = 20
+#: Parity bits of a set, a power of two; the more there are, the larger the sets that they still tell apart.
+SKETCH_BITS = 1024
+_PARTS = [f"s{k}" for k in range(SKETCH_BITS // 64)]
 
 
 def frequency_levels(df: DataFrame, text: str, size: int = SHINGLE, counters: int = COUNTERS) -> np.ndarray:
@@ -97,7 +101,7 @@ def shingles(found: W.Words, text: int, size: int) -> np.ndarray:
 def shingle_sets(
     df: DataFrame, id_column: str, text: str, size: int = SHINGLE, percent: int = PERCENT, counters: int = COUNTERS
 ) -> DataFrame:
-    """(node, n, first, second, sketch, listed): the set's size, a 128-bit hash, 256 parity bits, and the listed shingles, sorted."""
+    """(node, n, first, second, sketch, listed): the set's size, a 128-bit hash, parity bits, and the listed shingles, sorted."""
     opened = shared(df.sparkSession, frequency_levels(df, text, size, counters))
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -107,20 +111,20 @@ def shingle_sets(
                 found = W.words(chunk, lower=True)
                 texts = len(chunk.bounds) - 1
                 sizes, listed = np.zeros(texts, np.int64), []
-                hashes, sketches = np.zeros((2, texts), np.uint64), np.zeros((texts, 256), bool)
+                hashes, sketches = np.zeros((2, texts), np.uint64), np.zeros((texts, SKETCH_BITS), bool)
                 for k in range(texts):
                     own = shingles(found, k, size)
                     n = sizes[k] = len(own)
                     spread = W.mix(own ^ np.uint64(0x5851F42D4C957F2D))
                     hashes[:, k] = own.sum(dtype=np.uint64), spread.sum(dtype=np.uint64)
-                    sketches[k] = np.bincount((spread >> np.uint64(56)).astype(np.int64), minlength=256) & 1
+                    sketches[k] = np.bincount(_counter(spread, SKETCH_BITS.bit_length() - 1), minlength=SKETCH_BITS) & 1
                     rare = np.argsort(levels[_counter(own, counters)], kind="stable")
                     listed.append(np.sort(own[rare[: n - -(-percent * n // 100) + 1 + n // _STEP]].view(np.int64)).view(np.uint64))
                 bits = np.packbits(sketches, axis=1).reshape(-1).view(np.int64)
                 yield pa.RecordBatch.from_arrays(
                     [batch.column(id_column).slice(chunk.first, texts), pa.array(sizes),
                      *(pa.array(h.view(np.int64)) for h in hashes),
-                     pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * 4, pa.int32()), pa.array(bits)),
+                     pa.ListArray.from_arrays(pa.array(np.arange(texts + 1) * len(_PARTS), pa.int32()), pa.array(bits)),
                      _arrays(listed)],
                     ["node", "n", "first", "second", "sketch", "listed"])
 
@@ -187,9 +191,11 @@ def _lists(listed: DataFrame, copies: DataFrame) -> DataFrame:
     by_node = met.groupBy("node", "n").agg(F.sort_array(F.collect_set(F.struct("length", "token")), asc=False).alias("own"))
     scored = by_node.withColumn("score", F.aggregate("own", F.lit(0).cast("long"), lambda sum_, x: sum_ + x.length))
     spread = scored.select("node", "n", "score", F.posexplode("own").alias("position", "entry"))
-    return stored(spread.select(
+    lists = stored(spread.select(
         F.col("entry.token").alias("token"), "node", "n", "score",
         (F.col("position") >= F.floor(F.col("n") / _STEP)).alias("merged")))
+    discard(lengths)
+    return lists
 
 
 def _probed(pairs: DataFrame, listed: DataFrame, percent: int) -> DataFrame:
@@ -247,11 +253,16 @@ def jaccard_components(
     def checked(candidates: DataFrame) -> DataFrame:
         pairs = stored(_probed(candidates, known.select("node", "n", "listed"), percent))
         nodes = stored(pairs.select(F.col("u").alias("node")).unionByName(pairs.select(F.col("v").alias("node"))).distinct())
-        return stored(_similar(pairs, stored(whole_sets(df, nodes, id_column, text, size)), percent))
+        sets = stored(whole_sets(df, nodes, id_column, text, size))
+        similar = stored(_similar(pairs, sets, percent))
+        discard(sets)
+        return similar
 
     found = checked(_central_pairs(lists, percent))
     parts = stored(components(found))
+    before = lists
     lists = stored(lists.drop("component").join(parts, "node", "left").withColumn("component", F.coalesce("component", "node")))
+    discard(before)
     found = found.unionByName(checked(_remaining(lists, _centres(lists), known.select("node", "sketch"), percent)))
     links = found.unionByName(copies.select(F.col("node").alias("u"), F.col("copy_of").alias("v")))
     final = stored(components(links))
@@ -271,12 +282,21 @@ def _central_pairs(lists: DataFrame, percent: int) -> DataFrame:
 
 
 def _centres(lists: DataFrame) -> DataFrame:
-    """Of every list with several components, the most central document."""
+    """Of every list with several components, the most central document, and hashes of its entries with their number."""
     best = F.max_by(F.struct("node", "n", "component"), F.struct("score", "node"))
+    # A document has one entry in a list for each size of its texts.
+    same = [F.bit_xor(F.xxhash64(F.lit(k), "node", "n", "merged")).alias(f"same{k}") for k in range(2)]
     open_ = lists.groupBy("token").agg(
-        F.min("component").alias("low"), F.max("component").alias("high"), best.alias("best")).filter("low < high")
+        F.min("component").alias("low"), F.max("component").alias("high"), best.alias("best"), *same,
+        F.count("*").alias("entries")).filter("low < high")
     return stored(open_.select("token", F.col("best.node").alias("centre"), F.col("best.n").alias("centre_n"),
-                               F.col("best.component").alias("centre_component")))
+                               F.col("best.component").alias("centre_component"), "same0", "same1", "entries"))
+
+
+def _distinct_lists(centres: DataFrame) -> DataFrame:
+    """(token, centre_component) of one list of each set of equal ones, which have the same pairs."""
+    one = centres.groupBy("same0", "same1", "entries").agg(F.min(F.struct("token", "centre_component")).alias("one"))
+    return one.select("one.*")
 
 
 def _remaining(lists: DataFrame, centres: DataFrame, sketches: DataFrame, percent: int) -> DataFrame:
@@ -284,17 +304,17 @@ def _remaining(lists: DataFrame, centres: DataFrame, sketches: DataFrame, percen
 
     Entries of the central document's component meet only the entries outside it.
     """
-    still = lists.join(centres.select("token", "centre_component"), "token")
-    bits = [F.col("sketch")[k].alias(f"s{k}") for k in range(4)]
+    still = stored(lists.join(_distinct_lists(centres), "token").select(
+        "token", "node", "n", "merged", "component", (F.col("component") == F.col("centre_component")).alias("central")))
+    bits = [F.col("sketch")[k].alias(name) for k, name in enumerate(_PARTS)]
     sketches = sketches.join(still.select("node").distinct(), "node", "left_semi").select("node", *bits)
-    still = stored(still.join(sketches, "node").withColumn("central", F.col("component") == F.col("centre_component")))
+    still = stored(still.join(sketches, "node"))
     small = still.select("token", F.col("node").alias("u"), F.col("n").alias("m"), "merged", F.col("component").alias("c"),
-                         "central", *(F.col(f"s{k}").alias(f"t{k}") for k in range(4)))
-    large = still.select("token", F.col("node").alias("v"), "n", "component", F.col("central").alias("other"),
-                         *(f"s{k}" for k in range(4)))
-    differ = " + ".join(f"bit_count(s{k} ^ t{k})" for k in range(4))
+                         "central", *(F.col(name).alias(f"t_{name}") for name in _PARTS))
+    large = still.select("token", F.col("node").alias("v"), "n", "component", F.col("central").alias("other"), *_PARTS)
+    differ = " + ".join(f"bit_count({name} ^ t_{name})" for name in _PARTS)
     rule = (f"{_fits('m', 'n', percent)} AND merged AND c <> component AND (m < n OR u < v) "
             f"AND {100 + percent} * (m + n - ({differ})) >= {2 * percent} * (m + n)")
-    outer = small.filter("NOT central").join(large, "token").filter(rule)
-    inner = small.filter("central").join(large.filter("NOT other"), "token").filter(rule)
+    outer = small.filter("merged AND NOT central").join(large, "token").filter(rule)
+    inner = small.filter("merged AND central").join(large.filter("NOT other"), "token").filter(rule)
     return outer.select("u", "v").unionByName(inner.select("u", "v")).distinct()

@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from numberplace.llm import components as C
 from numberplace.llm import jaccard as J
@@ -99,3 +100,26 @@ def test_documents_that_share_a_passage_are_not_listed_under_it(spark):
 def test_any_order_of_shingles_gives_the_same_links(spark):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     assert rows_of(jaccard_components(docs, counters=11)) == rows_of(jaccard_components(docs))
+
+
+def test_long_texts_of_which_two_thirds_agree_do_not_meet(spark):
+    """Pairs of texts of 800 words with the same 640 in them: their lists are equal, and the sketches tell them apart."""
+    rows = [(k, " ".join([f"s{k // 2}_{j}" for j in range(640)] + [f"o{k}_{j}" for j in range(160)])) for k in range(6)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    listed = J.shingle_sets(docs, "doc_id", "text").persist()
+    lists = J._lists(listed, listed.limit(0)).withColumn("component", F.col("node"))
+    centres = J._centres(lists)
+    assert centres.count() > 50
+    assert J._remaining(lists, centres, listed.select("node", "sketch"), 80).collect() == []
+    assert rows_of(jaccard_components(docs)) == brute(rows)
+
+
+def test_equal_lists_meet_once(spark):
+    """Lists are merged into one only where documents, sizes and what is merged agree; the pairs stay."""
+    entries = [(t, node, 100, 5, True, node) for t in (1, 2, 3) for node in (7, 8)]
+    entries += [(4, 7, 100, 5, False, 7), (4, 8, 100, 5, True, 8), (5, 8, 100, 5, True, 8), (5, 9, 100, 5, True, 9)]
+    lists = spark.createDataFrame(entries, "token long, node long, n long, score long, merged boolean, component long")
+    sketches = spark.createDataFrame([(k, [0] * len(J._PARTS)) for k in (7, 8, 9)], "node long, sketch array<long>")
+    centres = J._centres(lists)
+    assert sorted(r.token for r in J._distinct_lists(centres).collect()) == [1, 4, 5]
+    assert rows_of(J._remaining(lists, centres, sketches, 80)) == [(7, 8), (8, 9)]
