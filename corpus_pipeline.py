@@ -14,7 +14,8 @@ token digests per remaining document:
 Rows of equal id, language and text are judged alike; ids may be null.
 
 A stage deletes what the one before it has left in the scratch folder, since that
-one's rows are written by then; a table that still reads from there keeps it.
+one's rows are written by then; a table that still reads from there keeps it. The
+driver gives back the memory that stage has left unused, too.
 """
 
 from __future__ import annotations
@@ -30,7 +31,7 @@ from numberplace.llm.jaccard import jaccard_components
 from numberplace.llm.line_runs import delete_repeated_lines
 from numberplace.llm.quality import quality_rules
 from numberplace.llm.queries import encoded_documents
-from numberplace.session import delete_scratch, scratch_folder, scratch_path, stored
+from numberplace.session import delete_scratch, release_memory, scratch_folder, scratch_path, stored
 
 Stage = Callable[[SparkSession, DataFrame, str], DataFrame]
 
@@ -46,6 +47,7 @@ def _cleaning(stage: Stage) -> Stage:
         for folder in [f for f in _left if not any(f.rpartition("/")[2] in file for file in read)]:
             _left.remove(folder)
             delete_scratch(spark, folder)
+        release_memory(spark)
         with scratch_folder(spark) as folder:
             _left.append(folder)
             return stage(spark, docs, sf_dir)

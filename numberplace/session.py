@@ -3,12 +3,14 @@
 from __future__ import annotations
 
 import atexit
+import gc
 import shutil
 import tempfile
 import uuid
 from collections.abc import Iterator
 from contextlib import contextmanager
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
@@ -64,6 +66,17 @@ def delete_scratch(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
+def release_memory(spark: SparkSession) -> None:
+    """Let the driver give back what it no longer uses, in Python and in the JVM.
+
+    Plans and broadcasts without a user are collected, on which Spark deletes the
+    shuffles and blocks that belong to them, and an emptied heap shrinks.
+    """
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    spark.sparkContext._jvm.java.lang.System.gc()
+
+
 @contextmanager
 def scratch(spark: SparkSession) -> Iterator[None]:
     """Delete at the end what calls inside have written to the scratch folder.
