@@ -29,7 +29,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from numberplace.llm import words as W
-from numberplace.session import discard, stored
+from numberplace.session import HEAP_SHARE, discard, release_memory, stored
 
 
 class Grams(NamedTuple):
@@ -46,6 +46,7 @@ class Grams(NamedTuple):
 
 SPELLING, RUNNING = Grams(4, 16, 0), Grams(6, 10, 2)
 _MODELS = (SPELLING, RUNNING)
+_TOP = max(m.order for m in _MODELS)
 _START, _END = 0xFFFE, 0xFFFF
 #: Of running text, where the blanks but U+0020 do not occur.
 _TEXT_START, _TEXT_END, _BLANK = 0x09, 0x0A, 0x20
@@ -213,66 +214,78 @@ def fit(df: DataFrame, language: str = "lang", text: str = "text") -> DataFrame:
     ``value`` is the log probability of a gram of ``size`` characters, or (kind 1)
     the log weight that a context of ``size`` characters leaves to the lower order.
     A row of size 0 has the probability of an unknown character. The kinds of the
-    model of running text are 2 and 3.
+    model of running text are 2 and 3. Both models go through each order together,
+    so that the driver has a plan for it only once.
     """
     counts = stored(gram_counts(df, language, text))
-    parts = [part for model in _MODELS for part in _fitted(counts.filter(F.col("model") == model.kind).drop("model"), model)]
-    discard(counts)
-    return functools.reduce(DataFrame.unionByName, parts)
-
-
-def _fitted(counts: DataFrame, model: Grams) -> list[DataFrame]:
-    """The rows of one model.
-
-    A gram needs what is counted in its context and the probability of the gram
-    without its first character. Both share its middle, all but the first and the last
-    character, so dealt out by that one shuffle per order serves both.
-    """
-    orders = {model.order: counts}
-    for size in range(model.order - 1, 0, -1):
-        suffix = F.col("gram").bitwiseAND(model.last(size))
-        orders[size] = stored(orders[size + 1].groupBy("language", suffix.alias("gram")).agg(F.count("*").alias("n")))
+    orders = {_TOP: counts.filter(F.col("model").isin([m.kind for m in _MODELS if m.order == _TOP]))}
+    for size in range(_TOP - 1, 0, -1):
+        suffix = _by_model(size + 1, lambda m, size=size: F.col("gram").bitwiseAND(m.last(size)))
+        shorter = stored(orders[size + 1].groupBy("language", "model", suffix.alias("gram")).agg(F.count("*").alias("n")))
+        counted = [m.kind for m in _MODELS if m.order == size]
+        orders[size] = shorter.unionByName(counts.filter(F.col("model").isin(counted))) if counted else shorter
+    discounts = stored(_discounts(orders))
     parts, lower = [], None
-    for size in range(1, model.order + 1):
+    for size in range(1, _TOP + 1):
         off = F.when(F.col("n") == 1, F.col("d1")).when(F.col("n") == 2, F.col("d2")).otherwise(F.col("d3"))
-        rows = orders[size].join(stored(_discounts(orders[size])), "language").select("language", "gram", "n", off.alias("off"))
+        own = discounts.filter(F.col("size") == size)
+        rows = orders[size].join(own, ["language", "model"]).select("language", "model", "gram", "n", off.alias("off"))
         if size == 1:
-            contexts = stored(rows.groupBy("language").agg(
+            contexts = stored(rows.groupBy("language", "model").agg(
                 F.sum("n").alias("total"), (F.sum("off") / F.sum("n")).alias("left"), F.count("*").alias("kinds")))
             below = F.col("left") / (F.col("kinds") + 1)
-            parts.append(_table_rows(contexts, model.kind + _PROBABILITY, 0, F.lit(0).cast("long"), F.log(below)))
-            rows = rows.join(contexts, "language").withColumn("below", below).withColumn("backoff", F.lit(None).cast("double"))
+            parts.append(_table_rows(contexts, _PROBABILITY, 0, F.lit(0).cast("long"), F.log(below)))
+            rows = rows.join(contexts, ["language", "model"]).withColumn("below", below).withColumn("backoff", F.lit(None).cast("double"))
         else:
-            rows = _with_context(rows, lower, model, size)
+            rows = _with_context(rows, lower, size)
         # Kept to a float's precision, and above zero for log.
         p = (F.col("n") - F.col("off")) / F.col("total") + F.col("below")
-        lower = stored(rows.select("language", "gram", p.alias("p"), "backoff"))
-        parts.append(_table_rows(lower, model.kind + _PROBABILITY, size, F.col("gram"), F.log("p")))
+        lower = stored(rows.select("language", "model", "gram", p.alias("p"), "backoff"))
+        parts.append(_table_rows(lower, _PROBABILITY, size, F.col("gram"), F.log("p")))
         if size > 1:
-            context = F.shiftrightunsigned("gram", model.bits)
-            parts.append(_table_rows(lower.filter("backoff IS NOT NULL"), model.kind + _BACKOFF, size - 1, context, F.col("backoff")))
-    for size in range(1, model.order):
-        discard(orders[size])
-    return parts
+            context = _by_model(size, lambda m: F.shiftrightunsigned("gram", m.bits))
+            parts.append(_table_rows(lower.filter("backoff IS NOT NULL"), _BACKOFF, size - 1, context, F.col("backoff")))
+        if all(m.order != size for m in _MODELS):  # else the counts are among them
+            discard(orders[size])
+    for model in _MODELS:
+        discard(orders[model.order])
+    return functools.reduce(DataFrame.unionByName, parts)
+
+
+def _with_size(size: int) -> list[Grams]:
+    """The models that have n-grams of ``size`` characters."""
+    return [m for m in _MODELS if m.order >= size]
+
+
+def _by_model(size: int, value: Callable[[Grams], Column]) -> Column:
+    """The value for the model whose kind a row has; the rows are n-grams of ``size`` characters."""
+    return F.coalesce(*(F.when(F.col("model") == m.kind, value(m)) for m in _with_size(size)))
 
 
 def _table_rows(rows: DataFrame, kind: int, size: int, gram: Column, value: Column) -> DataFrame:
-    return rows.select("language", F.lit(kind).alias("kind"), F.lit(size).alias("size"), gram.alias("gram"), value.alias("value"))
+    own = (F.col("model") + kind).alias("kind")
+    return rows.select("language", own, F.lit(size).alias("size"), gram.alias("gram"), value.alias("value"))
 
 
-def _with_context(rows: DataFrame, lower: DataFrame, model: Grams, size: int) -> DataFrame:
+def _with_context(rows: DataFrame, lower: DataFrame, size: int) -> DataFrame:
     """Grams of ``size`` characters with their context's ``total`` and what the lower order adds (``below``).
 
-    One row of each context has the log weight that it leaves, ``backoff``.
+    One row of each context has the log weight that it leaves, ``backoff``. A gram
+    needs what is counted in its context and the probability of the gram without its
+    first character. Both share its middle, all but the first and the last
+    character, so dealt out by that one shuffle per order serves both.
     """
-    middle = F.shiftrightunsigned("gram", model.bits)
-    tagged = rows.select("language", "gram", "n", "off", middle.bitwiseAND(model.last(size - 2)).alias("middle"),
-                         F.col("gram").bitwiseAND(model.last(size - 1)).alias("last"), F.lit(None).cast("double").alias("p"))
-    known = lower.select("language", "gram", F.lit(None).cast("long").alias("n"), F.lit(None).cast("double").alias("off"),
-                         middle.alias("middle"), F.col("gram").alias("last"), "p")
-    dealt = tagged.unionByName(known).repartition("language", "middle")
-    by_last = Window.partitionBy("language", "middle", "last")
-    by_context = Window.partitionBy("language", "middle", "context")
+    middle = _by_model(size, lambda m: F.shiftrightunsigned("gram", m.bits))
+    inner = _by_model(size, lambda m: F.shiftrightunsigned("gram", m.bits).bitwiseAND(m.last(size - 2)))
+    last = _by_model(size, lambda m: F.col("gram").bitwiseAND(m.last(size - 1)))
+    tagged = rows.select("language", "model", "gram", "n", "off", inner.alias("middle"), last.alias("last"),
+                         F.lit(None).cast("double").alias("p"))
+    known = lower.filter(F.col("model").isin([m.kind for m in _with_size(size)])).select(
+        "language", "model", "gram", F.lit(None).cast("long").alias("n"), F.lit(None).cast("double").alias("off"),
+        middle.alias("middle"), F.col("gram").alias("last"), "p")
+    dealt = tagged.unionByName(known).repartition("language", "model", "middle")
+    by_last = Window.partitionBy("language", "model", "middle", "last")
+    by_context = Window.partitionBy("language", "model", "middle", "context")
     total, left = F.sum("n").over(by_context), F.sum("off").over(by_context)
     grams = dealt.withColumn("p", F.max("p").over(by_last)).filter("n IS NOT NULL").withColumn("context", middle)
     grams = grams.withColumns({"total": total, "left": left / total, "place": F.row_number().over(by_context.orderBy("gram"))})
@@ -280,9 +293,12 @@ def _with_context(rows: DataFrame, lower: DataFrame, model: Grams, size: int) ->
         "below": F.col("left") * F.col("p"), "backoff": F.when(F.col("place") == 1, F.log("left"))})
 
 
-def _discounts(grams: DataFrame) -> DataFrame:
-    """Three discounts per language from how many grams occur once to four times."""
-    seen = grams.groupBy("language").agg(*(F.sum(F.when(F.col("n") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(1, 5)))
+def _discounts(orders: dict[int, DataFrame]) -> DataFrame:
+    """Three discounts per language, model and size from how many grams occur once to four times."""
+    grams = functools.reduce(DataFrame.unionByName, (
+        rows.select("language", "model", F.lit(size).alias("size"), "n") for size, rows in orders.items()))
+    seen = grams.groupBy("language", "model", "size").agg(
+        *(F.sum(F.when(F.col("n") == k, 1).otherwise(0)).alias(f"n{k}") for k in range(1, 5)))
     share = F.col("n1") / (F.col("n1") + 2 * F.col("n2"))
 
     def discount(k: int) -> Column:
@@ -292,7 +308,7 @@ def _discounts(grams: DataFrame) -> DataFrame:
         usable = (F.col("n1") > 0) & (F.col("n2") > 0) & (F.col(f"n{k}") > 0)
         return F.when(usable, bounded).otherwise(F.lit(0.5)).alias(f"d{k}")
 
-    return seen.select("language", *(discount(k) for k in (1, 2, 3)))
+    return seen.select("language", "model", "size", *(discount(k) for k in (1, 2, 3)))
 
 
 def _salt(language: str, kind: int, size: int) -> np.uint64:
@@ -433,6 +449,7 @@ def sent(model: DataFrame, part: int, parts: int) -> Iterator[Callable[[], Model
     finally:
         for broadcast in itertools.chain(*pieces):
             broadcast.destroy()
+        release_memory(model.sparkSession, HEAP_SHARE)
 
 
 def word_scores(model: Model, language: str, chunk: W.Chunk) -> tuple[np.ndarray, W.Words]:

@@ -29,7 +29,7 @@ from numberplace.llm.shared import shared
 BLANK = "▁"
 #: Distinct units whose ids a task remembers, and texts it takes at a time, in characters.
 MEMORY_UNITS = 250_000
-BLOCK_CHARS = 4_000_000
+BLOCK_CHARS = 400_000
 #: Characters that go through the merge rounds together; their arrays fit a processor's cache.
 ROUND_CHARS = 60_000
 

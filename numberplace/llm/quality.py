@@ -175,14 +175,12 @@ def quality_rules(
         .withColumn("run_log_perplexity", -F.col("run_log_sum") / F.nullif(F.col("n_words"), F.lit(0)))
         .withColumn("base_failed", failed)
     )
-    bands = _bands(scored, language, "log_perplexity", below, above)
-    limits = _bands(scored, language, "run_log_perplexity", below, above).select("_language", F.col("upper").alias("run_upper"))
-    inside = F.col("log_perplexity").between(F.col("lower"), F.col("upper")) & (
-        F.col("run_log_perplexity") <= F.col("run_upper"))
+    bands = _bands(scored, language, ["log_perplexity", "run_log_perplexity"], below, above)
+    inside = F.col("log_perplexity").between(F.col("log_perplexity_lower"), F.col("log_perplexity_upper")) & (
+        F.col("run_log_perplexity") <= F.col("run_log_perplexity_upper"))
     return (
         scored.withColumn("_language", F.coalesce(F.col(language), F.lit("")))
         .join(bands, "_language", "left")
-        .join(limits, "_language", "left")
         .select(
             id_column, *_COUNTS, "base_failed",
             (~F.col("base_failed") & inside).alias("kept"),
@@ -191,14 +189,17 @@ def quality_rules(
     )
 
 
-def _bands(scored: DataFrame, language: str, value: str, below: float, above: float) -> DataFrame:
-    """(_language, lower, upper) of ``value``, from the texts that pass the base rules; stored, a row per language."""
-    passed = scored.filter("NOT base_failed").select(F.coalesce(F.col(language), F.lit("")).alias("_language"), value)
-    middle = stored(passed.groupBy("_language").agg(F.percentile_approx(value, 0.5, 10_000).alias("middle")))
+def _bands(scored: DataFrame, language: str, values: list[str], below: float, above: float) -> DataFrame:
+    """(_language, <value>_lower, <value>_upper, ...) from the texts that pass the base rules; stored, a row per language."""
+    passed = scored.filter("NOT base_failed").select(F.coalesce(F.col(language), F.lit("")).alias("_language"), *values)
+    middle = stored(passed.groupBy("_language").agg(*(F.percentile_approx(v, 0.5, 10_000).alias(f"{v}_middle") for v in values)))
     spread = passed.join(middle, "_language").groupBy("_language").agg(
-        F.first("middle").alias("middle"),
-        F.percentile_approx(F.abs(F.col(value) - F.col("middle")), 0.5, 10_000).alias("deviation"),
+        *(F.first(f"{v}_middle").alias(f"{v}_middle") for v in values),
+        *(F.percentile_approx(F.abs(F.col(v) - F.col(f"{v}_middle")), 0.5, 10_000).alias(f"{v}_deviation") for v in values),
     )
-    deviation = F.greatest(1.4826 * F.col("deviation"), F.lit(LEAST_DEVIATION))
-    return stored(spread.select("_language", (F.col("middle") - below * deviation).alias("lower"),
-                                (F.col("middle") + above * deviation).alias("upper")))
+    limits = []
+    for v in values:
+        deviation = F.greatest(1.4826 * F.col(f"{v}_deviation"), F.lit(LEAST_DEVIATION))
+        limits += [(F.col(f"{v}_middle") - below * deviation).alias(f"{v}_lower"),
+                   (F.col(f"{v}_middle") + above * deviation).alias(f"{v}_upper")]
+    return stored(spread.select("_language", *limits))

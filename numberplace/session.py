@@ -13,6 +13,8 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
+#: Of its limit, what the driver's heap may take before a deleted table has it collected.
+HEAP_SHARE = 0.4
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Names of the folders of open ``scratch`` calls, innermost last.
 _owned: list[str] = []
@@ -66,12 +68,16 @@ def delete_scratch(spark: SparkSession, folder: str) -> None:
     path.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration()).delete(path, True)
 
 
-def release_memory(spark: SparkSession) -> None:
+def release_memory(spark: SparkSession, above: float = 0.0) -> None:
     """Let the driver give back what it no longer uses, in Python and in the JVM.
 
     Plans and broadcasts without a user are collected, on which Spark deletes the
-    shuffles and blocks that belong to them, and an emptied heap shrinks.
+    shuffles and blocks that belong to them, and an emptied heap shrinks. Nothing
+    is done while the heap takes less than the share ``above`` of its limit.
     """
+    runtime = spark.sparkContext._jvm.java.lang.Runtime.getRuntime()
+    if runtime.totalMemory() < above * runtime.maxMemory():
+        return
     gc.collect()
     pa.default_memory_pool().release_unused()
     spark.sparkContext._jvm.java.lang.System.gc()
@@ -107,6 +113,10 @@ def stored(df: DataFrame, **measures: Column) -> DataFrame | tuple[DataFrame, di
 
 
 def discard(df: DataFrame) -> None:
-    """Delete the files of a ``stored`` table, which nothing may read from then on."""
+    """Delete the files of a ``stored`` table, which nothing may read from then on.
+
+    If the driver's heap has grown, what the plans behind it took there goes, too.
+    """
     for folder in {file.rpartition("/")[0] for file in df.inputFiles()}:
         delete_scratch(df.sparkSession, folder)
+    release_memory(df.sparkSession, HEAP_SHARE)

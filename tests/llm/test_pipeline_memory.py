@@ -1,4 +1,5 @@
 import corpus_pipeline
+from numberplace import session
 
 from .conftest import SF
 
@@ -13,3 +14,13 @@ def test_a_stage_begins_with_a_collected_driver(spark):
     before = collections()
     corpus_pipeline.line_stage(spark, docs, SF)
     assert collections() > before
+
+
+def test_a_grown_driver_is_collected_when_a_table_is_deleted(spark, monkeypatch):
+    beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+    for share, collected in ((0.0, True), (1.1, False)):
+        monkeypatch.setattr(session, "HEAP_SHARE", share)
+        table = session.stored(spark.range(3))
+        before = sum(b.getCollectionCount() for b in beans if "Old" in b.getName())
+        session.discard(table)
+        assert (sum(b.getCollectionCount() for b in beans if "Old" in b.getName()) > before) == collected

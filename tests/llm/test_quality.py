@@ -268,3 +268,17 @@ def test_the_model_is_forgotten_once_the_scores_are_stored(spark, awkward_docs,
     out = quality_rules(awkward_docs)
     assert made and not any(x._jbroadcast.isValid() for x in made)
     assert out.count() == awkward_docs.count()
+
+
+def test_both_models_are_fitted_together(awkward_docs, monkeypatch):
+    """A plan for each order and model, 32 tables in all, took more of the driver's memory than there is."""
+    made, store = [], P.stored
+
+    def recorded(df):
+        made.append(store(df))
+        return made[-1]
+
+    monkeypatch.setattr(P, "stored", recorded)
+    assert {(r.kind, r.size) for r in P.fit(awkward_docs).select("kind", "size").distinct().collect()} == {
+        *((0, k) for k in range(5)), *((1, k) for k in range(1, 4)), *((2, k) for k in range(7)), *((3, k) for k in range(1, 6))}
+    assert len(made) <= 2 * (P.RUNNING.order + 1)
