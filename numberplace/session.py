@@ -13,7 +13,7 @@ from contextlib import contextmanager
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 
-#: Of its limit, what the driver's heap may take before a deleted table has it collected.
+#: Of its limit, what the driver's heap may take before a stored or deleted table has it collected.
 HEAP_SHARE = 0.4
 _CHECKPOINT_DIR = "spark.checkpoint.dir"
 # Names of the folders of open ``scratch`` calls, innermost last.
@@ -102,13 +102,15 @@ def stored(df: DataFrame, **measures: Column) -> DataFrame | tuple[DataFrame, di
     Later passes read the files, so a lost executor costs no recomputation and
     every pass sees the same rows. Unlike a cache it holds no executor memory.
     With ``measures``, aggregates of ``df``, their values come along; they are
-    taken while it is written.
+    taken while it is written. If the driver's heap has grown, what the plan took
+    there is collected.
     """
     path, measured = scratch_path(df.sparkSession), Observation()
     if measures:
         df = df.observe(measured, *(value.alias(name) for name, value in measures.items()))
     df.write.parquet(path)
     back = df.sparkSession.read.schema(df.schema).parquet(path)
+    release_memory(df.sparkSession, HEAP_SHARE)
     return (back, measured.get) if measures else back
 
 

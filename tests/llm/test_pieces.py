@@ -59,3 +59,9 @@ def test_blocks_and_memory_limits_change_nothing(awkward_docs, monkeypatch):
     for name, value in (("BLOCK_CHARS", 50), ("MEMORY_UNITS", 3), ("ROUND_CHARS", 7)):
         monkeypatch.setattr(C, name, value)
     assert rows_of(C.piece_digests(awkward_docs, MODEL)) == whole
+
+
+def test_a_block_of_texts_leaves_room_for_two_workers():
+    """Two workers an executor, with blocks of 4,000,000 characters, took more than its memory."""
+    sizes = [len("".join(b)) for b in C._blocks(["word " * 400] * 1_000)]
+    assert max(sizes) < 500_000 and sum(sizes) == 2_000_000

@@ -16,11 +16,17 @@ def test_a_stage_begins_with_a_collected_driver(spark):
     assert collections() > before
 
 
-def test_a_grown_driver_is_collected_when_a_table_is_deleted(spark, monkeypatch):
+def test_a_grown_driver_is_collected_when_a_table_is_stored_or_deleted(spark, monkeypatch):
     beans = spark._jvm.java.lang.management.ManagementFactory.getGarbageCollectorMXBeans()
+
+    def collections():
+        return sum(b.getCollectionCount() for b in beans if "Old" in b.getName())
+
     for share, collected in ((0.0, True), (1.1, False)):
         monkeypatch.setattr(session, "HEAP_SHARE", share)
+        before = collections()
         table = session.stored(spark.range(3))
-        before = sum(b.getCollectionCount() for b in beans if "Old" in b.getName())
+        assert (collections() > before) == collected
+        before = collections()
         session.discard(table)
-        assert (sum(b.getCollectionCount() for b in beans if "Old" in b.getName()) > before) == collected
+        assert (collections() > before) == collected
