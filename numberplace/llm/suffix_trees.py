@@ -21,6 +21,11 @@ Words are ``[^\\x20\\x09-\\x0D]+``; they are compared by 64-bit hashes at each o
 places, whole sequences by 128 bits. A window is repeated if it starts in a document with a
 smaller id, so rows of equal id do not count for each other. Rows without an id are
 left as they are and do not count. Null and empty texts have no words.
+
+Spark judges by a file's size whether the driver can broadcast it, and windows that
+overlap or are equal take a hundredth of their size there. So only the prefixes of large
+groups are broadcast, one for ``GROUP_ROWS`` suffixes, and equal windows when counted to be
+few; other joins are told to merge.
 """
 
 from __future__ import annotations
@@ -44,6 +49,8 @@ WINDOW, GRAM = 50, 8
 GROUP_ROWS = 32_000
 #: Suffixes that a task sorts together, of one or of many groups.
 TREE_ROWS = 20_000
+#: Words in all of the distinct windows that a join broadcasts; 4 MB.
+BROADCAST_WORDS = 500_000
 
 _EMPTY = hashlib.sha256(b"").hexdigest()
 
@@ -77,6 +84,11 @@ def anchors(found: W.Words, window: int, gram: int) -> tuple[np.ndarray, np.ndar
     return place[begins], starts[begins], starts[lasts], grams[place[begins]]
 
 
+def _merged(df: DataFrame) -> DataFrame:
+    """``df`` for a join in a shuffle, sorted on both sides, whatever the size of its files."""
+    return df.hint("merge")
+
+
 def _keyed(df: DataFrame, id_column: str, text: str) -> DataFrame:
     """(doc, key, text): rows with equal id and key have equal texts."""
     return df.select(F.col(id_column).alias("doc"), F.xxhash64(text).alias("key"), F.col(text).alias("text"))
@@ -282,10 +294,12 @@ def _parted(suffixes: DataFrame, width: int, window: int, gram: int) -> DataFram
         f"hash long, prefix long, doc {dict(suffixes.dtypes)['doc']}, key long, at long, place int, words array<long>"))
 
 
-def _equal_windows(suffixes: DataFrame) -> DataFrame:
+def _equal_windows(suffixes: DataFrame, window: int) -> DataFrame:
     """(doc, key, low, high) where a prefix is the whole window; compared word for word."""
     keys = ["prefix", "words"]
-    least = suffixes.groupBy(*keys).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").drop("most")
+    # Stored to be counted, and so that a merge has plain shuffles on both sides, whose skewed partitions Spark can split.
+    least = stored(suffixes.groupBy(*keys).agg(F.min("doc").alias("least"), F.max("doc").alias("most")).filter("least < most").drop("most"))
+    least = F.broadcast(least) if least.count() * window <= BROADCAST_WORDS else _merged(least)
     return suffixes.join(least, keys).filter("doc > least").select("doc", "key", F.col("at").alias("low"), F.col("at").alias("high"))
 
 
@@ -297,8 +311,8 @@ def repeated_runs(
     listed = prints.filter("size(hashes) > 0").select("doc", "key", F.explode(F.array_distinct("hashes")).alias("hash"))
     shared = listed.groupBy("hash").agg(F.min("doc").alias("low"), F.max("doc").alias("high")).filter("low < high").select("hash")
     # A document has no more anchors than words.
-    wanted = stored(listed.join(shared, "hash").groupBy("doc", "key").agg(F.collect_list("hash").alias("hashes")))
-    open_ = stored(_suffixes(rows.join(wanted, ["doc", "key"]).select("doc", "key", "text", "hashes"), window, gram)).withColumn(
+    wanted = stored(listed.join(_merged(shared), "hash").groupBy("doc", "key").agg(F.collect_list("hash").alias("hashes")))
+    open_ = stored(_suffixes(rows.join(_merged(wanted), ["doc", "key"]).select("doc", "key", "text", "hashes"), window, gram)).withColumn(
         "prefix", F.col("hash"))
     parts, width = [], window - gram + 1
     while True:
@@ -311,7 +325,7 @@ def repeated_runs(
         width = -(-width // 4)
         open_ = stored(_parted(open_.join(large, "prefix", "left_semi"), width, window, gram))
         if width == 1:
-            parts.append(_equal_windows(open_))
+            parts.append(_equal_windows(open_, window))
             break
     return functools.reduce(DataFrame.unionByName, parts)
 
@@ -350,16 +364,16 @@ def delete_repeated_passages(
     prints = stored(_prints(rows, window, gram))
     same = ["first", "second", "n_words"]
     groups = prints.filter(F.col("doc").isNotNull() & (F.col("n_words") >= window)).groupBy(*same).agg(F.min("doc").alias("earliest"), F.count("*").alias("n"))
-    marked = stored(prints.join(groups.filter("n > 1").drop("n"), same, "left"))
+    marked = stored(prints.join(_merged(groups.filter("n > 1").drop("n")), same, "left"))
     copies = marked.filter("doc > earliest")
     singles = marked.filter("doc IS NULL OR earliest IS NULL OR doc = earliest")
     runs = repeated_runs(rows, singles.filter("doc IS NOT NULL").select("doc", "key", "hashes"), window, gram, group_rows)
     by_text = stored(runs.groupBy("doc", "key").agg(F.collect_list("low").alias("lows"), F.collect_list("high").alias("highs")))
-    changed = _remaining(rows.join(by_text, ["doc", "key"]).select("doc", "text", "lows", "highs"), window)
+    changed = _remaining(rows.join(_merged(by_text), ["doc", "key"]).select("doc", "text", "lows", "highs"), window)
     out = ["doc", "n_words", "n_removed", "kept_sha256", "kept"]
     parts = [
         copies.select("doc", "n_words", F.col("n_words").alias("n_removed"), F.lit(_EMPTY).alias("kept_sha256"), F.lit("").alias("kept")),
-        singles.join(by_text.select("doc", "key"), ["doc", "key"], "left_anti").select(
+        singles.join(_merged(by_text.select("doc", "key")), ["doc", "key"], "left_anti").select(
             "doc", "n_words", F.lit(0).cast("long").alias("n_removed"), F.col("sha").alias("kept_sha256"), F.lit(None).cast("string").alias("kept")),
         changed.withColumn("kept_sha256", F.sha2("kept", 256)).select(*out),
     ]

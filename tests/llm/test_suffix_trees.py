@@ -1,5 +1,6 @@
 import hashlib
 import random
+import re
 
 import pytest
 
@@ -76,3 +77,29 @@ def test_kept_text(spark):
     df = spark.createDataFrame([(1, passage), (2, f"before\n{passage}  after"), (3, passage), (4, "short")], "doc_id long, text string")
     kept = {r.doc_id: r.kept for r in S.delete_repeated_passages(df).collect()}
     assert kept == {1: None, 2: "before after", 3: "", 4: None}
+
+
+@pytest.mark.parametrize(("words", "kind"), [(0, "SortMergeJoin"), (500_000, "BroadcastHashJoin")])
+def test_what_grows_is_not_broadcast(spark, monkeypatch, words, kind):
+    """Equal windows fill the driver although their files are small, so counts and not file sizes decide."""
+    monkeypatch.setattr(S, "BROADCAST_WORDS", words, raising=False)
+    rng = random.Random(5)
+    passage = " ".join(f"p{k}" for k in range(60))
+    rows = [(k, " ".join(f"w{rng.randrange(10**6)}" for _ in range(20)) + f" {passage} end{k}") for k in range(200)]
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return df
+
+    stored = S.stored
+    monkeypatch.setattr(S, "stored", lambda df, **measures: stored(planned(df), **measures))
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    assert rows_of(planned(S.delete_repeated_passages(df, group_rows=20).select("doc_id", "n_words", "n_removed", "kept_sha256"))) == brute(rows)
+    joins = [j for plan in plans for j in re.findall(r"(BroadcastHashJoin|SortMergeJoin)(?:\(\w+=\w+\))? \[([^]]*)\], \[[^]]*\], (\w+)", plan)]
+    # The first prefix is the hash of the anchor's gram.
+    small = [j for j in joins if re.fullmatch(r"(hash|prefix)#\d+L", j[1]) and j[2] in ("LeftSemi", "LeftAnti")]
+    equal = [j for j in joins if re.fullmatch(r"prefix#\d+L, words#\d+", j[1])]
+    others = [j[0] for j in joins if j not in small and j not in equal]
+    assert len(small) >= 4 and [j[0] for j in equal] == [kind]
+    assert len(others) >= 5 and set(others) == {"SortMergeJoin"}
